@@ -137,3 +137,93 @@ SELECT address,
                         'label', label, 'isUserAddress', is_user) AS VARCHAR) AS record
 FROM flat
 """
+
+ORACLE["latest_result"] = f"""
+SELECT {ADDR.format(k='c_custkey')} AS user_addr FROM customer WHERE c_acctbal >= 5000
+"""
+
+ORACLE["column_values"] = f"""
+SELECT c_custkey AS row_id,
+       CASE WHEN c_custkey % 9 = 1 THEN NULL ELSE {ADDR.format(k='c_custkey')} END AS user_addr
+FROM customer WHERE c_custkey % 9 <> 0
+"""
+
+ORACLE["extract_stats"] = """
+SELECT CAST(count(*) AS BIGINT) AS total_rows,
+       CAST(count(*) FILTER (WHERE c_custkey % 9 <> 0) AS BIGINT) AS values_extracted,
+       CAST(count(*) FILTER (WHERE c_custkey % 9 NOT IN (0, 1)) AS BIGINT) AS non_null_values
+FROM customer
+"""
+
+ORACLE["label_lookup"] = f"""
+WITH {LABEL_BASE}
+SELECT address, k % 11 <> 5 AS is_success,
+       CASE WHEN k % 11 = 5 THEN 'API returned no data' END AS error_message,
+       CASE WHEN k % 11 <> 5 THEN label END AS label
+FROM flat
+"""
+
+ORACLE["portfolio_asof"] = """
+SELECT user_id, event_id, epoch_us(ts) AS ts_us, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events WHERE ts <= TIMESTAMP '2024-01-15 00:00:00') q
+WHERE rn = 1
+"""
+
+# Stub service: key k fails its first k % 12 calls (status cycling by call
+# number), at most 10 rounds.
+FETCH_ATTEMPTS = f"""
+keys AS (SELECT c_custkey AS k, {ADDR.format(k='c_custkey')} AS address FROM customer),
+att AS (
+  SELECT keys.k, keys.address, CAST(r.round AS BIGINT) AS round,
+         r.round > keys.k % 12 AS ok,
+         CASE WHEN r.round > keys.k % 12 THEN '200'
+              ELSE ['429', '500', '400', '401', 'timeout', 'connection_error'][((r.round - 1) % 6) + 1] END AS status
+  FROM keys JOIN range(1, 11) AS r(round) ON r.round <= least(keys.k % 12 + 1, 10))
+"""
+
+ORACLE["fetch_status"] = f"""
+WITH {FETCH_ATTEMPTS}
+SELECT address, round, status, ok AS is_success,
+       CASE WHEN NOT ok THEN 'API returned no data' END AS error_message
+FROM att
+"""
+
+ORACLE["round_split"] = f"""
+WITH {FETCH_ATTEMPTS}
+SELECT round, address, CASE WHEN ok THEN 'success' ELSE 'failure' END AS split FROM att
+"""
+
+ORACLE["retry_rounds"] = f"""
+WITH {FETCH_ATTEMPTS}, {LABEL_BASE}
+SELECT flat.address, att.round, flat.name, flat.label, flat.is_user AS "isUserAddress"
+FROM att JOIN flat ON att.k = flat.k WHERE att.ok
+"""
+
+ORACLE["round_stats"] = f"""
+WITH {FETCH_ATTEMPTS}
+SELECT round, CAST(count(*) AS BIGINT) AS attempted,
+       CAST(count(*) FILTER (WHERE ok) AS BIGINT) AS succeeded,
+       CAST(count(*) FILTER (WHERE NOT ok) AS BIGINT) AS failed
+FROM att GROUP BY round
+"""
+
+ORACLE["dead_letters"] = f"""
+WITH {FETCH_ATTEMPTS}
+SELECT address, round AS attempts, status AS last_status, 'API returned no data' AS last_error
+FROM att WHERE round = 10 AND NOT ok
+"""
+
+ORACLE["batch_summary"] = f"""
+WITH {FETCH_ATTEMPTS}, s AS (
+  SELECT CAST(count(DISTINCT k) AS BIGINT) AS total,
+         CAST(count(DISTINCT k) FILTER (WHERE ok) AS BIGINT) AS succeeded FROM att)
+SELECT total, succeeded, total - succeeded AS failed,
+       CAST(round(succeeded * 100.0 / total, 1) AS DECIMAL(5,1)) AS success_rate
+FROM s
+"""
+
+ORACLE["status_class"] = f"""
+WITH {FETCH_ATTEMPTS}
+SELECT status, CAST(count(*) AS BIGINT) AS calls FROM att GROUP BY status
+"""

@@ -123,3 +123,162 @@ def label_fallback(spark, sf_dir):
 def label_record(spark, sf_dir):
     """The flat record as JSON text."""
     return L.label_record(L.flatten_labels(_label_parsed(spark, sf_dir)))
+
+
+# ----------------------------------------------------------------------- sources
+
+@query("latest_result")
+def latest_result(spark, sf_dir):
+    """Keys of the most recent run of the saved query."""
+    from walletflow.sources.results import latest_result as latest
+
+    return latest(fx.saved_results(spark, sf_dir)).select("user_addr")
+
+
+@query("column_values")
+def column_values(spark, sf_dir):
+    """One key out of JSON rows; missing key skipped, null kept."""
+    from walletflow.sources.results import column_values as values
+
+    return values(fx.result_json_rows(spark, sf_dir), "user_addr", "row_json").select("row_id", "user_addr")
+
+
+@query("extract_stats")
+def extract_stats(spark, sf_dir):
+    """A5: total rows vs extracted values."""
+    from walletflow.sources.results import extract_stats as stats
+
+    return stats(fx.result_json_rows(spark, sf_dir), "user_addr", "row_json")
+
+
+@query("label_lookup")
+def label_lookup(spark, sf_dir):
+    """S3 (landed) + K12: left lookup, unmatched keys fail with a reason."""
+    from walletflow.schemas import LABEL_NO_DATA
+    from walletflow.sources.landed import lookup
+
+    docs = fx.label_documents(spark, sf_dir)
+    keys = docs.select("address")
+    landed = docs.filter(F.col("k") % 11 != 5).select("address", "body")
+    parsed = L.with_primary(L.parse_labels(lookup(keys, landed, LABEL_NO_DATA)))
+    ok = F.col("is_success") & F.col("label_ok")
+    label, _ = L.fallback_label(F.col("label_chains"), F.col("label_primary"))
+    return parsed.select(
+        "address",
+        ok.alias("is_success"),
+        F.when(~ok, F.coalesce(F.col("error_message"), F.lit(LABEL_NO_DATA))).alias("error_message"),
+        F.when(ok, label).alias("label"),
+    )
+
+
+@query("portfolio_asof")
+def portfolio_asof(spark, sf_dir):
+    """S4 (landed history): latest version per key as of a fixed time."""
+    from walletflow.sources.landed import as_of
+
+    hist = fx.history_versions(spark, sf_dir)
+    latest = as_of(hist, F.lit(fx.AS_OF).cast("timestamp_ntz"))
+    micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', version_ts)")
+    return latest.select(
+        F.col("key").alias("user_id"),
+        F.col("version_id").alias("event_id"),
+        micros.alias("ts_us"),
+        "value",
+        "props",
+    )
+
+
+# ------------------------------------------------------------------------- fetch
+
+_RUNS: dict = {}
+
+
+def label_fetch_run(spark, sf_dir):
+    """Label documents fetched through the stub service in retry rounds.
+
+    Materialised once per session and input; the queries below read the
+    landed attempts.
+    """
+    import os
+
+    from walletflow.operators.fetch import FetchOptions, fetch_rounds
+    from walletflow.plans.stub_service import CyclingStubService
+
+    key = (id(spark.sparkContext._jsc), sf_dir, "labels")
+    run = _RUNS.get(key)
+    if run is not None:
+        path = run.landing[5:] if run.landing.startswith("file:") else run.landing
+        if "://" in path or os.path.exists(path):
+            return run
+    docs = fx.label_documents(spark, sf_dir)
+    # The stub has no rate limit, so no pauses; the defaults stay for real services.
+    opts = FetchOptions(kind="labels", request_delay=0.0, backoff_429=0.0, round_delay=0.0)
+    run = fetch_rounds(docs.select("address", F.col("body").alias("doc")), CyclingStubService(), opts, context="doc")
+    _RUNS[key] = run
+    return run
+
+
+@query("fetch_status")
+def fetch_status(spark, sf_dir):
+    """K1/K9: every call with its status, success flag and error text."""
+    a = label_fetch_run(spark, sf_dir).attempts()
+    return a.select(
+        "address",
+        F.col("round").cast("bigint").alias("round"),
+        "status",
+        F.col("ok").alias("is_success"),
+        "error_message",
+    )
+
+
+@query("round_split")
+def round_split(spark, sf_dir):
+    """Each round's batch split into successes and failures."""
+    a = label_fetch_run(spark, sf_dir).attempts()
+    return a.select(
+        F.col("round").cast("bigint").alias("round"),
+        "address",
+        F.when(F.col("ok"), F.lit("success")).otherwise(F.lit("failure")).alias("split"),
+    )
+
+
+@query("retry_rounds")
+def retry_rounds(spark, sf_dir):
+    """K5/K7: successes over all rounds, flattened, with their round."""
+    ok = label_fetch_run(spark, sf_dir).successes()
+    flat = L.flatten_labels(L.parse_labels(ok.select("address", "round", "body")), keep=["round"])
+    return flat.select(
+        "address", F.col("round").cast("bigint").alias("round"), "name", "label", "isUserAddress"
+    )
+
+
+@query("round_stats")
+def round_stats(spark, sf_dir):
+    """A1: per-round attempted / succeeded / failed."""
+    from walletflow.operators.stats import round_stats as stats
+
+    s = stats(label_fetch_run(spark, sf_dir).attempts())
+    return s.select(F.col("round").cast("bigint").alias("round"), "attempted", "succeeded", "failed")
+
+
+@query("dead_letters")
+def dead_letters(spark, sf_dir):
+    """K8: keys still failing after the last round."""
+    return label_fetch_run(spark, sf_dir).dead_letters()
+
+
+@query("batch_summary")
+def batch_summary(spark, sf_dir):
+    """A2: total, succeeded, failed, success rate over the input keys."""
+    from walletflow.operators.stats import batch_summary as summary
+
+    keys = fx.label_documents(spark, sf_dir).select("address")
+    return summary(keys, label_fetch_run(spark, sf_dir).successes())
+
+
+@query("status_class")
+def status_class(spark, sf_dir):
+    """K9: calls by outcome class."""
+    from walletflow.operators.stats import status_counts
+
+    return status_counts(label_fetch_run(spark, sf_dir).attempts())
