@@ -227,3 +227,127 @@ ORACLE["status_class"] = f"""
 WITH {FETCH_ATTEMPTS}
 SELECT status, CAST(count(*) AS BIGINT) AS calls FROM att GROUP BY status
 """
+
+PORTFOLIO_FLAT_ROWS = """
+flatp AS (
+  SELECT k, CASE network WHEN 'arbitrum_one' THEN 'arbitrum' ELSE network END AS chain,
+         address, p_name AS symbol, balance, price, usd
+  FROM tok WHERE network IN ('arbitrum_one', 'ethereum', 'base', 'optimism'))
+"""
+
+ORACLE["dense_no"] = f"""
+WITH {PORTFOLIO_TOKENS}, {PORTFOLIO_FLAT_ROWS}
+SELECT chain, address, symbol, balance, price, usd,
+       row_number() OVER (ORDER BY address, chain, symbol, balance, price, usd) AS no
+FROM flatp
+"""
+
+ORACLE["label_table_rows"] = f"""
+WITH {LABEL_BASE}
+SELECT CAST(row_number() OVER (ORDER BY address) AS BIGINT) AS no, address, name, type, label,
+       is_user AS isuseraddress, website, twitter, crunchbase, linkedin, '2024-01-15' AS update_date
+FROM flat
+"""
+
+ORACLE["csv_roundtrip"] = PORTFOLIO_FLAT
+
+# CSV cannot tell an empty cell from NULL: empty text reads back as NULL.
+TYPED_LABEL_ROWS = """
+SELECT CAST(row_number() OVER (ORDER BY address) AS BIGINT) AS no, substr(address, 3) AS address_hex,
+       NULLIF(name, '') AS name, NULLIF(type, '') AS type, NULLIF(label, '') AS label,
+       is_user AS isuseraddress, NULLIF(website, '') AS website, NULLIF(twitter, '') AS twitter,
+       NULLIF(crunchbase, '') AS crunchbase, NULLIF(linkedin, '') AS linkedin,
+       '{day}' AS update_date
+FROM flat
+"""
+
+ORACLE["label_typed_load"] = f"WITH {LABEL_BASE} " + TYPED_LABEL_ROWS.format(day="2024-01-15")
+
+ORACLE["rows_written"] = f"""
+WITH {PORTFOLIO_TOKENS}, {PORTFOLIO_FLAT_ROWS}
+SELECT CAST(count(*) AS BIGINT) AS rows_written FROM flatp
+"""
+
+ORACLE["address_binary"] = """
+WITH a AS (SELECT c_custkey AS k, lpad(lower(to_hex(c_custkey)), 40, '0') AS digits FROM customer)
+SELECT CASE k % 10 WHEN 0 THEN digits WHEN 1 THEN '0x' || digits || '0'
+                   WHEN 2 THEN '0x' || substr(digits, 1, 39) || 'g' WHEN 3 THEN '0x' || upper(digits)
+                   ELSE '0x' || digits END AS address,
+       CASE WHEN k % 10 IN (0, 1, 2) THEN NULL ELSE digits END AS address_hex,
+       CASE k % 10 WHEN 0 THEN 'missing 0x prefix' WHEN 1 THEN 'odd number of hex digits'
+                   WHEN 2 THEN 'non-hex character' END AS problem
+FROM a
+"""
+
+ORACLE["endpoint_key"] = f"""
+WITH a AS (SELECT {ADDR.format(k='c_custkey')} AS address FROM customer)
+SELECT address, '/intelligence/address/' || address || '/all' AS label_path,
+       '/portfolio/address/' || address AS portfolio_path
+FROM a
+"""
+
+ORACLE["export_name"] = """
+WITH runs AS (
+  SELECT DISTINCT run_ts FROM (
+    SELECT TIMESTAMP '2024-01-14 00:00:00' AS run_ts FROM customer WHERE c_acctbal >= 0
+    UNION ALL
+    SELECT TIMESTAMP '2024-01-15 00:00:00' AS run_ts FROM customer WHERE c_acctbal >= 5000) r)
+SELECT strftime(run_ts, '%Y-%m-%d %H:%M:%S') AS run_ts,
+       'ArcHam_Intelligence_Report_' || strftime(run_ts, '%Y%m%d_%H%M%S') || '.csv' AS label_file,
+       'ArcHam_portfolios_' || strftime(run_ts, '%Y%m%d_%H%M%S') || '.csv' AS portfolio_file,
+       'whales_' || strftime(run_ts, '%Y%m%d') || '.csv' AS given_file,
+       'whales_' || strftime(run_ts, '%Y%m%d') || '.csv' AS given_csv_file
+FROM runs
+"""
+
+ORACLE["table_lifecycle"] = """
+SELECT CAST(step_no AS BIGINT) AS step_no, step, ok, CAST(row_count AS BIGINT) AS row_count FROM (
+  SELECT 1 AS step_no, 'create' AS step, true AS ok, NULL AS row_count
+  UNION ALL SELECT 2, 'create_again', true, NULL
+  UNION ALL SELECT 3, 'append', true, (SELECT count(*) FROM customer)
+  UNION ALL SELECT 4, 'clear', true, 0
+  UNION ALL SELECT 5, 'drop', true, NULL
+  UNION ALL SELECT 6, 'drop_again', false, NULL) s
+"""
+
+ORACLE["append_load"] = (
+    f"WITH {LABEL_BASE} "
+    + TYPED_LABEL_ROWS.format(day="2024-01-14")
+    + " UNION ALL "
+    + TYPED_LABEL_ROWS.format(day="2024-01-15")
+)
+
+ORACLE["refresh_load"] = f"""
+WITH {PORTFOLIO_TOKENS}
+SELECT CASE network WHEN 'arbitrum_one' THEN 'arbitrum' ELSE network END AS chain,
+       substr(address, 3) AS address_hex, p_name AS symbol, balance,
+       CASE WHEN k % 7 = 3 THEN NULL ELSE price END AS price, usd
+FROM tok WHERE network IN ('arbitrum_one', 'ethereum', 'base', 'optimism') AND k % 7 <> 0
+"""
+
+ORACLE["history_load"] = """
+SELECT '2024-01-14' AS update_date, CAST(count(*) AS BIGINT) AS row_count FROM customer
+UNION ALL
+SELECT '2024-01-15', CAST(count(*) AS BIGINT) FROM customer WHERE c_acctbal >= 5000
+"""
+
+ORACLE["job_labels"] = f"""
+WITH {LABEL_BASE}
+SELECT CAST(row_number() OVER (ORDER BY flat.k % 12, flat.address) AS BIGINT) AS no,
+       substr(flat.address, 3) AS address_hex,
+       NULLIF(name, '') AS name, NULLIF(type, '') AS type, NULLIF(label, '') AS label,
+       is_user AS isuseraddress, NULLIF(website, '') AS website, NULLIF(twitter, '') AS twitter,
+       NULLIF(crunchbase, '') AS crunchbase, NULLIF(linkedin, '') AS linkedin,
+       '2024-01-15' AS update_date
+FROM flat JOIN customer ON customer.c_custkey = flat.k
+WHERE customer.c_acctbal >= 5000 AND flat.k % 12 < 10
+"""
+
+ORACLE["job_portfolio"] = f"""
+WITH {PORTFOLIO_TOKENS}
+SELECT CASE network WHEN 'arbitrum_one' THEN 'arbitrum' ELSE network END AS chain,
+       substr(address, 3) AS address_hex, p_name AS symbol, balance, price, usd
+FROM tok JOIN customer ON customer.c_custkey = tok.k
+WHERE customer.c_acctbal >= 5000 AND tok.k % 12 < 10
+  AND network IN ('arbitrum_one', 'ethereum', 'base', 'optimism')
+"""

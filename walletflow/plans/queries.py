@@ -282,3 +282,299 @@ def status_class(spark, sf_dir):
     from walletflow.operators.stats import status_counts
 
     return status_counts(label_fetch_run(spark, sf_dir).attempts())
+
+
+# ------------------------------------------------------ numbering, layout, CSV
+
+RUN_DATE = "2024-01-15"
+EARLIER_RUN_DATE = "2024-01-14"
+
+
+@query("dense_no")
+def dense_no(spark, sf_dir):
+    """Gap-free 1..n over the flat portfolio rows, no one-task window."""
+    from walletflow.operators.numbering import dense_number
+
+    rows = P.portfolio_rows(fx.portfolio_documents(spark, sf_dir))
+    order = ["address", "chain", "symbol", "balance", "price", "usd"]
+    return dense_number(rows, order, "no")
+
+
+def _label_table_rows(spark, sf_dir, run_date=RUN_DATE):
+    from walletflow.operators.numbering import dense_number
+
+    flat = L.flatten_labels(L.parse_labels(fx.label_documents(spark, sf_dir)))
+    numbered = dense_number(flat, ["address"], "no")
+    return numbered.select(
+        F.col("no").cast("int").alias("no"), "address", "name", "type", "label",
+        F.col("isUserAddress").alias("isuseraddress"),
+        "website", "twitter", "crunchbase", "linkedin",
+        F.lit(run_date).cast("date").alias("update_date"),
+    )
+
+
+def _shown(df: DataFrame) -> DataFrame:
+    """Stable text/bigint forms for comparison: binary as hex, dates as text."""
+    from pyspark.sql import types as T
+
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.BinaryType):
+            c = F.lower(F.hex(c)).alias(f.name + "_hex")
+        elif isinstance(f.dataType, T.DateType):
+            c = F.date_format(c, "yyyy-MM-dd").alias(f.name)
+        elif isinstance(f.dataType, T.IntegerType):
+            c = c.cast("bigint").alias(f.name)
+        cols.append(c)
+    return df.select(*cols)
+
+
+@query("label_table_rows")
+def label_table_rows(spark, sf_dir):
+    """The 11-column label layout with run date and numbering."""
+    return _shown(_label_table_rows(spark, sf_dir))
+
+
+@query("csv_roundtrip")
+def csv_roundtrip(spark, sf_dir):
+    """Portfolio rows written in the CSV dialect and read back."""
+    from walletflow.schemas import PORTFOLIO_COLUMNS
+    from walletflow.session import scratch_path
+    from walletflow.sinks.csv import read_csv, write_csv
+
+    path = scratch_path(spark, "csv-roundtrip")
+    write_csv(P.portfolio_rows(fx.portfolio_documents(spark, sf_dir)), path)
+    return read_csv(spark, path, PORTFOLIO_COLUMNS)
+
+
+@query("label_typed_load")
+def label_typed_load(spark, sf_dir):
+    """Label CSV text typed back to the declared table types."""
+    from walletflow.schemas import LABEL_COLUMNS, LABEL_TABLE_SCHEMA
+    from walletflow.session import scratch_path
+    from walletflow.sinks.csv import read_csv, write_csv
+    from walletflow.sinks.tables import type_rows
+
+    path = scratch_path(spark, "labels-csv")
+    write_csv(_label_table_rows(spark, sf_dir), path)
+    good, _rejects = type_rows(read_csv(spark, path, LABEL_COLUMNS), LABEL_TABLE_SCHEMA)
+    return _shown(good)
+
+
+@query("rows_written")
+def rows_written(spark, sf_dir):
+    """A3: rows counted while the CSV is written (observed, no second pass)."""
+    from walletflow.session import scratch_path
+    from walletflow.sinks.csv import write_csv
+
+    rows = P.portfolio_rows(fx.portfolio_documents(spark, sf_dir))
+    n = write_csv(rows, scratch_path(spark, "csv-rows"))
+    return spark.range(1).select(F.lit(n).cast("bigint").alias("rows_written"))
+
+
+@query("load_stats")
+def load_stats(spark, sf_dir):
+    """Rows written and bytes / MB of a table load."""
+    import uuid
+
+    from walletflow.schemas import PORTFOLIO_TABLE_SCHEMA
+    from walletflow.session import scratch_path
+    from walletflow.sinks import tables
+    from walletflow.sinks.csv import write_csv
+
+    ns = f"wf_{uuid.uuid4().hex[:8]}"
+    path = scratch_path(spark, "load-csv")
+    write_csv(P.portfolio_rows(fx.portfolio_documents(spark, sf_dir)), path)
+    tables.create_table(spark, ns, "portfolio", "load stats", PORTFOLIO_TABLE_SCHEMA,
+                        root=scratch_path(spark, "tbl"))
+    res = tables.load_csv(spark, path, ns, "portfolio", mode="append")
+    return tables.load_stats_frame(spark, res)
+
+
+@query("address_binary")
+def address_binary(spark, sf_dir):
+    """Address text -> binary, with a reason for every reject."""
+    from walletflow.functions.address import address_problem, address_to_binary
+
+    a = fx.address_variants(spark, sf_dir)
+    return a.select(
+        "address",
+        F.lower(F.hex(address_to_binary(F.col("address")))).alias("address_hex"),
+        address_problem(F.col("address")).alias("problem"),
+    )
+
+
+@query("endpoint_key")
+def endpoint_key(spark, sf_dir):
+    """Request path per address for both endpoints."""
+    from walletflow.functions.address import address_from_key, endpoint_path
+
+    c = fx.table(spark, sf_dir, "customer").select(address_from_key(F.col("c_custkey")).alias("address"))
+    return c.select(
+        "address",
+        endpoint_path("labels", F.col("address")).alias("label_path"),
+        endpoint_path("portfolio", F.col("address")).alias("portfolio_path"),
+    )
+
+
+@query("export_name")
+def export_name(spark, sf_dir):
+    """Default file names per saved-result run; '.csv' added when missing."""
+    from walletflow.functions.text import default_file_name, ensure_csv_suffix
+    from walletflow.schemas import LABEL_FILE_PREFIX, PORTFOLIO_FILE_PREFIX
+
+    runs = fx.saved_results(spark, sf_dir).select("run_ts").distinct()
+    return runs.select(
+        F.date_format("run_ts", "yyyy-MM-dd HH:mm:ss").alias("run_ts"),
+        default_file_name(LABEL_FILE_PREFIX, F.col("run_ts")).alias("label_file"),
+        default_file_name(PORTFOLIO_FILE_PREFIX, F.col("run_ts")).alias("portfolio_file"),
+        ensure_csv_suffix(F.concat(F.lit("whales_"), F.date_format("run_ts", "yyyyMMdd"))).alias("given_file"),
+        ensure_csv_suffix(F.concat(F.lit("whales_"), F.date_format("run_ts", "yyyyMMdd"), F.lit(".csv")))
+        .alias("given_csv_file"),
+    )
+
+
+# ------------------------------------------------------------------------ tables
+
+def _namespace():
+    import uuid
+
+    return f"wf_{uuid.uuid4().hex[:10]}"
+
+
+@query("table_lifecycle")
+def table_lifecycle(spark, sf_dir):
+    """Create (twice), append, clear, drop (twice) with results."""
+    from walletflow.schemas import LABEL_COLUMNS, LABEL_TABLE_SCHEMA
+    from walletflow.session import scratch_path
+    from walletflow.sinks import tables
+    from walletflow.sinks.csv import write_csv
+
+    ns, name = _namespace(), "labels"
+    full = f"{ns}.{name}"
+    steps = []
+    root = scratch_path(spark, "tbl")
+    steps.append(("create", tables.create_table(spark, ns, name, "lifecycle", LABEL_TABLE_SCHEMA, root=root), None))
+    steps.append(("create_again", tables.create_table(spark, ns, name, "lifecycle", LABEL_TABLE_SCHEMA, root=root), None))
+    path = scratch_path(spark, "labels-csv")
+    write_csv(_label_table_rows(spark, sf_dir).select(*LABEL_COLUMNS), path)
+    res = tables.load_csv(spark, path, ns, name, mode="append")
+    steps.append(("append", res.ok, spark.table(full).count()))
+    steps.append(("clear", tables.clear_table(spark, ns, name), spark.table(full).count()))
+    steps.append(("drop", tables.delete_table(spark, ns, name), None))
+    steps.append(("drop_again", tables.delete_table(spark, ns, name), None))
+    return spark.createDataFrame(
+        [(i + 1, s, ok, n) for i, (s, ok, n) in enumerate(steps)],
+        "step_no bigint, step string, ok boolean, row_count bigint",
+    )
+
+
+@query("append_load")
+def append_load(spark, sf_dir):
+    """Two runs appended to one label table."""
+    from walletflow.schemas import LABEL_COLUMNS, LABEL_TABLE_SCHEMA
+    from walletflow.session import scratch_path
+    from walletflow.sinks import tables
+    from walletflow.sinks.csv import write_csv
+
+    ns = _namespace()
+    tables.create_table(spark, ns, "labels", "append", LABEL_TABLE_SCHEMA, root=scratch_path(spark, "tbl"))
+    for day in (EARLIER_RUN_DATE, RUN_DATE):
+        path = scratch_path(spark, "labels-csv")
+        write_csv(_label_table_rows(spark, sf_dir, day).select(*LABEL_COLUMNS), path)
+        tables.load_csv(spark, path, ns, "labels", mode="append")
+    return _shown(spark.table(f"{ns}.labels"))
+
+
+@query("refresh_load")
+def refresh_load(spark, sf_dir):
+    """Full refresh – the second load replaces the first one's rows."""
+    from walletflow.schemas import PORTFOLIO_TABLE_SCHEMA
+    from walletflow.session import scratch_path
+    from walletflow.sinks import tables
+    from walletflow.sinks.csv import write_csv
+
+    ns = _namespace()
+    tables.create_table(spark, ns, "portfolio", "refresh", PORTFOLIO_TABLE_SCHEMA, root=scratch_path(spark, "tbl"))
+    first = scratch_path(spark, "pf-csv")
+    write_csv(P.portfolio_rows(fx.portfolio_documents(spark, sf_dir)), first)
+    tables.load_csv(spark, first, ns, "portfolio", mode="refresh")
+    second = scratch_path(spark, "pf-csv")
+    write_csv(P.portfolio_rows(fx.damaged_portfolio_documents(spark, sf_dir)), second)
+    tables.load_csv(spark, second, ns, "portfolio", mode="refresh")
+    return _shown(spark.table(f"{ns}.portfolio"))
+
+
+@query("history_load")
+def history_load(spark, sf_dir):
+    """History by update_date; a same-day rerun replaces that day only."""
+    from walletflow.schemas import LABEL_COLUMNS, LABEL_TABLE_SCHEMA
+    from walletflow.session import scratch_path
+    from walletflow.sinks import tables
+    from walletflow.sinks.csv import write_csv
+    from walletflow.sources.results import latest_result
+
+    ns = _namespace()
+    tables.create_table(spark, ns, "labels", "history", LABEL_TABLE_SCHEMA, root=scratch_path(spark, "tbl"),
+                        partition_by=["update_date"])
+    latest_keys = latest_result(fx.saved_results(spark, sf_dir)).select(F.col("user_addr").alias("address"))
+    runs = [
+        (EARLIER_RUN_DATE, None),
+        (RUN_DATE, latest_keys),
+        (RUN_DATE, latest_keys),  # rerun of the same day
+    ]
+    for day, keys in runs:
+        rows = _label_table_rows(spark, sf_dir, day)
+        if keys is not None:
+            rows = rows.join(keys, "address", "left_semi")
+        path = scratch_path(spark, "labels-csv")
+        write_csv(rows.select(*LABEL_COLUMNS), path)
+        tables.load_csv(spark, path, ns, "labels", mode="history")
+    t = spark.table(f"{ns}.labels")
+    return t.groupBy(F.date_format("update_date", "yyyy-MM-dd").alias("update_date")).agg(
+        F.count(F.lit(1)).alias("row_count")
+    )
+
+
+# -------------------------------------------------------------------------- jobs
+
+def _stub_opts(kind):
+    from walletflow.operators.fetch import FetchOptions
+
+    return FetchOptions(kind=kind, request_delay=0.0, backoff_429=0.0, round_delay=0.0)
+
+
+@query("job_labels")
+def job_labels(spark, sf_dir):
+    """Saved-result keys -> fetch rounds -> flatten -> number -> CSV -> append."""
+    from walletflow.plans.jobs import label_job
+    from walletflow.plans.stub_service import CyclingStubService
+    from walletflow.session import scratch_path
+    from walletflow.sources.results import latest_result
+
+    keys = latest_result(fx.saved_results(spark, sf_dir)).select(F.col("user_addr").alias("address"))
+    docs = fx.label_documents(spark, sf_dir).select("address", F.col("body").alias("doc"))
+    keys = keys.join(docs, "address", "left")
+    ns = _namespace()
+    label_job(spark, keys, CyclingStubService(), namespace=ns, name="labels", run_date=RUN_DATE,
+              opts=_stub_opts("labels"), context="doc", table_root=scratch_path(spark, "tbl"))
+    return _shown(spark.table(f"{ns}.labels"))
+
+
+@query("job_portfolio")
+def job_portfolio(spark, sf_dir):
+    """Saved-result keys -> fetch rounds -> flatten -> CSV -> full refresh."""
+    from walletflow.plans.jobs import portfolio_job
+    from walletflow.plans.stub_service import CyclingStubService
+    from walletflow.session import scratch_path
+    from walletflow.sources.results import latest_result
+
+    keys = latest_result(fx.saved_results(spark, sf_dir)).select(F.col("user_addr").alias("address"))
+    docs = fx.portfolio_documents(spark, sf_dir).select("address", F.col("body").alias("doc"))
+    keys = keys.join(docs, "address", "left")
+    ns = _namespace()
+    portfolio_job(spark, keys, CyclingStubService(), namespace=ns, name="portfolio",
+                  as_of_ms=1705276800000, opts=_stub_opts("portfolio"), context="doc",
+                  table_root=scratch_path(spark, "tbl"))
+    return _shown(spark.table(f"{ns}.portfolio"))
