@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from walletflow.functions.jsonmap import is_object, json_class, ordered_entries, text_or_default
+from walletflow.functions.once import evaluate_once
 from walletflow.schemas import (
     ENTITY_FIELDS,
     ENTITY_KEY,
@@ -72,15 +73,19 @@ def _typed_chain(c: Column) -> Column:
 
 def parse_labels(df: DataFrame, body: str = "body") -> DataFrame:
     """Add ``label_ok`` (document accepted) and ``label_chains`` (typed,
-    ordered chain objects) to ``df``."""
-    m = F.from_json(F.col(body), LOOSE_MAP_DDL)
-    staged = df.withColumn("_lab_m", m).withColumn(
-        "_lab_raw",
-        F.transform(F.filter(ordered_entries(F.col("_lab_m")), lambda e: is_object(e["value"])), _chain_struct),
+    ordered chain objects) to ``df``.  The document is parsed once per row."""
+    staged = evaluate_once(df, "_lab_m", F.from_json(F.col(body), LOOSE_MAP_DDL))
+    m = F.col("_lab_m")
+    raw = F.transform(F.filter(ordered_entries(m), lambda e: is_object(e["value"])), _chain_struct)
+    chains = F.transform(raw, _typed_chain)
+    parsed = F.struct(m.isNotNull().alias("parsed"), chains.alias("chains"))
+    staged = evaluate_once(staged, "_lab", parsed)
+    bad = F.exists(F.col("_lab.chains"), lambda c: (c["ent_cls"] == "bad") | (c["lab_cls"] == "bad"))
+    return staged.select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        F.coalesce(F.col("_lab.parsed") & ~bad, F.lit(False)).alias("label_ok"),
+        F.col("_lab.chains").alias("label_chains"),
     )
-    staged = staged.withColumn("label_chains", F.transform(F.col("_lab_raw"), _typed_chain))
-    bad = F.exists(F.col("label_chains"), lambda c: (c["ent_cls"] == "bad") | (c["lab_cls"] == "bad"))
-    return staged.withColumn("label_ok", F.col("_lab_m").isNotNull() & ~bad).drop("_lab_m", "_lab_raw")
 
 
 def primary_chain(chains: Column) -> Column:

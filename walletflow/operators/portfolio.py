@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from walletflow.functions.jsonmap import is_object, key_present, ordered_entries
+from walletflow.functions.once import evaluate_once
 from walletflow.schemas import CHAIN_RENAME, EXPORT_CHAINS, LOOSE_MAP_DDL, PORTFOLIO_DDL, TOKEN_FIELDS
 
 
@@ -62,11 +63,21 @@ def _strict_check(body: Column) -> Column:
 
 
 def parse_portfolio(df: DataFrame, body: str = "body") -> DataFrame:
-    """Add ``portfolio_ok`` and the typed map ``portfolio_doc`` to ``df``."""
-    staged = df.withColumn("portfolio_doc", F.from_json(F.col(body), PORTFOLIO_DDL))
-    fast = F.coalesce(_fast_gate(F.col("portfolio_doc")), F.lit(False))
-    # CASE keeps the strict path lazy: it is only evaluated when the gate fails.
-    return staged.withColumn("portfolio_ok", F.when(fast, F.lit(True)).otherwise(_strict_check(F.col(body))))
+    """Add ``portfolio_ok`` and the typed map ``portfolio_doc`` to ``df``.
+
+    The typed parse runs once per row; the strict path only for rows that
+    fail the gate (CASE keeps it lazy)."""
+    doc = F.from_json(F.col(body), PORTFOLIO_DDL)
+    staged = evaluate_once(df, "_pf", F.struct(doc.alias("doc")))
+    fast = F.coalesce(_fast_gate(F.col("_pf.doc")), F.lit(False))
+    staged = evaluate_once(
+        staged, "_pf_ok", F.when(fast, F.lit(True)).otherwise(_strict_check(F.col(body)))
+    )
+    return staged.select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        F.col("_pf.doc").alias("portfolio_doc"),
+        F.col("_pf_ok").alias("portfolio_ok"),
+    )
 
 
 def portfolio_summary(parsed: DataFrame, address: str = "address") -> DataFrame:

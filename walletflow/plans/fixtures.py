@@ -86,22 +86,26 @@ def portfolio_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def portfolio_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(k, address, body) – one portfolio document per customer with orders.
 
-    Entries are sorted by key so documents are deterministic.
+    Tokens are collected once per customer and sorted natively by
+    (network, token id); the JSON text is assembled from ``to_json`` of each
+    token, so names are escaped by Spark.
     """
-    tokens = portfolio_tokens(spark, sf_dir)
-    nets = tokens.groupBy("k", "address", "network").agg(
-        F.array_sort(
-            F.collect_list(F.struct(F.col("token_id").alias("key"), F.col("token").alias("value"))),
-            lambda l, r: _by_key(l["key"], r["key"]),
-        ).alias("entries")
+    tokens = portfolio_tokens(spark, sf_dir).select(
+        "k", "address", "network", "token_id", F.to_json("token").alias("tj")
     )
-    docs = nets.groupBy("k", "address").agg(
-        F.array_sort(
-            F.collect_list(F.struct(F.col("network").alias("key"), F.map_from_entries("entries").alias("value"))),
-            lambda l, r: _by_key(l["key"], r["key"]),
-        ).alias("nets")
+    docs = tokens.groupBy("k", "address").agg(
+        F.sort_array(F.collect_list(F.struct("network", "token_id", "tj"))).alias("toks")
     )
-    return docs.select("k", "address", F.to_json(F.map_from_entries("nets")).alias("body"))
+    toks = F.col("toks")
+    networks = F.array_distinct(F.transform(toks, lambda t: t["network"]))
+
+    def network_json(n: Column) -> Column:
+        members = F.filter(toks, lambda t: t["network"] == n)
+        inner = F.array_join(F.transform(members, lambda t: F.concat(F.lit('"'), t["token_id"], F.lit('":'), t["tj"])), ",")
+        return F.concat(F.lit('"'), n, F.lit('":{'), inner, F.lit("}"))
+
+    body = F.concat(F.lit("{"), F.array_join(F.transform(networks, network_json), ","), F.lit("}"))
+    return docs.select("k", "address", body.alias("body"))
 
 
 def damaged_portfolio_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
