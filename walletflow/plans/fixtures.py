@@ -213,3 +213,28 @@ def history_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value",
         "props",
     )
+
+
+_LANDED: dict = {}
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Derived documents landed once per session as parquet in the shared
+    scratch area (the stand-in for a landed responses table), then read."""
+    import os
+
+    from walletflow.session import scratch_path
+
+    builders = {
+        "portfolio": portfolio_documents,
+        "portfolio_damaged": damaged_portfolio_documents,
+        "labels": label_documents,
+    }
+    key = (id(spark.sparkContext._jsc), sf_dir, name)
+    path = _LANDED.get(key)
+    local = path[5:] if path and path.startswith("file:") else path
+    if path is None or ("://" not in local and not os.path.exists(local)):
+        path = scratch_path(spark, f"docs-{name}")
+        builders[name](spark, sf_dir).write.parquet(path)
+        _LANDED[key] = path
+    return spark.read.parquet(path)

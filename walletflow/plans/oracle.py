@@ -351,3 +351,5 @@ FROM tok JOIN customer ON customer.c_custkey = tok.k
 WHERE customer.c_acctbal >= 5000 AND tok.k % 12 < 10
   AND network IN ('arbitrum_one', 'ethereum', 'base', 'optimism')
 """
+
+ORACLE["stream_landing"] = ORACLE["retry_rounds"]

@@ -38,13 +38,13 @@ def query(name: str):
 @query("portfolio_flat")
 def portfolio_flat(spark, sf_dir):
     """Documents -> chain, address, symbol, balance, price, usd."""
-    return P.portfolio_rows(fx.portfolio_documents(spark, sf_dir))
+    return P.portfolio_rows(fx.landed(spark, sf_dir, "portfolio"))
 
 
 @query("portfolio_chain_filter")
 def portfolio_chain_filter(spark, sf_dir):
     """Exported networks per address with their token count."""
-    nets = P.exported_networks(P.parse_portfolio(fx.portfolio_documents(spark, sf_dir)))
+    nets = P.exported_networks(P.parse_portfolio(fx.landed(spark, sf_dir, "portfolio")))
     return nets.select(
         "address", "chain",
         F.size(F.map_keys("tokens")).cast("bigint").alias("n_tokens"),
@@ -54,7 +54,7 @@ def portfolio_chain_filter(spark, sf_dir):
 @query("portfolio_ordered")
 def portfolio_ordered(spark, sf_dir):
     """Flat rows with their output order (network list order, document token order)."""
-    rows = P.portfolio_rows(fx.portfolio_documents(spark, sf_dir), with_rank=True)
+    rows = P.portfolio_rows(fx.landed(spark, sf_dir, "portfolio"), with_rank=True)
     return rows.withColumn("chain_rank", F.col("chain_rank").cast("bigint")).withColumn(
         "token_rank", F.col("token_rank").cast("bigint")
     )
@@ -63,13 +63,13 @@ def portfolio_ordered(spark, sf_dir):
 @query("portfolio_valid")
 def portfolio_valid(spark, sf_dir):
     """Per-document strict validity over all networks."""
-    return P.portfolio_summary(P.parse_portfolio(fx.damaged_portfolio_documents(spark, sf_dir)))
+    return P.portfolio_summary(P.parse_portfolio(fx.landed(spark, sf_dir, "portfolio_damaged")))
 
 
 # ------------------------------------------------------------------------ labels
 
 def _label_parsed(spark, sf_dir):
-    return L.parse_labels(fx.label_documents(spark, sf_dir))
+    return L.parse_labels(fx.landed(spark, sf_dir, "labels"))
 
 
 @query("label_flat")
@@ -157,7 +157,7 @@ def label_lookup(spark, sf_dir):
     from walletflow.schemas import LABEL_NO_DATA
     from walletflow.sources.landed import lookup
 
-    docs = fx.label_documents(spark, sf_dir)
+    docs = fx.landed(spark, sf_dir, "labels")
     keys = docs.select("address")
     landed = docs.filter(F.col("k") % 11 != 5).select("address", "body")
     parsed = L.with_primary(L.parse_labels(lookup(keys, landed, LABEL_NO_DATA)))
@@ -210,7 +210,7 @@ def label_fetch_run(spark, sf_dir):
         path = run.landing[5:] if run.landing.startswith("file:") else run.landing
         if "://" in path or os.path.exists(path):
             return run
-    docs = fx.label_documents(spark, sf_dir)
+    docs = fx.landed(spark, sf_dir, "labels")
     # The stub has no rate limit, so no pauses; the defaults stay for real services.
     opts = FetchOptions(kind="labels", request_delay=0.0, backoff_429=0.0, round_delay=0.0)
     run = fetch_rounds(docs.select("address", F.col("body").alias("doc")), CyclingStubService(), opts, context="doc")
@@ -272,7 +272,7 @@ def batch_summary(spark, sf_dir):
     """A2: total, succeeded, failed, success rate over the input keys."""
     from walletflow.operators.stats import batch_summary as summary
 
-    keys = fx.label_documents(spark, sf_dir).select("address")
+    keys = fx.landed(spark, sf_dir, "labels").select("address")
     return summary(keys, label_fetch_run(spark, sf_dir).successes())
 
 
@@ -295,7 +295,7 @@ def dense_no(spark, sf_dir):
     """Gap-free 1..n over the flat portfolio rows, no one-task window."""
     from walletflow.operators.numbering import dense_number
 
-    rows = P.portfolio_rows(fx.portfolio_documents(spark, sf_dir))
+    rows = P.portfolio_rows(fx.landed(spark, sf_dir, "portfolio"))
     order = ["address", "chain", "symbol", "balance", "price", "usd"]
     return dense_number(rows, order, "no")
 
@@ -303,7 +303,7 @@ def dense_no(spark, sf_dir):
 def _label_table_rows(spark, sf_dir, run_date=RUN_DATE):
     from walletflow.operators.numbering import dense_number
 
-    flat = L.flatten_labels(L.parse_labels(fx.label_documents(spark, sf_dir)))
+    flat = L.flatten_labels(L.parse_labels(fx.landed(spark, sf_dir, "labels")))
     numbered = dense_number(flat, ["address"], "no")
     return numbered.select(
         F.col("no").cast("int").alias("no"), "address", "name", "type", "label",
@@ -344,7 +344,7 @@ def csv_roundtrip(spark, sf_dir):
     from walletflow.sinks.csv import read_csv, write_csv
 
     path = scratch_path(spark, "csv-roundtrip")
-    write_csv(P.portfolio_rows(fx.portfolio_documents(spark, sf_dir)), path)
+    write_csv(P.portfolio_rows(fx.landed(spark, sf_dir, "portfolio")), path)
     return read_csv(spark, path, PORTFOLIO_COLUMNS)
 
 
@@ -368,7 +368,7 @@ def rows_written(spark, sf_dir):
     from walletflow.session import scratch_path
     from walletflow.sinks.csv import write_csv
 
-    rows = P.portfolio_rows(fx.portfolio_documents(spark, sf_dir))
+    rows = P.portfolio_rows(fx.landed(spark, sf_dir, "portfolio"))
     n = write_csv(rows, scratch_path(spark, "csv-rows"))
     return spark.range(1).select(F.lit(n).cast("bigint").alias("rows_written"))
 
@@ -385,7 +385,7 @@ def load_stats(spark, sf_dir):
 
     ns = f"wf_{uuid.uuid4().hex[:8]}"
     path = scratch_path(spark, "load-csv")
-    write_csv(P.portfolio_rows(fx.portfolio_documents(spark, sf_dir)), path)
+    write_csv(P.portfolio_rows(fx.landed(spark, sf_dir, "portfolio")), path)
     tables.create_table(spark, ns, "portfolio", "load stats", PORTFOLIO_TABLE_SCHEMA,
                         root=scratch_path(spark, "tbl"))
     res = tables.load_csv(spark, path, ns, "portfolio", mode="append")
@@ -498,10 +498,10 @@ def refresh_load(spark, sf_dir):
     ns = _namespace()
     tables.create_table(spark, ns, "portfolio", "refresh", PORTFOLIO_TABLE_SCHEMA, root=scratch_path(spark, "tbl"))
     first = scratch_path(spark, "pf-csv")
-    write_csv(P.portfolio_rows(fx.portfolio_documents(spark, sf_dir)), first)
+    write_csv(P.portfolio_rows(fx.landed(spark, sf_dir, "portfolio")), first)
     tables.load_csv(spark, first, ns, "portfolio", mode="refresh")
     second = scratch_path(spark, "pf-csv")
-    write_csv(P.portfolio_rows(fx.damaged_portfolio_documents(spark, sf_dir)), second)
+    write_csv(P.portfolio_rows(fx.landed(spark, sf_dir, "portfolio_damaged")), second)
     tables.load_csv(spark, second, ns, "portfolio", mode="refresh")
     return _shown(spark.table(f"{ns}.portfolio"))
 
@@ -554,7 +554,7 @@ def job_labels(spark, sf_dir):
     from walletflow.sources.results import latest_result
 
     keys = latest_result(fx.saved_results(spark, sf_dir)).select(F.col("user_addr").alias("address"))
-    docs = fx.label_documents(spark, sf_dir).select("address", F.col("body").alias("doc"))
+    docs = fx.landed(spark, sf_dir, "labels").select("address", F.col("body").alias("doc"))
     keys = keys.join(docs, "address", "left")
     ns = _namespace()
     label_job(spark, keys, CyclingStubService(), namespace=ns, name="labels", run_date=RUN_DATE,
@@ -571,10 +571,34 @@ def job_portfolio(spark, sf_dir):
     from walletflow.sources.results import latest_result
 
     keys = latest_result(fx.saved_results(spark, sf_dir)).select(F.col("user_addr").alias("address"))
-    docs = fx.portfolio_documents(spark, sf_dir).select("address", F.col("body").alias("doc"))
+    docs = fx.landed(spark, sf_dir, "portfolio").select("address", F.col("body").alias("doc"))
     keys = keys.join(docs, "address", "left")
     ns = _namespace()
     portfolio_job(spark, keys, CyclingStubService(), namespace=ns, name="portfolio",
                   as_of_ms=1705276800000, opts=_stub_opts("portfolio"), context="doc",
                   table_root=scratch_path(spark, "tbl"))
     return _shown(spark.table(f"{ns}.portfolio"))
+
+
+# --------------------------------------------------------------------- streaming
+
+@query("stream_landing")
+def stream_landing(spark, sf_dir):
+    """K7/T6 incrementally: landed rounds streamed into a table exactly once."""
+    from walletflow.session import scratch_path
+    from walletflow.streaming.landing import load_landed_now
+
+    run = label_fetch_run(spark, sf_dir)
+    ns = _namespace()
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {ns}")
+    root = scratch_path(spark, "stream-tbl")
+    spark.sql(
+        f"CREATE TABLE {ns}.labels_stream (round int, address string, name string, type string, "
+        f"website string, twitter string, crunchbase string, linkedin string, label string, "
+        f"isUserAddress boolean) USING parquet LOCATION '{root}'"
+    )
+    ckpt = scratch_path(spark, "stream-ckpt")
+    for _ in range(2):  # a second run finds nothing new: no duplicates
+        load_landed_now(spark, run.landing, "labels", f"{ns}.labels_stream", ckpt)
+    t = spark.table(f"{ns}.labels_stream")
+    return t.select("address", F.col("round").cast("bigint").alias("round"), "name", "label", "isUserAddress")
