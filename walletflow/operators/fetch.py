@@ -140,28 +140,34 @@ def _fetch_partitions(fetch, attempt: int, opts: FetchOptions):
     return run
 
 
-def fetch_once(pending: DataFrame, fetch, attempt: int, opts: FetchOptions, partitions: int) -> DataFrame:
-    """K1/K2/K3: one concurrent round over ``pending`` (address, context)."""
+def fetch_once(pending: DataFrame, fetch, attempt: int, opts: FetchOptions, partitions: int,
+               spread: bool = True) -> DataFrame:
+    """K1/K2/K3: one concurrent round over ``pending`` (address, context).
+
+    ``spread`` round-robins the keys over ``partitions`` tasks; later rounds
+    read landed failures that are already spread and only narrow them."""
     ship_package(pending.sparkSession)
     src = pending.select(F.col("address").cast("string"), F.col("context").cast("string"))
-    return src.repartition(partitions).mapInPandas(_fetch_partitions(fetch, attempt, opts), ATTEMPT_SCHEMA)
+    src = src.repartition(partitions) if spread else src.coalesce(partitions)
+    return src.mapInPandas(_fetch_partitions(fetch, attempt, opts), ATTEMPT_SCHEMA)
 
 
 def with_success(attempts: DataFrame, opts: FetchOptions) -> DataFrame:
-    """success = HTTP 200 and a document the rules accept."""
+    """success = HTTP 200 and a document the rules accept (decided
+    JVM-side, once per attempt)."""
+    from walletflow.functions.once import evaluate_once
     from walletflow.operators import labels as L
     from walletflow.operators import portfolio as P
 
     if opts.kind == "labels":
-        parsed = L.parse_labels(attempts, "body")
-        doc_ok = F.col("label_ok")
-        drop = ["label_ok", "label_chains"]
+        doc_ok = L.label_valid(F.col("body"))
+        staged = evaluate_once(attempts, "_doc_ok", doc_ok)
     else:
-        parsed = P.parse_portfolio(attempts, "body")
-        doc_ok = F.col("portfolio_ok")
-        drop = ["portfolio_ok", "portfolio_doc"]
-    ok = F.coalesce(F.col("http_ok") & F.col("body").isNotNull() & doc_ok, F.lit(False))
-    out = parsed.withColumn("ok", ok).drop(*drop)
+        staged = P.parse_portfolio(attempts, "body").drop("portfolio_doc").withColumnRenamed(
+            "portfolio_ok", "_doc_ok"
+        )
+    ok = F.coalesce(F.col("http_ok") & F.col("body").isNotNull() & F.col("_doc_ok"), F.lit(False))
+    out = staged.withColumn("ok", ok).drop("_doc_ok")
     return out.withColumn(
         "error_message", F.when(~F.col("ok"), F.lit(opts.no_data_message))
     ).withColumn(
@@ -225,7 +231,7 @@ def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
         if n_pending == 0:
             break
         parts = max(1, min(opts.max_partitions, math.ceil(n_pending / max(1, opts.keys_per_partition))))
-        attempts = with_success(fetch_once(pending, fetch, r, opts, parts), opts)
+        attempts = with_success(fetch_once(pending, fetch, r, opts, parts, spread=(r == 1)), opts)
         obs = Observation(f"round_{r}")
         attempts = attempts.observe(obs, F.count(F.lit(1)).alias("n"), F.count_if(~F.col("ok")).alias("failed"))
         attempts.write.mode("overwrite").parquet(f"{landing}/round={r}")

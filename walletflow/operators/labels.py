@@ -88,6 +88,21 @@ def parse_labels(df: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
+def label_valid(body: Column) -> Column:
+    """Only the accept / fail decision of ``parse_labels`` (used per fetch
+    round): parsed as an object and no truthy non-object entity or label."""
+    m = F.from_json(body, LOOSE_MAP_DDL)
+    objs = F.filter(ordered_entries(m), lambda e: is_object(e["value"]))
+
+    def bad(e: Column) -> Column:
+        v = e["value"]
+        return (json_class(F.variant_get(v, f"$.{ENTITY_KEY}", "variant")) == "bad") | (
+            json_class(F.variant_get(v, f"$.{LABEL_KEY}", "variant")) == "bad"
+        )
+
+    return F.coalesce(m.isNotNull() & ~F.exists(objs, bad), F.lit(False))
+
+
 def primary_chain(chains: Column) -> Column:
     """First present chain of the priority list, else the first chain."""
     def named(name: str):

@@ -20,6 +20,7 @@ partition.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,12 +32,18 @@ def dense_number(df: DataFrame, order: list, name: str = "no", partitions: int |
     checkpoint_root(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys: list[Column] = [F.col(c) if isinstance(c, str) else c for c in order]
-    tagged = (
-        df.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_rid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-    )
+    # The range sampler and the shuffle both read the input; persisting it
+    # keeps it from being computed twice (lost blocks are recomputed).
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        tagged = (
+            src.repartitionByRange(n, *keys)
+            .sortWithinPartitions(*keys)
+            .withColumn("_rid", F.monotonically_increasing_id())
+            .checkpoint(eager=True)
+        )
+    finally:
+        src.unpersist()
     part = F.shiftright(F.col("_rid"), 33)
     counts = tagged.groupBy(part.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

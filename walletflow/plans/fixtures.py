@@ -108,10 +108,10 @@ def portfolio_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("k", "address", body.alias("body"))
 
 
-def damaged_portfolio_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def damaged_portfolio_documents(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
     """Portfolio documents where ``k % 7 = 0`` lose every ``price`` key
     (invalid) and ``k % 7 = 3`` carry ``"price":null`` (still valid)."""
-    docs = portfolio_documents(spark, sf_dir)
+    docs = docs if docs is not None else portfolio_documents(spark, sf_dir)
     body = (
         F.when(F.col("k") % 7 == 0, F.regexp_replace("body", '"price":"[^"]*",', ""))
         .when(F.col("k") % 7 == 3, F.regexp_replace("body", '"price":"[^"]*"', '"price":null'))
@@ -227,7 +227,7 @@ def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
     builders = {
         "portfolio": portfolio_documents,
-        "portfolio_damaged": damaged_portfolio_documents,
+        "portfolio_damaged": lambda s, d: damaged_portfolio_documents(s, d, landed(s, d, "portfolio")),
         "labels": label_documents,
     }
     key = (id(spark.sparkContext._jsc), sf_dir, name)
