@@ -23,13 +23,17 @@ def status_counts(attempts: DataFrame) -> DataFrame:
 def batch_summary(keys: DataFrame, succeeded_keys: DataFrame, key: str = "address") -> DataFrame:
     """A2: total, succeeded, failed and success rate (%, 1 decimal) over the
     input keys, duplicates included (a duplicate of a fetched key counts as
-    a success, like the reference's per-occurrence results)."""
-    flagged = keys.join(
-        succeeded_keys.select(key).distinct().withColumn("_ok", F.lit(True)), on=key, how="left"
-    )
+    a success, like the reference's per-occurrence results).
+
+    Keys are first reduced to (key, copies) – a partial aggregate, so a key
+    repeated a billion times is one row before any join."""
+    copies = keys.groupBy(key).agg(F.count(F.lit(1)).alias("_copies"))
+    ok = succeeded_keys.select(key).distinct().withColumn("_ok", F.lit(True))
+    flagged = copies.join(ok, on=key, how="left")
     agg = flagged.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("_ok").isNotNull()).alias("succeeded"),
+        F.coalesce(F.sum("_copies"), F.lit(0)).cast("bigint").alias("total"),
+        F.coalesce(F.sum(F.when(F.col("_ok").isNotNull(), F.col("_copies"))), F.lit(0)).cast("bigint")
+        .alias("succeeded"),
     )
     return agg.select(
         "total",

@@ -229,12 +229,16 @@ def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         "portfolio": portfolio_documents,
         "portfolio_damaged": lambda s, d: damaged_portfolio_documents(s, d, landed(s, d, "portfolio")),
         "labels": label_documents,
+        "saved_results": saved_results,
     }
     key = (id(spark.sparkContext._jsc), sf_dir, name)
     path = _LANDED.get(key)
     local = path[5:] if path and path.startswith("file:") else path
     if path is None or ("://" not in local and not os.path.exists(local)):
         path = scratch_path(spark, f"docs-{name}")
-        builders[name](spark, sf_dir).write.parquet(path)
+        writer = builders[name](spark, sf_dir).write
+        if name == "saved_results":
+            writer = writer.partitionBy("run_ts")  # latest run found by partition pruning
+        writer.parquet(path)
         _LANDED[key] = path
     return spark.read.parquet(path)

@@ -132,7 +132,7 @@ def latest_result(spark, sf_dir):
     """Keys of the most recent run of the saved query."""
     from walletflow.sources.results import latest_result as latest
 
-    return latest(fx.saved_results(spark, sf_dir)).select("user_addr")
+    return latest(fx.landed(spark, sf_dir, "saved_results")).select("user_addr")
 
 
 @query("column_values")
@@ -424,7 +424,7 @@ def export_name(spark, sf_dir):
     from walletflow.functions.text import default_file_name, ensure_csv_suffix
     from walletflow.schemas import LABEL_FILE_PREFIX, PORTFOLIO_FILE_PREFIX
 
-    runs = fx.saved_results(spark, sf_dir).select("run_ts").distinct()
+    runs = fx.landed(spark, sf_dir, "saved_results").select("run_ts").distinct()
     return runs.select(
         F.date_format("run_ts", "yyyy-MM-dd HH:mm:ss").alias("run_ts"),
         default_file_name(LABEL_FILE_PREFIX, F.col("run_ts")).alias("label_file"),
@@ -518,7 +518,7 @@ def history_load(spark, sf_dir):
     ns = _namespace()
     tables.create_table(spark, ns, "labels", "history", LABEL_TABLE_SCHEMA, root=scratch_path(spark, "tbl"),
                         partition_by=["update_date"])
-    latest_keys = latest_result(fx.saved_results(spark, sf_dir)).select(F.col("user_addr").alias("address"))
+    latest_keys = latest_result(fx.landed(spark, sf_dir, "saved_results")).select(F.col("user_addr").alias("address"))
     runs = [
         (EARLIER_RUN_DATE, None),
         (RUN_DATE, latest_keys),
@@ -553,7 +553,7 @@ def job_labels(spark, sf_dir):
     from walletflow.session import scratch_path
     from walletflow.sources.results import latest_result
 
-    keys = latest_result(fx.saved_results(spark, sf_dir)).select(F.col("user_addr").alias("address"))
+    keys = latest_result(fx.landed(spark, sf_dir, "saved_results")).select(F.col("user_addr").alias("address"))
     docs = fx.landed(spark, sf_dir, "labels").select("address", F.col("body").alias("doc"))
     keys = keys.join(docs, "address", "left")
     ns = _namespace()
@@ -570,7 +570,7 @@ def job_portfolio(spark, sf_dir):
     from walletflow.session import scratch_path
     from walletflow.sources.results import latest_result
 
-    keys = latest_result(fx.saved_results(spark, sf_dir)).select(F.col("user_addr").alias("address"))
+    keys = latest_result(fx.landed(spark, sf_dir, "saved_results")).select(F.col("user_addr").alias("address"))
     docs = fx.landed(spark, sf_dir, "portfolio").select("address", F.col("body").alias("doc"))
     keys = keys.join(docs, "address", "left")
     ns = _namespace()
