@@ -23,3 +23,15 @@ def default_file_name(prefix: str, ts: Column) -> Column:
 def megabytes(nbytes: Column) -> Column:
     """Bytes -> MB rounded to 2 decimals, as decimal so it prints exactly."""
     return F.round(nbytes.cast("decimal(38,6)") / F.lit(1048576), 2).cast("decimal(20,2)")
+
+
+def default_file_name_text(prefix: str, when=None) -> str:
+    """Driver-side twin of ``default_file_name`` for output paths."""
+    import datetime as dt
+
+    when = when or dt.datetime.now()
+    return f"{prefix}{when.strftime('%Y%m%d_%H%M%S')}.csv"
+
+
+def with_csv_suffix(name: str) -> str:
+    return name if name.endswith(".csv") else name + ".csv"

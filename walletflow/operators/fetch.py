@@ -184,6 +184,7 @@ class FetchRun:
     rounds: int
     opts: FetchOptions
     round_counts: list = field(default_factory=list)   # (round, attempted, failed)
+    elapsed_sec: float = 0.0                            # wall time of all rounds (A2)
 
     def attempts(self) -> DataFrame:
         """All landed attempts, one row per (address, round)."""
@@ -194,19 +195,19 @@ class FetchRun:
         return self.attempts().filter("ok")
 
     def dead_letters(self) -> DataFrame:
-        """K8: keys still failing after the last round."""
+        """K8: keys still failing after the last round, numbered 1..n by address."""
+        from walletflow.operators.numbering import dense_number
+
         last = self.attempts().filter((F.col("round") == self.rounds) & ~F.col("ok"))
         if not self.round_counts or self.round_counts[-1][2] == 0:
-            return last.limit(0).select(
-                "address", F.lit(0).cast("bigint").alias("attempts"),
-                F.col("status").alias("last_status"), F.col("error_message").alias("last_error"),
-            )
-        return last.select(
+            last = last.limit(0)
+        rows = last.select(
             "address",
             F.col("attempt").cast("bigint").alias("attempts"),
             F.col("status").alias("last_status"),
             F.col("error_message").alias("last_error"),
         )
+        return dense_number(rows, ["address"], "no")
 
 
 def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
@@ -225,6 +226,7 @@ def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
     pending = pending.dropDuplicates(["address"])
     n_pending = None
     run = FetchRun(spark, landing, 0, opts)
+    started = time.monotonic()
     for r in range(1, opts.max_rounds + 1):
         if n_pending is None:
             n_pending = pending.count()
@@ -248,6 +250,7 @@ def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
             break
         if r < opts.max_rounds and opts.round_delay:
             time.sleep(opts.round_delay)
+    run.elapsed_sec = round(time.monotonic() - started, 3)
     return run
 
 

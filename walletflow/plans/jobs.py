@@ -24,7 +24,15 @@ from walletflow.operators import labels as L
 from walletflow.operators import portfolio as P
 from walletflow.operators.fetch import FetchOptions, FetchRun, attach_keys, fetch_rounds
 from walletflow.operators.numbering import dense_number
-from walletflow.schemas import LABEL_COLUMNS, LABEL_TABLE_SCHEMA, PORTFOLIO_COLUMNS, PORTFOLIO_TABLE_SCHEMA
+from walletflow.functions.text import default_file_name_text, with_csv_suffix
+from walletflow.schemas import (
+    LABEL_COLUMNS,
+    LABEL_FILE_PREFIX,
+    LABEL_TABLE_SCHEMA,
+    PORTFOLIO_COLUMNS,
+    PORTFOLIO_FILE_PREFIX,
+    PORTFOLIO_TABLE_SCHEMA,
+)
 from walletflow.session import prepare, scratch_path
 from walletflow.sinks import tables
 from walletflow.sinks.csv import write_csv
@@ -34,6 +42,13 @@ class JobStopped(RuntimeError):
     pass
 
 
+def _csv_path(spark: SparkSession, csv_dir: str | None, filename: str | None, prefix: str) -> str:
+    """E3: '<dir>/<name>.csv' with a timestamped default name; the CSV is a
+    directory of part files written in parallel."""
+    name = with_csv_suffix(filename) if filename else default_file_name_text(prefix)
+    return f"{(csv_dir or scratch_path(spark, 'csv')).rstrip('/')}/{name}"
+
+
 @dataclass
 class JobResult:
     table: str
@@ -60,7 +75,7 @@ def label_rows_for_table(successes: DataFrame, keys: DataFrame, run_date: str) -
 def label_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str, name: str,
               description: str = "Wallet labels", run_date: str | None = None,
               opts: FetchOptions | None = None, context: str | None = None,
-              table_root: str | None = None, csv_path: str | None = None,
+              table_root: str | None = None, csv_dir: str | None = None, filename: str | None = None,
               history: bool = False) -> JobResult | None:
     prepare(spark)
     full = f"{namespace}.{name}"
@@ -73,7 +88,7 @@ def label_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str, na
     opts = opts or FetchOptions(kind="labels")
     run = fetch_rounds(keys, fetch, opts, context=context)
     rows = label_rows_for_table(run.successes(), keys, run_date)
-    csv_path = csv_path or scratch_path(spark, "labels-csv")
+    csv_path = _csv_path(spark, csv_dir, filename, LABEL_FILE_PREFIX)
     written = write_csv(rows, csv_path)
     if written == 0:
         return JobResult(full, None, 0, run, None)
@@ -91,7 +106,7 @@ def portfolio_rows_for_table(successes: DataFrame, keys: DataFrame) -> DataFrame
 def portfolio_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str, name: str,
                   description: str = "Wallet portfolios", as_of_ms: int | None = None,
                   opts: FetchOptions | None = None, context: str | None = None,
-                  table_root: str | None = None, csv_path: str | None = None,
+                  table_root: str | None = None, csv_dir: str | None = None, filename: str | None = None,
                   allow_empty_refresh: bool = False) -> JobResult | None:
     prepare(spark)
     full = f"{namespace}.{name}"
@@ -106,7 +121,7 @@ def portfolio_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str
         opts.as_of_ms = as_of_ms if as_of_ms is not None else int(dt.datetime.now().timestamp() * 1000)
     run = fetch_rounds(keys, fetch, opts, context=context)
     rows = portfolio_rows_for_table(run.successes(), keys)
-    csv_path = csv_path or scratch_path(spark, "portfolio-csv")
+    csv_path = _csv_path(spark, csv_dir, filename, PORTFOLIO_FILE_PREFIX)
     written = write_csv(rows, csv_path)
     if written == 0 and not allow_empty_refresh:
         return JobResult(full, None, 0, run, None)

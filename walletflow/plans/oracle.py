@@ -210,7 +210,8 @@ FROM att GROUP BY round
 
 ORACLE["dead_letters"] = f"""
 WITH {FETCH_ATTEMPTS}
-SELECT address, round AS attempts, status AS last_status, 'API returned no data' AS last_error
+SELECT address, round AS attempts, status AS last_status, 'API returned no data' AS last_error,
+       row_number() OVER (ORDER BY address) AS no
 FROM att WHERE round = 10 AND NOT ok
 """
 
