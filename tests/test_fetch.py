@@ -95,3 +95,20 @@ def test_null_key_ends_as_dead_letter(spark):
     dead = run.dead_letters().collect()
     assert [r["address"] for r in dead] == [None]
     assert dead[0]["last_status"] == "error"
+
+
+def test_large_rounds_run_in_waves_and_resume(spark, tmp_dir):
+    log = os.path.join(tmp_dir, "calls.log")
+    landing = os.path.join(tmp_dir, "landing")
+    opts = FetchOptions(kind="labels", max_partitions=2, keys_per_partition=5, **FAST)
+    run = fetch_rounds(_keys(spark, 47), LoggingService(log, fail_first=1), opts, landing=landing)
+    assert run.rounds == 2 and run.round_counts == [(1, 47, 47), (2, 47, 0)]
+    waves = sorted(os.listdir(os.path.join(landing, "round=1")))
+    assert len([w for w in waves if w.startswith("wave=")]) == 5  # ceil(47 / (2 x 5))
+    calls = open(log).read().splitlines()
+    assert len(calls) == 94 and len(set(calls)) == 94
+    # a rerun over the same landing folder fetches nothing again
+    again = fetch_rounds(_keys(spark, 47), LoggingService(log, fail_first=1), opts, landing=landing)
+    assert again.round_counts == run.round_counts
+    assert len(open(log).read().splitlines()) == 94
+    assert again.successes().count() == 47

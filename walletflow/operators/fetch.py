@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import math
 import time
+import uuid
 from dataclasses import dataclass, field
 from typing import Any, Callable, NamedTuple
 
@@ -210,6 +211,30 @@ class FetchRun:
         return dense_number(rows, ["address"], "no")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+
+
+def _land_wave(spark: SparkSession, src: DataFrame, fetch, r: int, opts: FetchOptions, parts: int,
+               spread: bool, out: str) -> tuple[int, int]:
+    """Fetch one wave and land it; returns (attempted, failed).  A wave that
+    is already landed (``_SUCCESS``, e.g. before a driver restart) is not
+    fetched again."""
+    if _exists(spark, f"{out}/_SUCCESS"):
+        got = spark.read.parquet(out).agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(~F.col("ok")).alias("failed")
+        ).first()
+        return int(got["n"]), int(got["failed"] or 0)
+    attempts = with_success(fetch_once(src, fetch, r, opts, parts, spread=spread), opts)
+    obs = Observation(f"wave_{r}_{uuid.uuid4().hex[:6]}")
+    attempts = attempts.observe(obs, F.count(F.lit(1)).alias("n"), F.count_if(~F.col("ok")).alias("failed"))
+    attempts.write.mode("overwrite").parquet(out)
+    stats = obs.get
+    return int(stats.get("n", 0) or 0), int(stats.get("failed", 0) or 0)
+
+
 def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
                  landing: str | None = None, context: str | None = None) -> FetchRun:
     """K5/K6: retry rounds until nothing fails or ``max_rounds`` is reached.
@@ -217,13 +242,21 @@ def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
     ``keys`` holds ``address`` (duplicates allowed: each distinct key is
     fetched once, D6) and optionally a ``context`` column handed to the
     fetch function.
+
+    A round larger than ``max_partitions x keys_per_partition`` keys runs in
+    waves: the pending keys are written partitioned by
+    ``pmod(xxhash64(address), waves)`` and each wave is one job of at most
+    ``max_partitions`` tasks.  A lost task re-fetches at most
+    ``keys_per_partition`` keys, and a rerun with the same ``landing``
+    resumes: landed waves are not fetched again.
     """
     opts = opts or FetchOptions()
     spark = keys.sparkSession
-    landing = landing or scratch_path(spark, f"landing-{opts.kind}")
+    landing = (landing or scratch_path(spark, f"landing-{opts.kind}")).rstrip("/")
     ctx = F.col(context) if context else F.lit(None).cast("string")
     pending = keys.select(F.col("address").cast("string").alias("address"), ctx.alias("context"))
     pending = pending.dropDuplicates(["address"])
+    per_wave = max(1, opts.max_partitions * max(1, opts.keys_per_partition))
     n_pending = None
     run = FetchRun(spark, landing, 0, opts)
     started = time.monotonic()
@@ -232,20 +265,33 @@ def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
             n_pending = pending.count()
         if n_pending == 0:
             break
-        parts = max(1, min(opts.max_partitions, math.ceil(n_pending / max(1, opts.keys_per_partition))))
-        attempts = with_success(fetch_once(pending, fetch, r, opts, parts, spread=(r == 1)), opts)
-        obs = Observation(f"round_{r}")
-        attempts = attempts.observe(obs, F.count(F.lit(1)).alias("n"), F.count_if(~F.col("ok")).alias("failed"))
-        attempts.write.mode("overwrite").parquet(f"{landing}/round={r}")
-        landed = spark.read.parquet(f"{landing}/round={r}")
-        stats = obs.get
+        waves = max(1, math.ceil(n_pending / per_wave))
+        parts = max(1, min(opts.max_partitions, math.ceil(n_pending / waves / max(1, opts.keys_per_partition))))
+        if waves == 1:
+            sources = [(0, pending, r == 1)]
+        else:
+            staged = f"{landing}/_pending/round={r}"
+            if not _exists(spark, f"{staged}/_SUCCESS"):
+                pending.withColumn("wave", F.pmod(F.xxhash64("address"), F.lit(waves))).write.mode(
+                    "overwrite"
+                ).partitionBy("wave").parquet(staged)
+            sources = [
+                (w, spark.read.parquet(staged).filter(F.col("wave") == w).drop("wave"), True)
+                for w in range(waves)
+            ]
+        attempted = failed = 0
+        for w, src, spread in sources:
+            n, f = _land_wave(spark, src, fetch, r, opts, parts, spread, f"{landing}/round={r}/wave={w}")
+            attempted += n
+            failed += f
         run.rounds = r
-        run.round_counts.append((r, int(stats["n"]), int(stats["failed"])))
+        run.round_counts.append((r, attempted, failed))
         retry = ~F.col("ok")
         if opts.no_retry:
             retry = retry & ~F.col("status").isin(list(opts.no_retry))
+        landed = spark.read.parquet(f"{landing}/round={r}")
         pending = landed.filter(retry).select("address", "context")
-        n_pending = int(stats["failed"]) if not opts.no_retry else None
+        n_pending = failed if not opts.no_retry else None
         if n_pending == 0:
             break
         if r < opts.max_rounds and opts.round_delay:

@@ -28,6 +28,7 @@ LANDED_SCHEMA = T.StructType(
         T.StructField("ok", T.BooleanType()),
         T.StructField("error_message", T.StringType()),
         T.StructField("round", T.IntegerType()),
+        T.StructField("wave", T.IntegerType()),
     ]
 )
 
