@@ -103,3 +103,10 @@ def test_generated_documents_match_python_rules(spark, docs):
             assert addr not in flat, body
         else:
             assert (addr, *flat[addr]) == _as_text(py), body
+
+
+def test_non_text_entity_fields_render_like_the_csv(spark):
+    body = ('{"ethereum":{"arkhamEntity":{"name":true,"type":7,"website":1.5,"twitter":{"a":1},'
+            '"crunchbase":[1,2],"linkedin":false},"arkhamLabel":{"name":false}}}')
+    _, flat = _run(spark, [body])
+    assert flat["0x" + "0" * 40] == ("True", "7", "1.5", '{"a":1}', "[1,2]", "False", "False", False)

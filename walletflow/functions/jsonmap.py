@@ -67,8 +67,15 @@ def json_class(v: Column) -> Column:
 
 
 def text_or_default(v: Column, key: str, default: str = "") -> Column:
-    """``data.get(key, default)`` rendered as text: absent -> default,
-    JSON null -> NULL, scalars -> their text."""
-    return F.when(~key_present(v, key), F.lit(default)).otherwise(
-        F.try_variant_get(v, f"$.{key}", "string")
+    """``data.get(key, default)`` rendered as the CSV text the reference
+    writes: absent -> default, JSON null -> NULL, booleans -> 'True'/'False',
+    other scalars -> their text, objects and arrays -> JSON text."""
+    x = F.try_variant_get(v, f"$.{key}", "variant")
+    s = F.schema_of_variant(x)
+    return (
+        F.when(x.isNull(), F.lit(default))
+        .when(F.is_variant_null(x), F.lit(None).cast("string"))
+        .when(s == "BOOLEAN", F.when(F.try_variant_get(x, "$", "boolean"), F.lit("True")).otherwise(F.lit("False")))
+        .when(s.startswith("OBJECT") | s.startswith("ARRAY"), F.to_json(x))
+        .otherwise(F.try_variant_get(x, "$", "string"))
     )
