@@ -376,14 +376,12 @@ def rows_written(spark, sf_dir):
 @query("load_stats")
 def load_stats(spark, sf_dir):
     """Rows written and bytes / MB of a table load."""
-    import uuid
-
     from walletflow.schemas import PORTFOLIO_TABLE_SCHEMA
     from walletflow.session import scratch_path
     from walletflow.sinks import tables
     from walletflow.sinks.csv import write_csv
 
-    ns = f"wf_{uuid.uuid4().hex[:8]}"
+    ns = _namespace(spark)
     path = scratch_path(spark, "load-csv")
     write_csv(P.portfolio_rows(fx.landed(spark, sf_dir, "portfolio")), path)
     tables.create_table(spark, ns, "portfolio", "load stats", PORTFOLIO_TABLE_SCHEMA,
@@ -437,10 +435,15 @@ def export_name(spark, sf_dir):
 
 # ------------------------------------------------------------------------ tables
 
-def _namespace():
+def _namespace(spark):
+    """A fresh schema whose default location is in the shared scratch area."""
     import uuid
 
-    return f"wf_{uuid.uuid4().hex[:10]}"
+    from walletflow.session import scratch_path
+
+    ns = f"wf_{uuid.uuid4().hex[:10]}"
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {ns} LOCATION '{scratch_path(spark, 'schema')}'")
+    return ns
 
 
 @query("table_lifecycle")
@@ -451,7 +454,7 @@ def table_lifecycle(spark, sf_dir):
     from walletflow.sinks import tables
     from walletflow.sinks.csv import write_csv
 
-    ns, name = _namespace(), "labels"
+    ns, name = _namespace(spark), "labels"
     full = f"{ns}.{name}"
     steps = []
     root = scratch_path(spark, "tbl")
@@ -478,7 +481,7 @@ def append_load(spark, sf_dir):
     from walletflow.sinks import tables
     from walletflow.sinks.csv import write_csv
 
-    ns = _namespace()
+    ns = _namespace(spark)
     tables.create_table(spark, ns, "labels", "append", LABEL_TABLE_SCHEMA, root=scratch_path(spark, "tbl"))
     for day in (EARLIER_RUN_DATE, RUN_DATE):
         path = scratch_path(spark, "labels-csv")
@@ -495,7 +498,7 @@ def refresh_load(spark, sf_dir):
     from walletflow.sinks import tables
     from walletflow.sinks.csv import write_csv
 
-    ns = _namespace()
+    ns = _namespace(spark)
     tables.create_table(spark, ns, "portfolio", "refresh", PORTFOLIO_TABLE_SCHEMA, root=scratch_path(spark, "tbl"))
     first = scratch_path(spark, "pf-csv")
     write_csv(P.portfolio_rows(fx.landed(spark, sf_dir, "portfolio")), first)
@@ -515,7 +518,7 @@ def history_load(spark, sf_dir):
     from walletflow.sinks.csv import write_csv
     from walletflow.sources.results import latest_result
 
-    ns = _namespace()
+    ns = _namespace(spark)
     tables.create_table(spark, ns, "labels", "history", LABEL_TABLE_SCHEMA, root=scratch_path(spark, "tbl"),
                         partition_by=["update_date"])
     latest_keys = latest_result(fx.landed(spark, sf_dir, "saved_results")).select(F.col("user_addr").alias("address"))
@@ -556,7 +559,7 @@ def job_labels(spark, sf_dir):
     keys = latest_result(fx.landed(spark, sf_dir, "saved_results")).select(F.col("user_addr").alias("address"))
     docs = fx.landed(spark, sf_dir, "labels").select("address", F.col("body").alias("doc"))
     keys = keys.join(docs, "address", "left")
-    ns = _namespace()
+    ns = _namespace(spark)
     label_job(spark, keys, CyclingStubService(), namespace=ns, name="labels", run_date=RUN_DATE,
               opts=_stub_opts("labels"), context="doc", table_root=scratch_path(spark, "tbl"))
     return _shown(spark.table(f"{ns}.labels"))
@@ -573,7 +576,7 @@ def job_portfolio(spark, sf_dir):
     keys = latest_result(fx.landed(spark, sf_dir, "saved_results")).select(F.col("user_addr").alias("address"))
     docs = fx.landed(spark, sf_dir, "portfolio").select("address", F.col("body").alias("doc"))
     keys = keys.join(docs, "address", "left")
-    ns = _namespace()
+    ns = _namespace(spark)
     portfolio_job(spark, keys, CyclingStubService(), namespace=ns, name="portfolio",
                   as_of_ms=1705276800000, opts=_stub_opts("portfolio"), context="doc",
                   table_root=scratch_path(spark, "tbl"))
@@ -589,8 +592,7 @@ def stream_landing(spark, sf_dir):
     from walletflow.streaming.landing import load_landed_now
 
     run = label_fetch_run(spark, sf_dir)
-    ns = _namespace()
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {ns}")
+    ns = _namespace(spark)
     root = scratch_path(spark, "stream-tbl")
     spark.sql(
         f"CREATE TABLE {ns}.labels_stream (round int, address string, name string, type string, "
