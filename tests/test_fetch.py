@@ -112,3 +112,35 @@ def test_large_rounds_run_in_waves_and_resume(spark, tmp_dir):
     assert again.round_counts == run.round_counts
     assert len(open(log).read().splitlines()) == 94
     assert again.successes().count() == 47
+
+
+def test_success_plus_dead_letters_is_the_input_for_any_partitioning(spark):
+    import random
+
+    rng = random.Random(7)
+    ks = rng.sample(range(10_000), 120)
+    keys = spark.createDataFrame([(f"0x{k:040x}", "{}") for k in ks + ks[:10]], "address string, doc string")
+    results = []
+    for parts, per in ((1, 1000), (4, 7), (16, 3)):
+        run = fetch_rounds(keys, CyclingStubService(),
+                           FetchOptions(kind="labels", max_rounds=6, max_partitions=parts, keys_per_partition=per, **FAST),
+                           context="doc")
+        ok = {r["address"] for r in run.successes().select("address").collect()}
+        dead = {r["address"] for r in run.dead_letters().select("address").collect()}
+        assert not ok & dead
+        assert ok | dead == {f"0x{k:040x}" for k in ks}
+        assert ok == {f"0x{k:040x}" for k in ks if k % 12 < 6}
+        results.append(sorted(run.round_counts))
+    assert results[0] == results[1] == results[2]
+
+
+def test_export_calls(spark, tmp_dir):
+    from walletflow.plans.jobs import export_labels, export_portfolios
+
+    keys = spark.createDataFrame([(f"0x{k:040x}", "{}") for k in (0, 12, 24)], "address string, doc string")
+    path = export_labels(keys, CyclingStubService(), FetchOptions(kind="labels", **FAST), context="doc",
+                         csv_dir=tmp_dir, filename="whales")
+    assert path.endswith("/whales.csv") and os.path.isdir(path)
+    assert export_portfolios(keys, CyclingStubService(), 0, FetchOptions(kind="portfolio", **FAST), context="doc",
+                             csv_dir=tmp_dir) is None  # '{}' portfolios have no token rows
+    assert export_labels(keys.limit(0), CyclingStubService()) is None

@@ -43,11 +43,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _by_key(l_col: Column, r_col: Column):
-    """Comparator for array_sort on the first struct field (text order)."""
-    return F.when(l_col < r_col, F.lit(-1)).when(l_col > r_col, F.lit(1)).otherwise(F.lit(0))
-
-
 def portfolio_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(k, address, network, token_id, token struct) per customer/network/part.
 

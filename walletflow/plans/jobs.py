@@ -72,6 +72,50 @@ def label_rows_for_table(successes: DataFrame, keys: DataFrame, run_date: str) -
     ).select(*LABEL_COLUMNS)
 
 
+def enrich_labels(keys: DataFrame, fetch, opts: FetchOptions | None = None, *, context: str | None = None,
+                  run_date: str | None = None, landing: str | None = None) -> tuple[DataFrame, FetchRun]:
+    """J3 as a DataFrame call: keys -> fetch rounds -> the 11-column label rows."""
+    prepare(keys.sparkSession)
+    opts = opts or FetchOptions(kind="labels")
+    opts.kind = "labels"
+    run = fetch_rounds(keys, fetch, opts, context=context, landing=landing)
+    rows = label_rows_for_table(run.successes(), keys, run_date or dt.date.today().isoformat())
+    return rows, run
+
+
+def enrich_portfolios(keys: DataFrame, fetch, as_of_ms: int | None = None, opts: FetchOptions | None = None, *,
+                      context: str | None = None, landing: str | None = None) -> tuple[DataFrame, FetchRun]:
+    """J4 as a DataFrame call: keys -> fetch rounds (one as-of for the batch) -> token rows."""
+    prepare(keys.sparkSession)
+    opts = opts or FetchOptions(kind="portfolio")
+    opts.kind = "portfolio"
+    if opts.as_of_ms is None:
+        opts.as_of_ms = as_of_ms if as_of_ms is not None else int(dt.datetime.now().timestamp() * 1000)
+    run = fetch_rounds(keys, fetch, opts, context=context, landing=landing)
+    return portfolio_rows_for_table(run.successes(), keys), run
+
+
+def export_labels(keys: DataFrame, fetch, opts: FetchOptions | None = None, *, context: str | None = None,
+                  csv_dir: str | None = None, filename: str | None = None) -> str | None:
+    """CSV path of the label export, or None when there is nothing to write."""
+    if keys.isEmpty():
+        return None
+    rows, _ = enrich_labels(keys, fetch, opts, context=context)
+    path = _csv_path(keys.sparkSession, csv_dir, filename, LABEL_FILE_PREFIX)
+    return path if write_csv(rows, path) > 0 else None
+
+
+def export_portfolios(keys: DataFrame, fetch, as_of_ms: int | None = None, opts: FetchOptions | None = None, *,
+                      context: str | None = None, csv_dir: str | None = None,
+                      filename: str | None = None) -> str | None:
+    """CSV path of the portfolio export, or None when there is nothing to write."""
+    if keys.isEmpty():
+        return None
+    rows, _ = enrich_portfolios(keys, fetch, as_of_ms, opts, context=context)
+    path = _csv_path(keys.sparkSession, csv_dir, filename, PORTFOLIO_FILE_PREFIX)
+    return path if write_csv(rows, path) > 0 else None
+
+
 def label_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str, name: str,
               description: str = "Wallet labels", run_date: str | None = None,
               opts: FetchOptions | None = None, context: str | None = None,
@@ -84,10 +128,7 @@ def label_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str, na
         raise JobStopped(f"could not create {full}")
     if keys.isEmpty():
         return None
-    run_date = run_date or dt.date.today().isoformat()
-    opts = opts or FetchOptions(kind="labels")
-    run = fetch_rounds(keys, fetch, opts, context=context)
-    rows = label_rows_for_table(run.successes(), keys, run_date)
+    rows, run = enrich_labels(keys, fetch, opts, context=context, run_date=run_date)
     csv_path = _csv_path(spark, csv_dir, filename, LABEL_FILE_PREFIX)
     written = write_csv(rows, csv_path)
     if written == 0:
@@ -114,13 +155,8 @@ def portfolio_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str
         raise JobStopped(f"could not create {full}")
     if keys.isEmpty():
         return None
-    opts = opts or FetchOptions(kind="portfolio")
-    opts.kind = "portfolio"
-    if opts.as_of_ms is None:
-        # One as-of for the whole batch, taken once on the driver.
-        opts.as_of_ms = as_of_ms if as_of_ms is not None else int(dt.datetime.now().timestamp() * 1000)
-    run = fetch_rounds(keys, fetch, opts, context=context)
-    rows = portfolio_rows_for_table(run.successes(), keys)
+    # One as-of for the whole batch, taken once on the driver.
+    rows, run = enrich_portfolios(keys, fetch, as_of_ms, opts, context=context)
     csv_path = _csv_path(spark, csv_dir, filename, PORTFOLIO_FILE_PREFIX)
     written = write_csv(rows, csv_path)
     if written == 0 and not allow_empty_refresh:
