@@ -34,8 +34,11 @@ def ordered_entries(m: Column) -> Column:
 
 
 def is_object(v: Column) -> Column:
-    """True when a variant value is a JSON object (including ``{}``)."""
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    """True when a variant value is a JSON object (including ``{}``).
+
+    Casting to a one-field struct succeeds only for objects and does not
+    walk nested values, unlike ``schema_of_variant``."""
+    return F.try_variant_get(v, "$", "struct<__wf_probe:int>").isNotNull()
 
 
 def key_present(v: Column, key: str) -> Column:
@@ -48,11 +51,19 @@ def key_present(v: Column, key: str) -> Column:
 
 
 def json_class(v: Column) -> Column:
-    """'none' | 'object' | 'bad' for a variant that may be SQL NULL."""
+    """'none' | 'object' | 'bad' for a variant that may be SQL NULL.
+
+    Objects are recognised by ``is_object``; the schema string is only
+    computed for the remaining (scalar or array) values."""
     s = F.schema_of_variant(v)
     return (
         F.when(v.isNull() | F.is_variant_null(v), F.lit("none"))
-        .when(s.startswith("OBJECT"), F.when(s == "OBJECT<>", F.lit("none")).otherwise(F.lit("object")))
+        .when(
+            is_object(v),
+            F.when(F.size(F.try_variant_get(v, "$", "map<string,variant>")) == 0, F.lit("none")).otherwise(
+                F.lit("object")
+            ),
+        )
         .when(
             s.startswith("ARRAY"),
             F.when(F.size(F.try_variant_get(v, "$", "array<variant>")) == 0, F.lit("none")).otherwise(

@@ -65,7 +65,7 @@ def _typed_chain(c: Column) -> Column:
         c["pos"].alias("pos"),
         json_class(ent).alias("ent_cls"),
         json_class(lab).alias("lab_cls"),
-        *[text_or_default(ent, f).alias(f"ent_{f}") for f in ENTITY_FIELDS],
+        ent.alias("ent"),  # entity fields are read from the primary chain only
         text_or_default(lab, "name").alias("label_name"),
         F.when(iu.isNull(), F.lit(False)).otherwise(F.try_variant_get(iu, "$", "boolean")).alias("is_user"),
     )
@@ -131,7 +131,8 @@ def with_primary(parsed: DataFrame) -> DataFrame:
 
 def flat_label_columns(primary: Column, chains: Column) -> list[Column]:
     has_entity = F.coalesce(primary["ent_cls"] == "object", F.lit(False))
-    cols = [F.when(has_entity, primary[f"ent_{f}"]).otherwise(F.lit("")).alias(f) for f in ENTITY_FIELDS]
+    cols = [F.when(has_entity, text_or_default(primary["ent"], f)).otherwise(F.lit("")).alias(f)
+            for f in ENTITY_FIELDS]
     label, _ = fallback_label(chains, primary)
     cols.append(label.alias("label"))
     cols.append(F.when(primary.isNull(), F.lit(False)).otherwise(primary["is_user"]).alias("isUserAddress"))
