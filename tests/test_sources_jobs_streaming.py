@@ -62,7 +62,10 @@ def test_label_job_end_to_end_and_empty_keys(spark, tmp_dir):
     keys = _addr_df(spark, [0, 1, 2, 10, 10], '{"ethereum":{"arkhamLabel":{"name":"L"},"isUserAddress":true}}')
     res = label_job(spark, keys, CyclingStubService(), namespace=ns, name="labels", run_date="2024-01-15",
                     opts=FetchOptions(kind="labels", max_rounds=3, **FAST), context="doc",
-                    table_root=os.path.join(tmp_dir, "t"))
+                    table_root=os.path.join(tmp_dir, "t"), dead_letter_path=os.path.join(tmp_dir, "dead"),
+                    reject_path=os.path.join(tmp_dir, "rej"))
+    dead = spark.read.parquet(os.path.join(tmp_dir, "dead")).collect()
+    assert [(r["no"], r["attempts"], r["last_status"]) for r in dead] == [(1, 3, "400")]
     rows = spark.table(f"{ns}.labels").orderBy("no").collect()
     # keys 0, 1, 2 succeed in rounds 1, 2, 3; key 10 (twice) is a dead letter
     assert [r["no"] for r in rows] == [1, 2, 3]

@@ -49,6 +49,12 @@ def _csv_path(spark: SparkSession, csv_dir: str | None, filename: str | None, pr
     return f"{(csv_dir or scratch_path(spark, 'csv')).rstrip('/')}/{name}"
 
 
+def _write_dead_letters(run: FetchRun, path: str | None) -> None:
+    """K8: keys still failing after the last round, appended with the run's landing folder."""
+    if path:
+        run.dead_letters().withColumn("landing", F.lit(run.landing)).write.mode("append").parquet(path)
+
+
 @dataclass
 class JobResult:
     table: str
@@ -120,7 +126,8 @@ def label_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str, na
               description: str = "Wallet labels", run_date: str | None = None,
               opts: FetchOptions | None = None, context: str | None = None,
               table_root: str | None = None, csv_dir: str | None = None, filename: str | None = None,
-              history: bool = False) -> JobResult | None:
+              history: bool = False, reject_path: str | None = None,
+              dead_letter_path: str | None = None) -> JobResult | None:
     prepare(spark)
     full = f"{namespace}.{name}"
     if not tables.create_table(spark, namespace, name, description, LABEL_TABLE_SCHEMA, root=table_root,
@@ -129,11 +136,13 @@ def label_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str, na
     if keys.isEmpty():
         return None
     rows, run = enrich_labels(keys, fetch, opts, context=context, run_date=run_date)
+    _write_dead_letters(run, dead_letter_path)
     csv_path = _csv_path(spark, csv_dir, filename, LABEL_FILE_PREFIX)
     written = write_csv(rows, csv_path)
     if written == 0:
         return JobResult(full, None, 0, run, None)
-    load = tables.load_csv(spark, csv_path, namespace, name, mode="history" if history else "append")
+    load = tables.load_csv(spark, csv_path, namespace, name, mode="history" if history else "append",
+                           reject_path=reject_path)
     return JobResult(full, csv_path, written, run, load)
 
 
@@ -148,7 +157,8 @@ def portfolio_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str
                   description: str = "Wallet portfolios", as_of_ms: int | None = None,
                   opts: FetchOptions | None = None, context: str | None = None,
                   table_root: str | None = None, csv_dir: str | None = None, filename: str | None = None,
-                  allow_empty_refresh: bool = False) -> JobResult | None:
+                  allow_empty_refresh: bool = False, reject_path: str | None = None,
+                  dead_letter_path: str | None = None) -> JobResult | None:
     prepare(spark)
     full = f"{namespace}.{name}"
     if not tables.create_table(spark, namespace, name, description, PORTFOLIO_TABLE_SCHEMA, root=table_root):
@@ -157,9 +167,10 @@ def portfolio_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str
         return None
     # One as-of for the whole batch, taken once on the driver.
     rows, run = enrich_portfolios(keys, fetch, as_of_ms, opts, context=context)
+    _write_dead_letters(run, dead_letter_path)
     csv_path = _csv_path(spark, csv_dir, filename, PORTFOLIO_FILE_PREFIX)
     written = write_csv(rows, csv_path)
     if written == 0 and not allow_empty_refresh:
         return JobResult(full, None, 0, run, None)
-    load = tables.load_csv(spark, csv_path, namespace, name, mode="refresh")
+    load = tables.load_csv(spark, csv_path, namespace, name, mode="refresh", reject_path=reject_path)
     return JobResult(full, csv_path, written, run, load)
