@@ -43,6 +43,7 @@ from walletflow.schemas import (
     DEFAULT_REQUEST_DELAY,
     DEFAULT_ROUND_DELAY,
     DEFAULT_THREADS,
+    DEFAULT_TIMEOUT,
     LABEL_NO_DATA,
     PORTFOLIO_NO_DATA,
 )
@@ -55,6 +56,7 @@ class FetchRequest(NamedTuple):
     attempt: int
     as_of_ms: int | None
     context: str | None
+    timeout: float = DEFAULT_TIMEOUT   # per-call timeout a fetch function should apply
 
 
 ATTEMPT_SCHEMA = T.StructType([
@@ -77,6 +79,7 @@ class FetchOptions:
     backoff_429: float = DEFAULT_BACKOFF_429
     round_delay: float = DEFAULT_ROUND_DELAY
     max_rounds: int = DEFAULT_MAX_ROUNDS
+    timeout: float = DEFAULT_TIMEOUT
     max_partitions: int = 64                # bounds concurrent calls
     keys_per_partition: int = 2000
     as_of_ms: int | None = None             # portfolio as-of, one value per batch
@@ -123,7 +126,7 @@ def _fetch_partitions(fetch, attempt: int, opts: FetchOptions):
                 addrs = pdf["address"].tolist()
                 ctx = pdf["context"].tolist()
                 reqs = [
-                    FetchRequest(None if a is None else str(a), attempt, opts.as_of_ms, c)
+                    FetchRequest(None if a is None else str(a), attempt, opts.as_of_ms, c, opts.timeout)
                     for a, c in zip(addrs, ctx)
                 ]
                 results = list(pool.map(lambda r: classify_call(fetch, r, opts), reqs))

@@ -52,16 +52,6 @@ TOKEN_DDL = "struct<" + ",".join(f"{f}:string" for f in TOKEN_FIELDS) + ">"
 PORTFOLIO_DDL = f"map<string,map<string,{TOKEN_DDL}>>"
 LOOSE_MAP_DDL = "map<string,variant>"
 
-# One row per fetch attempt, as landed by the fetch operator.
-FETCH_SCHEMA = T.StructType([
-    T.StructField("address", T.StringType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("http_ok", T.BooleanType()),
-    T.StructField("body", T.StringType()),
-    T.StructField("error", T.StringType()),
-    T.StructField("attempt", T.IntegerType()),
-])
-
 LABEL_TABLE_SCHEMA = T.StructType([
     T.StructField("no", T.IntegerType()),
     T.StructField("address", T.BinaryType()),
