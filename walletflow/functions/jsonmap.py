@@ -18,19 +18,40 @@ from pyspark.sql import functions as F
 def ordered_entries(m: Column) -> Column:
     """array<struct<key,value>> of a map, duplicates collapsed dict-style.
 
-    Maps without duplicate keys (the common case) take the cheap branch;
-    only documents with duplicates pay for the per-key scan.
+    Maps without duplicate keys (the common case) take the cheap branch.
+    Otherwise, in O(n log n): entries are tagged with their position and
+    sorted by (key, position); the first element of each key run gives the
+    position, the last one the value; the survivors are put back in
+    position order.
     """
     keys = F.array_distinct(F.map_keys(m))
-    entries = F.map_entries(m)
+    tagged = F.transform(
+        F.map_entries(m), lambda e, i: F.struct(e["key"].alias("key"), i.alias("pos"), e["value"].alias("value"))
+    )
+
+    def by_key_pos(a: Column, b: Column) -> Column:
+        return (
+            F.when(a["key"] < b["key"], F.lit(-1))
+            .when(a["key"] > b["key"], F.lit(1))
+            .when(a["pos"] < b["pos"], F.lit(-1))
+            .when(a["pos"] > b["pos"], F.lit(1))
+            .otherwise(F.lit(0))
+        )
+
+    def by_pos(a: Column, b: Column) -> Column:
+        return F.when(a["pos"] < b["pos"], F.lit(-1)).when(a["pos"] > b["pos"], F.lit(1)).otherwise(F.lit(0))
+
+    srt = F.array_sort(tagged, by_key_pos)
+    n = F.size(srt)
+    firsts = F.filter(srt, lambda e, i: (i == 0) | (F.get(srt, i - 1)["key"] != e["key"]))
+    lasts = F.filter(srt, lambda e, i: (i == n - 1) | (F.get(srt, i + 1)["key"] != e["key"]))
+    merged = F.zip_with(
+        firsts, lasts, lambda f, l: F.struct(f["key"].alias("key"), f["pos"].alias("pos"), l["value"].alias("value"))
+    )
     collapsed = F.transform(
-        keys,
-        lambda k: F.struct(
-            k.alias("key"),
-            F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"].alias("value"),
-        ),
+        F.array_sort(merged, by_pos), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"))
     )
-    return F.when(F.size(keys) == F.size(m), entries).otherwise(collapsed)
+    return F.when(F.size(keys) == F.size(m), F.map_entries(m)).otherwise(collapsed)
 
 
 def is_object(v: Column) -> Column:
