@@ -55,3 +55,28 @@ def test_flatten_matches_python_rules_in_order(spark):
         expected = py_portfolio(addr, body) or []
         assert got == expected, body
 
+
+
+def test_paged_documents_fail_as_a_whole(spark):
+    tok = '{{"id":"{i}","name":"n","symbol":"{s}","balance":"1","price":"1","usd":"1"}}'
+    pages = spark.createDataFrame(
+        [
+            ("A", 0, '{"ethereum":{"a":' + tok.format(i="a", s="A1") + "}}"),
+            ("A", 1, '{"ethereum":{"b":{"id":"b"}}}'),  # a key is missing on page 1
+            ("B", 0, '{"ethereum":{"a":' + tok.format(i="a", s="B1") + "}}"),
+            ("B", 1, '{"base":{"c":' + tok.format(i="c", s="B2") + "}}"),
+        ],
+        "address string, page int, body string",
+    )
+    rows = sorted((r["address"], r["chain"], r["symbol"]) for r in P.paged_portfolio_rows(pages).collect())
+    assert rows == [("B", "base", "B2"), ("B", "ethereum", "B1")]
+
+
+def test_registered_paged_landing_spans_pages(spark):
+    from walletflow.plans import fixtures as fx
+    from tests.conftest import SF_SMALL
+    from pyspark.sql import functions as F
+
+    pages = fx.landed(spark, SF_SMALL, "portfolio_pages")
+    per = pages.groupBy("address", "network").agg(F.count("*").alias("n"))
+    assert per.filter("n > 1").count() > 0

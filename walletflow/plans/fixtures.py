@@ -36,6 +36,9 @@ LABEL_DOC_CHAINS = ["solana", "bsc", "base", "optimism", "polygon", "arbitrum_on
 RESULT_RUNS = [("2024-01-14 00:00:00", 0.0), ("2024-01-15 00:00:00", 5000.0)]
 # As-of time of the history lookup.
 AS_OF = "2024-01-15 00:00:00"
+# Page size of the paged portfolio landing used by the registered query (small on
+# purpose, so that many addresses span several pages).
+PAGE_TOKENS = 4
 # ---------------------------------------------------------------------------
 
 
@@ -103,6 +106,32 @@ def portfolio_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("k", "address", body.alias("body"))
 
 
+def portfolio_pages(spark: SparkSession, sf_dir: str, max_tokens: int = 1000) -> DataFrame:
+    """(k, address, network, page, body) – the portfolio split into pages.
+
+    Each page holds one network and at most about ``max_tokens`` tokens, so
+    no group collected into one row grows with the data: the page count of
+    a (customer, network) comes from a partial count, and tokens are spread
+    over the pages by ``pmod(xxhash64(token_id), pages)`` (no window over a
+    customer).  Tokens inside a page are in token-id order.
+    """
+    tokens = portfolio_tokens(spark, sf_dir).select(
+        "k", "address", "network", "token_id", F.to_json("token").alias("tj")
+    )
+    counts = tokens.groupBy("k", "network").agg(F.count(F.lit(1)).alias("n"))
+    paged = tokens.join(counts, ["k", "network"]).withColumn(
+        "page", F.pmod(F.xxhash64("token_id"), F.ceil(F.col("n") / F.lit(max_tokens))).cast("int")
+    )
+    pages = paged.groupBy("k", "address", "network", "page").agg(
+        F.sort_array(F.collect_list(F.struct("token_id", "tj"))).alias("toks")
+    )
+    inner = F.array_join(
+        F.transform("toks", lambda t: F.concat(F.lit('"'), t["token_id"], F.lit('":'), t["tj"])), ","
+    )
+    body = F.concat(F.lit('{"'), F.col("network"), F.lit('":{'), inner, F.lit("}}"))
+    return pages.select("k", "address", "network", "page", body.alias("body"))
+
+
 def damaged_portfolio_documents(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
     """Portfolio documents where ``k % 7 = 0`` lose every ``price`` key
     (invalid) and ``k % 7 = 3`` carry ``"price":null`` (still valid)."""
@@ -225,6 +254,7 @@ def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         "portfolio_damaged": lambda s, d: damaged_portfolio_documents(s, d, landed(s, d, "portfolio")),
         "labels": label_documents,
         "saved_results": saved_results,
+        "portfolio_pages": lambda s, d: portfolio_pages(s, d, PAGE_TOKENS),
     }
     key = (id(spark.sparkContext._jsc), sf_dir, name)
     path = _LANDED.get(key)

@@ -354,3 +354,5 @@ WHERE customer.c_acctbal >= 5000 AND tok.k % 12 < 10
 """
 
 ORACLE["stream_landing"] = ORACLE["retry_rounds"]
+
+ORACLE["portfolio_paged"] = PORTFOLIO_FLAT

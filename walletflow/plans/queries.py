@@ -66,6 +66,14 @@ def portfolio_valid(spark, sf_dir):
     return P.portfolio_summary(P.parse_portfolio(fx.landed(spark, sf_dir, "portfolio_damaged")))
 
 
+@query("portfolio_paged")
+def portfolio_paged(spark, sf_dir):
+    """P1-P6 over a paged landing (pages of at most a few tokens per network):
+    the same rows as ``portfolio_flat``, with no unbounded group anywhere."""
+    rows = P.paged_portfolio_rows(fx.landed(spark, sf_dir, "portfolio_pages"))
+    return rows.select("chain", "address", "symbol", "balance", "price", "usd")
+
+
 # ------------------------------------------------------------------------ labels
 
 def _label_parsed(spark, sf_dir):
