@@ -2,9 +2,11 @@
 
 A label document maps chain name -> chain object::
 
-    {"<chain>": {"address": ..., "isUserAddress": bool,
-                 "arkhamEntity": {name, type, website, twitter, crunchbase, linkedin},
-                 "arkhamLabel": {"name": ...}}, ...}
+    {"<chain>": {"address": ..., USER_KEY: bool,
+                 ENTITY_KEY: {name, type, website, twitter, crunchbase, linkedin},
+                 LABEL_KEY: {"name": ...}}, ...}
+
+(the key names are fixed values in ``walletflow.schemas``).
 
 Everything is a Catalyst expression over one ``from_json(body,
 'map<string,variant>')``: the top level is parsed as a *map* so document

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from walletflow.functions.address import address_from_key
+from walletflow.schemas import ENTITY_KEY, LABEL_KEY, USER_KEY
 
 # ---------------------------------------------------------------------------
 # Fixed values of the derived fixtures.
@@ -166,9 +167,9 @@ def label_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         label = F.when((k + i) % 4 == 0, F.struct(F.concat(F.lit(chain + "-"), F.col("c_mktsegment")).alias("name")))
         obj = F.struct(
             addr.alias("address"),
-            ((k + i) % 2 == 0).alias("isUserAddress"),
-            entity.alias("arkhamEntity"),
-            label.alias("arkhamLabel"),
+            ((k + i) % 2 == 0).alias(USER_KEY),
+            entity.alias(ENTITY_KEY),
+            label.alias(LABEL_KEY),
         )
         entries.append(F.when(k % (i + 2) == 0, F.struct(F.lit(chain).alias("key"), obj.alias("value"))))
     present = F.filter(F.array(*entries), lambda e: e.isNotNull())
