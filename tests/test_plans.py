@@ -13,7 +13,7 @@ from walletflow.plans.stub_service import CyclingStubService
 QUERIES = entry.queries()
 
 PLAN_ONLY = [
-    "portfolio_flat", "portfolio_valid", "portfolio_ordered", "portfolio_chain_filter",
+    "portfolio_flat", "portfolio_valid", "portfolio_ordered", "portfolio_chain_filter", "portfolio_paged",
     "label_flat", "label_entity", "label_record", "label_chains", "label_lookup",
     "portfolio_asof", "latest_result", "column_values", "extract_stats", "address_binary", "endpoint_key",
 ]
