@@ -46,9 +46,6 @@ from walletflow.schemas import (
     USER_KEY,
 )
 
-_FLAT_COLUMNS = ["name", "type", "website", "twitter", "crunchbase", "linkedin", "label", "isUserAddress"]
-
-
 def _chain_struct(e: Column, i: Column) -> Column:
     v = e["value"]
     return F.struct(

@@ -127,7 +127,9 @@ def label_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str, na
               opts: FetchOptions | None = None, context: str | None = None,
               table_root: str | None = None, csv_dir: str | None = None, filename: str | None = None,
               history: bool = False, reject_path: str | None = None,
-              dead_letter_path: str | None = None) -> JobResult | None:
+              dead_letter_path: str | None = None, landing: str | None = None) -> JobResult | None:
+    """J1.  Pass ``landing`` (a shared path) to resume a run after a driver
+    restart: rounds and waves already landed are not fetched again."""
     prepare(spark)
     full = f"{namespace}.{name}"
     if not tables.create_table(spark, namespace, name, description, LABEL_TABLE_SCHEMA, root=table_root,
@@ -135,7 +137,7 @@ def label_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str, na
         raise JobStopped(f"could not create {full}")
     if keys.isEmpty():
         return None
-    rows, run = enrich_labels(keys, fetch, opts, context=context, run_date=run_date)
+    rows, run = enrich_labels(keys, fetch, opts, context=context, run_date=run_date, landing=landing)
     _write_dead_letters(run, dead_letter_path)
     csv_path = _csv_path(spark, csv_dir, filename, LABEL_FILE_PREFIX)
     written = write_csv(rows, csv_path)
@@ -158,7 +160,9 @@ def portfolio_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str
                   opts: FetchOptions | None = None, context: str | None = None,
                   table_root: str | None = None, csv_dir: str | None = None, filename: str | None = None,
                   allow_empty_refresh: bool = False, reject_path: str | None = None,
-                  dead_letter_path: str | None = None) -> JobResult | None:
+                  dead_letter_path: str | None = None, landing: str | None = None) -> JobResult | None:
+    """J2.  ``landing`` as for ``label_job``; pass ``as_of_ms`` too when resuming, so
+    every round uses the same as-of."""
     prepare(spark)
     full = f"{namespace}.{name}"
     if not tables.create_table(spark, namespace, name, description, PORTFOLIO_TABLE_SCHEMA, root=table_root):
@@ -166,7 +170,7 @@ def portfolio_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str
     if keys.isEmpty():
         return None
     # One as-of for the whole batch, taken once on the driver.
-    rows, run = enrich_portfolios(keys, fetch, as_of_ms, opts, context=context)
+    rows, run = enrich_portfolios(keys, fetch, as_of_ms, opts, context=context, landing=landing)
     _write_dead_letters(run, dead_letter_path)
     csv_path = _csv_path(spark, csv_dir, filename, PORTFOLIO_FILE_PREFIX)
     written = write_csv(rows, csv_path)
