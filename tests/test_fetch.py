@@ -144,3 +144,9 @@ def test_export_calls(spark, tmp_dir):
     assert export_portfolios(keys, CyclingStubService(), 0, FetchOptions(kind="portfolio", **FAST), context="doc",
                              csv_dir=tmp_dir) is None  # '{}' portfolios have no token rows
     assert export_labels(keys.limit(0), CyclingStubService()) is None
+
+
+def test_empty_key_set(spark):
+    run = fetch_rounds(_keys(spark, 0), CyclingStubService(), FetchOptions(kind="labels", **FAST))
+    assert run.rounds == 0
+    assert run.successes().count() == 0 and run.dead_letters().count() == 0

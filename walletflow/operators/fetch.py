@@ -71,6 +71,19 @@ ATTEMPT_SCHEMA = T.StructType([
 ])
 
 
+# Landed attempt rows: the attempt plus the decided outcome and the
+# round / wave partition columns.
+LANDED_SCHEMA = T.StructType(
+    list(ATTEMPT_SCHEMA.fields)
+    + [
+        T.StructField("ok", T.BooleanType()),
+        T.StructField("error_message", T.StringType()),
+        T.StructField("round", T.IntegerType()),
+        T.StructField("wave", T.IntegerType()),
+    ]
+)
+
+
 @dataclass
 class FetchOptions:
     kind: str = "labels"                    # 'labels' | 'portfolio'
@@ -192,6 +205,8 @@ class FetchRun:
 
     def attempts(self) -> DataFrame:
         """All landed attempts, one row per (address, round)."""
+        if self.rounds == 0:  # nothing was pending: nothing was landed
+            return self.spark.createDataFrame([], LANDED_SCHEMA)
         return self.spark.read.parquet(self.landing)
 
     def successes(self) -> DataFrame:

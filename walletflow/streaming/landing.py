@@ -13,25 +13,13 @@ job that runs after (or between) fetch rounds.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from walletflow.operators import labels as L
 from walletflow.operators import portfolio as P
-from walletflow.operators.fetch import ATTEMPT_SCHEMA
+from walletflow.operators.fetch import LANDED_SCHEMA
 from walletflow.session import scratch_path
 
-LANDED_SCHEMA = T.StructType(
-    list(ATTEMPT_SCHEMA.fields)
-    + [
-        T.StructField("ok", T.BooleanType()),
-        T.StructField("error_message", T.StringType()),
-        T.StructField("round", T.IntegerType()),
-        T.StructField("wave", T.IntegerType()),
-    ]
-)
-
-
 def landed_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(LANDED_SCHEMA)
     if max_files_per_trigger:
