@@ -272,12 +272,22 @@ def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
     spark = keys.sparkSession
     landing = (landing or scratch_path(spark, f"landing-{opts.kind}")).rstrip("/")
     ctx = F.col(context) if context else F.lit(None).cast("string")
-    pending = keys.select(F.col("address").cast("string").alias("address"), ctx.alias("context"))
-    pending = pending.dropDuplicates(["address"])
+    distinct = keys.select(F.col("address").cast("string").alias("address"), ctx.alias("context"))
+    distinct = distinct.dropDuplicates(["address"])
     per_wave = max(1, opts.max_partitions * max(1, opts.keys_per_partition))
-    n_pending = None
     run = FetchRun(spark, landing, 0, opts)
     started = time.monotonic()
+    # The distinct keys are staged once (the de-duplication shuffle runs once,
+    # and a resumed run sees the same key set); the count is observed while
+    # writing.
+    first = f"{landing}/_pending/round=1/all"
+    if _exists(spark, f"{first}/_SUCCESS"):
+        n_pending = spark.read.parquet(first).count()
+    else:
+        obs = Observation(f"keys_{uuid.uuid4().hex[:6]}")
+        distinct.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(first)
+        n_pending = int(obs.get.get("n", 0) or 0)
+    pending = spark.read.parquet(first) if n_pending else distinct
     for r in range(1, opts.max_rounds + 1):
         if n_pending is None:
             n_pending = pending.count()
@@ -288,7 +298,7 @@ def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
         if waves == 1:
             sources = [(0, pending, r == 1)]
         else:
-            staged = f"{landing}/_pending/round={r}"
+            staged = f"{landing}/_pending/round={r}/waves"
             if not _exists(spark, f"{staged}/_SUCCESS"):
                 pending.withColumn("wave", F.pmod(F.xxhash64("address"), F.lit(waves))).write.mode(
                     "overwrite"
