@@ -18,6 +18,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -160,9 +161,21 @@ def load_csv(spark: SparkSession, csv_path: str, namespace: str, name: str, mode
         return LoadResult(False)
     schema = spark.table(full).schema
     text = read_csv(spark, csv_path, [f.name for f in schema.fields])
-    good, rejects = type_rows(text, schema)
     if reject_path:
-        rejects.write.mode("append").parquet(reject_path)
+        # rejects and good rows are two writes over one parse of the CSV
+        text = text.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        good, rejects = type_rows(text, schema)
+        if reject_path:
+            rejects.write.mode("append").parquet(reject_path)
+        return _load_good(spark, full, good, schema, mode, size, rejects)
+    finally:
+        if reject_path:
+            text.unpersist()
+
+
+def _load_good(spark: SparkSession, full: str, good: DataFrame, schema: T.StructType, mode: str, size: int,
+               rejects: DataFrame) -> LoadResult:
     if mode == "refresh":
         n = _swap_in(spark, full, good)
     else:
