@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from walletflow.llm import binary_packing, link_trust, secret_scan, sharding, simhash_dedup
+from walletflow.llm import (
+    binary_packing,
+    fertility_rules,
+    language_score,
+    link_trust,
+    merge_rounds,
+    secret_scan,
+    sharding,
+    simhash_dedup,
+    vector_search,
+    warc_archive,
+)
 from walletflow.llm.common import read_table
 
 QUERIES: dict = {}
@@ -50,3 +61,28 @@ def op7_url_filter(spark, sf_dir):
 @query
 def op9_simhash_dedup(spark, sf_dir):
     return simhash_dedup.simhash_report(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_vector_search(spark, sf_dir):
+    return vector_search.exact_top(read_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_fertility(spark, sf_dir):
+    return fertility_rules.fertility_report(read_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op8_bpe(spark, sf_dir):
+    return merge_rounds.encoding_report(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query
+def op10_warc(spark, sf_dir):
+    return warc_archive.archive_report(read_table(spark, sf_dir, "pages"))
+
+
+@query
+def op2_language_score(spark, sf_dir):
+    return language_score.score_documents(read_table(spark, sf_dir, "documents"))
