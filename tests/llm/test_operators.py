@@ -1,0 +1,487 @@
+"""Each operator on awkward rows, against plain restatements."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tests.llm import brute
+from tests.llm.conftest import edge_texts
+from walletflow.llm import (
+    binary_packing,
+    fertility_rules,
+    gated_model,
+    language_score,
+    link_trust,
+    merge_rounds,
+    secret_scan,
+    sharding,
+    simhash_dedup,
+    vector_search,
+    warc_archive,
+)
+from walletflow.llm.trigram_query import trigram_query
+
+PIECES = P.path("piece_bpe_32k.model")
+SPECIAL = {"<|endoftext|>": 50256}
+MARK = "\r\n\r\nWARC/1.0\r\n"
+
+
+def same(got, want):
+    assert Counter(map(tuple, got)) == Counter(map(tuple, want))
+
+
+# -- 1 secret scan
+
+def test_secret_report(edge_docs):
+    rows = secret_scan.secret_report(edge_docs).collect()
+    want = []
+    for i, t in edge_texts():
+        base = brute.secrets(t)
+        kinds = Counter(s.split(":")[0] for s in base)
+        want.append((i, kinds["assign"], kinds["access"], kinds["hex"], brute.sha(",".join(base))))
+    same([(r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in rows], want)
+    more = next(r.spans for r in rows if r.doc_id == 14)
+    assert "private_key:0:31" in more and "code_host:" in more
+
+
+def test_secret_spans_over_many_hits(spark):
+    text = "é token=abcdefghijklm " * 2000
+    r = secret_scan.secret_report(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert r.spans == ",".join(brute.secrets(text)) and r.n_assign == 2000
+
+
+def test_redaction(edge_docs):
+    rows = secret_scan.redact_secrets(edge_docs).collect()
+    assert len(rows) == len(edge_texts()) and rows[0].__fields__ == edge_docs.columns
+    for r in rows:
+        assert not brute.secrets(r.text) or "[secret]" in r.text
+    assert {r.doc_id: r.text for r in rows}[8] == dict(edge_texts())[8]
+
+
+def test_secret_scan_empty(no_docs):
+    assert secret_scan.secret_report(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("rule", secret_scan.RULES, ids=lambda r: r.kind)
+def test_trigram_query_is_necessary(rule):
+    """Whatever the pattern matches satisfies its trigram query."""
+    query = trigram_query(rule.pattern)
+    if query is None:
+        assert rule.kind == "hex"
+        return
+
+    @settings(max_examples=150, deadline=None)
+    @given(st.from_regex(re.compile(rule.pattern, re.ASCII)))
+    def check(text):
+        low = text.lower()
+        assert any(all(t in low for t in clause) for clause in query)
+
+    check()
+
+
+# -- 2 language model
+
+def test_language_scores(edge_docs):
+    rows = language_score.score_documents(edge_docs).collect()
+    texts = edge_texts()
+    want = Counter()
+    for (i, t), (n, known, total, base) in zip(texts, brute.base_scores(texts)):
+        want[(i, brute.held_out(i), n, known, total, round(base, 6))] += 1
+    assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in rows) == want
+    assert all(np.isfinite(r.score) and r.score < 0 for r in rows)
+    again = language_score.score_documents(edge_docs).collect()
+    assert {(r.doc_id, round(r.score, 6)) for r in rows} == {(r.doc_id, round(r.score, 6)) for r in again}
+
+
+def test_language_scores_without_training_rows(spark, no_docs):
+    assert language_score.score_documents(no_docs).count() == 0
+    r = language_score.score_documents(spark.createDataFrame([(None, "a b")], "doc_id long, text string")).first()
+    assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (True, 3, 0, 0, 0.0)
+
+
+def _random_model(rng):
+    p = gated_model.initial(rng.integers(1, 50, gated_model.WORDS))
+    return {k: (v.astype(np.float64) + 0.3 * rng.standard_normal(v.shape)) for k, v in p.items()}
+
+
+def test_model_is_a_distribution_and_carries_state():
+    rng = np.random.default_rng(1)
+    model = gated_model.Model(_random_model(rng))
+    start = rng.integers(1, gated_model.WORDS, 70)
+    before = model.score([start])[0]
+    following = model.score([np.append(start, w) for w in range(gated_model.WORDS)])
+    assert abs(np.exp(following - before).sum() - 1) < 1e-4
+    texts = [rng.integers(0, gated_model.WORDS, n) for n in (1, 100, 33, 64, 7)]
+    assert np.allclose(model.score(texts, window=32), model.score(texts, window=1000), rtol=1e-5)
+    assert np.allclose(model.score(texts, rows=64), [model.score([t])[0] for t in texts], rtol=1e-5)
+
+
+def test_model_gradient():
+    rng = np.random.default_rng(2)
+    p = _random_model(rng)
+    token = rng.integers(0, gated_model.WORDS, (6, 3))
+    valid = np.ones((6, 3), bool)
+    valid[5, 1] = False
+
+    def loss(q):
+        memory = {k: np.zeros_like(v) for k, v in q.items()}
+        model = gated_model.Model({k: v.copy() for k, v in q.items()})
+        return model.learn(token, valid, np.zeros((3, gated_model.HIDDEN)), np.zeros(3, dtype=int), memory, 0.0)[2] / valid.sum(), memory
+
+    _, memory = loss(p)
+    for name in gated_model.NAMES:
+        at = np.unravel_index(memory[name].argmax(), memory[name].shape)
+        up, down = ({k: v.copy() for k, v in p.items()} for _ in range(2))
+        up[name][at] += 1e-4
+        down[name][at] -= 1e-4
+        slope = (loss(up)[0] - loss(down)[0]) / 2e-4
+        assert abs(abs(slope) - np.sqrt(memory[name][at])) < 1e-3 * abs(slope) + 1e-7
+
+
+def test_model_learns_on_held_out_text():
+    rng = np.random.default_rng(3)
+    cycle = [np.append((np.arange(60) + rng.integers(20)) % 20 + 2, 0) for _ in range(400)]
+    counts = np.bincount(np.concatenate(cycle), minlength=22)
+    start = gated_model.initial(counts)
+    learned = gated_model.train(start, cycle[:300], batch=16)
+    before, after = (gated_model.Model(p).score(cycle[300:]).sum() for p in (start, learned))
+    assert after > 0.6 * before
+
+
+# -- 3 sharding
+
+@pytest.mark.parametrize("shards", [1, 5, 24])
+def test_shards(edge_docs, shards):
+    rows = sharding.shard_report(edge_docs, shards).collect()
+    want = Counter((i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t in edge_texts())
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in rows) == want
+    counts = Counter(r.shard for r in rows)
+    assert max(counts.values()) - min(counts.get(s, 0) for s in range(shards)) <= 1
+    for s in counts:
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(counts[s]))
+
+
+def test_shards_of_no_rows(no_docs):
+    assert sharding.shard_report(no_docs).count() == 0
+
+
+def test_shards_with_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 16)
+    docs = spark.range(0, 2000, 1, 7).selectExpr("id AS doc_id", "'same' AS text")
+    rows = sharding.shard_report(docs, 3).collect()
+    for s, n in ((0, 667), (1, 667), (2, 666)):
+        own = sorted((r.slot, r.doc_id) for r in rows if r.shard == s)
+        assert [a for a, _ in own] == list(range(n))
+        assert abs(np.corrcoef([a for a, _ in own], [b for _, b in own])[0, 1]) < 0.15
+
+
+def test_communication_matrix():
+    sizes = [10, 0, 300, 7, 83]
+    draws = np.array([sharding.communication_matrix(sizes, 4, seed) for seed in range(400)])
+    assert (draws.sum(axis=2) == sizes).all() and (draws.sum(axis=1) == 100).all()
+    mean, want = draws[:, 2, 0].mean(), 300 / 4
+    variance = draws[:, 2, 0].var()
+    assert abs(mean - want) < 1 and abs(variance - 300 * 0.25 * 0.75 * 100 / 399) < 3
+
+
+def test_large_hypergeometric_draw():
+    rng = np.random.default_rng(0)
+    got = np.array([sharding._good(rng, 2 * 10**9, 6 * 10**9, 10_000) for _ in range(1500)])
+    assert abs(got.mean() - 2500) < 5 and abs(got.std() - (10_000 * 0.25 * 0.75) ** 0.5) < 3
+
+
+# -- 4 vector search
+
+def _top(rows, k=10, every=100):
+    out = []
+    good = [(i, v) for i, v in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    whole = [(i, tuple(int(np.floor(1024 * float(np.float32(x)))) for x in v)) for i, v in good]
+    for q, v in {(i, v) for i, v in whole if i is not None and i % every == 0}:
+        found = sorted((-sum(a * b for a, b in zip(v, w)), i is None, i or 0) for i, w in whole if i != q and len(w) == len(v))
+        out += [(q, r + 1, None if none else i, -s) for r, (s, none, i) in enumerate(found[:k])]
+    return out
+
+
+def test_vector_search(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(i), [float(np.float32(x)) for x in rng.standard_normal(20)]) for i in range(1, 700)]
+    rows += [(1000, rows[3][1]), (1000, rows[3][1]), (2000, [0.0] * 20), (-100, rows[4][1])]
+    rows += [(900 + i, rows[9][1]) for i in range(15)]
+    rows += [(None, rows[5][1]), (3001, None), (3002, [None] * 20), (3003, [float("nan")] * 20), (3100, [float("inf")] * 20), (3200, [1.0]), (3201, [2.0]), (3300, [])]
+    df = spark.createDataFrame([(i, v, i, "x") for i, v in rows], "vec_id long, embedding array<float>, number long, v string").repartition(4)
+    got = [tuple(r) for r in vector_search.exact_top(df).select("query_id", "rank", "vec_id", "score").collect()]
+    same(got, _top(rows))
+    assert vector_search.exact_top(df.limit(0)).count() == 0
+
+
+def test_vector_search_in_blocks_of_queries(spark, monkeypatch):
+    monkeypatch.setattr(vector_search, "QUERY_BLOCK", 2)
+    monkeypatch.setattr(vector_search, "CHUNK", 50)
+    rng = np.random.default_rng(6)
+    rows = [(int(i), [float(np.float32(x)) for x in rng.standard_normal(12)]) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    same([tuple(r) for r in vector_search.exact_top(df).collect()], _top(rows))
+
+
+def test_vector_search_large_components(spark):
+    rows = [(0, [3e15, 1.0]), (1, [2e15, 5.0]), (2, [-1e18, 0.0]), (3, [1.0, 1.0])]
+    got = vector_search.exact_top(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(1, 2**63 - 1), (3, 1024 * 3 * 10**15 * 1024 + 1024 * 1024), (2, -(2**63))]
+
+
+# -- 5 quality rules
+
+def test_fertility_base(edge_docs, no_docs):
+    rows = fertility_rules.fertility_report(edge_docs, PIECES).collect()
+    same(
+        [(r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in rows],
+        [(i, *brute.quality(t)) for i, t in edge_texts()],
+    )
+    assert not any(r.kept and r.base_failed for r in rows)
+    assert {r.doc_id: r.script for r in rows}[16] in ("kana", "han")
+    assert fertility_rules.fertility_report(no_docs, PIECES).count() == 0
+
+
+def test_fertility_measures(spark):
+    import math
+
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    words = "ordinary prose about rivers and stones keeps within its band".split() * 3 + ["\U0001f9ff\U0001fa96"]
+    ids = [i for w in words for i in sp.encode(w)]
+    r = fertility_rules.fertility_report(spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string"), PIECES).first()
+    share = [c / len(ids) for c in Counter(ids).values()]
+    assert r.byte_share == pytest.approx(sum(map(sp.is_byte, ids)) / len(ids))
+    assert r.entropy == pytest.approx(-sum(p * math.log2(p) for p in share))
+    assert r.chars_per_token == pytest.approx(sum(map(len, words)) / len(ids))
+
+
+def test_fertility_rejects_bytes_and_keeps_prose(spark):
+    rng = np.random.default_rng(1)
+    odd = " ".join("".join(chr(int(c)) for c in rng.integers(0x1F300, 0x1F5FF, 5)) + "ab" for _ in range(80))
+    good = " ".join(f"word{i} and another thing about the old river" for i in range(20))
+    rows = fertility_rules.keep_good(spark.createDataFrame([(1, odd, "x"), (2, good, "x")], "doc_id long, text string, kept string"), PIECES).collect()
+    assert [(r.doc_id, r.kept) for r in rows] == [(2, "x")]
+
+
+# -- 6 packing
+
+def test_packing(edge_docs, no_docs):
+    docs = binary_packing.tokenised(edge_docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN, SPECIAL)
+    tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    want = Counter()
+    for i, t in edge_texts():
+        ids = tokenizer.encode(t or "", add_special_tokens=False).ids + [1]
+        want[(i, np.array(ids, dtype="<u4").tobytes())] += 1
+    assert Counter((r.doc_id, bytes(r.ids)) for r in docs.collect()) == want
+    rows = binary_packing.pack_binary(docs).collect()
+    assert sorted(r.sequence_id for r in rows) == list(range(len(rows)))
+    assert all(r.offset == 0 and r.length & (r.length - 1) == 0 and r.length <= 2048 and len(r.ids) == 4 * r.length for r in rows)
+    assert [r.bucket for r in sorted(rows, key=lambda r: r.sequence_id)] == sorted(r.bucket for r in rows)
+    for doc_id in {i for i, _ in edge_texts()} - {None, 2}:
+        own = sorted((r.start, r.length, bytes(r.ids)) for r in rows if r.doc_id == doc_id)
+        ids = next(x for (i, x) in want if i == doc_id)
+        assert b"".join(x for _, _, x in own) == ids
+        assert [n for _, n, _ in own] == binary_packing.binary_pieces(len(ids) // 4)
+        assert [a for a, _, _ in own] == [sum(n for _, n, _ in own[:k]) for k in range(len(own))]
+    assert binary_packing.packing_report(no_docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN, SPECIAL).count() == 0
+
+
+# -- 7 link trust
+
+PAGES = [
+    (1, "http://good.org/x", '<a href="http://mid.net/p">a</a><a href="https://mid.net/q">'),
+    (2, "http://mid.net/p", "<a class=x href=//End.Net/1>"),
+    (3, "https://bad.com/de/", "x"),
+    (4, "http://spam.net/z", '<a href="http://bad.com/de/"> <a href="http://bad.com/fr">'),
+    (5, "http://spam2.net/z", '<A HREF="http://spam.net/q">'),
+    (6, None, None), (7, "nohost", "x"), (8, "http://end.net", None), (9, "HTTP://a.Example.org/en/12?x#y", ""),
+    (10, "x://b.example.org/en/2", ""), (11, "http://org", ""), (12, "http://xorg/", ""), (None, "http://c.com/fr/", None), (1, "http://good.org/x", ""),
+]
+
+
+def test_link_trust(spark):
+    df = spark.createDataFrame([(*p, "h", 1) for p in PAGES], "page_id long, url string, html string, host string, trust int")
+    rows = link_trust.judge_pages(df).collect()
+    assert len(rows) == len(PAGES)
+    got = {r.page_id: r for r in rows}
+    assert (got[9].host, got[9].path, got[9].rule, got[9].verdict) == ("a.example.org", "/en/12", "example.org/en/1", "block")
+    assert (got[10].rule, got[10].verdict) == ("org/", "allow") and (got[11].rule, got[12].rule) == (None, None)
+    assert (got[3].verdict, got[4].verdict, got[5].verdict) == ("block", "block", "block")
+    assert (got[2].verdict, got[8].verdict, got[6].verdict, got[6].host, got[7].path) == ("allow", "allow", "allow", "", "")
+    assert got[2].trust > got[8].trust > 0 and got[4].distrust > got[5].distrust > 0
+    assert link_trust.judge_pages(df.limit(0)).count() == 0
+
+
+def test_propagation_against_plain_loop(spark):
+    rng = np.random.default_rng(4)
+    edges = {(int(a), int(b)): int(rng.integers(1, 5)) for a, b in rng.integers(0, 12, (40, 2)) if a != b}
+    seeds = {"trust": {0: 3, 5: 1}, "distrust": {7: 2}}
+    unit = link_trust.UNITS
+    want = {}
+    for walk, own in seeds.items():
+        out = {}
+        for (a, b), n in edges.items():
+            a, b = (a, b) if walk == "trust" else (b, a)
+            out.setdefault(a, []).append((b, n))
+        start = {h: n * unit for h, n in own.items()}
+        total, mass = sum(start.values()), dict(start)
+        for _ in range(6):
+            moved = Counter()
+            for a, m in mass.items():
+                all_links = sum(n for _, n in out.get(a, []))
+                for b, n in out.get(a, []):
+                    moved[b] += m * 85 * n // (100 * all_links)
+            rest = total - sum(moved.values())
+            for h, m in start.items():
+                moved[h] += m * rest // total
+            mass = moved
+        want[walk] = mass
+    e = spark.createDataFrame([(str(a), str(b), n) for (a, b), n in edges.items()], "src string, dst string, links long")
+    s = spark.createDataFrame([(w, str(h), n) for w, own in seeds.items() for h, n in own.items()], "walk string, host string, pages long")
+    for r in link_trust.propagate(e, s, steps=6).collect():
+        assert (r.trust, r.distrust) == (want["trust"].get(int(r.host), 0), want["distrust"].get(int(r.host), 0))
+
+
+# -- 8 merge rounds
+
+def test_merge_rounds(edge_docs, no_docs):
+    path = P.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    want = []
+    for i, t in edge_texts():
+        ids = tokenizer.encode(t or "", add_special_tokens=False).ids
+        want.append((i, len(ids), brute.sha(" ".join(map(str, ids))), brute.sha(tokenizer.decode(ids, skip_special_tokens=False))))
+    same([tuple(r) for r in merge_rounds.encoding_report(edge_docs, path).collect()], want)
+    assert merge_rounds.encoding_report(no_docs, path).count() == 0
+
+
+def test_merge_rounds_on_random_text():
+    path = P.path("word_bpe_49k.json")
+    table, tokenizer = merge_rounds.MergeTable(path), Tokenizer.from_file(path)
+    part = st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|", "'s", "'LL", "Σ", "é", "e\u0301", "\x1c", "\x85", "  ", "aaa", "İ", "²", "\U0001f600"])
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.lists(st.one_of(part, st.text(max_size=5)), max_size=8).map("".join))
+    def check(text):
+        ids, _ = table.encode([text])
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+    check()
+
+
+# -- 9 simhash
+
+@pytest.mark.parametrize("members", [4096, 3])
+def test_simhash(spark, edge_docs, no_docs, monkeypatch, members):
+    monkeypatch.setattr(simhash_dedup, "LIST", members)
+    rng = np.random.default_rng(8)
+    rows = list(edge_texts())
+    base = rows[10][1].split()[:600]
+    for k in range(60):  # a crowd of near copies
+        words = list(base)
+        words[int(rng.integers(len(words)))] = f"new{k}"
+        rows.append((100 + k, " ".join(words)))
+    docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, fp int, root string")
+    got = simhash_dedup.simhash_report(docs).collect()
+    prints = [brute.fingerprint(t) for _, t in rows]
+    parts = brute.groups(prints)
+    least = {}
+    for (i, _), g in zip(rows, parts):
+        if i is not None:
+            least[g] = min(i, least.get(g, i))
+    same([tuple(r) for r in got], [(i, f"{f:016x}", least.get(g)) for (i, _), f, g in zip(rows, prints, parts)])
+    assert simhash_dedup.simhash_report(no_docs).count() == 0
+
+
+def test_position_triples_reach_every_pair():
+    from itertools import combinations
+
+    for shared in combinations(range(8), simhash_dedup.SHARED):
+        assert any(set(t) <= set(shared) for t in simhash_dedup.TRIPLES)
+
+
+def test_long_lists_link_like_all_pairs():
+    rng = np.random.default_rng(9)
+    centre = rng.integers(0, 2**63, 6, dtype=np.uint64)
+    flips = np.uint64(1) << rng.integers(0, 64, (300, 4)).astype(np.uint64)
+    fp = np.unique(centre[rng.integers(0, 6, 300)] ^ np.bitwise_xor.reduce(flips, axis=1))
+    a, b = simhash_dedup._long_list(fp, np.zeros(len(fp), dtype=np.int64))
+    parts = brute.groups([int(x) for x in fp])
+    linked = {int(x): int(x) for x in fp}
+    for x, y in zip(a.tolist(), b.tolist()):
+        linked[y] = x
+    assert len({linked[int(x)] for x in fp}) == len(set(parts))
+
+
+# -- 10 WARC
+
+ROWS = [
+    (1, "http://a/\r\nx", "x" * 300), (2, "u", "x" * 300), (3, None, "x" * 300), (None, "u", "x" * 300), (4, "u", None), (5, "u", ""),
+    (6, "u", "a" + MARK + "b" + MARK * 5 + "é" * 200), (7, "u", MARK), (8, "u", "\r\n" * 40), (9, "u", "a\r\n\r\nb"), (9, "u", "a\r\n\r\nb"),
+    (10, "u", "é" * 5000), (None, None, None), (11, "u", MARK + "X-Page-Id: 7\r\n\r\n"), (12, "u", "y" * 99), (13, "u", "y" * 99),
+    (15, "u", "z" * 100), (14, "u", "z" * 100), (14, "u", "z" * 100),
+]
+
+
+@pytest.mark.parametrize("chunk", [64, warc_archive.CHUNK])
+def test_warc_round_trip(spark, chunk):
+    pages = spark.createDataFrame([(*r, "k") for r in ROWS], "page_id long, url string, html string, kind string").repartition(3)
+    want = []
+    for i, _, html in ROWS:
+        data = (html or "").encode()
+        first = min((j for j, _, h in ROWS if h == html and j is not None), default=None)
+        again = len(data) >= 100 and first is not None and i != first
+        want.append((i, len(data), hashlib.sha256(data).hexdigest(), "revisit" if again else "response", first if again else None))
+    same([tuple(r) for r in warc_archive.archive_report(pages, chunk).collect()], want)
+    assert warc_archive.archive_report(pages.limit(0)).count() == 0
+
+
+def test_warc_bytes(spark, tmp_path):
+    """The files are plain WARC: a byte-wise reader finds the same records."""
+    import gzip
+
+    path = str(tmp_path / "w")
+    warc_archive.write_archive(spark.createDataFrame(ROWS, "page_id long, url string, html string"), path, 64)
+    payload = {}
+    for file in (tmp_path / "w").glob("part-*"):
+        data, at = gzip.decompress(file.read_bytes()), 0
+        while at < len(data):
+            end = data.index(b"\r\n\r\n", at)
+            head = dict(x.split(": ", 1) for x in data[at:end].decode().split("\r\n")[1:])
+            assert data[at:].startswith(b"WARC/1.0\r\n")
+            n = int(head["Content-Length"])
+            block = data[end + 4:end + 4 + n]
+            assert data[end + 4 + n:end + 8 + n] == b"\r\n\r\n"
+            at = end + 8 + n
+            key = head.get("WARC-Segment-Origin-ID", head["WARC-Record-ID"])
+            payload.setdefault(key, []).append((int(head.get("WARC-Segment-Number", 1)), block, head))
+    kept = []
+    for parts in payload.values():
+        parts.sort(key=lambda p: p[0])
+        if parts[0][2]["WARC-Type"] == "response":
+            body = b"".join(b for _, b, _ in parts)[len(warc_archive.HTTP):]
+            kept.append(body)
+            assert parts[0][2]["WARC-Payload-Digest"] == "sha256:" + hashlib.sha256(body).hexdigest()
+    assert ("a" + MARK + "b" + MARK * 5 + "é" * 200).encode() in kept and len(payload) == len(ROWS)
+
+
+def test_running_digests(spark):
+    pages = spark.createDataFrame([(1, "u", "abcdefgh" * 50)], "page_id long, url string, html string")
+    from walletflow.session import scratch_path
+
+    path = scratch_path(spark, "warc-test")
+    warc_archive.write_archive(pages, path, 100)
+    rows = warc_archive.chunk_digests(warc_archive.chunk_table(spark, path)).orderBy("chunk").collect()
+    data = b"abcdefgh" * 50
+    assert [(r.chunk, r.upto) for r in rows] == [(1, 100), (2, 200), (3, 300), (4, 400)]
+    assert [r.digest for r in rows] == [hashlib.sha256(data[:n]).hexdigest() for n in (100, 200, 300, 400)]

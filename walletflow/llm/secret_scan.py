@@ -126,6 +126,10 @@ def _offsets(blocks: Column) -> Column:
     return F.aggregate(blocks, start, lambda a, b: F.concat(a, F.array(F.element_at(a, -1) + b["t"])))
 
 
+def _at_least(least: int):
+    return lambda value: F.length(value) >= least
+
+
 def find_secrets(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
     """(row, spans): every input row as a struct and its
     ``array<struct<start, rank, kind, end>>`` ordered by start, then rule."""
@@ -154,7 +158,7 @@ def find_secrets(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
             )).alias(f"z{i}")
             for i in range(len(rules))
         ],
-        *[F.transform(f"g{i}" if r.group else f"h{i}", lambda v, n=r.least: F.length(v) >= n).alias(f"k{i}") for i, r in enumerate(rules)],
+        *[F.transform(f"g{i}" if r.group else f"h{i}", _at_least(r.least)).alias(f"k{i}") for i, r in enumerate(rules)],
     )
     # split leaves one piece more than there are hits: its hit is null
     work = barrier(work, **{f"s{i}": F.slice(f"z{i}", F.lit(1), F.size(f"k{i}")) for i in range(len(rules))})
