@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tests.llm import brute
-from tests.llm.conftest import edge_texts
+from tests.llm.conftest import edge_texts, prose
 from walletflow.llm import (
     binary_packing,
     fertility_rules,
@@ -151,7 +151,7 @@ def test_model_learns_on_held_out_text():
     cycle = [np.append((np.arange(60) + rng.integers(20)) % 20 + 2, 0) for _ in range(400)]
     counts = np.bincount(np.concatenate(cycle), minlength=22)
     start = gated_model.initial(counts)
-    learned = gated_model.train(start, cycle[:300], batch=16)
+    learned = gated_model.train(start, cycle[:300] * 8, batch=16)
     before, after = (gated_model.Model(p).score(cycle[300:]).sum() for p in (start, learned))
     assert after > 0.6 * before
 
@@ -234,7 +234,7 @@ def test_vector_search_in_blocks_of_queries(spark, monkeypatch):
 def test_vector_search_large_components(spark):
     rows = [(0, [3e15, 1.0]), (1, [2e15, 5.0]), (2, [-1e18, 0.0]), (3, [1.0, 1.0])]
     got = vector_search.exact_top(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("rank").collect()
-    assert [(r.vec_id, r.score) for r in got] == [(1, 2**63 - 1), (3, 1024 * 3 * 10**15 * 1024 + 1024 * 1024), (2, -(2**63))]
+    assert [(r.vec_id, r.score) for r in got] == [(1, 2**63 - 1), (3, 2**63 - 1), (2, -(2**63))]
 
 
 # -- 5 quality rules
@@ -268,7 +268,7 @@ def test_fertility_measures(spark):
 def test_fertility_rejects_bytes_and_keeps_prose(spark):
     rng = np.random.default_rng(1)
     odd = " ".join("".join(chr(int(c)) for c in rng.integers(0x1F300, 0x1F5FF, 5)) + "ab" for _ in range(80))
-    good = " ".join(f"word{i} and another thing about the old river" for i in range(20))
+    good = prose(5, 120)
     rows = fertility_rules.keep_good(spark.createDataFrame([(1, odd, "x"), (2, good, "x")], "doc_id long, text string, kept string"), PIECES).collect()
     assert [(r.doc_id, r.kept) for r in rows] == [(2, "x")]
 

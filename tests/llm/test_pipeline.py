@@ -19,7 +19,7 @@ def brute_pipeline(spark, rows):
     rows = sorted((r for r in rows if r[0] in good and bands[r[0]]), key=lambda r: r[0])
     parts = brute.groups([brute.fingerprint(t) for _, t in rows])
     rows = [r for k, r in enumerate(rows) if parts[k] == k]
-    spans = {r.row.doc_id: sorted((s.start, s.end) for s in r.spans) for r in find_secrets(docs).collect()}
+    spans = {r.in0: sorted((s.start, s.end) for s in r.spans) for r in find_secrets(docs).collect()}
     tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     out = []
     for i, text in rows:

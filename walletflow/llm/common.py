@@ -43,6 +43,11 @@ def barrier(df: DataFrame, **exprs: Column) -> DataFrame:
     return df.select("*", F.inline(one).alias(*names))
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """The columns under the names in0, in1, ..., which clash with nothing."""
+    return df.select(*[F.col(f"`{c}`").alias(f"in{i}") for i, c in enumerate(df.columns)])
+
+
 def slices(batches, budget: int, column: str):
     """Cut Arrow batches so that the texts of one piece hold at most ``budget``
     bytes (a longer text is a piece of its own)."""

@@ -68,8 +68,23 @@ class MergeTable:
             self.names[i] = name
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.split = regex.compile(split["pattern"]["Regex"]).findall
+        self.split_at = regex.compile(split["pattern"]["Regex"]).finditer
+        self.letter = regex.compile(r"[\p{L}\p{N}]").match
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, special)) + ")").split if special else None
 
+    def _pieces(self, text: str) -> list[str]:
+        """Matches of the pattern.  The pattern library knows scripts that are newer than the
+        tokenizer's tables; code points unassigned there (as in the standard library) are no letters."""
+        import unicodedata
+
+        if text.isascii():
+            return self.split(text)
+        new = [c for c in set(text) if c > "\u02ff" and unicodedata.category(c) == "Cn" and self.letter(c)]
+        if not new:
+            return self.split(text)
+        plain = text.translate(dict.fromkeys(map(ord, new), "\ue000"))  # of equal length
+        return [text[slice(*m.span())] for m in self.split_at(plain)]
+
     def words(self, text: str) -> list:
         """Pieces in order: bytes of a word, or the id of a special token."""
         import unicodedata
@@ -84,7 +99,7 @@ class MergeTable:
                 out.append(self.special[part])
             elif part:
                 # one code point at a time: no special form of sigma at the end of a word
-                out += self.split(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())
+                out += self._pieces(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())
         return out
 
     def merge(self, words: list[bytes]):

@@ -9,7 +9,7 @@ verified by its pattern.  Equal texts share one posting.
 
 Defined results: a null text is empty and has no spans; a null ``doc_id`` is
 kept; repeated rows each give a row; extra columns are carried and never read
-(inside, the input row is one struct, so no name can clash); an empty table
+(inside, the input's columns have numbers, so no name can clash); an empty table
 gives an empty table.  Spans count code points, end exclusive.  Work in a text
 is linear in its length and hits: running positions are summed in blocks.
 """
@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from walletflow.llm.common import barrier
+from walletflow.llm.common import barrier, numbered
 from walletflow.llm.trigram_query import trigram_query
 
 BLOCK = 512  # hits whose positions are summed together
@@ -131,10 +131,12 @@ def _at_least(least: int):
 
 
 def find_secrets(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
-    """(row, spans): every input row as a struct and its
+    """(in0, in1, ..., spans): every input row, its columns by number, and its
     ``array<struct<start, rank, kind, end>>`` ordered by start, then rule."""
-    base = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    base = base.select("row", "text", F.xxhash64("text").alias("key"))
+    base = numbered(docs)
+    own = base.columns
+    base = base.withColumn("text", F.coalesce(F.col(f"in{docs.columns.index(text)}"), F.lit("")))
+    base = base.withColumn("key", F.xxhash64("text"))
     found = candidate_rules(base.select("key", "text"), rules)
     work = base.join(found, "key", "left")
 
@@ -151,7 +153,7 @@ def find_secrets(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
         if r.group:
             cut[f"g{i}"] = F.when(wanted(r), F.regexp_extract_all("text", F.lit(r.pattern), F.lit(r.group))).otherwise(none)
     work = barrier(work, **cut).select(
-        "row",
+        *own,
         *[
             F.zip_with(f"p{i}", f"h{i}", lambda p, h: F.struct(
                 F.length(p).cast("long").alias("gap"), F.length(h).cast("long").alias("hit")
@@ -174,7 +176,7 @@ def find_secrets(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
         ))
         marked = F.zip_with(flat, f"k{i}", lambda x, k: F.when(k, x))
         spans.append(F.filter(marked, lambda x: x.isNotNull()))
-    return barrier(work, spans=F.array_sort(F.concat(*spans))).select("row", "spans")
+    return barrier(work, spans=F.array_sort(F.concat(*spans))).select(*own, "spans")
 
 
 def digest(spans: Column) -> Column:
@@ -192,7 +194,7 @@ def secret_report(docs: DataFrame) -> DataFrame:
 
     base = F.filter("spans", lambda x: x["rank"] < len(BASE_RULES))
     return found.select(
-        F.col("row.doc_id").alias("doc_id"),
+        F.col("in0").alias("doc_id"),
         *[count(k) for k in names],
         F.sha2(digest(base), 256).alias("base_sha256"),
         digest(F.col("spans")).alias("spans"),
@@ -205,7 +207,7 @@ def redact_secrets(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     are, nulls included."""
     names = docs.columns
     found = find_secrets(docs)
-    text = F.col("row.text")
+    text = F.col(f"in{names.index('text')}")
     start = F.struct(F.lit(0).cast("long").alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
     cut = F.aggregate(
         "spans",
@@ -221,11 +223,12 @@ def redact_secrets(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     done = barrier(found, clean=F.when(F.size("spans") > 0, cut).otherwise(text))
     kinds = dict(docs.dtypes)
 
-    def column(name: str) -> Column:
+    def column(i: int, name: str) -> Column:
+        own = F.col(f"in{i}")
         if name == "text":
             return F.col("clean").alias(name)
         if name == "n_chars" and kinds[name] in ("bigint", "int"):
-            return F.when(F.size("spans") > 0, F.length("clean").cast(kinds[name])).otherwise(F.col("row").getField(name)).alias(name)
-        return F.col("row").getField(name).alias(name)
+            return F.when(F.size("spans") > 0, F.length("clean").cast(kinds[name])).otherwise(own).alias(name)
+        return own.alias(name)
 
-    return done.select(*[column(n) for n in names])
+    return done.select(*[column(i, n) for i, n in enumerate(names)])
