@@ -49,6 +49,7 @@ class MergeTable:
 
         import numpy as np
         import regex
+        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -68,27 +69,25 @@ class MergeTable:
             self.names[i] = name
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.split = regex.compile(split["pattern"]["Regex"]).findall
-        self.split_at = regex.compile(split["pattern"]["Regex"]).finditer
-        self.letter = regex.compile(r"[\p{L}\p{N}]").match
+        self.library = Tokenizer.from_file(path)  # for its normaliser and splitter only
+        self.byte_of = {x: b for b, x in enumerate(letters)}
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, special)) + ")").split if special else None
 
     def _pieces(self, text: str) -> list[str]:
-        """Matches of the pattern.  The pattern library knows scripts that are newer than the
-        tokenizer's tables; code points unassigned there (as in the standard library) are no letters."""
+        """The words of a text, normalised.  Letters that the standard library does not know yet
+        are classed and lower-cased by the vocabulary's own tables."""
         import unicodedata
 
         if text.isascii():
-            return self.split(text)
-        new = [c for c in set(text) if c > "\u02ff" and unicodedata.category(c) == "Cn" and self.letter(c)]
-        if not new:
-            return self.split(text)
-        plain = text.translate(dict.fromkeys(map(ord, new), "\ue000"))  # of equal length
-        return [text[slice(*m.span())] for m in self.split_at(plain)]
+            return self.split(text.lower())
+        if any(c > "\u02ff" and unicodedata.category(c) == "Cn" for c in set(text)):
+            words = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+            return [bytes(map(self.byte_of.__getitem__, w)).decode("utf-8") for w, _ in words]
+        # one code point at a time: no special form of sigma at the end of a word
+        return self.split(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 
     def words(self, text: str) -> list:
-        """Pieces in order: bytes of a word, or the id of a special token."""
-        import unicodedata
-
+        """Pieces in order: a word, or the id of a special token."""
         if self.special_split and "<|" in text:
             parts = self.special_split(text)
         else:
@@ -98,8 +97,7 @@ class MergeTable:
             if part in self.special:
                 out.append(self.special[part])
             elif part:
-                # one code point at a time: no special form of sigma at the end of a word
-                out += self._pieces(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())
+                out += self._pieces(part)
         return out
 
     def merge(self, words: list[bytes]):
