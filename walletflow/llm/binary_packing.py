@@ -32,6 +32,7 @@ LIMIT = 2048  # fixed: longest sequence
 END = 1  # fixed: id after every document
 TEXT_BYTES = 4 << 20  # text handled at once
 INDEX_BITS = 33
+BROADCAST_ROWS = 500_000  # (bucket, task) counts of 32 bytes up to which they are broadcast
 
 
 def binary_pieces(length: int, limit: int = LIMIT) -> list[int]:
@@ -102,6 +103,8 @@ def pack_binary(tokens: DataFrame, limit: int = LIMIT) -> DataFrame:
         F.coalesce(F.sum("b.m"), F.lit(0)).alias("first")  # 12 buckets at most
     )
     first = sizes.select("bucket", "task", "low", F.coalesce(F.sum("n").over(inside), F.lit(0)).alias("skip")).join(F.broadcast(before), "bucket")
+    if sizes.count() <= BROADCAST_ROWS:
+        first = F.broadcast(first)
     return rows.join(first, ["bucket", "task"]).select(
         "doc_id", "start", "length", "ids", "doc_tokens", "bucket",
         (F.col("first") + F.col("skip") + F.col("at") - F.col("low")).alias("sequence_id"),
