@@ -37,7 +37,8 @@ ship("walletflow.llm.common")
 ship("walletflow.llm.gated_model")
 
 FREQUENT = 65_536  # words in the table sent to every task
-STRETCH = 64  # tokens of a training document that the model learns from
+STRETCH = 64  # tokens of a training document that the model learns from, at most
+STRETCH_CHARS = 512  # characters that hold them
 ROUNDS = 2
 TASKS = 1024  # most training tasks in a round
 GROUPS = 32
@@ -76,26 +77,28 @@ def _tokens_of(table: dict):
 
 
 def _stretches(docs: DataFrame, table, words: int) -> DataFrame:
-    """(h, ids): a stretch of model numbers from every document; h is its hash."""
+    """(h, ids): a stretch of model numbers from every document; h is its hash, which selects the
+    place in the whole text.  Only that part is sent to Python."""
 
     def run(batches):
-        import zlib
-
         import numpy as np
         import pyarrow as pa
 
         tokens = _tokens_of(table.value[0])
-        for piece in slices(batches, TEXT_BYTES, "text"):
-            hashes, out = [], []
-            for key, text in zip(piece.column("h").to_pylist(), piece.column("text").to_pylist()):
-                ids, _ = tokens(text)
-                ids = np.where((ids < 0) | (ids >= words), 1, ids)
-                at = zlib.crc32(str(key).encode()) % max(1, len(ids) - STRETCH + 1)
-                hashes.append(key)
-                out.append(ids[at:at + STRETCH].astype("<i4").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(out, pa.binary())], names=["h", "ids"])
-
-    return docs.select(F.xxhash64("doc_id", "text").alias("h"), "text").mapInArrow(run, "h long, ids binary")
+        for batch in batches:
+            out = []
+            for text, first, last in zip(*[batch.column(c).to_pylist() for c in ("part", "first", "last")]):
+                ids, _ = tokens(text)  # the end follows
+                ids = ids[0 if first else 1:][: STRETCH if last else -1][:STRETCH]  # a cut word and a false end go
+                out.append(np.where((ids < 0) | (ids >= words), 1, ids).astype("<i4").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("h"), pa.array(out, pa.binary())], names=["h", "ids"])
+
+    sized = docs.select("text", F.xxhash64("doc_id", "text").alias("h"), F.length("text").alias("n"))
+    at = F.pmod("h", F.greatest(F.col("n") - STRETCH_CHARS + 1, F.lit(1))).cast("int")
+    cut = sized.select(
+        "h", F.substring("text", at + 1, F.lit(STRETCH_CHARS)).alias("part"), (at == 0).alias("first"), (at + STRETCH_CHARS >= F.col("n")).alias("last")
+    )
+    return cut.mapInArrow(run, "h long, ids binary").where("octet_length(ids) > 0")
 
 
 def _learn(stretches: DataFrame, part: int, params, tasks: int):
@@ -104,9 +107,13 @@ def _learn(stretches: DataFrame, part: int, params, tasks: int):
 
     start = stretches.sparkSession.sparkContext.broadcast(gated_model.pack(params).astype(np.float32))
 
+    def parts_batch(sums, tokens):
+        import pyarrow as pa
+
+        return pa.RecordBatch.from_arrays([pa.array([sums.astype("<f8").tobytes()]), pa.array([tokens], pa.int64())], names=["sums", "tokens"])
+
     def learn(batches):
         import numpy as np
-        import pyarrow as pa
 
         tokens = 0
 
@@ -119,30 +126,28 @@ def _learn(stretches: DataFrame, part: int, params, tasks: int):
 
         learned = gated_model.pack(gated_model.train(gated_model.unpack(start.value), texts()))
         if tokens:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([learned.astype(np.float64) * tokens], pa.list_(pa.float64())), pa.array([tokens], pa.int64())], names=["sums", "tokens"]
-            )
+            yield parts_batch(learned.astype(np.float64) * tokens, tokens)
 
     def add(batches):
         import numpy as np
-        import pyarrow as pa
 
         total, tokens = None, 0
         for batch in batches:
             for i in range(batch.num_rows):
-                one = batch.column("sums")[i].values.to_numpy()
-                total = one.copy() if total is None else total + one
+                one = np.frombuffer(batch.column("sums")[i].as_buffer(), dtype="<f8")
+                total = one if total is None else total + one
                 tokens += batch.column("tokens")[i].as_py()
         if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64())), pa.array([tokens], pa.int64())], names=["sums", "tokens"])
+            yield parts_batch(total, tokens)
 
     rows = stretches.where(F.pmod(F.shiftright("h", 8), F.lit(ROUNDS)) == part).repartition(tasks, "h").sortWithinPartitions("h")
-    schema = "sums array<double>, tokens long"
+    schema = "sums binary, tokens long"
     learned = stored(rows.mapInArrow(learn, schema), "learned-parts")
-    sums = learned.repartition(min(GROUPS, tasks), "tokens").sortWithinPartitions("tokens", "sums").mapInArrow(add, schema).collect()
+    grouped = learned.withColumn("g", F.pmod(F.xxhash64("sums"), F.lit(GROUPS)))
+    sums = grouped.repartition(min(GROUPS, tasks), "g").sortWithinPartitions("g", "tokens", "sums").mapInArrow(add, schema).collect()
     if not sums:
         return params
-    total = np.sum([np.array(r["sums"]) for r in sorted(sums, key=lambda r: (r["tokens"], r["sums"][0]))], axis=0)
+    total = np.sum([np.frombuffer(r["sums"], dtype="<f8") for r in sorted(sums, key=lambda r: (r["tokens"], bytes(r["sums"])))], axis=0)
     return gated_model.unpack(total / sum(r["tokens"] for r in sums))
 
 
