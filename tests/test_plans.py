@@ -41,9 +41,10 @@ def test_as_of_filter_reaches_the_scan(spark):
     assert "LessThanOrEqual(ts" in plan
 
 
-def test_latest_run_broadcasts_one_row(spark):
+def test_latest_run_is_a_partition_filter(spark):
     plan = _plan(QUERIES["latest_result"](spark, SF_SMALL))
-    assert "BroadcastHashJoin" in plan
+    assert "Join" not in plan
+    assert any("PartitionFilters" in line and "ubquery" in line for line in plan.splitlines())
 
 
 def test_hot_key_is_fetched_once_and_joined_back(spark):

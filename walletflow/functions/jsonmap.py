@@ -15,6 +15,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def parse_whole(body: Column, kind: str) -> Column:
+    """``body`` parsed as one JSON object of the map type ``kind``; NULL unless the whole
+    text is that object.  The JSON reader stops at the end of a value, so the text is read as
+    the first of two members: anything after the object, or an early close, leaves other keys."""
+    wrapped = F.concat(F.lit('{"d":'), body, F.lit(',"e":{}}'))
+    both = F.from_json(wrapped, f"map<string,{kind}>", {"allowSingleQuotes": "false"})
+    whole = F.map_keys(both) == F.array(F.lit("d"), F.lit("e"))
+    return F.when(whole, F.get(F.map_values(both), F.lit(0)))
+
+
 def ordered_entries(m: Column) -> Column:
     """array<struct<key,value>> of a map, duplicates collapsed dict-style.
 

@@ -142,17 +142,20 @@ def _fetch_partitions(fetch, attempt: int, opts: FetchOptions):
                     FetchRequest(None if a is None else str(a), attempt, opts.as_of_ms, c, opts.timeout)
                     for a, c in zip(addrs, ctx)
                 ]
-                results = list(pool.map(lambda r: classify_call(fetch, r, opts), reqs))
-                yield pd.DataFrame({
-                    "address": addrs,
-                    "context": ctx,
-                    "attempt": [attempt] * len(reqs),
-                    "status": [r[0] for r in results],
-                    "http_ok": [r[1] for r in results],
-                    "body": [r[2] for r in results],
-                    "detail": [r[3] for r in results],
-                    "elapsed_ms": [r[4] for r in results],
-                })
+                step = 8 * max(1, opts.threads)  # bounds the bodies held by a worker
+                for at in range(0, len(reqs), step):
+                    some = slice(at, at + step)
+                    results = list(pool.map(lambda r: classify_call(fetch, r, opts), reqs[some]))
+                    yield pd.DataFrame({
+                        "address": addrs[some],
+                        "context": ctx[some],
+                        "attempt": [attempt] * len(results),
+                        "status": [r[0] for r in results],
+                        "http_ok": [r[1] for r in results],
+                        "body": [r[2] for r in results],
+                        "detail": [r[3] for r in results],
+                        "elapsed_ms": [r[4] for r in results],
+                    })
 
     return run
 
@@ -213,34 +216,86 @@ class FetchRun:
         """K7: bag union of the successes of every round (one per address)."""
         return self.attempts().filter("ok")
 
+    @property
+    def n_success(self) -> int:
+        return sum(attempted - failed for _, attempted, failed in self.round_counts)
+
     def dead_letters(self) -> DataFrame:
-        """K8: keys still failing after the last round, numbered 1..n by address."""
+        """K8: staged keys without a success, with their last attempt, numbered 1..n by address."""
         from walletflow.operators.numbering import dense_number
 
-        last = self.attempts().filter((F.col("round") == self.rounds) & ~F.col("ok"))
-        if not self.round_counts or self.round_counts[-1][2] == 0:
-            last = last.limit(0)
-        rows = last.select(
+        tried = self.attempts().groupBy("address").agg(
+            F.bool_or("ok").alias("done"),
+            F.max_by(F.struct("attempt", "status", "error_message"), "attempt").alias("last"),
+        )
+        if self.rounds == 0:
+            open_keys = tried
+        else:
+            staged = self.spark.read.parquet(_staged_keys(self.landing)).select(F.col("address").alias("key"))
+            open_keys = staged.join(tried, F.col("key").eqNullSafe(F.col("address")), "left").select(
+                F.col("key").alias("address"), "done", "last"
+            )
+        rows = open_keys.where(~F.coalesce("done", F.lit(False))).select(
             "address",
-            F.col("attempt").cast("bigint").alias("attempts"),
-            F.col("status").alias("last_status"),
-            F.col("error_message").alias("last_error"),
+            F.coalesce(F.col("last.attempt"), F.lit(0)).cast("bigint").alias("attempts"),
+            F.col("last.status").alias("last_status"),
+            F.coalesce("last.error_message", F.lit(self.opts.no_data_message)).alias("last_error"),
         )
         return dense_number(rows, ["address"], "no")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
 
 
+def _staged_keys(landing: str) -> str:
+    return f"{landing}/_pending/round=1/all"
+
+
+def _manifest(distinct: DataFrame, opts: FetchOptions) -> DataFrame:
+    """What a landing was started with: the key set's size and order-free fingerprint, the kind
+    and the as-of."""
+    return distinct.agg(
+        F.count(F.lit(1)).alias("n_keys"),
+        F.coalesce(F.sum(F.xxhash64("address").cast("decimal(38,0)")), F.lit(0)).cast("string").alias("fingerprint"),
+    ).select("*", F.lit(opts.kind).alias("kind"), F.lit(opts.as_of_ms).cast("bigint").alias("as_of_ms"))
+
+
+def landed_as_of(spark: SparkSession, landing: str) -> int | None:
+    """The as-of that a landing was started with, if it was started."""
+    path = f"{landing.rstrip('/')}/_pending/manifest"
+    return spark.read.parquet(path).first()["as_of_ms"] if path_exists(spark, f"{path}/_SUCCESS") else None
+
+
+def _same_run(spark: SparkSession, landing: str, distinct: DataFrame, opts: FetchOptions) -> None:
+    """Raise unless the landing was started with these keys, this kind and this as-of."""
+    path = f"{landing}/_pending/manifest"
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        held = spark.read.parquet(path).first().asDict()
+    else:  # started before its manifest was written: the staged keys tell
+        held = _manifest(spark.read.parquet(_staged_keys(landing)), opts).first().asDict()
+    now = _manifest(distinct, opts).first().asDict()
+    differ = sorted(k for k in now if now[k] != held[k])
+    if differ:
+        raise ValueError(f"landing {landing} belongs to another run: {', '.join(differ)} differ; use a new landing")
+
+
+def _waves_of(spark: SparkSession, landing: str, r: int, computed: int) -> int:
+    """Waves of a round: those it was started with, whatever the options are now."""
+    staged = f"{landing}/_pending/round={r}/waves"
+    if path_exists(spark, f"{staged}/_SUCCESS"):
+        return int(spark.read.parquet(staged).agg(F.max("wave")).first()[0]) + 1
+    return 1 if path_exists(spark, f"{landing}/round={r}/wave=0") else computed
+
+
 def _land_wave(spark: SparkSession, src: DataFrame, fetch, r: int, opts: FetchOptions, parts: int,
                spread: bool, out: str) -> tuple[int, int]:
     """Fetch one wave and land it; returns (attempted, failed).  A wave that
     is already landed (``_SUCCESS``, e.g. before a driver restart) is not
     fetched again."""
-    if _exists(spark, f"{out}/_SUCCESS"):
+    if path_exists(spark, f"{out}/_SUCCESS"):
         got = spark.read.parquet(out).agg(
             F.count(F.lit(1)).alias("n"), F.count_if(~F.col("ok")).alias("failed")
         ).first()
@@ -280,26 +335,28 @@ def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
     # The distinct keys are staged once (the de-duplication shuffle runs once,
     # and a resumed run sees the same key set); the count is observed while
     # writing.
-    first = f"{landing}/_pending/round=1/all"
-    if _exists(spark, f"{first}/_SUCCESS"):
+    first = _staged_keys(landing)
+    if path_exists(spark, f"{first}/_SUCCESS"):
+        _same_run(spark, landing, distinct, opts)
         n_pending = spark.read.parquet(first).count()
     else:
         obs = Observation(f"keys_{uuid.uuid4().hex[:6]}")
         distinct.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(first)
         n_pending = int(obs.get.get("n", 0) or 0)
+        _manifest(spark.read.parquet(first), opts).write.mode("overwrite").parquet(f"{landing}/_pending/manifest")
     pending = spark.read.parquet(first) if n_pending else distinct
     for r in range(1, opts.max_rounds + 1):
         if n_pending is None:
             n_pending = pending.count()
         if n_pending == 0:
             break
-        waves = max(1, math.ceil(n_pending / per_wave))
+        waves = _waves_of(spark, landing, r, max(1, math.ceil(n_pending / per_wave)))
         parts = max(1, min(opts.max_partitions, math.ceil(n_pending / waves / max(1, opts.keys_per_partition))))
         if waves == 1:
             sources = [(0, pending, r == 1)]
         else:
             staged = f"{landing}/_pending/round={r}/waves"
-            if not _exists(spark, f"{staged}/_SUCCESS"):
+            if not path_exists(spark, f"{staged}/_SUCCESS"):
                 pending.withColumn("wave", F.pmod(F.xxhash64("address"), F.lit(waves))).write.mode(
                     "overwrite"
                 ).partitionBy("wave").parquet(staged)

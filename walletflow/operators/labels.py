@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from walletflow.functions.jsonmap import is_object, json_class, ordered_entries, text_or_default
+from walletflow.functions.jsonmap import is_object, json_class, ordered_entries, text_or_default, parse_whole
 from walletflow.functions.once import evaluate_once
 from walletflow.schemas import (
     ENTITY_FIELDS,
@@ -66,14 +66,16 @@ def _typed_chain(c: Column) -> Column:
         json_class(lab).alias("lab_cls"),
         ent.alias("ent"),  # entity fields are read from the primary chain only
         text_or_default(lab, "name").alias("label_name"),
-        F.when(iu.isNull(), F.lit(False)).otherwise(F.try_variant_get(iu, "$", "boolean")).alias("is_user"),
+        F.when(iu.isNull(), F.lit(False))
+        .when(F.schema_of_variant(iu) == "BOOLEAN", F.try_variant_get(iu, "$", "boolean"))  # others: NULL (D11)
+        .alias("is_user"),
     )
 
 
 def parse_labels(df: DataFrame, body: str = "body") -> DataFrame:
     """Add ``label_ok`` (document accepted) and ``label_chains`` (typed,
     ordered chain objects) to ``df``.  The document is parsed once per row."""
-    staged = evaluate_once(df, "_lab_m", F.from_json(F.col(body), LOOSE_MAP_DDL))
+    staged = evaluate_once(df, "_lab_m", parse_whole(F.col(body), LOOSE_MAP_DDL))
     m = F.col("_lab_m")
     raw = F.transform(F.filter(ordered_entries(m), lambda e: is_object(e["value"])), _chain_struct)
     chains = F.transform(raw, _typed_chain)
@@ -90,7 +92,7 @@ def parse_labels(df: DataFrame, body: str = "body") -> DataFrame:
 def label_valid(body: Column) -> Column:
     """Only the accept / fail decision of ``parse_labels`` (used per fetch
     round): parsed as an object and no truthy non-object entity or label."""
-    m = F.from_json(body, LOOSE_MAP_DDL)
+    m = parse_whole(body, LOOSE_MAP_DDL)
     objs = F.filter(ordered_entries(m), lambda e: is_object(e["value"]))
 
     def bad(e: Column) -> Column:

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from walletflow.functions.jsonmap import is_object, key_present, ordered_entries
+from walletflow.functions.jsonmap import is_object, key_present, ordered_entries, parse_whole
 from walletflow.functions.once import evaluate_once
 from walletflow.schemas import CHAIN_RENAME, EXPORT_CHAINS, LOOSE_MAP_DDL, PORTFOLIO_DDL, TOKEN_FIELDS
 
@@ -46,7 +46,7 @@ def _fast_gate(p: Column) -> Column:
 
 
 def _strict_check(body: Column) -> Column:
-    v = F.from_json(body, LOOSE_MAP_DDL)
+    v = parse_whole(body, LOOSE_MAP_DDL)
 
     def token_ok(t: Column) -> Column:
         cond = is_object(t)
@@ -67,7 +67,7 @@ def parse_portfolio(df: DataFrame, body: str = "body") -> DataFrame:
 
     The typed parse runs once per row; the strict path only for rows that
     fail the gate (CASE keeps it lazy)."""
-    doc = F.from_json(F.col(body), PORTFOLIO_DDL)
+    doc = parse_whole(F.col(body), PORTFOLIO_DDL)
     staged = evaluate_once(df, "_pf", F.struct(doc.alias("doc")))
     fast = F.coalesce(_fast_gate(F.col("_pf.doc")), F.lit(False))
     staged = evaluate_once(

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from walletflow.operators import labels as L
 from walletflow.operators import portfolio as P
-from walletflow.operators.fetch import FetchOptions, FetchRun, attach_keys, fetch_rounds
+from walletflow.operators.fetch import attach_keys, fetch_rounds, FetchOptions, FetchRun, landed_as_of, path_exists
 from walletflow.operators.numbering import dense_number
 from walletflow.functions.text import default_file_name_text, with_csv_suffix
 from walletflow.schemas import (
@@ -96,7 +96,8 @@ def enrich_portfolios(keys: DataFrame, fetch, as_of_ms: int | None = None, opts:
     opts = opts or FetchOptions(kind="portfolio")
     opts.kind = "portfolio"
     if opts.as_of_ms is None:
-        opts.as_of_ms = as_of_ms if as_of_ms is not None else int(dt.datetime.now().timestamp() * 1000)
+        before = landed_as_of(keys.sparkSession, landing) if landing else None
+        opts.as_of_ms = as_of_ms or before or int(dt.datetime.now().timestamp() * 1000)
     run = fetch_rounds(keys, fetch, opts, context=context, landing=landing)
     return portfolio_rows_for_table(run.successes(), keys), run
 
@@ -108,7 +109,7 @@ def export_labels(keys: DataFrame, fetch, opts: FetchOptions | None = None, *, c
         return None
     rows, _ = enrich_labels(keys, fetch, opts, context=context)
     path = _csv_path(keys.sparkSession, csv_dir, filename, LABEL_FILE_PREFIX)
-    return path if write_csv(rows, path) > 0 else None
+    return path if write_csv(rows, path, mode="overwrite") > 0 else None
 
 
 def export_portfolios(keys: DataFrame, fetch, as_of_ms: int | None = None, opts: FetchOptions | None = None, *,
@@ -119,7 +120,7 @@ def export_portfolios(keys: DataFrame, fetch, as_of_ms: int | None = None, opts:
         return None
     rows, _ = enrich_portfolios(keys, fetch, as_of_ms, opts, context=context)
     path = _csv_path(keys.sparkSession, csv_dir, filename, PORTFOLIO_FILE_PREFIX)
-    return path if write_csv(rows, path) > 0 else None
+    return path if write_csv(rows, path, mode="overwrite") > 0 else None
 
 
 def label_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str, name: str,
@@ -140,11 +141,16 @@ def label_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str, na
     rows, run = enrich_labels(keys, fetch, opts, context=context, run_date=run_date, landing=landing)
     _write_dead_letters(run, dead_letter_path)
     csv_path = _csv_path(spark, csv_dir, filename, LABEL_FILE_PREFIX)
-    written = write_csv(rows, csv_path)
+    written = write_csv(rows, csv_path, mode="overwrite")
     if written == 0:
         return JobResult(full, None, 0, run, None)
+    # A run over a landing that this table has loaded does not append again.
+    ledger = f"{run.landing}/_loaded/{full}"
+    if not history and path_exists(spark, f"{ledger}/_SUCCESS"):
+        return JobResult(full, csv_path, written, run, None)
     load = tables.load_csv(spark, csv_path, namespace, name, mode="history" if history else "append",
                            reject_path=reject_path)
+    spark.range(1).write.mode("overwrite").parquet(ledger)
     return JobResult(full, csv_path, written, run, load)
 
 
@@ -173,8 +179,9 @@ def portfolio_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str
     rows, run = enrich_portfolios(keys, fetch, as_of_ms, opts, context=context, landing=landing)
     _write_dead_letters(run, dead_letter_path)
     csv_path = _csv_path(spark, csv_dir, filename, PORTFOLIO_FILE_PREFIX)
-    written = write_csv(rows, csv_path)
-    if written == 0 and not allow_empty_refresh:
+    written = write_csv(rows, csv_path, mode="overwrite")
+    # Wallets without tokens are a result; only calls that all failed are none.
+    if run.n_success == 0 and not allow_empty_refresh:
         return JobResult(full, None, 0, run, None)
     load = tables.load_csv(spark, csv_path, namespace, name, mode="refresh", reject_path=reject_path)
     return JobResult(full, csv_path, written, run, load)

@@ -32,6 +32,7 @@ READ_OPTIONS = {
     "quote": '"',
     "escape": '"',
     "multiLine": "true",
+    "enforceSchema": "false",  # a header that differs from the columns fails the read
     "mode": "FAILFAST",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",

@@ -16,6 +16,7 @@ reason instead of a silently wrong value.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -71,6 +72,17 @@ def _root(spark: SparkSession, full: str) -> str | None:
     return props.get("walletflow.root") or None
 
 
+@contextmanager
+def _overwrite_mode(spark: SparkSession, mode: str):
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key, "static")
+    spark.conf.set(key, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _swap_in(spark: SparkSession, full: str, df: DataFrame) -> int:
     """Write ``df`` as a new version of the table and repoint the table."""
     root = _root(spark, full)
@@ -78,18 +90,20 @@ def _swap_in(spark: SparkSession, full: str, df: DataFrame) -> int:
         obs = Observation("rows")
         df.observe(obs, F.count(F.lit(1)).alias("n")).write.insertInto(full, overwrite=True)
         return int(obs.get["n"])
-    target = f"{root.rstrip('/')}/v{uuid.uuid4().hex[:12]}"
     cols = [f.name for f in spark.table(full).schema.fields]
     parts = [r["col_name"] for r in spark.sql(f"DESCRIBE TABLE {_ident(full)}").collect()]
     part_cols = parts[parts.index("# Partition Information") + 2:] if "# Partition Information" in parts else []
     obs = Observation("rows")
-    w = df.select(*cols).observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists")
+    w = df.select(*cols).observe(obs, F.count(F.lit(1)).alias("n")).write
     if part_cols:
-        w = w.partitionBy(*part_cols)
-    w.parquet(target)
-    spark.sql(f"ALTER TABLE {_ident(full)} SET LOCATION {_lit(target)}")
-    if part_cols:
-        spark.sql(f"ALTER TABLE {_ident(full)} RECOVER PARTITIONS")
+        # Catalog partitions keep their own locations, so the table cannot just be repointed:
+        # a static overwrite replaces every partition and drops those without rows.
+        with _overwrite_mode(spark, "static"):
+            w.insertInto(full, overwrite=True)
+    else:
+        target = f"{root.rstrip('/')}/v{uuid.uuid4().hex[:12]}"
+        w.mode("errorifexists").parquet(target)
+        spark.sql(f"ALTER TABLE {_ident(full)} SET LOCATION {_lit(target)}")
     spark.sql(f"REFRESH TABLE {_ident(full)}")
     return int(obs.get["n"])
 
@@ -103,7 +117,7 @@ def clear_table(spark: SparkSession, namespace: str, name: str) -> bool:
         else:
             empty = spark.createDataFrame([], spark.table(full).schema)
             _swap_in(spark, full, empty)
-        return True
+        return spark.table(full).isEmpty()
     except Exception:  # noqa: BLE001
         return False
 
@@ -141,6 +155,7 @@ class LoadResult:
     rows_written: int = 0
     bytes_read: int = 0
     rejects: DataFrame | None = None
+    rejected: int = 0           # rows that did not convert
 
     @property
     def megabytes(self) -> float:
@@ -148,11 +163,12 @@ class LoadResult:
 
 
 def load_csv(spark: SparkSession, csv_path: str, namespace: str, name: str, mode: str = "append",
-             reject_path: str | None = None) -> LoadResult:
+             reject_path: str | None = None, max_lost: int = 0) -> LoadResult:
     """T6 (append) / T7 (refresh) / T8 (history: dynamic partition overwrite).
 
-    Missing path -> ``LoadResult(False)``.  Rejects are written to
-    ``reject_path`` when given, and returned either way.
+    Missing path -> ``LoadResult(False)``.  Rejects are counted always, written to
+    ``reject_path`` when given, and returned either way.  Rejected rows that are written
+    nowhere are lost: ``ok`` is then False unless at most ``max_lost`` rows are.
     """
     full = f"{namespace}.{name}"
     try:
@@ -165,10 +181,14 @@ def load_csv(spark: SparkSession, csv_path: str, namespace: str, name: str, mode
         # rejects and good rows are two writes over one parse of the CSV
         text = text.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        good, rejects = type_rows(text, schema)
+        rejects = type_rows(text, schema)[1]
         if reject_path:
             rejects.write.mode("append").parquet(reject_path)
-        return _load_good(spark, full, good, schema, mode, size, rejects)
+        seen = Observation("text_rows")
+        result = _load_good(spark, full, type_rows(text.observe(seen, F.count(F.lit(1)).alias("n")), schema)[0], schema, mode, size, rejects)
+        result.rejected = int(seen.get["n"]) - result.rows_written
+        result.ok = bool(reject_path) or result.rejected <= max_lost
+        return result
     finally:
         if reject_path:
             text.unpersist()
@@ -184,13 +204,8 @@ def _load_good(spark: SparkSession, full: str, good: DataFrame, schema: T.Struct
         if mode == "history":
             # Dynamic partition overwrite: only the run's update_date partitions
             # are replaced, so a same-day rerun is idempotent.
-            key = "spark.sql.sources.partitionOverwriteMode"
-            before = spark.conf.get(key, "static")
-            spark.conf.set(key, "dynamic")
-            try:
+            with _overwrite_mode(spark, "dynamic"):
                 w.insertInto(full, overwrite=True)
-            finally:
-                spark.conf.set(key, before)
         else:
             w.insertInto(full)
         n = int(obs.get["n"])

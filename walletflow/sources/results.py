@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 def latest_result(results: DataFrame, run_col: str = "run_ts") -> DataFrame:
     """Rows of the most recent run.
 
-    The max is a one-row global aggregate (partial per task), joined back
-    as a broadcast of exactly one row.
+    The max is a scalar subquery, so it reaches the scan as a partition filter
+    when the snapshots are partitioned by ``run_col``.
     """
-    latest = results.agg(F.max(run_col).alias(run_col))
-    return results.join(F.broadcast(latest), on=run_col, how="left_semi")
+    latest = results.agg(F.max(run_col).alias("latest"))
+    return results.where(F.col(run_col) == latest.scalar())
 
 
 def column_values(rows: DataFrame, key: str, json_col: str | None = None) -> DataFrame:
