@@ -176,3 +176,51 @@ def test_portfolio_job_refreshes_to_empty_wallets(spark, tmp_dir):
 
 def test_latest_result_of_no_rows(spark):
     assert latest_result(spark.createDataFrame([], "run_ts long, x int")).count() == 0
+
+
+def test_loaded_rows_equal_the_rows_of_their_csv(spark, tmp_dir):
+    where = f"r2l_{os.path.basename(tmp_dir).replace('-', '_')}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {where} LOCATION '{tmp_dir}/{where}'")
+    schema = T.StructType([T.StructField("address", T.BinaryType()), T.StructField("s", T.StringType()), T.StructField("b", T.BooleanType()), T.StructField("day", T.DateType())])
+    for t in ("by_csv", "by_rows"):
+        assert tables.create_table(spark, where, t, "d", schema, root=f"{tmp_dir}/{where}-{t}")
+    day = dt.date(2024, 1, 15)
+    rows = spark.createDataFrame(
+        [("0xab", 'a,"b"', True, day), ("0xAB", "", False, None), ("nothex", "x", True, day), (None, None, None, None), ("0x00", " s\nt ", None, day)],
+        "address string, s string, b boolean, day date",
+    )
+    path = os.path.join(tmp_dir, "rows")
+    write_csv(rows, path)
+    one = tables.load_csv(spark, path, where, "by_csv", reject_path=os.path.join(tmp_dir, "r1"))
+    two = tables.load_rows(spark, rows, where, "by_rows", reject_path=os.path.join(tmp_dir, "r2"))
+    assert (one.rows_written, one.rejected) == (two.rows_written, two.rejected) and two.rejected >= 1
+    read = lambda t: sorted(map(str, spark.table(f"{where}.{t}").collect()))
+    assert read("by_csv") == read("by_rows")
+    reasons = [sorted(map(str, spark.read.parquet(os.path.join(tmp_dir, r)).collect())) for r in ("r1", "r2")]
+    assert reasons[0] == reasons[1]
+
+
+def test_one_bad_page_fails_its_address(spark):
+    good = json.dumps({"ethereum": {"t": dict(TOKEN, id="t", name="T")}})
+    pages = spark.createDataFrame([("a", 1, good), ("a", 2, '{"ethereum":{"u":{}}}'), ("b", 1, good), ("b", 2, good), (None, 1, "[]"), (None, 2, good)], "address string, page int, body string")
+    got = [r.address for r in P.paged_portfolio_rows(pages).collect()]
+    assert got == ["b", "b"]
+
+
+def test_throttle_pauses_every_call():
+    import time
+
+    import pandas as pd
+
+    from walletflow.operators.fetch import _fetch_partitions
+
+    class Limited:
+        def __call__(self, req):
+            return 429, None
+
+    opts = FetchOptions(kind="labels", threads=2, request_delay=0.03, backoff_429=0.04)
+    keys = pd.DataFrame({"address": [str(i) for i in range(10)], "context": [None] * 10})
+    begin = time.monotonic()
+    rows = pd.concat(_fetch_partitions(Limited(), 1, opts)([keys]))
+    assert len(rows) == 10 and set(rows["status"]) == {"429"}
+    assert time.monotonic() - begin >= 5 * (0.03 + 0.04)

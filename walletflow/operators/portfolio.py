@@ -80,21 +80,20 @@ def parse_portfolio(df: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
-def with_address_validity(parsed: DataFrame, address: str = "address") -> DataFrame:
+def without_invalid_addresses(parsed: DataFrame, address: str = "address") -> DataFrame:
     """Paged documents: an address is valid only if every one of its pages is.
 
-    ``bool_and`` is a partial aggregate (a hot address is reduced per task
-    before the shuffle); the per-address flags are joined back on the key,
-    and AQE broadcasts them or splits a skewed address at run time."""
-    flags = parsed.groupBy(address).agg(F.bool_and("portfolio_ok").alias("_addr_ok"))
-    return parsed.join(flags, on=address).withColumn("portfolio_ok", F.col("_addr_ok")).drop("_addr_ok")
+    Only the invalid addresses are gathered and shuffled (normally few, so AQE can
+    broadcast them); the parsed pages of valid addresses need not be grouped."""
+    invalid = parsed.filter(~F.col("portfolio_ok")).select(F.col(address).alias("_invalid")).distinct()
+    return parsed.join(invalid, F.col(address).eqNullSafe(F.col("_invalid")), "left_anti")
 
 
 def paged_portfolio_rows(pages: DataFrame, body: str = "body", address: str = "address",
                          page: str = "page", with_rank: bool = False) -> DataFrame:
     """Flat token rows of paged documents: pages of one address are flattened
     independently, after the address-level validity check."""
-    parsed = with_address_validity(parse_portfolio(pages, body), address)
+    parsed = without_invalid_addresses(parse_portfolio(pages, body), address)
     return flatten_portfolio(parsed, address, keep=[page], with_rank=with_rank)
 
 

@@ -1,7 +1,7 @@
 """The label and portfolio jobs as functions on DataFrames.
 
 Label job:  ensure table -> keys -> fetch rounds -> flatten -> number ->
-            CSV -> typed append (history tagged with the run date).
+            CSV, and the same rows typed and appended (history tagged with the run date).
 Portfolio job: ensure table -> keys -> fetch rounds -> flatten -> CSV ->
             full refresh (new version swapped in only after it is written).
 
@@ -35,7 +35,7 @@ from walletflow.schemas import (
 )
 from walletflow.session import prepare, scratch_path
 from walletflow.sinks import tables
-from walletflow.sinks.csv import write_csv
+from walletflow.sinks.csv import path_size, write_csv
 
 
 class JobStopped(RuntimeError):
@@ -148,8 +148,8 @@ def label_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str, na
     ledger = f"{run.landing}/_loaded/{full}"
     if not history and path_exists(spark, f"{ledger}/_SUCCESS"):
         return JobResult(full, csv_path, written, run, None)
-    load = tables.load_csv(spark, csv_path, namespace, name, mode="history" if history else "append",
-                           reject_path=reject_path)
+    load = tables.load_rows(spark, rows, namespace, name, mode="history" if history else "append",
+                            reject_path=reject_path, size=path_size(spark, csv_path))
     spark.range(1).write.mode("overwrite").parquet(ledger)
     return JobResult(full, csv_path, written, run, load)
 
@@ -183,5 +183,6 @@ def portfolio_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str
     # Wallets without tokens are a result; only calls that all failed are none.
     if run.n_success == 0 and not allow_empty_refresh:
         return JobResult(full, None, 0, run, None)
-    load = tables.load_csv(spark, csv_path, namespace, name, mode="refresh", reject_path=reject_path)
+    load = tables.load_rows(spark, rows, namespace, name, mode="refresh", reject_path=reject_path,
+                            size=path_size(spark, csv_path))
     return JobResult(full, csv_path, written, run, load)

@@ -288,12 +288,8 @@ FROM a
 """
 
 ORACLE["export_name"] = """
-WITH runs AS (
-  SELECT DISTINCT run_ts FROM (
-    SELECT TIMESTAMP '2024-01-14 00:00:00' AS run_ts FROM customer WHERE c_acctbal >= 0
-    UNION ALL
-    SELECT TIMESTAMP '2024-01-15 00:00:00' AS run_ts FROM customer WHERE c_acctbal >= 5000) r)
-SELECT strftime(run_ts, '%Y-%m-%d %H:%M:%S') AS run_ts,
+WITH runs AS (SELECT user_id, max(ts) AS run_ts FROM events GROUP BY user_id)
+SELECT user_id,
        'ArcHam_Intelligence_Report_' || strftime(run_ts, '%Y%m%d_%H%M%S') || '.csv' AS label_file,
        'ArcHam_portfolios_' || strftime(run_ts, '%Y%m%d_%H%M%S') || '.csv' AS portfolio_file,
        'whales_' || strftime(run_ts, '%Y%m%d') || '.csv' AS given_file,
@@ -301,6 +297,20 @@ SELECT strftime(run_ts, '%Y-%m-%d %H:%M:%S') AS run_ts,
 FROM runs
 """
 
+# A cell with a comma, quote or line end is quoted and its quotes doubled.
+ORACLE["load_stats"] = f"""
+WITH cells AS (
+  SELECT unnest([chain, address, symbol, balance, price, usd]) AS cell FROM ({PORTFOLIO_FLAT}) AS f),
+size AS (
+  SELECT CAST(count(*) AS BIGINT) // 6 AS rows_written,
+         CAST(sum(strlen(cell) + 1 + CASE WHEN regexp_matches(cell, '[,"\\n\\r]')
+           THEN 2 + strlen(cell) - strlen(replace(cell, '"', '')) ELSE 0 END) AS BIGINT) AS bytes_written
+  FROM cells)
+SELECT rows_written, bytes_written,
+       CAST(CAST(round(bytes_written / 1048576.0, 2) AS DECIMAL(20,2)) AS VARCHAR) AS megabytes
+FROM size
+"""
+
 ORACLE["table_lifecycle"] = """
 SELECT CAST(step_no AS BIGINT) AS step_no, step, ok, CAST(row_count AS BIGINT) AS row_count FROM (
   SELECT 1 AS step_no, 'create' AS step, true AS ok, NULL AS row_count
@@ -353,6 +363,25 @@ WHERE customer.c_acctbal >= 5000 AND tok.k % 12 < 10
   AND network IN ('arbitrum_one', 'ethereum', 'base', 'optimism')
 """
 
+ORACLE["export_labels"] = f"""
+WITH {LABEL_BASE}
+SELECT CAST(row_number() OVER (ORDER BY flat.k % 12, flat.address) AS VARCHAR) AS no, flat.address,
+       NULLIF(name, '') AS name, NULLIF(type, '') AS type, NULLIF(label, '') AS label,
+       CASE WHEN is_user THEN 'True' ELSE 'False' END AS isuseraddress, NULLIF(website, '') AS website,
+       NULLIF(twitter, '') AS twitter, NULLIF(crunchbase, '') AS crunchbase, NULLIF(linkedin, '') AS linkedin
+FROM flat JOIN customer ON customer.c_custkey = flat.k
+WHERE customer.c_acctbal >= 5000 AND flat.k % 12 < 10
+"""
+
+ORACLE["export_portfolios"] = f"""
+WITH {PORTFOLIO_TOKENS}
+SELECT CASE network WHEN 'arbitrum_one' THEN 'arbitrum' ELSE network END AS chain,
+       address, p_name AS symbol, balance, price, usd
+FROM tok JOIN customer ON customer.c_custkey = tok.k
+WHERE customer.c_acctbal >= 5000 AND tok.k % 12 < 10
+  AND network IN ('arbitrum_one', 'ethereum', 'base', 'optimism')
+"""
+
 ORACLE["stream_landing"] = ORACLE["retry_rounds"]
 
 ORACLE["portfolio_paged"] = PORTFOLIO_FLAT

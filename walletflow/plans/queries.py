@@ -383,11 +383,12 @@ def rows_written(spark, sf_dir):
 
 @query("load_stats")
 def load_stats(spark, sf_dir):
-    """Rows written and bytes / MB of a table load."""
-    from walletflow.schemas import PORTFOLIO_TABLE_SCHEMA
+    """Rows written and bytes / MB of a table load.  Every part file repeats the header;
+    the figures here are those of the rows."""
+    from walletflow.schemas import PORTFOLIO_COLUMNS, PORTFOLIO_TABLE_SCHEMA
     from walletflow.session import scratch_path
     from walletflow.sinks import tables
-    from walletflow.sinks.csv import write_csv
+    from walletflow.sinks.csv import file_sizes, write_csv
 
     ns = _namespace(spark)
     path = scratch_path(spark, "load-csv")
@@ -395,7 +396,8 @@ def load_stats(spark, sf_dir):
     tables.create_table(spark, ns, "portfolio", "load stats", PORTFOLIO_TABLE_SCHEMA,
                         root=scratch_path(spark, "tbl"))
     res = tables.load_csv(spark, path, ns, "portfolio", mode="append")
-    return tables.load_stats_frame(spark, res)
+    res.bytes_read -= len(file_sizes(spark, path)) * len(",".join(PORTFOLIO_COLUMNS) + "\n")
+    return tables.load_stats_frame(spark, res).withColumn("megabytes", F.col("megabytes").cast("string"))
 
 
 @query("address_binary")
@@ -426,13 +428,13 @@ def endpoint_key(spark, sf_dir):
 
 @query("export_name")
 def export_name(spark, sf_dir):
-    """Default file names per saved-result run; '.csv' added when missing."""
+    """Default file names of a run at each user's last event; '.csv' added when missing."""
     from walletflow.functions.text import default_file_name, ensure_csv_suffix
     from walletflow.schemas import LABEL_FILE_PREFIX, PORTFOLIO_FILE_PREFIX
 
-    runs = fx.landed(spark, sf_dir, "saved_results").select("run_ts").distinct()
+    runs = fx.table(spark, sf_dir, "events").groupBy("user_id").agg(F.max("ts").alias("run_ts"))
     return runs.select(
-        F.date_format("run_ts", "yyyy-MM-dd HH:mm:ss").alias("run_ts"),
+        "user_id",
         default_file_name(LABEL_FILE_PREFIX, F.col("run_ts")).alias("label_file"),
         default_file_name(PORTFOLIO_FILE_PREFIX, F.col("run_ts")).alias("portfolio_file"),
         ensure_csv_suffix(F.concat(F.lit("whales_"), F.date_format("run_ts", "yyyyMMdd"))).alias("given_file"),
@@ -550,6 +552,18 @@ def history_load(spark, sf_dir):
 
 # -------------------------------------------------------------------------- jobs
 
+AS_OF_MS = 1705276800000  # the stub refuses calls for another time
+
+
+def _latest_keys(spark, sf_dir, documents):
+    """Keys of the latest saved result, with the document the stub answers."""
+    from walletflow.sources.results import latest_result
+
+    keys = latest_result(fx.landed(spark, sf_dir, "saved_results")).select(F.col("user_addr").alias("address"))
+    docs = fx.landed(spark, sf_dir, documents).select("address", F.col("body").alias("doc"))
+    return keys.join(docs, "address", "left")
+
+
 def _stub_opts(kind):
     from walletflow.operators.fetch import FetchOptions
 
@@ -562,11 +576,8 @@ def job_labels(spark, sf_dir):
     from walletflow.plans.jobs import label_job
     from walletflow.plans.stub_service import CyclingStubService
     from walletflow.session import scratch_path
-    from walletflow.sources.results import latest_result
 
-    keys = latest_result(fx.landed(spark, sf_dir, "saved_results")).select(F.col("user_addr").alias("address"))
-    docs = fx.landed(spark, sf_dir, "labels").select("address", F.col("body").alias("doc"))
-    keys = keys.join(docs, "address", "left")
+    keys = _latest_keys(spark, sf_dir, "labels")
     ns = _namespace(spark)
     label_job(spark, keys, CyclingStubService(), namespace=ns, name="labels", run_date=RUN_DATE,
               opts=_stub_opts("labels"), context="doc", table_root=scratch_path(spark, "tbl"))
@@ -579,18 +590,44 @@ def job_portfolio(spark, sf_dir):
     from walletflow.plans.jobs import portfolio_job
     from walletflow.plans.stub_service import CyclingStubService
     from walletflow.session import scratch_path
-    from walletflow.sources.results import latest_result
 
-    keys = latest_result(fx.landed(spark, sf_dir, "saved_results")).select(F.col("user_addr").alias("address"))
-    docs = fx.landed(spark, sf_dir, "portfolio").select("address", F.col("body").alias("doc"))
-    keys = keys.join(docs, "address", "left")
+    keys = _latest_keys(spark, sf_dir, "portfolio")
     ns = _namespace(spark)
-    portfolio_job(spark, keys, CyclingStubService(), namespace=ns, name="portfolio",
-                  as_of_ms=1705276800000, opts=_stub_opts("portfolio"), context="doc",
+    portfolio_job(spark, keys, CyclingStubService(AS_OF_MS), namespace=ns, name="portfolio",
+                  as_of_ms=AS_OF_MS, opts=_stub_opts("portfolio"), context="doc",
                   table_root=scratch_path(spark, "tbl"))
     return _shown(spark.table(f"{ns}.portfolio"))
 
 
+@query("export_labels")
+def export_labels(spark, sf_dir):
+    """The label export's CSV, read back as text."""
+    from walletflow.plans import jobs
+    from walletflow.plans.stub_service import CyclingStubService
+    from walletflow.schemas import LABEL_COLUMNS
+    from walletflow.session import scratch_path
+    from walletflow.sinks.csv import read_csv
+
+    path = jobs.export_labels(_latest_keys(spark, sf_dir, "labels"), CyclingStubService(), _stub_opts("labels"),
+                              context="doc", csv_dir=scratch_path(spark, "export"), filename="whales")
+    return read_csv(spark, path, LABEL_COLUMNS).drop("update_date")  # the day of the run
+
+
+@query("export_portfolios")
+def export_portfolios(spark, sf_dir):
+    """The portfolio export's CSV, read back as text."""
+    from walletflow.plans import jobs
+    from walletflow.plans.stub_service import CyclingStubService
+    from walletflow.schemas import PORTFOLIO_COLUMNS
+    from walletflow.session import scratch_path
+    from walletflow.sinks.csv import read_csv
+
+    path = jobs.export_portfolios(_latest_keys(spark, sf_dir, "portfolio"), CyclingStubService(AS_OF_MS), AS_OF_MS,
+                                  _stub_opts("portfolio"), context="doc", csv_dir=scratch_path(spark, "export"),
+                                  filename="whales.csv")
+    return read_csv(spark, path, PORTFOLIO_COLUMNS)
+
+
 # --------------------------------------------------------------------- streaming
 
 @query("stream_landing")

@@ -15,9 +15,16 @@ FAILURE_CYCLE = ["429", "500", "400", "401", "timeout", "connection_error"]
 
 
 class CyclingStubService:
-    """fetch(req) -> (status, body); raises for timeout / connection errors."""
+    """fetch(req) -> (status, body); raises for timeout / connection errors.
+
+    With ``as_of_ms`` given, calls for any other time fail."""
+
+    def __init__(self, as_of_ms: int | None = None):
+        self.as_of_ms = as_of_ms
 
     def __call__(self, req):
+        if req.as_of_ms != self.as_of_ms:
+            return 400, "stub: unexpected time"
         k = int(req.address[2:], 16)  # None / bad text -> exception -> 'error'
         if req.attempt <= k % FAIL_MODULUS:
             what = FAILURE_CYCLE[(req.attempt - 1) % len(FAILURE_CYCLE)]

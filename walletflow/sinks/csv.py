@@ -25,6 +25,7 @@ WRITE_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "encoding": "UTF-8",
+    "maxRecordsPerFile": "1000000",  # a file is read by one task
 }
 
 READ_OPTIONS = {
@@ -70,19 +71,24 @@ def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     return spark.read.schema(text_schema(columns)).options(**READ_OPTIONS).csv(path)
 
 
-def path_size(spark: SparkSession, path: str) -> int:
-    """Bytes of the data files under a path, from file-system metadata
+def file_sizes(spark: SparkSession, path: str) -> list[int]:
+    """Bytes of each data file under a path, from file-system metadata
     (no data is read; hidden and ``_`` files are skipped)."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(hpath):
         raise FileNotFoundError(path)
-    total = 0
+    sizes = []
     it = fs.listFiles(hpath, True)
     while it.hasNext():
         st = it.next()
         name = st.getPath().getName()
         if not name.startswith((".", "_")):
-            total += int(st.getLen())
-    return total
+            sizes.append(int(st.getLen()))
+    return sizes
+
+
+def path_size(spark: SparkSession, path: str) -> int:
+    """Bytes of all data files under a path."""
+    return sum(file_sizes(spark, path))
