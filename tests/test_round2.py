@@ -15,7 +15,7 @@ from walletflow.operators.fetch import FetchOptions, fetch_rounds
 from walletflow.plans import jobs
 from walletflow.sinks import tables
 from walletflow.sinks.csv import read_csv, write_csv
-from walletflow.sources.results import latest_result
+from walletflow.sources.results import column_values, extract_stats, latest_result
 
 
 def _counts(run):
@@ -224,3 +224,12 @@ def test_throttle_pauses_every_call():
     rows = pd.concat(_fetch_partitions(Limited(), 1, opts)([keys]))
     assert len(rows) == 10 and set(rows["status"]) == {"429"}
     assert time.monotonic() - begin >= 5 * (0.03 + 0.04)
+
+
+@pytest.mark.parametrize("key", ["a", "a.b", "it's", 'q"q', "x y", "*", "a?"])
+def test_any_key_is_extracted(spark, key):
+    docs = [{key: "v", "z": 1}, {key: None}, {"z": 2}, {key: 3}, {"a": {"b": "other"}} if key != "a" else {}]
+    rows = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "i int, js string")
+    got = {r[0]: r[2] for r in column_values(rows, key, "js").collect()}
+    assert got == {0: "v", 1: None, 3: "3"}
+    assert tuple(extract_stats(rows, key, "js").first()) == (5, 3, 2)

@@ -632,7 +632,7 @@ def export_portfolios(spark, sf_dir):
 
 @query("stream_landing")
 def stream_landing(spark, sf_dir):
-    """K7/T6 incrementally: landed rounds streamed into a table exactly once."""
+    """K7/T6 incrementally: landed rounds streamed into a table; a second run adds nothing."""
     from walletflow.session import scratch_path
     from walletflow.streaming.landing import load_landed_now
 

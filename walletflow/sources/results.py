@@ -8,7 +8,9 @@ lacking the key, keeps JSON nulls, and does not deduplicate.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -22,6 +24,13 @@ def latest_result(results: DataFrame, run_col: str = "run_ts") -> DataFrame:
     return results.where(F.col(run_col) == latest.scalar())
 
 
+def _member(js: Column, key: str) -> Column:
+    """Text of a top-level member.  Keys that a JSON path cannot spell plainly are looked up."""
+    if re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", key):
+        return F.get_json_object(js, f"$.{key}")
+    return F.from_json(js, "map<string,string>")[key]
+
+
 def column_values(rows: DataFrame, key: str, json_col: str | None = None) -> DataFrame:
     """Extract one column.
 
@@ -33,14 +42,14 @@ def column_values(rows: DataFrame, key: str, json_col: str | None = None) -> Dat
         return rows.withColumn(key, F.col(key))
     js = F.col(json_col)
     present = F.coalesce(F.array_contains(F.json_object_keys(js), key), F.lit(False))
-    return rows.filter(present).withColumn(key, F.get_json_object(js, f"$.{key}"))
+    return rows.filter(present).withColumn(key, _member(js, key))
 
 
 def extract_stats(rows: DataFrame, key: str, json_col: str) -> DataFrame:
     """A5: total rows vs values extracted (and how many are non-null)."""
     js = F.col(json_col)
     present = F.coalesce(F.array_contains(F.json_object_keys(js), key), F.lit(False))
-    value = F.get_json_object(js, f"$.{key}")
+    value = _member(js, key)
     return rows.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(present).alias("values_extracted"),
