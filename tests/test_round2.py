@@ -233,3 +233,14 @@ def test_any_key_is_extracted(spark, key):
     got = {r[0]: r[2] for r in column_values(rows, key, "js").collect()}
     assert got == {0: "v", 1: None, 3: "3"}
     assert tuple(extract_stats(rows, key, "js").first()) == (5, 3, 2)
+
+
+def test_job_reads_its_keys_once(spark, tmp_dir):
+    import random
+
+    fresh = F.udf(lambda i: "0x%040x" % random.getrandbits(60), "string").asNondeterministic()
+    keys = spark.range(20).select(fresh("id").alias("address"))
+    where = _namespace(spark, tmp_dir)
+    service = LoggingService(os.path.join(tmp_dir, "l"))
+    done = jobs.label_job(spark, keys, service, opts=FetchOptions(kind="labels", **FAST), **where)
+    assert done.fetch.n_success == done.rows_written == spark.table(f"{where['namespace']}.t").count() == 20

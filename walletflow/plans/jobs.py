@@ -64,6 +64,14 @@ class JobResult:
     load: tables.LoadResult | None
 
 
+def pinned(keys: DataFrame) -> DataFrame:
+    """The keys, written once to the shared folder: the fetch, the join back and the emptiness check
+    see the same rows, whatever becomes of their source meanwhile."""
+    path = scratch_path(keys.sparkSession, "job-keys")
+    keys.write.parquet(path)
+    return keys.sparkSession.read.schema(keys.schema).parquet(path)
+
+
 def label_rows_for_table(successes: DataFrame, keys: DataFrame, run_date: str) -> DataFrame:
     """Flatten fetched label documents and lay them out as the 11 table columns."""
     flat = L.flatten_labels(L.parse_labels(successes.select("address", "round", "body")), keep=["round"])
@@ -105,6 +113,7 @@ def enrich_portfolios(keys: DataFrame, fetch, as_of_ms: int | None = None, opts:
 def export_labels(keys: DataFrame, fetch, opts: FetchOptions | None = None, *, context: str | None = None,
                   csv_dir: str | None = None, filename: str | None = None) -> str | None:
     """CSV path of the label export, or None when there is nothing to write."""
+    keys = pinned(keys)
     if keys.isEmpty():
         return None
     rows, _ = enrich_labels(keys, fetch, opts, context=context)
@@ -116,6 +125,7 @@ def export_portfolios(keys: DataFrame, fetch, as_of_ms: int | None = None, opts:
                       context: str | None = None, csv_dir: str | None = None,
                       filename: str | None = None) -> str | None:
     """CSV path of the portfolio export, or None when there is nothing to write."""
+    keys = pinned(keys)
     if keys.isEmpty():
         return None
     rows, _ = enrich_portfolios(keys, fetch, as_of_ms, opts, context=context)
@@ -136,6 +146,7 @@ def label_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str, na
     if not tables.create_table(spark, namespace, name, description, LABEL_TABLE_SCHEMA, root=table_root,
                                partition_by=["update_date"] if history else None):
         raise JobStopped(f"could not create {full}")
+    keys = pinned(keys)
     if keys.isEmpty():
         return None
     rows, run = enrich_labels(keys, fetch, opts, context=context, run_date=run_date, landing=landing)
@@ -173,6 +184,7 @@ def portfolio_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str
     full = f"{namespace}.{name}"
     if not tables.create_table(spark, namespace, name, description, PORTFOLIO_TABLE_SCHEMA, root=table_root):
         raise JobStopped(f"could not create {full}")
+    keys = pinned(keys)
     if keys.isEmpty():
         return None
     # One as-of for the whole batch, taken once on the driver.
