@@ -30,6 +30,8 @@ ship("walletflow.llm.common")
 
 LIMIT = 2048  # fixed: longest sequence
 END = 1  # fixed: id after every document
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # fixed: the pattern's white space
+LONG_SPACE = 10_000
 TEXT_BYTES = 4 << 20  # text handled at once
 INDEX_BITS = 33
 BROADCAST_ROWS = 500_000  # (bucket, task) counts of 32 bytes up to which they are broadcast
@@ -44,13 +46,37 @@ def binary_pieces(length: int, limit: int = LIMIT) -> list[int]:
 def make_encoder(rank_file: str, pattern: str, special: dict):
     """text -> little-endian unsigned 32-bit ids, equal to the tokenizer's own."""
     import base64
+    import re
 
+    import numpy as np
     import tiktoken
 
     with open(rank_file, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     coder = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
-    return lambda text: coder.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
+    whole = tiktoken.Encoding("whole", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+    long_space = re.compile("[" + SPACE + "]{%d,}" % LONG_SPACE)
+
+    def by_spaces(text: str):
+        """The pattern engine's stack does not hold very long white space: such runs are pieces of
+        their own, up to the last character, which belongs to what follows."""
+        at = 0
+        for run in long_space.finditer(text):
+            last = run.end() == len(text) or any(text.startswith(s, run.end()) for s in special)
+            end = run.end() if last else run.end() - 1
+            yield coder.encode_to_numpy(text[at:run.start()], allowed_special="all")
+            yield whole.encode_to_numpy(text[run.start():end], disallowed_special=())
+            at = end
+        yield coder.encode_to_numpy(text[at:], allowed_special="all")
+
+    def encode(text: str) -> bytes:
+        try:
+            ids = coder.encode_to_numpy(text, allowed_special="all")
+        except ValueError:
+            ids = np.concatenate(list(by_spaces(text)))
+        return ids.astype("<u4", copy=False).tobytes()
+
+    return encode
 
 
 def tokenised(docs: DataFrame, rank_file: str, pattern: str, special: dict, text: str = "text") -> DataFrame:
