@@ -5,6 +5,9 @@ symbols.  A round looks all neighbouring pairs up by binary search over the
 sorted pair keys, takes each word's lowest-rank pair, and merges all its
 occurrences in that word (left to right where they overlap).  Words without a
 known pair leave the array, so later rounds only touch what still merges.
+A word over ``LONG`` bytes may need a round per merge of the table, so its rounds
+look only at blocks of symbols: each block keeps its lowest rank, and a round
+touches the blocks that hold the lowest of all.
 A document's ids are runs of the distinct words' ids.
 
 Normalising and splitting follow the vocabulary file: NFC, lower case (code
@@ -31,6 +34,9 @@ ship(__name__)
 ship("walletflow.llm.common")
 
 TEXT_BYTES = 8 << 20
+LONG = 1024  # bytes from which a word's rounds go by blocks
+BLOCK = 256  # symbols of a block
+NEVER = 1 << 40  # rank of a pair that does not merge
 
 
 def byte_letters() -> list[str]:
@@ -41,6 +47,15 @@ def byte_letters() -> list[str]:
     return [other.get(b, chr(b)) for b in range(256)]
 
 
+def _every_other(hit, following):
+    """Occurrences that overlap follow each other: the first, third, ... of such a run."""
+    import numpy as np
+
+    fresh = np.r_[True, following(hit[:-1]) != hit[1:]]
+    place = np.arange(len(hit))
+    return hit[(place - np.maximum.accumulate(np.where(fresh, place, 0))) % 2 == 0]
+
+
 class MergeTable:
     """Vocabulary and sorted merges of a BPE file."""
 
@@ -61,7 +76,7 @@ class MergeTable:
         pairs = np.array([(vocab[a] << 32) | vocab[b] for a, b in model["merges"]], dtype=np.int64)
         made = np.array([vocab[a + b] for a, b in model["merges"]], dtype=np.int64)
         order = np.argsort(pairs, kind="stable")
-        self.pairs, self.rank, self.made = pairs[order], order.astype(np.int64), made[order]
+        self.pairs, self.rank, self.made, self.made_by_rank = pairs[order], order.astype(np.int64), made[order], made
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special = special
         self.names = [""] * (max(*vocab.values(), *special.values()) + 1)
@@ -104,6 +119,61 @@ class MergeTable:
         """(ids, counts): the words' ids behind each other."""
         import numpy as np
 
+        out = [self._merge_long(w) if len(w) > LONG else None for w in words]
+        if all(x is None for x in out):
+            return self._merge_short(words)
+        short = [w for w, x in zip(words, out) if x is None]
+        if short:
+            ids, counts = self._merge_short(short)
+            parts = iter(np.split(ids, np.cumsum(counts)[:-1]))
+            out = [next(parts) if x is None else x for x in out]
+        return np.concatenate(out), np.array([len(x) for x in out], dtype=np.int64)
+
+    def _ranks(self, left, right):
+        import numpy as np
+
+        key = (left << 32) | right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, self.rank[at], NEVER)
+
+    def _merge_long(self, word: bytes):
+        """Ids of one long word; merged symbols stay where they are, linked to their neighbours."""
+        import numpy as np
+
+        raw = np.frombuffer(word, dtype=np.uint8)
+        n = len(raw)
+        symbol = self.inner[raw]
+        symbol[-1] = self.last[raw[-1]]
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        alive = np.ones(n, dtype=bool)
+        rank = np.full(-(-n // BLOCK) * BLOCK, NEVER, dtype=np.int64)
+        rank[: n - 1] = self._ranks(symbol[:-1], symbol[1:])
+        blocks = rank.reshape(-1, BLOCK)
+        lowest = blocks.min(axis=1)
+        while True:
+            r = lowest.min()
+            if r >= NEVER:
+                return symbol[alive]
+            some = np.flatnonzero(lowest == r)
+            row, column = np.nonzero(blocks[some] == r)
+            hit = _every_other(some[row] * BLOCK + column, lambda h: after[h])
+            right = after[hit]
+            beyond = after[right]
+            symbol[hit] = self.made_by_rank[r]
+            alive[right], rank[right], after[hit] = False, NEVER, beyond
+            inside = beyond < n
+            before[beyond[inside]] = hit[inside]
+            left = before[hit]
+            touched = np.concatenate([hit, left[left >= 0]])
+            rank[touched] = NEVER
+            touched = touched[after[touched] < n]
+            rank[touched] = self._ranks(symbol[touched], symbol[after[touched]])
+            changed = np.unique(np.concatenate([hit, right, left[left >= 0]]) // BLOCK)
+            lowest[changed] = blocks[changed].min(axis=1)
+
+    def _merge_short(self, words: list[bytes]):
+        import numpy as np
+
         size = np.array([len(w) for w in words], dtype=np.int64)
         raw = np.frombuffer(b"".join(words), dtype=np.uint8)
         ends = np.cumsum(size) - 1
@@ -111,21 +181,17 @@ class MergeTable:
         symbol[ends] = self.last[raw[ends]]
         word = np.repeat(np.arange(len(words)), size)
         done_symbol, done_word = [], []
-        never = np.int64(1) << 40
         while len(symbol):
             key = (symbol[:-1] << 32) | symbol[1:]
             at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
             known = (self.pairs[at] == key) & (word[1:] == word[:-1])
-            rank = np.append(np.where(known, self.rank[at], never), never)
+            rank = np.append(np.where(known, self.rank[at], NEVER), NEVER)
             start = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
             lowest = np.minimum.reduceat(rank, start)
             count = np.diff(np.r_[start, len(word)])
-            alive = np.repeat(lowest < never, count)
+            alive = np.repeat(lowest < NEVER, count)
             hit = np.flatnonzero((rank == np.repeat(lowest, count)) & alive)
-            # occurrences that overlap stand next to each other: every other one of such a run
-            fresh = np.r_[True, np.diff(hit) != 1]
-            place = np.arange(len(hit))
-            hit = hit[(place - np.maximum.accumulate(np.where(fresh, place, 0))) % 2 == 0]
+            hit = _every_other(hit, lambda h: h + 1)
             if not alive.all():
                 done_symbol.append(symbol[~alive])
                 done_word.append(word[~alive])
