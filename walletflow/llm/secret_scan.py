@@ -201,26 +201,51 @@ def secret_report(docs: DataFrame) -> DataFrame:
     )
 
 
+def _without_spans(found: DataFrame, text: Column, mark: str) -> DataFrame:
+    """Add ``clean``: the text with its spans replaced.  Spans are taken in blocks, each with the
+    part of the text that it covers, so no span walks through the whole text."""
+    spans = F.col("spans")
+    work = barrier(found, blocks=F.when(F.size(spans) > 0, F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / BLOCK).cast("int")),
+        lambda b: F.slice(spans, b * BLOCK + 1, F.lit(BLOCK)),
+    )))
+    # where each block's part begins: the furthest end so far
+    work = barrier(work, begins=F.aggregate(
+        "blocks", F.array(F.lit(0).cast("long")),
+        lambda a, b: F.concat(a, F.array(F.greatest(F.element_at(a, -1), F.array_max(F.transform(b, lambda x: x["end"]))))),
+    ))
+    first, beyond = lambda i: F.get("begins", i), lambda i: F.get("begins", i + 1)
+    work = barrier(work, parts=F.transform("blocks", lambda b, i: F.struct(
+        b.alias("spans"), first(i).alias("at"),
+        text.substr((first(i) + 1).cast("int"), (beyond(i) - first(i)).cast("int")).alias("part"),
+    )))
+
+    def cut(p: Column) -> Column:
+        start = F.struct(p["at"].alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
+        return F.aggregate(
+            p["spans"],
+            start,
+            lambda a, x: F.when(
+                x["start"] >= a["at"],
+                F.struct(x["end"].alias("at"), F.concat(a["out"], F.array(
+                    p["part"].substr((a["at"] - p["at"] + 1).cast("int"), (x["start"] - a["at"]).cast("int")), F.lit(mark)
+                )).alias("out")),
+            ).otherwise(F.struct(F.greatest(a["at"], x["end"]).alias("at"), a["out"].alias("out"))),
+            lambda a: F.array_join(a["out"], ""),
+        )
+
+    rest = text.substr((F.element_at("begins", -1) + 1).cast("int"), F.length(text))
+    clean = F.concat(F.array_join(F.transform("parts", cut), ""), rest)
+    return barrier(work, clean=F.when(F.size("spans") > 0, clean).otherwise(text))
+
+
 def redact_secrets(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """The documents with every span (overlaps united) replaced by ``mark``;
     ``n_chars``, where present as a number, follows the new text.  Texts without a span stay as they
     are, nulls included."""
     names = docs.columns
-    found = find_secrets(docs)
     text = F.col(f"in{names.index('text')}")
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
-    cut = F.aggregate(
-        "spans",
-        start,
-        lambda a, x: F.when(
-            x["start"] >= a["at"],
-            F.struct(x["end"].alias("at"), F.concat(a["out"], F.array(
-                text.substr((a["at"] + 1).cast("int"), (x["start"] - a["at"]).cast("int")), F.lit(mark)
-            )).alias("out")),
-        ).otherwise(F.struct(F.greatest(a["at"], x["end"]).alias("at"), a["out"].alias("out"))),
-        lambda a: F.concat(F.array_join(a["out"], ""), text.substr((a["at"] + 1).cast("int"), F.length(text))),
-    )
-    done = barrier(found, clean=F.when(F.size("spans") > 0, cut).otherwise(text))
+    done = _without_spans(find_secrets(docs), text, mark)
     kinds = dict(docs.dtypes)
 
     def column(i: int, name: str) -> Column:
