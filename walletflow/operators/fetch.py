@@ -357,12 +357,14 @@ def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
         else:
             staged = f"{landing}/_pending/round={r}/waves"
             if not path_exists(spark, f"{staged}/_SUCCESS"):
-                pending.withColumn("wave", F.pmod(F.xxhash64("address"), F.lit(waves))).write.mode(
-                    "overwrite"
-                ).partitionBy("wave").parquet(staged)
+                # one file per wave; a wave then lists and reads its own folder only
+                pending.withColumn("wave", F.pmod(F.xxhash64("address"), F.lit(waves))).repartition(
+                    waves, "wave"
+                ).write.mode("overwrite").partitionBy("wave").parquet(staged)
             sources = [
-                (w, spark.read.parquet(staged).filter(F.col("wave") == w).drop("wave"), True)
+                (w, spark.read.parquet(f"{staged}/wave={w}"), True)
                 for w in range(waves)
+                if path_exists(spark, f"{staged}/wave={w}")  # no key may fall into a wave
             ]
         attempted = failed = 0
         for w, src, spread in sources:

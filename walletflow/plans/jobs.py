@@ -15,7 +15,7 @@ position) rather than completion order (D1); one as-of per batch (D2).
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,8 +90,7 @@ def enrich_labels(keys: DataFrame, fetch, opts: FetchOptions | None = None, *, c
                   run_date: str | None = None, landing: str | None = None) -> tuple[DataFrame, FetchRun]:
     """J3 as a DataFrame call: keys -> fetch rounds -> the 11-column label rows."""
     prepare(keys.sparkSession)
-    opts = opts or FetchOptions(kind="labels")
-    opts.kind = "labels"
+    opts = replace(opts or FetchOptions(), kind="labels")
     run = fetch_rounds(keys, fetch, opts, context=context, landing=landing)
     rows = label_rows_for_table(run.successes(), keys, run_date or dt.date.today().isoformat())
     return rows, run
@@ -101,8 +100,7 @@ def enrich_portfolios(keys: DataFrame, fetch, as_of_ms: int | None = None, opts:
                       context: str | None = None, landing: str | None = None) -> tuple[DataFrame, FetchRun]:
     """J4 as a DataFrame call: keys -> fetch rounds (one as-of for the batch) -> token rows."""
     prepare(keys.sparkSession)
-    opts = opts or FetchOptions(kind="portfolio")
-    opts.kind = "portfolio"
+    opts = replace(opts or FetchOptions(), kind="portfolio")
     if opts.as_of_ms is None:
         before = landed_as_of(keys.sparkSession, landing) if landing else None
         opts.as_of_ms = as_of_ms or before or int(dt.datetime.now().timestamp() * 1000)
