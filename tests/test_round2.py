@@ -41,6 +41,15 @@ def test_resume_of_one_wave_with_smaller_partitions(spark, tmp_dir):
     assert _counts(run) == (20, 0) and len(open(log).read().splitlines()) == 20
 
 
+def test_waves_without_keys(spark, tmp_dir):
+    landing, log = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "l")
+    opts = FetchOptions(kind="labels", max_partitions=1, keys_per_partition=1, **FAST)
+    for _ in range(2):
+        run = fetch_rounds(_keys(spark, 8), LoggingService(log), opts, landing=landing)
+        assert _counts(run) == (8, 0) and len(open(log).read().splitlines()) == 8
+    assert len(os.listdir(f"{landing}/round=1")) < 8  # some wave got no key
+
+
 def test_used_landing_refuses_other_keys_or_as_of(spark, tmp_dir):
     landing = os.path.join(tmp_dir, "landing")
     service = LoggingService(os.path.join(tmp_dir, "l"))
