@@ -11,6 +11,7 @@ import public_tokenizers as P
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm import brute
@@ -170,6 +171,25 @@ def test_model_learns_on_held_out_text():
     assert after > 0.6 * before
 
 
+def test_every_training_token_is_learned(spark, monkeypatch):
+    """Rows of a text are learned like the whole text, and no token of any text is left out."""
+    monkeypatch.setattr(language_score, "ROW", 64)
+    docs = spark.createDataFrame([(i, t) for i, t in edge_texts() if i != 10] + [(20, prose(4, 700)), (21, "\u65e5" * 900)], "doc_id long, text string")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).repartition(3)
+    table = spark.sparkContext.broadcast(({w: i + 2 for i, w in enumerate("the house of and river".split())}, None, None))
+    rows = language_score._lots(language_score._token_rows(texts, table, 7)).orderBy("at", "k").collect()
+    assert sum(len(r.ids) // 2 for r in rows) == sum(len(re.findall(r"[^\x20\x09-\x0D]+", r.text)) + 1 for r in texts.collect())
+    assert max(r.k for r in rows) == 10 and all(r.more == (len(r.ids) == 128 and any(q.at == r.at and q.k == r.k + 1 for q in rows)) for r in rows)
+    assert len({(r.at, r.lot) for r in rows}) == len({r.at for r in rows})
+
+    rng = np.random.default_rng(4)
+    whole = [np.append(rng.integers(1, 20, n), 0) for n in (300, 128, 127, 64, 63, 5, 200)]
+    cut = sorted(((k // 64, i, k + 64 < len(t), t[k:k + 64]) for i, t in enumerate(whole) for k in range(0, len(t), 64)), key=lambda r: r[:2])
+    start = gated_model.initial(np.ones(20))
+    one, other = gated_model.train(start, whole), gated_model.train_rows(start, cut)
+    assert all(np.allclose(one[n], other[n], atol=1e-5) for n in gated_model.NAMES)
+
+
 # -- 3 sharding
 
 @pytest.mark.parametrize("shards", [1, 5, 24])

@@ -172,27 +172,41 @@ class Model:
 
 def train(params: dict, texts, batch: int = 128, window: int = 32, rate: float = 0.05) -> dict:
     """One pass over number arrays, in batches of similar use; the state runs through a text's windows."""
+    return train_rows(params, ((0, i, False, t) for i, t in enumerate(texts)), batch, window, rate)
+
+
+def train_rows(params: dict, rows, batch: int = 128, window: int = 32, rate: float = 0.05) -> dict:
+    """One pass over (step, text, more, numbers): a text's rows come in order, in different steps, and hold
+    whole windows; ``more`` tells that another row follows, which starts from this one's last state."""
     model = Model({n: v.copy() for n, v in params.items()})
     memory = {n: np.full_like(v, 1e-3) for n, v in params.items()}
-    held = []
+    zero = (np.zeros(HIDDEN, np.float32), 0)
+    states, held, now = {}, [], None
 
     def update():
-        longest = max(map(len, held))
-        h, last = np.zeros((len(held), HIDDEN), np.float32), np.zeros(len(held), dtype=np.int64)
-        for at in range(0, longest, window):
-            steps = min(window, longest - at)
-            token = np.zeros((steps, len(held)), dtype=np.int64)
-            valid = np.zeros((steps, len(held)), dtype=bool)
-            for j, t in enumerate(held):
-                part = t[at:at + steps]
+        held.sort(key=lambda r: -len(r[2]))
+        length = np.array([len(t) for _, _, t in held])
+        begin = [states.pop(text, zero) for text, _, _ in held]
+        h, last = np.stack([b[0] for b in begin]), np.array([b[1] for b in begin], dtype=np.int64)
+        for at in range(0, int(length[0]), window):
+            live = int(np.searchsorted(-length, -at))  # longer rows come first
+            steps = min(window, int(length[0]) - at)
+            token = np.zeros((steps, live), dtype=np.int64)
+            valid = np.zeros((steps, live), dtype=bool)
+            for j in range(live):
+                part = held[j][2][at:at + steps]
                 token[: len(part), j], valid[: len(part), j] = part, True
-            h, last, _ = model.learn(token, valid, h, last, memory, rate)
+            h, last, _ = model.learn(token, valid, h[:live], last[:live], memory, rate)
+            for j in np.flatnonzero(length[:live] <= at + window):
+                if held[j][1]:
+                    states[held[j][0]] = (h[j].copy(), int(last[j]))
 
-    for t in texts:
-        held.append(t)
-        if len(held) == batch:
+    for step, text, more, numbers in rows:
+        if held and (step != now or len(held) == batch):
             update()
             held = []
+        now = step
+        held.append((text, more, numbers))
     if held:
         update()
     return model.p

@@ -6,12 +6,14 @@ aggregates first); the count table is stored and grows with the corpus.
 Model (``gated_model``): the most frequent words are numbered; any other word is
 "outside", and its probability is the model's for "outside" times its smoothed
 share of all outside counts, so the score is a probability of the whole text.
-Training: every training document gives a stretch of ``STRETCH`` tokens at a
-place that its hash selects; ``ROUNDS`` parts of the documents are learned one
-after another, each by tasks that start from the same parameters and whose
-results are averaged in two steps (weighted by tokens), so the driver gets
-``GROUPS`` parameter sets, whatever the number of tasks.  Rows are sorted inside
-a task, so a repeated task learns the same.
+Training: every token of every training document is learned.  A text is stored as
+rows of ``ROW`` tokens; texts of similar length form lots, and a task learns a
+lot's first rows, then its second rows and so on, each from the state after the
+row before, so no task holds more than ``BATCH`` rows.  ``ROUNDS`` parts of the
+documents are learned one after another, each by tasks that start from the same
+parameters and whose results are averaged in two steps (weighted by tokens), so
+the driver gets ``GROUPS`` parameter sets, whatever the number of tasks.  Rows
+are sorted inside a task, so a repeated task learns the same.
 
 Scoring: one pass over all whole texts.  The tables sent to the tasks have a
 fixed size (``FREQUENT`` words and one parameter set).  Words outside the
@@ -37,8 +39,8 @@ ship("walletflow.llm.common")
 ship("walletflow.llm.gated_model")
 
 FREQUENT = 65_536  # words in the table sent to every task
-STRETCH = 64  # tokens of a training document that the model learns from, at most
-STRETCH_CHARS = 512  # characters that hold them
+ROW = 1024  # tokens of a training text in one row: whole windows
+BATCH = 128  # texts learned together
 ROUNDS = 2
 TASKS = 1024  # most training tasks in a round
 GROUPS = 32
@@ -76,36 +78,44 @@ def _tokens_of(table: dict):
     return tokens
 
 
-def _stretches(docs: DataFrame, table, words: int) -> DataFrame:
-    """(h, ids): a stretch of model numbers from every document; h is its hash, which selects the
-    place in the whole text.  Only that part is sent to Python."""
+def _token_rows(docs: DataFrame, table, words: int) -> DataFrame:
+    """(part, kind, h, at, k, more, ids): all model numbers of every document in rows of ``ROW``.
+    ``kind`` is the text's length class, ``k`` counts its rows; ``h`` and ``at`` tell texts apart."""
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         tokens = _tokens_of(table.value[0])
-        for batch in batches:
+        for piece in slices(batches, TEXT_BYTES, "text"):
             out = []
-            for text, first, last in zip(*[batch.column(c).to_pylist() for c in ("part", "first", "last")]):
-                ids, _ = tokens(text)  # the end follows
-                ids = ids[0 if first else 1:][: STRETCH if last else -1][:STRETCH]  # a cut word and a false end go
-                out.append(np.where((ids < 0) | (ids >= words), 1, ids).astype("<i4").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("h"), pa.array(out, pa.binary())], names=["h", "ids"])
-
-    sized = docs.select("text", F.xxhash64("doc_id", "text").alias("h"), F.length("text").alias("n"))
-    at = F.pmod("h", F.greatest(F.col("n") - STRETCH_CHARS + 1, F.lit(1))).cast("int")
-    cut = sized.select(
-        "h", F.substring("text", at + 1, F.lit(STRETCH_CHARS)).alias("part"), (at == 0).alias("first"), (at + STRETCH_CHARS >= F.col("n")).alias("last")
-    )
-    return cut.mapInArrow(run, "h long, ids binary").where("octet_length(ids) > 0")
-
-
-def _learn(stretches: DataFrame, part: int, params, tasks: int):
-    """Average of what the tasks learn from one part of the stretches."""
+            for text, h, at in zip(*[piece.column(c).to_pylist() for c in ("text", "h", "at")]):
+                ids, _ = tokens(text)
+                ids = np.where((ids < 0) | (ids >= words), 1, ids).astype("<u2")
+                for k in range(0, len(ids), ROW):
+                    out.append((len(ids).bit_length(), h, at, k // ROW, k + ROW < len(ids), ids[k:k + ROW].tobytes()))
+            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["kind", "h", "at", "k", "more", "ids"])
+
+    keyed = docs.select("text", F.xxhash64("doc_id", "text").alias("h"), F.monotonically_increasing_id().alias("at"))
+    rows = keyed.mapInArrow(run, "kind int, h long, at long, k long, more boolean, ids binary")
+    return rows.withColumn("part", F.pmod(F.shiftright("h", 8), F.lit(ROUNDS)).cast("int"))
+
+
+def _lots(rows: DataFrame) -> DataFrame:
+    """Add ``lot``: about ``BATCH`` texts of one part and length class."""
+    sizes = rows.where("k = 0").groupBy("part", "kind").agg(F.count("*").alias("n")).collect()  # a row per class: fixed size
+    lots = F.lit(1)
+    for r in sizes:
+        lots = F.when((F.col("part") == r["part"]) & (F.col("kind") == r["kind"]), F.lit(-(-r["n"] // BATCH))).otherwise(lots)
+    return rows.withColumn("lot", F.xxhash64("kind", F.pmod(F.xxhash64("h"), lots)))
+
+
+def _learn(lots: DataFrame, part: int, params, tasks: int):
+    """Average of what the tasks learn from one part of the texts."""
     import numpy as np
 
-    start = stretches.sparkSession.sparkContext.broadcast(gated_model.pack(params).astype(np.float32))
+    start = lots.sparkSession.sparkContext.broadcast(gated_model.pack(params).astype(np.float32))
 
     def parts_batch(sums, tokens):
         import pyarrow as pa
@@ -117,14 +127,14 @@ def _learn(stretches: DataFrame, part: int, params, tasks: int):
 
         tokens = 0
 
-        def texts():
+        def rows():
             nonlocal tokens
             for batch in batches:
-                for ids in batch.column("ids").to_pylist():
-                    tokens += len(ids) // 4
-                    yield np.frombuffer(ids, dtype="<i4").astype(np.int64)
+                for lot, k, at, more, ids in zip(*[batch.column(c).to_pylist() for c in ("lot", "k", "at", "more", "ids")]):
+                    tokens += len(ids) // 2
+                    yield (lot, k), at, more, np.frombuffer(ids, dtype="<u2")
 
-        learned = gated_model.pack(gated_model.train(gated_model.unpack(start.value), texts()))
+        learned = gated_model.pack(gated_model.train_rows(gated_model.unpack(start.value), rows(), BATCH))
         if tokens:
             yield parts_batch(learned.astype(np.float64) * tokens, tokens)
 
@@ -140,7 +150,7 @@ def _learn(stretches: DataFrame, part: int, params, tasks: int):
         if total is not None:
             yield parts_batch(total, tokens)
 
-    rows = stretches.where(F.pmod(F.shiftright("h", 8), F.lit(ROUNDS)) == part).repartition(tasks, "h").sortWithinPartitions("h")
+    rows = lots.where(F.col("part") == part).select("lot", "k", "h", "at", "more", "ids").repartition(tasks, "lot").sortWithinPartitions("lot", "k", "h", "at")
     schema = "sums binary, tokens long"
     learned = stored(rows.mapInArrow(learn, schema), "learned-parts")
     grouped = learned.withColumn("g", F.pmod(F.xxhash64("sums"), F.lit(GROUPS)))
@@ -222,9 +232,9 @@ def score_documents(docs: DataFrame, smoothing: float = 0.1) -> DataFrame:
     share[1] = outside_n
     params = gated_model.initial(share)
     tasks = min(TASKS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    stretches = stored(_stretches(train, table, words), "stretches")
+    lots = _lots(stored(_token_rows(train, table, words), "token-rows"))
     for part in range(ROUNDS):
-        params = _learn(stretches, part, params, tasks)
+        params = _learn(lots, part, params, tasks)
 
     at = F.monotonically_increasing_id()
     scored = stored(_scored(texts, table, words, params).withColumn("at", at), "scored-texts")
