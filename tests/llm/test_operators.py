@@ -190,6 +190,26 @@ def test_every_training_token_is_learned(spark, monkeypatch):
     assert all(np.allclose(one[n], other[n], atol=1e-5) for n in gated_model.NAMES)
 
 
+def test_model_knows_the_whole_frequent_table():
+    """Words far down the frequent table have inputs and outputs of their own."""
+    assert language_score.FREQUENT + 2 == gated_model.WORDS == 65_536
+    a, b, unseen = 3000, 60_001, 60_002
+    start = gated_model.initial(np.ones(gated_model.WORDS))
+    learned = gated_model.train(start, [np.array([a, b] * 15 + [0])] * 200, batch=16)
+    seen, other = gated_model.Model(learned).score([np.array([a, b, 0]), np.array([a, unseen, 0])])
+    assert seen > other + 1
+    changed = (learned["emb"] != start["emb"]).any(axis=1)
+    assert changed[[0, a, b]].all() and not changed[[1, unseen]].any()
+
+
+def test_parameter_blocks_cover_all_parameters():
+    p = _random_model(np.random.default_rng(6))
+    back = {n: np.zeros_like(v) for n, v in p.items()}
+    for number, values in gated_model.blocks(p):
+        gated_model.add_block(back, number, values)
+    assert all((back[n] == p[n]).all() for n in gated_model.NAMES)
+
+
 # -- 3 sharding
 
 @pytest.mark.parametrize("shards", [1, 5, 24])

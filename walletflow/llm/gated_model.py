@@ -4,7 +4,8 @@ Words are numbered by frequency: 0 the end of a text, 1 any word outside the
 vocabulary, then the words; number // ``size`` is the class.  A text starts from
 a zero state after an end.  ``Model.score`` carries the state through all
 windows of a text; ``Model.learn`` backpropagates inside a window and carries
-the state into the next one (truncated backpropagation), with Adagrad steps.
+the state into the next one (truncated backpropagation), with Adagrad steps
+on the words and classes that the window holds (the others have no gradient).
 """
 
 from __future__ import annotations
@@ -12,11 +13,16 @@ from __future__ import annotations
 import numpy as np
 
 HIDDEN = 16
-CLASSES = 32
-SIZE = 32  # words in a class
+CLASSES = 256
+SIZE = 256  # words in a class
 WORDS = CLASSES * SIZE
 NEVER = np.float32(-1e9)
 NAMES = ("emb", "rec", "bias", "cls", "cls_bias", "out", "out_bias")
+SHAPES = {
+    "emb": (WORDS, 3 * HIDDEN), "rec": (HIDDEN, 3 * HIDDEN), "bias": (3 * HIDDEN,),
+    "cls": (HIDDEN, CLASSES), "cls_bias": (CLASSES,), "out": (CLASSES, HIDDEN, SIZE), "out_bias": (CLASSES, SIZE),
+}
+OUTPUTS = 4096  # rows whose class probabilities are held together in scoring
 
 
 def initial(counts, seed: int = 42) -> dict:
@@ -42,53 +48,81 @@ def pack(p: dict) -> np.ndarray:
 
 
 def unpack(flat: np.ndarray) -> dict:
-    shapes = {n: v.shape for n, v in initial([1]).items()}
     out, at = {}, 0
     for n in NAMES:
-        k = int(np.prod(shapes[n]))
-        out[n] = flat[at:at + k].reshape(shapes[n]).astype(np.float32)
+        k = int(np.prod(SHAPES[n]))
+        out[n] = flat[at:at + k].reshape(SHAPES[n]).astype(np.float32)
         at += k
     return out
 
 
+def blocks(p: dict):
+    """(number, values) of parameter blocks: a class's words and outputs each, and last what all share."""
+    emb = p["emb"].reshape(CLASSES, SIZE * 3 * HIDDEN)
+    for c in range(CLASSES):
+        yield c, np.concatenate([emb[c], p["out"][c].ravel(), p["out_bias"][c]])
+    yield CLASSES, np.concatenate([p[n].ravel() for n in ("rec", "bias", "cls", "cls_bias")])
+
+
+def add_block(p: dict, number: int, values: np.ndarray) -> None:
+    """Add to the parameters of one block, in place."""
+    if number < CLASSES:
+        own = slice(number * SIZE, (number + 1) * SIZE)
+        parts = [p["emb"][own], p["out"][number], p["out_bias"][number]]
+    else:
+        parts = [p[n] for n in ("rec", "bias", "cls", "cls_bias")]
+    at = 0
+    for part in parts:
+        part += values[at:at + part.size].reshape(part.shape).astype(part.dtype)
+        at += part.size
+
+
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _log_softmax(x):
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _softmax(x, target):
+    """Exponentials of every row (in place of x), their sums, and natural log probabilities of the targets."""
+    x -= x.max(axis=1, keepdims=True)
+    logp = x[np.arange(len(x)), target].astype(np.float64)
+    np.exp(x, out=x)
+    total = x.sum(axis=1)
+    return x, total, logp - np.log(total)
 
 
 class Model:
     def __init__(self, params: dict):
         self.p = params
 
-    def _step(self, h, token):
-        p = self.p
-        x = p["emb"][token] + p["bias"]
-        u = h @ p["rec"]
+    def _step(self, h, x):
+        u = h @ self.p["rec"]
         gate = _sigmoid(x[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
         z, r = gate[:, :HIDDEN], gate[:, HIDDEN:]
         n = np.tanh(x[:, 2 * HIDDEN:] + r * u[:, 2 * HIDDEN:])
         return n + z * (h - n), (h, z, r, n, u[:, 2 * HIDDEN:])
 
-    def _outputs(self, h, target):
-        """Natural log probabilities of the targets; per class the rows and softmax for learning."""
+    def _in_classes(self, h, cls, inside):
+        """(class, rows, exponentials, sums, log probabilities of the targets) of every class that occurs; h is in class order."""
         p = self.p
-        cls, inside = target // SIZE, target % SIZE
-        by_class = _log_softmax(h @ p["cls"] + p["cls_bias"])
-        logp = by_class[np.arange(len(h)), cls].astype(np.float64)
-        order = np.argsort(cls, kind="stable")
-        bounds = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        parts = []
-        for c in range(CLASSES):
-            rows = order[bounds[c]:bounds[c + 1]]
-            if len(rows):
-                words = _log_softmax(h[rows] @ p["out"][c] + p["out_bias"][c])
-                logp[rows] += words[np.arange(len(rows)), inside[rows]]
-                parts.append((c, rows, words))
-        return logp, by_class, parts
+        bounds = np.searchsorted(cls, np.arange(CLASSES + 1))
+        for c in np.flatnonzero(np.diff(bounds)):
+            rows = slice(bounds[c], bounds[c + 1])
+            yield (c, rows, *_softmax(h[rows] @ p["out"][c] + p["out_bias"][c], inside[rows]))
+
+    def _logp(self, h, target):
+        """Natural log probabilities of the targets."""
+        p = self.p
+        order = np.argsort(target // SIZE, kind="stable")
+        h, cls, inside = h[order], target[order] // SIZE, target[order] % SIZE
+        logp = np.empty(len(h))
+        for at in range(0, len(h), OUTPUTS):
+            some = slice(at, at + OUTPUTS)
+            logp[some] = _softmax(h[some] @ p["cls"] + p["cls_bias"], cls[some])[2]
+            for _, rows, _, _, own in self._in_classes(h[some], cls[some], inside[some]):
+                logp[at + rows.start:at + rows.stop] += own
+        out = np.empty(len(h))
+        out[order] = logp
+        return out
 
     def score(self, texts: list, window: int = 32, rows: int = 1 << 16) -> np.ndarray:
         """Natural log probability of each text: number arrays that end with 0."""
@@ -111,63 +145,74 @@ class Model:
                 states, who, what = [], [], []
                 for k in range(steps):
                     on = int(np.searchsorted(-size[:live], -(at + k)))
-                    new, _ = self._step(h[:on], last[:on])
+                    new, _ = self._step(h[:on], self.p["emb"][last[:on]] + self.p["bias"])
                     h[:on] = new
                     states.append(new)
                     who.append(np.arange(on))
                     what.append(token[k, :on])
                     last[:on] = token[k, :on]
-                logp, _, _ = self._outputs(np.concatenate(states), np.concatenate(what))
+                logp = self._logp(np.concatenate(states), np.concatenate(what))
                 out[some[:live]] += np.bincount(np.concatenate(who), weights=logp, minlength=live)
         return out
 
     def learn(self, token: np.ndarray, valid: np.ndarray, h: np.ndarray, last: np.ndarray, memory: dict, rate: float):
         """One window of a batch (time x texts): forward, backward, Adagrad; returns the new state."""
         p = self.p
-        steps, states, kept, before = len(token), [], [], []
+        steps, states, kept = len(token), [], []
+        before = np.concatenate([last[None], token[:-1]])
+        x = p["emb"][before] + p["bias"]
         for k in range(steps):
-            before.append(last)
-            h, keep = self._step(h, last)
+            h, keep = self._step(h, x[k])
             states.append(h)
             kept.append(keep)
-            last = token[k]
         flat = np.concatenate(states)
         on = np.flatnonzero(valid.ravel())
-        hs, target = flat[on], token.ravel()[on]
-        logp, by_class, parts = self._outputs(hs, target)
-        scale = np.float32(1 / max(len(on), 1))
-        g = {n: np.zeros_like(v) for n, v in p.items()}
-        d = np.exp(by_class)
-        d[np.arange(len(on)), target // SIZE] -= 1
-        d *= scale
-        g["cls"], g["cls_bias"] = hs.T @ d, d.sum(axis=0)
+        target = token.ravel()[on]
+        order = np.argsort(target // SIZE, kind="stable")
+        on, target = on[order], target[order]  # in class order
+        hs, cls, inside = flat[on], target // SIZE, target % SIZE
+        scale = np.asarray(1 / max(len(on), 1), dtype=flat.dtype)
+
+        def take(name, g, at=...):
+            memory[name][at] += g ** 2
+            p[name][at] -= rate * g / np.sqrt(memory[name][at] + 1e-8)
+
+        d, total, logp = _softmax(hs @ p["cls"] + p["cls_bias"], cls)
+        loss = -float(logp.sum())
+        d *= (scale / total)[:, None]
+        d[np.arange(len(on)), cls] -= scale
         dh_on = d @ p["cls"].T
-        for c, rows, words in parts:
-            e = np.exp(words)
-            e[np.arange(len(rows)), target[rows] % SIZE] -= 1
-            e *= scale
-            g["out"][c], g["out_bias"][c] = hs[rows].T @ e, e.sum(axis=0)
+        take("cls", hs.T @ d)
+        take("cls_bias", d.sum(axis=0))
+        for c, rows, e, total, logp in self._in_classes(hs, cls, inside):
+            loss -= float(logp.sum())
+            e *= (scale / total)[:, None]
+            e[np.arange(len(e)), inside[rows]] -= scale
             dh_on[rows] += e @ p["out"][c].T
+            take("out", hs[rows].T @ e, c)
+            take("out_bias", e.sum(axis=0), c)
         dh_all = np.zeros_like(flat)
         dh_all[on] = dh_on
         dh_all = dh_all.reshape(steps, -1, HIDDEN)
         back = np.zeros_like(h)
+        dx, du = np.empty_like(x), np.empty_like(x)
         for k in range(steps - 1, -1, -1):
             prev, z, r, n, un = kept[k]
             dh = dh_all[k] + back
             dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (prev - n) * z * (1 - z)
-            dr = dn * un * r * (1 - r)
-            dx = np.concatenate([dz, dr, dn], axis=1)
-            du = np.concatenate([dz, dr, dn * r], axis=1)
-            np.add.at(g["emb"], before[k], dx)
-            g["bias"] += dx.sum(axis=0)
-            g["rec"] += prev.T @ du
-            back = dh * z + du @ p["rec"].T
-        for n in NAMES:
-            memory[n] += g[n] ** 2
-            p[n] -= rate * g[n] / np.sqrt(memory[n] + 1e-8)
-        return states[-1], last, float(-logp.sum())
+            dx[k, :, :HIDDEN] = dh * (prev - n) * z * (1 - z)
+            dx[k, :, HIDDEN:2 * HIDDEN] = dn * un * r * (1 - r)
+            dx[k, :, 2 * HIDDEN:] = dn
+            du[k, :, : 2 * HIDDEN] = dx[k, :, : 2 * HIDDEN]
+            du[k, :, 2 * HIDDEN:] = dn * r
+            back = dh * z + du[k] @ p["rec"].T
+        dx, du = dx.reshape(-1, 3 * HIDDEN), du.reshape(-1, 3 * HIDDEN)
+        take("rec", np.concatenate([k[0] for k in kept]).T @ du)
+        take("bias", dx.sum(axis=0))
+        by_word = np.argsort(before.ravel(), kind="stable")
+        word, first = np.unique(before.ravel()[by_word], return_index=True)
+        take("emb", np.add.reduceat(dx[by_word], first, axis=0), word)
+        return states[-1], token[-1], loss
 
 
 def train(params: dict, texts, batch: int = 128, window: int = 32, rate: float = 0.05) -> dict:

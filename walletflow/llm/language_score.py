@@ -11,9 +11,10 @@ rows of ``ROW`` tokens; texts of similar length form lots, and a task learns a
 lot's first rows, then its second rows and so on, each from the state after the
 row before, so no task holds more than ``BATCH`` rows.  ``ROUNDS`` parts of the
 documents are learned one after another, each by tasks that start from the same
-parameters and whose results are averaged in two steps (weighted by tokens), so
-the driver gets ``GROUPS`` parameter sets, whatever the number of tasks.  Rows
-are sorted inside a task, so a repeated task learns the same.
+parameters and whose changes are averaged (weighted by tokens) block by block,
+a block being the parameters of one class, so the driver gets one parameter set
+whatever the number of tasks.  Rows are sorted inside a task, so a repeated task
+learns the same.
 
 Scoring: one pass over all whole texts.  The tables sent to the tasks have a
 fixed size (``FREQUENT`` words and one parameter set).  Words outside the
@@ -38,12 +39,12 @@ ship(__name__)
 ship("walletflow.llm.common")
 ship("walletflow.llm.gated_model")
 
-FREQUENT = 65_536  # words in the table sent to every task
+FREQUENT = gated_model.WORDS - 2  # words in the table sent to every task: all that the model numbers
 ROW = 1024  # tokens of a training text in one row: whole windows
-BATCH = 128  # texts learned together
+BATCH = 256  # texts learned together
+TASK_TOKENS = 4_000_000  # tokens from which a round uses a further task
 ROUNDS = 2
 TASKS = 1024  # most training tasks in a round
-GROUPS = 32
 TEXT_BYTES = 4 << 20  # text tokenised at once
 SCORE_TOKENS = 2_000_000  # tokens scored together
 END = ""  # no word is empty
@@ -117,10 +118,11 @@ def _learn(lots: DataFrame, part: int, params, tasks: int):
 
     start = lots.sparkSession.sparkContext.broadcast(gated_model.pack(params).astype(np.float32))
 
-    def parts_batch(sums, tokens):
+    def blocks_batch(blocks):
         import pyarrow as pa
 
-        return pa.RecordBatch.from_arrays([pa.array([sums.astype("<f8").tobytes()]), pa.array([tokens], pa.int64())], names=["sums", "tokens"])
+        kinds = (("block", pa.int32()), ("tokens", pa.int64()), ("sums", pa.binary()))
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(zip(*blocks), kinds)], names=[n for n, _ in kinds])
 
     def learn(batches):
         import numpy as np
@@ -132,33 +134,41 @@ def _learn(lots: DataFrame, part: int, params, tasks: int):
             for batch in batches:
                 for lot, k, at, more, ids in zip(*[batch.column(c).to_pylist() for c in ("lot", "k", "at", "more", "ids")]):
                     tokens += len(ids) // 2
-                    yield (lot, k), at, more, np.frombuffer(ids, dtype="<u2")
+                    yield (lot, k), at, more, np.frombuffer(ids, dtype="<u2").astype(np.int64)
 
-        learned = gated_model.pack(gated_model.train_rows(gated_model.unpack(start.value), rows(), BATCH))
+        begin = gated_model.unpack(start.value)
+        learned = gated_model.train_rows(begin, rows(), BATCH)
         if tokens:
-            yield parts_batch(learned.astype(np.float64) * tokens, tokens)
+            for n in gated_model.NAMES:
+                learned[n] -= begin[n]
+            for c, values in gated_model.blocks(learned):
+                yield blocks_batch([(c, tokens, values.astype("<f4").tobytes())])
 
     def add(batches):
         import numpy as np
 
-        total, tokens = None, 0
+        block, total, tokens = None, None, 0
         for batch in batches:
-            for i in range(batch.num_rows):
-                one = np.frombuffer(batch.column("sums")[i].as_buffer(), dtype="<f8")
-                total = one if total is None else total + one
-                tokens += batch.column("tokens")[i].as_py()
+            for b, n, sums in zip(batch.column("block").to_pylist(), batch.column("tokens").to_pylist(), batch.column("sums")):
+                values = np.frombuffer(sums.as_buffer(), dtype="<f4").astype(np.float64) * n
+                if b != block:
+                    if total is not None:
+                        yield blocks_batch([(block, tokens, total.tobytes())])
+                    block, total, tokens = b, values, n
+                else:
+                    total += values
+                    tokens += n
         if total is not None:
-            yield parts_batch(total, tokens)
+            yield blocks_batch([(block, tokens, total.tobytes())])
 
-    rows = lots.where(F.col("part") == part).select("lot", "k", "h", "at", "more", "ids").repartition(tasks, "lot").sortWithinPartitions("lot", "k", "h", "at")
-    schema = "sums binary, tokens long"
-    learned = stored(rows.mapInArrow(learn, schema), "learned-parts")
-    grouped = learned.withColumn("g", F.pmod(F.xxhash64("sums"), F.lit(GROUPS)))
-    sums = grouped.repartition(min(GROUPS, tasks), "g").sortWithinPartitions("g", "tokens", "sums").mapInArrow(add, schema).collect()
-    if not sums:
-        return params
-    total = np.sum([np.frombuffer(r["sums"], dtype="<f8") for r in sorted(sums, key=lambda r: (r["tokens"], bytes(r["sums"])))], axis=0)
-    return gated_model.unpack(total / sum(r["tokens"] for r in sums))
+    rows = lots.where(F.col("part") == part).select("lot", "k", "h", "at", "more", "ids")
+    rows = rows.repartitionById(tasks, F.pmod("lot", F.lit(tasks)).cast("int")).sortWithinPartitions("lot", "k", "h", "at")
+    schema = "block int, tokens long, sums binary"
+    partitions = int(lots.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    changes = rows.mapInArrow(learn, schema).repartition(min(gated_model.CLASSES, partitions), "block")
+    for r in changes.sortWithinPartitions("block", "tokens", "sums").mapInArrow(add, schema).toLocalIterator():
+        gated_model.add_block(params, r["block"], np.frombuffer(r["sums"], dtype="<f8") / r["tokens"])
+    return params
 
 
 def _scored(docs: DataFrame, table, words: int, params) -> DataFrame:
@@ -231,7 +241,7 @@ def score_documents(docs: DataFrame, smoothing: float = 0.1) -> DataFrame:
     share = size[:words].copy()
     share[1] = outside_n
     params = gated_model.initial(share)
-    tasks = min(TASKS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    tasks = min(TASKS, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // (ROUNDS * TASK_TOKENS)) or 1)
     lots = _lots(stored(_token_rows(train, table, words), "token-rows"))
     for part in range(ROUNDS):
         params = _learn(lots, part, params, tasks)
