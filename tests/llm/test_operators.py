@@ -81,6 +81,19 @@ def test_redaction_in_blocks(spark):
     assert secret_scan.redact_secrets(docs).first().text == "".join(out) + text[at:]
 
 
+def test_no_key_character_survives(spark):
+    rnd, rows = random.Random(1), []
+    for end in ("\n-----END RSA PRIVATE KEY-----", ""):
+        for line in ("\n", "\r\n", "\\n"):
+            for head in ("", "Proc-Type: 4,ENCRYPTED{0}DEK-Info: AES-128-CBC,0A1B2C{0}{0}"):
+                body = line.join("".join(rnd.choice("ABCXYZabcxyz0189+/") for _ in range(n)) for n in (64, 64, 64, 11)) + "="
+                key = "-----BEGIN RSA PRIVATE KEY-----" + line + head.format(line) + body + end.replace("\n", line)
+                rows.append((len(rows), "before " + key + "! after", "before [secret]! after"))
+    rows.append((99, "see https://" + "u" * 90 + ":" + "p%" * 400 + "@host/x and a://b:short@c", "see [secret]host/x and a://b:short@c"))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in secret_scan.redact_secrets(docs).collect()} == {i: want for i, _, want in rows}
+
+
 def test_secret_scan_empty(no_docs):
     assert secret_scan.secret_report(no_docs).count() == 0
 

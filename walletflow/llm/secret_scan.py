@@ -50,13 +50,21 @@ BASE_RULES = (
     SecretRule("access", r"AKIA[A-Z0-9]+", least=18),
     SecretRule("hex", r"[0-9a-f]{16,}", least=16, probe=r"[0-9a-f]{16}"),
 )
+# A private key runs over its lines (also with line ends written as \\n) to the END line; without one, a body
+# that begins with a long word runs to the first character outside base64 and white space.
+KEY_HEAD = r"(?:[\x09-\x0D\x20\\nr]*Proc-Type:[0-9A-Z,\x20]*[\x09-\x0D\x20\\nr]*DEK-Info:[0-9A-Z,\x20-]*)?"
+KEY_BODY = r"[A-Za-z0-9+/=\x09-\x0D\x20\\]*"
 # Further kinds, all with mandatory trigrams.
 MORE_RULES = (
-    SecretRule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
+    SecretRule(
+        "private_key",
+        r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
+        rf"(?:{KEY_HEAD}{KEY_BODY}-----END [A-Z ]{{0,20}}PRIVATE KEY-----|{KEY_HEAD}[\x09-\x0D\x20\\nr]*[A-Za-z0-9+/]{{16}}{KEY_BODY})?",
+    ),
     SecretRule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     SecretRule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     SecretRule("web_token", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
-    SecretRule("url_login", r"[a-z]{2,10}://[A-Za-z0-9._-]{1,64}:[^\x00-\x20/@:]{6,128}@"),
+    SecretRule("url_login", r"[a-z]{2,10}://[A-Za-z0-9._-]+:[^\x00-\x20/@:]{6,}@"),
 )
 RULES = BASE_RULES + MORE_RULES
 
