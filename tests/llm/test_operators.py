@@ -340,6 +340,19 @@ def test_fertility_rejects_bytes_and_keeps_prose(spark):
     assert [(r.doc_id, r.kept) for r in rows] == [(2, "x")]
 
 
+def test_fertility_rejects_random_text(spark):
+    rnd = random.Random(2)
+    low, caps, signs = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "!@^()_+-=[]{};:,.?/~"
+    word = lambda letters: "".join(rnd.choice(letters) for _ in range(rnd.randint(3, 9)))
+    bad = [" ".join(word(x) for _ in range(n)) for x in (low, caps, low + caps, signs, "0123456789") for n in (60, 300)]
+    bad.append(" ".join("".join(rnd.choice(low + caps + "0123456789+/") for _ in range(76)) for _ in range(60)))
+    good = [prose(5, 120), prose(6, 2000), "\u10d0\u10d1\u10d2\u10d3 \u10d5\u10d4\u10d6 \u10e1\u10d0\u10e5 \u10db\u10d7\u10da " * 4 + " ".join(word("\u10d0\u10d1\u10d2\u10d3\u10d4\u10d5") for _ in range(80))]
+    docs = spark.createDataFrame(list(enumerate(bad + good)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in fertility_rules.fertility_report(docs, PIECES).collect()}
+    assert [i for i, r in rows.items() if r.kept] == list(range(len(bad), len(bad) + len(good)))
+    assert {rows[i].script for i in (6, 7, 8, 9)} == {"other"} and rows[len(bad) + 2].script == "unlisted"
+
+
 # -- 6 packing
 
 def test_packing(edge_docs, no_docs):
