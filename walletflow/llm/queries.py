@@ -8,9 +8,11 @@ from walletflow.llm import (
     language_score,
     link_trust,
     merge_rounds,
+    piece_spans,
     secret_scan,
     sharding,
     simhash_dedup,
+    source_divergence,
     vector_search,
     warc_archive,
 )
@@ -88,6 +90,16 @@ def op2_language_score(spark, sf_dir):
     return language_score.score_documents(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_source_divergence(spark, sf_dir):
+    return source_divergence.divergence_report(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_piece_spans(spark, sf_dir):
+    return piece_spans.piece_report(read_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 ORACLE["op4_vector_search"] = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS w
@@ -116,3 +128,43 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
 FROM p LEFT JOIN f USING (payload_digest)
 """
+
+ORACLE["op11_source_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+),
+t AS (SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 10),
+l AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, sum(n) AS total FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n FROM t JOIN k USING (lang, term) GROUP BY lang, source, term),
+g AS (
+  SELECT d.lang, d.source, coalesce(any_value(s.total), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) AS d
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source) AS s USING (lang, source)
+  GROUP BY d.lang, d.source
+),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000 * (coalesce(c.n, 0) + 2)) // (g.total + 2 * l.v) AS p,
+    1 + (1000000000 * (k.n + 2)) // (l.total + 2 * l.v) AS q
+  FROM g JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN c USING (lang, source, term)
+),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source
+),
+r AS (
+  SELECT lang, source, 'pair' AS part, item, coalesce(value, 0) AS value FROM pairs LEFT JOIN sums USING (lang, source, item)
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM p WHERE n > 0 AND p > q
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
