@@ -9,6 +9,7 @@ from walletflow.llm import (
     link_trust,
     merge_rounds,
     piece_spans,
+    prefix_trie,
     secret_scan,
     sharding,
     simhash_dedup,
@@ -100,6 +101,11 @@ def op12_piece_spans(spark, sf_dir):
     return piece_spans.piece_report(read_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+@query
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
 ORACLE["op4_vector_search"] = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS w
@@ -168,3 +174,50 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
 FROM ranked WHERE part = 'pair' OR rank <= 10
 """
+
+ORACLE["op13_prefix_trie"] = """
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+n AS (SELECT conv_id, count(*) AS n FROM t GROUP BY conv_id),
+crc AS (
+  SELECT conv_id, n, conv_id - conv_id % 5 AS base,
+    xor(list_reduce(
+      list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+      lambda a, x: list_reduce(range(8), lambda y, i: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END, xor(a, x)),
+      CAST(4294967295 AS BIGINT)
+    ), 4294967295) % 9 AS h
+  FROM n
+),
+c AS (SELECT crc.conv_id, base, h, least(h, coalesce(b.n, 0)) AS k FROM crc LEFT JOIN n AS b ON b.conv_id = base),
+r AS (
+  SELECT c.conv_id, t.i AS depth, role, text FROM c JOIN t ON t.conv_id = c.base AND t.i <= c.h
+  UNION ALL
+  SELECT c.conv_id, t.i - c.h + c.k, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND t.i > c.h
+),
+m AS (
+  SELECT conv_id, depth, strlen(text) AS bytes,
+    list({'role': role, 'text': text}) OVER (PARTITION BY conv_id ORDER BY depth) AS path
+  FROM r
+  UNION ALL
+  SELECT conv_id, 0, 0, [] FROM c
+),
+e AS (SELECT conv_id, max(depth) AS length FROM m GROUP BY conv_id),
+g0 AS (
+  SELECT path, depth, min(m.conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+    sha256(coalesce(string_agg(CAST(m.conv_id AS VARCHAR), ',' ORDER BY m.conv_id) FILTER (depth = length), '')) AS ends_sha256
+  FROM m JOIN e ON m.conv_id = e.conv_id GROUP BY path, depth
+),
+up AS (SELECT *, CASE WHEN depth > 0 THEN path[1 : depth - 1] END AS above FROM g0),
+kids AS (SELECT above, count(*) AS n FROM up WHERE depth > 0 GROUP BY above),
+g AS (SELECT up.*, coalesce(kids.n, 0) AS n_children FROM up LEFT JOIN kids ON kids.above = up.path),
+s AS (
+  SELECT x.path, sum((g.n_convs - 1) * g.bytes) AS saved, count(*) FILTER (g.n_children = 0) AS leaves
+  FROM g JOIN m AS x ON x.conv_id = g.conv_id AND x.depth <= g.depth GROUP BY x.path
+)
+SELECT g.conv_id, g.depth, p.conv_id AS parent_conv_id, g.n_convs, g.n_children, CAST(s.leaves AS BIGINT) AS n_leaves,
+  CAST(s.saved AS BIGINT) AS saved_tokens, g.ends_sha256
+FROM g JOIN s ON s.path = g.path LEFT JOIN g AS p ON g.depth > 0 AND p.path = g.above
+"""
