@@ -15,6 +15,7 @@ position) rather than completion order (D1); one as-of per batch (D2).
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from walletflow.operators import labels as L
 from walletflow.operators import portfolio as P
-from walletflow.operators.fetch import attach_keys, fetch_rounds, FetchOptions, FetchRun, landed_as_of, path_exists
+from walletflow.operators.fetch import attach_keys, fetch_rounds, FetchOptions, FetchRun, landed_as_of
 from walletflow.operators.numbering import dense_number
 from walletflow.functions.text import default_file_name_text, with_csv_suffix
 from walletflow.schemas import (
@@ -64,6 +65,13 @@ class JobResult:
     load: tables.LoadResult | None
 
 
+def landed_rows(rows: DataFrame, name: str) -> DataFrame:
+    """The job's flat rows, evaluated once: the CSV and the load read them from the shared folder."""
+    path = scratch_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def pinned(keys: DataFrame) -> DataFrame:
     """The keys, written once to the shared folder: the fetch, the join back and the emptiness check
     see the same rows, whatever becomes of their source meanwhile."""
@@ -148,19 +156,18 @@ def label_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str, na
     if keys.isEmpty():
         return None
     rows, run = enrich_labels(keys, fetch, opts, context=context, run_date=run_date, landing=landing)
+    rows = landed_rows(rows, "label-rows")
     _write_dead_letters(run, dead_letter_path)
     csv_path = _csv_path(spark, csv_dir, filename, LABEL_FILE_PREFIX)
     written = write_csv(rows, csv_path, mode="overwrite")
     if written == 0:
         return JobResult(full, None, 0, run, None)
-    # A run over a landing that this table has loaded does not append again.
-    ledger = f"{run.landing}/_loaded/{full}"
-    if not history and path_exists(spark, f"{ledger}/_SUCCESS"):
-        return JobResult(full, csv_path, written, run, None)
+    # The load id stands for the landing: a run over a landing that this table has loaded does not
+    # append again, and one whose load was refused or died can be repeated.
+    load_id = None if history else hashlib.sha256(run.landing.encode()).hexdigest()[:24]
     load = tables.load_rows(spark, rows, namespace, name, mode="history" if history else "append",
-                            reject_path=reject_path, size=path_size(spark, csv_path))
-    spark.range(1).write.mode("overwrite").parquet(ledger)
-    return JobResult(full, csv_path, written, run, load)
+                            reject_path=reject_path, size=path_size(spark, csv_path), load_id=load_id)
+    return JobResult(full, csv_path, written, run, None if load.repeated else load)
 
 
 def portfolio_rows_for_table(successes: DataFrame, keys: DataFrame) -> DataFrame:
@@ -187,6 +194,7 @@ def portfolio_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str
         return None
     # One as-of for the whole batch, taken once on the driver.
     rows, run = enrich_portfolios(keys, fetch, as_of_ms, opts, context=context, landing=landing)
+    rows = landed_rows(rows, "portfolio-rows")
     _write_dead_letters(run, dead_letter_path)
     csv_path = _csv_path(spark, csv_dir, filename, PORTFOLIO_FILE_PREFIX)
     written = write_csv(rows, csv_path, mode="overwrite")

@@ -5,13 +5,19 @@ stream over the landing folder picks up each new round once, keeps the
 successes, flattens them with the same Catalyst expressions as the batch
 path, and appends them to a table in ``foreachBatch``.  The stream's
 checkpoint (in the shared checkpoint folder) records which files were
-loaded, so a restarted or re-run load never appends a round twice.
+loaded.  A batch is appended under the load id ``<stream>-<epoch>``, which
+becomes visible together with its rows: an epoch that is repeated because the
+driver died before the checkpoint's commit finds its load and adds nothing.
+(A table that was not made by ``create_table`` has no load ids; there a repeated
+epoch is appended again.)
 ``trigger(availableNow=True)`` loads what is there and stops, which suits a
 job that runs after (or between) fetch rounds.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,6 +25,8 @@ from walletflow.operators import labels as L
 from walletflow.operators import portfolio as P
 from walletflow.operators.fetch import LANDED_SCHEMA
 from walletflow.session import scratch_path
+from walletflow.sinks.tables import append_once, has_versions
+
 
 def landed_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(LANDED_SCHEMA)
@@ -40,9 +48,14 @@ def load_landed(spark: SparkSession, landing: str, kind: str, table: str,
     (which must exist with the flattened columns, by name)."""
     checkpoint = checkpoint or scratch_path(spark, "stream-ckpt")
     cols = [f.name for f in spark.table(table).schema.fields]
+    versioned = has_versions(spark, table)
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
-    def append(batch: DataFrame, _epoch: int) -> None:
-        batch.select(*cols).write.insertInto(table)
+    def append(batch: DataFrame, epoch: int) -> None:
+        if versioned:
+            append_once(batch.sparkSession, batch, table, f"{stream}-{epoch}")
+        else:
+            batch.select(*cols).write.insertInto(table)
 
     flat = flatten_landed(landed_stream(spark, landing), kind)
     return (
