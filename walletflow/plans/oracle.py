@@ -385,3 +385,25 @@ WHERE customer.c_acctbal >= 5000 AND tok.k % 12 < 10
 ORACLE["stream_landing"] = ORACLE["retry_rounds"]
 
 ORACLE["portfolio_paged"] = PORTFOLIO_FLAT
+
+ORACLE["audited_refresh"] = f"""
+WITH {PORTFOLIO_TOKENS},
+n AS (
+  SELECT count(*) AS n, count(*) FILTER (k % 7 <> 0) AS fewer
+  FROM tok WHERE network IN ('arbitrum_one', 'ethereum', 'base', 'optimism'))
+SELECT 'first' AS step, true AS ok, n AS converted, 0 AS rejected, n AS in_table FROM n
+UNION ALL SELECT 'all_rejected', false, 0, n, n FROM n
+UNION ALL SELECT 'too_few', false, fewer, 0, n FROM n
+UNION ALL SELECT 'check_broken', false, n, 0, n FROM n
+UNION ALL SELECT 'fewer', true, fewer, 0, fewer FROM n
+"""
+
+ORACLE["repeated_load"] = """
+WITH n AS (SELECT count(*) AS n, count(*) // 10 AS bad FROM customer)
+SELECT 'first' AS step, true AS ok, false AS repeated, 0 AS rejected, n AS in_table FROM n
+UNION ALL SELECT 'again', true, true, 0, n FROM n
+UNION ALL SELECT 'refused', false, false, bad, n FROM n
+UNION ALL SELECT 'repeated', true, false, bad, 2 * n - bad FROM n
+UNION ALL SELECT 'repeated_again', true, true, 0, 2 * n - bad FROM n
+UNION ALL SELECT 'rejects', true, false, bad, 2 * n - bad FROM n
+"""

@@ -519,6 +519,54 @@ def refresh_load(spark, sf_dir):
     return _shown(spark.table(f"{ns}.portfolio"))
 
 
+@query("audited_refresh")
+def audited_refresh(spark, sf_dir):
+    """T7 behind an audit: a refresh is published only if it passes, else the old rows stay."""
+    from walletflow.schemas import PORTFOLIO_TABLE_SCHEMA
+    from walletflow.session import scratch_path
+    from walletflow.sinks import tables
+
+    ns, steps = _namespace(spark), []
+    tables.create_table(spark, ns, "portfolio", "audited", PORTFOLIO_TABLE_SCHEMA, root=scratch_path(spark, "tbl"))
+    rows = P.portfolio_rows(fx.landed(spark, sf_dir, "portfolio"))
+    fewer = P.portfolio_rows(fx.landed(spark, sf_dir, "portfolio_damaged"))
+    broken = rows.withColumn("address", F.substring("address", 3, 100))  # without 0x: every row is a reject
+    for step, what, audit in (
+        ("first", rows, tables.Audit(checks={"has chain": "chain is not null"})),
+        ("all_rejected", broken, tables.Audit()),
+        ("too_few", fewer, tables.Audit(least_share=0.999)),
+        ("check_broken", rows, tables.Audit(checks={"not ethereum": "chain <> 'ethereum'"})),
+        ("fewer", fewer, tables.Audit(least_share=0.5)),
+    ):
+        res = tables.load_rows(spark, what, ns, "portfolio", mode="refresh", audit=audit)
+        steps.append((step, res.ok, res.rows_written, res.rejected, spark.table(f"{ns}.portfolio").count()))
+    return spark.createDataFrame(steps, "step string, ok boolean, converted bigint, rejected bigint, in_table bigint")
+
+
+@query("repeated_load")
+def repeated_load(spark, sf_dir):
+    """T6 by load id: a load that the table holds adds nothing, one that was refused can be repeated."""
+    from walletflow.schemas import LABEL_COLUMNS, LABEL_TABLE_SCHEMA
+    from walletflow.session import scratch_path
+    from walletflow.sinks import tables
+
+    ns, steps, rejects = _namespace(spark), [], scratch_path(spark, "rejects")
+    tables.create_table(spark, ns, "labels", "load ids", LABEL_TABLE_SCHEMA, root=scratch_path(spark, "tbl"))
+    rows = _label_table_rows(spark, sf_dir).select(*LABEL_COLUMNS)
+    damaged = rows.withColumn("address", F.when(F.col("no") % 10 == 0, "no address").otherwise(F.col("address")))
+    for step, what, load_id, path in (
+        ("first", rows, "run-1", None),
+        ("again", rows, "run-1", None),
+        ("refused", damaged, "run-2", None),
+        ("repeated", damaged, "run-2", rejects),
+        ("repeated_again", damaged, "run-2", rejects),
+    ):
+        res = tables.load_rows(spark, what, ns, "labels", reject_path=path, load_id=load_id)
+        steps.append((step, res.ok, res.repeated, res.rejected, spark.table(f"{ns}.labels").count()))
+    steps.append(("rejects", True, False, spark.read.parquet(rejects).count(), spark.table(f"{ns}.labels").count()))
+    return spark.createDataFrame(steps, "step string, ok boolean, repeated boolean, rejected bigint, in_table bigint")
+
+
 @query("history_load")
 def history_load(spark, sf_dir):
     """History by update_date; a same-day rerun replaces that day only."""
