@@ -14,6 +14,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Numbers keep their text: before a document is parsed, every number token outside strings
+# becomes a string that starts with this private-use character.
+NUMBER_MARK = "\ue0f1"
+# From the end of the last match: whole strings and other characters, then a number.  Every
+# repeat is possessive, so the pass is linear and needs no stack.
+_NUMBER = r'\G((?:[^"\-0-9]++|"(?:[^"\\]++|\\.)*+")*+)(-?[0-9][0-9.eE+\-]*+)'
+_MAYBE_NUMBER = r"(?:^|[:,\[])[ \t\r\n]*+-?[0-9]"
+
+
+def with_marked_numbers(body: Column) -> Column:
+    """The document with its number tokens as marked strings.  Documents without numbers, and those
+    that hold the mark already, stay as they are."""
+    marked = F.regexp_replace(body, _NUMBER, f'$1"{NUMBER_MARK}$2"')
+    return F.when(body.rlike(_MAYBE_NUMBER) & ~F.contains(body, F.lit(NUMBER_MARK)), marked).otherwise(body)
+
+
+def as_written(text: Column) -> Column:
+    """Text of a value from a marked document: a number as it was written, also inside JSON text."""
+    inner = F.regexp_replace(text, f'"{NUMBER_MARK}([^"]*+)"', "$1")
+    return F.when(F.startswith(text, F.lit(NUMBER_MARK)), F.substring(text, 2, 1 << 30)).when(F.contains(text, F.lit(NUMBER_MARK)), inner).otherwise(text)
+
 
 def parse_whole(body: Column, kind: str) -> Column:
     """``body`` parsed as one JSON object of the map type ``kind``; NULL unless the whole
@@ -87,6 +108,8 @@ def json_class(v: Column) -> Column:
     Objects are recognised by ``is_object``; the schema string is only
     computed for the remaining (scalar or array) values."""
     s = F.schema_of_variant(v)
+    text = F.try_variant_get(v, "$", "string")
+    zero = F.startswith(text, F.lit(NUMBER_MARK)) & (F.substring(text, 2, 1 << 30).try_cast("double") == 0)
     return (
         F.when(v.isNull() | F.is_variant_null(v), F.lit("none"))
         .when(
@@ -101,7 +124,7 @@ def json_class(v: Column) -> Column:
                 F.lit("bad")
             ),
         )
-        .when(s == "STRING", F.when(F.try_variant_get(v, "$", "string") == "", F.lit("none")).otherwise(F.lit("bad")))
+        .when(s == "STRING", F.when(text == "", F.lit("none")).when(zero, F.lit("none")).otherwise(F.lit("bad")))
         .when(s == "BOOLEAN", F.when(F.try_variant_get(v, "$", "boolean"), F.lit("bad")).otherwise(F.lit("none")))
         .when(F.try_variant_get(v, "$", "double") == 0, F.lit("none"))
         .otherwise(F.lit("bad"))
@@ -111,13 +134,14 @@ def json_class(v: Column) -> Column:
 def text_or_default(v: Column, key: str, default: str = "") -> Column:
     """``data.get(key, default)`` rendered as the CSV text the reference
     writes: absent -> default, JSON null -> NULL, booleans -> 'True'/'False',
-    other scalars -> their text, objects and arrays -> JSON text."""
+    numbers of a marked document -> as written, other scalars -> their text, objects and arrays ->
+    JSON text."""
     x = F.try_variant_get(v, f"$.{key}", "variant")
     s = F.schema_of_variant(x)
     return (
         F.when(x.isNull(), F.lit(default))
         .when(F.is_variant_null(x), F.lit(None).cast("string"))
         .when(s == "BOOLEAN", F.when(F.try_variant_get(x, "$", "boolean"), F.lit("True")).otherwise(F.lit("False")))
-        .when(s.startswith("OBJECT") | s.startswith("ARRAY"), F.to_json(x))
-        .otherwise(F.try_variant_get(x, "$", "string"))
+        .when(s.startswith("OBJECT") | s.startswith("ARRAY"), as_written(F.to_json(x)))
+        .otherwise(as_written(F.try_variant_get(x, "$", "string")))
     )

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from walletflow.functions.jsonmap import is_object, key_present, ordered_entries, parse_whole
+from walletflow.functions.jsonmap import as_written, is_object, key_present, ordered_entries, parse_whole, with_marked_numbers
 from walletflow.functions.once import evaluate_once
 from walletflow.schemas import CHAIN_RENAME, EXPORT_CHAINS, LOOSE_MAP_DDL, PORTFOLIO_DDL, TOKEN_FIELDS
 
@@ -67,7 +67,7 @@ def parse_portfolio(df: DataFrame, body: str = "body") -> DataFrame:
 
     The typed parse runs once per row; the strict path only for rows that
     fail the gate (CASE keeps it lazy)."""
-    doc = parse_whole(F.col(body), PORTFOLIO_DDL)
+    doc = parse_whole(with_marked_numbers(F.col(body)), PORTFOLIO_DDL)
     staged = evaluate_once(df, "_pf", F.struct(doc.alias("doc")))
     fast = F.coalesce(_fast_gate(F.col("_pf.doc")), F.lit(False))
     staged = evaluate_once(
@@ -148,10 +148,10 @@ def flatten_portfolio(parsed: DataFrame, address: str = "address", keep: list[st
         *[F.col(k) for k in keep],
         display_chain(F.col("chain")).alias("chain"),
         F.col("address"),
-        F.col("t.value.symbol").alias("symbol"),
-        F.col("t.value.balance").alias("balance"),
-        F.col("t.value.price").alias("price"),
-        F.col("t.value.usd").alias("usd"),
+        as_written(F.col("t.value.symbol")).alias("symbol"),
+        as_written(F.col("t.value.balance")).alias("balance"),
+        as_written(F.col("t.value.price")).alias("price"),
+        as_written(F.col("t.value.usd")).alias("usd"),
     ]
     if with_rank:
         cols += [F.col("chain_rank"), (F.col("tpos") + 1).alias("token_rank")]
@@ -163,5 +163,12 @@ def portfolio_rows(df: DataFrame, body: str = "body", address: str = "address",
     return flatten_portfolio(parse_portfolio(df, body), address, keep, with_rank)
 
 
+def decimal_view(rows: DataFrame) -> DataFrame:
+    """Token rows with balance, price and usd as decimal(38,18) beside their text, in columns that end
+    in ``_decimal``; NULL where the text is no number or does not fit."""
+    numbers = {f"{c}_decimal": F.col(c).try_cast("decimal(38,18)") for c in ("balance", "price", "usd")}
+    return rows.withColumns(numbers)
+
+
 def portfolio_failures(df: DataFrame, body: str = "body") -> DataFrame:
     return parse_portfolio(df, body).filter(~F.col("portfolio_ok")).drop("portfolio_ok", "portfolio_doc")

@@ -240,6 +240,31 @@ def history_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def asof_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request per event: its user's version as of up to three days before or after the event."""
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    shift = F.expr("make_dt_interval(0, 0, 0, (event_id * 7919) % 518400 - 259200)")
+    return ev.select(F.col("event_id").alias("request_id"), F.col("user_id").alias("key"), (F.col("ts") + shift).alias("as_of"))
+
+
+def number_documents(spark: SparkSession, sf_dir: str, labels: bool = False) -> DataFrame:
+    """A document per lineitem whose fields are JSON numbers: 41 digits, trailing zeros, an exponent
+    beyond a double, and strings that look like numbers in JSON."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    li = li.withColumn("long", F.rpad(F.col("l_orderkey").cast("string"), 41, "7")).withColumn("n", F.col("l_linenumber").cast("string"))
+    address = F.concat(F.lit("0x"), F.lpad(F.concat("l_orderkey", F.lit("f"), "l_linenumber"), 40, "0"))
+    if labels:
+        body = F.format_string(
+            '{"base":{"arkhamEntity":{"name":%s,"type":%s.0,"website":"a: %s.0 \\"x\\": -1.50, 2"},"arkhamLabel":%s}}',
+            "long", "n", "n", F.when(F.col("l_linenumber") % 2 == 0, F.lit("0.0")).otherwise(F.concat(F.lit('{"name":'), "n", F.lit(".10}"))),
+        )
+    else:
+        body = F.format_string(
+            '{"ethereum":{"t%s":{"id":"t","name":"1.0","symbol":"S","balance":%s,"price": -%s.50,"usd":%se400}}}', "l_partkey", "long", "n", "n"
+        )
+    return li.select(address.alias("address"), body.alias("body"))
+
+
 _LANDED: dict = {}
 
 

@@ -407,3 +407,33 @@ UNION ALL SELECT 'repeated', true, false, bad, 2 * n - bad FROM n
 UNION ALL SELECT 'repeated_again', true, true, 0, 2 * n - bad FROM n
 UNION ALL SELECT 'rejects', true, false, bad, 2 * n - bad FROM n
 """
+
+ORACLE["portfolio_asof_requests"] = """
+WITH v AS (SELECT user_id, ts, max(event_id) AS event_id FROM events GROUP BY user_id, ts),
+r AS (
+  SELECT event_id AS request_id, user_id, ts + to_seconds((event_id * 7919) % 518400 - 259200) AS as_of FROM events)
+SELECT r.request_id, r.user_id, v.event_id, epoch_us(v.ts) AS ts_us, e.value, e.props
+FROM r ASOF LEFT JOIN v ON r.user_id = v.user_id AND r.as_of >= v.ts
+LEFT JOIN events AS e ON e.event_id = v.event_id
+"""
+
+NUMBER_DOCUMENTS = """
+li AS (
+  SELECT '0x' || lpad(l_orderkey || 'f' || l_linenumber, 40, '0') AS address,
+         rpad(CAST(l_orderkey AS VARCHAR), 41, '7') AS long, CAST(l_linenumber AS VARCHAR) AS n, l_linenumber % 2 = 0 AS even
+  FROM lineitem)
+"""
+
+ORACLE["portfolio_numbers"] = f"""
+WITH {NUMBER_DOCUMENTS}
+SELECT address, long AS balance, '-' || n || '.50' AS price, n || 'e400' AS usd,
+       '-' || n || '.500000000000000000' AS price_decimal
+FROM li
+"""
+
+ORACLE["label_numbers"] = f"""
+WITH {NUMBER_DOCUMENTS}
+SELECT address, long AS name, n || '.0' AS type, 'a: ' || n || '.0 "x": -1.50, 2' AS website,
+       CASE WHEN even THEN '' ELSE n || '.10' END AS label
+FROM li
+"""

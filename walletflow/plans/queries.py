@@ -196,6 +196,33 @@ def portfolio_asof(spark, sf_dir):
     )
 
 
+@query("portfolio_asof_requests")
+def portfolio_asof_requests(spark, sf_dir):
+    """S4, one as-of per request: every event asks for its user's version of some time around it."""
+    from walletflow.sources.landed import as_of_requests
+
+    hist = fx.history_versions(spark, sf_dir)
+    requests = fx.asof_requests(spark, sf_dir)
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', version_ts)")
+    return as_of_requests(hist, requests).select(
+        "request_id", F.col("key").alias("user_id"), F.col("version_id").alias("event_id"), micros.alias("ts_us"), "value", "props"
+    )
+
+
+@query("portfolio_numbers")
+def portfolio_numbers(spark, sf_dir):
+    """Numbers of any size come back as written, and as decimals where they fit."""
+    rows = P.decimal_view(P.portfolio_rows(fx.number_documents(spark, sf_dir)))
+    return rows.select("address", "balance", "price", "usd", F.col("price_decimal").cast("string").alias("price_decimal"))
+
+
+@query("label_numbers")
+def label_numbers(spark, sf_dir):
+    """L1/L2: entity and label fields that are numbers, as written; a zero is no label."""
+    docs = fx.number_documents(spark, sf_dir, labels=True)
+    return L.flatten_labels(L.parse_labels(docs)).select("address", "name", "type", "website", "label")
+
+
 # ------------------------------------------------------------------------- fetch
 
 _RUNS: dict = {}
