@@ -8,11 +8,14 @@ are written by Spark's text writer with the record end as separator, gzipped,
 so any file system that Spark reaches will do, and a lost task's file is
 written anew.
 
-Reading: Spark's text reader cuts at the record start.  A payload that holds
-that very mark is segmented inside the mark, so no block contains it.  Single
-records are digested where they are; chunk rows go to their record's task in
-chunk order, which carries one running digest per record - no task builds a
-whole payload.
+Reading: Spark's text reader cuts where a record's end meets the next record's
+start.  A payload is also cut inside every ``WARC/1.0`` that it holds, so no block
+holds that text, and neither a block nor a block with the line ends around it can
+look like a record's start.  Blocks are rows made one by one from the page's bytes;
+no second copy of a payload is built.  Single records are digested where they are;
+chunk rows go to their record's task in chunk order, which carries one running
+digest per record - no task builds a whole payload.  Anything between records
+that is no record stops the read.
 
 Defined results: null html is an empty payload; a null url leaves out the
 target line; a null ``page_id`` is kept, is never the one that others refer to
@@ -34,7 +37,8 @@ ship(__name__)
 LEAST = 100  # fixed: bytes from which equal payloads are stored once
 CHUNK = 64 << 10  # bytes of payload in one segment
 RECORDS = 8192  # most records in one archive file
-START = "WARC/1.0\r\n"
+VERSION = "WARC/1.0"
+START = VERSION + "\r\n"
 END = "\r\n\r\n"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 DATE = "2000-01-01T00:00:00Z"  # the tables hold no fetch time
@@ -71,26 +75,35 @@ def page_records(pages: DataFrame) -> DataFrame:
     )
 
 
-def _chunks(payload: Column, size: int) -> Column:
-    """The payload as byte chunks that do not hold the record mark."""
-    mark = END + START
-    parts = F.when(F.contains(payload, F.lit(mark)), F.split(payload, r"(?<=\r\n\r\nWAR)(?=C/1\.0\r\n)", -1)).otherwise(F.array(payload))
-    cut = lambda p: F.transform(
-        F.sequence(F.lit(0), F.greatest(F.floor((F.octet_length(p) - 1) / size), F.lit(0)).cast("int")),
-        lambda i: F.substring(p.cast("binary"), i * size + 1, F.lit(size)),
+def _starts(payload: Column, size: int) -> Column:
+    """Where the payload's blocks start: every ``size`` bytes, and inside every version mark."""
+    even = F.sequence(F.lit(0).cast("long"), F.greatest(F.octet_length(payload) - 1, F.lit(0)).cast("long"), F.lit(size).cast("long"))
+    parts = F.split(payload, r"(?<=WAR)(?=C/1\.0)", -1)
+    marks = F.aggregate(
+        F.transform(parts, lambda p: F.octet_length(p).cast("long")),
+        F.struct(F.lit(0).cast("long").alias("at"), F.expr("cast(array() as array<bigint>)").alias("out")),
+        lambda a, n: F.struct((a["at"] + n).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")),
+        lambda a: a["out"],
     )
-    return F.flatten(F.transform(parts, cut))
+    return F.when(F.contains(payload, F.lit(VERSION)), F.array_sort(F.array_union(even, marks))).otherwise(even)
 
 
 def write_archive(pages: DataFrame, path: str, chunk: int = CHUNK) -> None:
     """Write one WARC record per page (and one per further chunk) below ``path``."""
     at = F.monotonically_increasing_id()
     rows = page_records(pages).withColumn("record", _uri("record", at))
-    stored = F.when(F.col("kind") == "response", _chunks(F.col("payload"), chunk)).otherwise(F.array(F.lit(b"")))
-    rows = barrier(rows, blocks=stored).select(
-        "page_id", "url", "bytes", "digest", "kind", "refers", "record",
-        F.size("blocks").alias("segments"), F.posexplode("blocks").alias("k", "block"),
+    stored = F.col("kind") == "response"
+    rows = barrier(
+        rows,
+        data=F.when(stored, F.col("payload").cast("binary")).otherwise(F.lit(b"")),
+        starts=F.when(stored, _starts(F.col("payload"), chunk)).otherwise(F.array(F.lit(0).cast("long"))),
     )
+    cuts = F.transform("starts", lambda s, i: F.struct(i.alias("k"), s.alias("first"), F.get("starts", i + 1).alias("upto")))
+    rows = barrier(rows.drop("payload"), cuts=cuts)
+    # the blocks are cut while the rows are generated: the page's bytes are not copied to each of them
+    rows = rows.select("page_id", "url", "bytes", "digest", "kind", "refers", "record", "data", F.size("starts").alias("segments"), F.inline("cuts"))
+    size = F.coalesce(F.col("upto"), F.octet_length("data").cast("long")) - F.col("first")
+    rows = rows.withColumn("block", F.substring("data", (F.col("first") + 1).cast("int"), size.cast("int")))
     cut, first = F.col("segments") > 1, F.col("k") == 0
     block = F.concat(F.when(first, F.lit(HTTP)).otherwise(F.lit("")), F.col("block").cast("string"))
     safe_url = F.regexp_replace("url", r"[\r\n]", " ")
@@ -129,7 +142,11 @@ def chunk_table(spark: SparkSession, path: str) -> DataFrame:
 
     kind, chunk = field("WARC-Type"), F.coalesce(field("WARC-Segment-Number").cast("int"), F.lit(1))
     skip = F.when(kind == "continuation", 0).otherwise(len(HTTP))
-    return raw.where(F.contains("head", F.lit("WARC-Record-ID"))).select(
+    # what lies between two marks is a record or nothing but line ends
+    record = F.when(F.contains("head", F.lit("\r\nWARC-Record-ID: ")), F.lit(True)).when(
+        F.trim(F.translate("value", "\r\n", "  ")) == "", F.lit(False)
+    ).otherwise(F.raise_error(F.concat(F.lit("no WARC record: "), F.substring("value", 1, 100))).cast("boolean"))
+    return raw.where(record).select(
         F.coalesce(field("WARC-Segment-Origin-ID"), field("WARC-Record-ID")).alias("record"),
         chunk.alias("chunk"),
         F.contains("head", F.lit("\r\nWARC-Segment-Number: ")).alias("cut"),
