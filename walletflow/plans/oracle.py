@@ -437,3 +437,18 @@ SELECT address, long AS name, n || '.0' AS type, 'a: ' || n || '.0 "x": -1.50, 2
        CASE WHEN even THEN '' ELSE n || '.10' END AS label
 FROM li
 """
+
+ORACLE["csv_splits"] = """
+SELECT doc_id, lang, source, CAST(length(NULLIF(text, '')) AS BIGINT) AS chars, sha256(NULLIF(text, '')) AS text_sha256 FROM documents
+"""
+
+ORACLE["empty_guards"] = """
+WITH n AS (SELECT count(*) AS n FROM customer WHERE c_acctbal >= 5000 AND c_custkey % 12 > 1)
+SELECT 'no_keys' AS step, true AS nothing_done, false AS no_file, 0 AS dead_letters, 0 AS in_table
+UNION ALL SELECT 'no_success', false, true, n, 0 FROM n
+UNION ALL SELECT 'no_export', true, false, 0, 0
+"""
+
+ORACLE["default_asof"] = """
+SELECT count(*) AS row_count, CAST(1 AS BIGINT) AS as_of_times, true AS not_before FROM customer WHERE c_acctbal >= 5000
+"""

@@ -383,6 +383,21 @@ def csv_roundtrip(spark, sf_dir):
     return read_csv(spark, path, PORTFOLIO_COLUMNS)
 
 
+@query("csv_splits")
+def csv_splits(spark, sf_dir):
+    """Documents with line ends and quotes in their cells, read split by split."""
+    from walletflow.session import scratch_path
+    from walletflow.sinks.csv import write_csv
+    from walletflow.sources.csv_records import read_csv_splits
+
+    path = scratch_path(spark, "documents-csv")
+    write_csv(fx.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), path)
+    rows = read_csv_splits(spark, path, ["doc_id", "text", "lang", "source"])
+    return rows.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "lang", "source", F.length("text").cast("long").alias("chars"), F.sha2("text", 256).alias("text_sha256")
+    )
+
+
 @query("label_typed_load")
 def label_typed_load(spark, sf_dir):
     """Label CSV text typed back to the declared table types."""
@@ -674,6 +689,46 @@ def job_portfolio(spark, sf_dir):
     return _shown(spark.table(f"{ns}.portfolio"))
 
 
+@query("empty_guards")
+def empty_guards(spark, sf_dir):
+    """Without keys, or without a single success, no file is written and no row is loaded."""
+    from walletflow.plans import jobs
+    from walletflow.plans.stub_service import CyclingStubService
+    from walletflow.session import scratch_path
+    from walletflow.operators.fetch import FetchOptions
+
+    ns, steps = _namespace(spark), []
+    keys = _latest_keys(spark, sf_dir, "portfolio")
+    never = keys.where(F.conv(F.col("address").substr(3, 40), 16, 10).cast("long") % 12 > 1)
+    for step, which in (("no_keys", keys.limit(0)), ("no_success", never)):
+        job = jobs.portfolio_job(
+            spark, which, CyclingStubService(AS_OF_MS), namespace=ns, name="portfolio", as_of_ms=AS_OF_MS, context="doc",
+            opts=FetchOptions(kind="portfolio", request_delay=0.0, backoff_429=0.0, round_delay=0.0, max_rounds=2), table_root=scratch_path(spark, "tbl"),
+        )
+        steps.append((step, job is None, job is not None and job.csv_path is None, job.fetch.dead_letters().count() if job else 0, spark.table(f"{ns}.portfolio").count()))
+    path = jobs.export_labels(keys.limit(0), CyclingStubService(), _stub_opts("labels"), context="doc")
+    steps.append(("no_export", path is None, False, 0, spark.table(f"{ns}.portfolio").count()))
+    return spark.createDataFrame(steps, "step string, nothing_done boolean, no_file boolean, dead_letters bigint, in_table bigint")
+
+
+@query("default_asof")
+def default_asof(spark, sf_dir):
+    """Without an as-of the batch takes the time it starts at, the same for every key and round."""
+    import time
+
+    from walletflow.plans.jobs import enrich_portfolios
+    from walletflow.plans.stub_service import as_of_echo
+
+    started = int(time.time() * 1000)
+    keys = _latest_keys(spark, sf_dir, "portfolio").select("address")
+    rows, _ = enrich_portfolios(keys, as_of_echo, opts=_stub_opts("portfolio"))
+    told = rows.groupBy().agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct("balance").alias("as_of_times"),
+        (F.min(F.col("balance").cast("long")) >= started).alias("not_before"),
+    )
+    return told
+
+
 @query("export_labels")
 def export_labels(spark, sf_dir):
     """The label export's CSV, read back as text."""

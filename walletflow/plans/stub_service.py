@@ -34,3 +34,9 @@ class CyclingStubService:
                 raise ConnectionError("stub: connection refused")
             return int(what), "stub error"
         return 200, req.context
+
+
+def as_of_echo(req):
+    """A service that always answers, with the time it was asked for as the balance."""
+    token = '{"id":"t","name":"n","symbol":"S","balance":"%d","price":"1","usd":"1"}' % req.as_of_ms
+    return 200, '{"ethereum":{"t":%s}}' % token

@@ -38,9 +38,11 @@ from pyspark.sql.utils import AnalysisException
 from walletflow.functions.address import address_problem, address_to_binary
 from walletflow.functions.text import megabytes
 from walletflow.sinks import folders
-from walletflow.sinks.csv import as_csv_text, path_size, read_csv
+from walletflow.sinks.csv import as_csv_text, file_sizes, read_csv
+from walletflow.sources.csv_records import read_csv_splits
 
 KEEP_VERSIONS = 2
+SPLIT_BYTES = 128 << 20  # size of a CSV file from which it is read by several tasks
 
 
 def _ident(name: str) -> str:
@@ -201,7 +203,7 @@ class LoadResult:
 
 def load_csv(spark: SparkSession, csv_path: str, namespace: str, name: str, mode: str = "append",
              reject_path: str | None = None, max_lost: int = 0, *, load_id: str | None = None,
-             audit: Audit | None = None, keep: int = KEEP_VERSIONS) -> LoadResult:
+             audit: Audit | None = None, keep: int = KEEP_VERSIONS, split_bytes: int = SPLIT_BYTES) -> LoadResult:
     """T6 (append) / T7 (refresh) / T8 (history: the partitions that the rows hold are replaced).
 
     Missing path -> ``LoadResult(False)``.  Rejects are counted always, appended to ``reject_path``
@@ -211,11 +213,13 @@ def load_csv(spark: SparkSession, csv_path: str, namespace: str, name: str, mode
     """
     full = f"{namespace}.{name}"
     try:
-        size = path_size(spark, csv_path)
+        sizes = file_sizes(spark, csv_path)
     except FileNotFoundError:
         return LoadResult(False)
-    schema = spark.table(full).schema
-    text = read_csv(spark, csv_path, [f.name for f in schema.fields])
+    size, schema = sum(sizes), spark.table(full).schema
+    # a file that is larger than a task should read is read split by split
+    read = read_csv_splits if max(sizes, default=0) > split_bytes else read_csv
+    text = read(spark, csv_path, [f.name for f in schema.fields])
     return _load_text(spark, text, full, schema, mode, size, reject_path, audit or Audit(max_lost), load_id, keep)
 
 
