@@ -52,8 +52,9 @@ BASE_RULES = (
 )
 # A private key runs over its lines (also with line ends written as \\n) to the END line; without one, a body
 # that begins with a long word runs to the first character outside base64 and white space.
-KEY_HEAD = r"(?:[\x09-\x0D\x20\\nr]*Proc-Type:[0-9A-Z,\x20]*[\x09-\x0D\x20\\nr]*DEK-Info:[0-9A-Z,\x20-]*)?"
-KEY_BODY = r"[A-Za-z0-9+/=\x09-\x0D\x20\\]*"
+# The head's fields have an upper length or give nothing back, as their characters are also those of what follows.
+KEY_HEAD = r"(?:[\x09-\x0D\x20\\nr]{0,40}Proc-Type:[0-9A-Z,\x20]{0,40}[\x09-\x0D\x20\\nr]{0,40}DEK-Info:[0-9A-Z,\x20-]{0,80}+)?"
+KEY_BODY = r"[A-Za-z0-9+/=\x09-\x0D\x20\\]*+"
 # Further kinds, all with mandatory trigrams.
 MORE_RULES = (
     SecretRule(
@@ -63,7 +64,8 @@ MORE_RULES = (
     ),
     SecretRule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     SecretRule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    SecretRule("web_token", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
+    # starts only where a run of token characters starts, so each run is read a few times at most
+    SecretRule("web_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
     SecretRule("url_login", r"[a-z]{2,10}://[A-Za-z0-9._-]+:[^\x00-\x20/@:]{6,}@"),
 )
 RULES = BASE_RULES + MORE_RULES

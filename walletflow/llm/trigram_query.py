@@ -87,7 +87,7 @@ def _node(item) -> _Needs:
         if low == high and part.exact is not None and len(part.exact) ** low <= MAX_STRINGS:
             return _sequence(list(body) * low)
         return _Needs(None, _closed(part))
-    if op is kind.AT:
+    if op in (kind.AT, kind.ASSERT, kind.ASSERT_NOT):  # no width
         return _Needs({""})
     return _Needs()
 
