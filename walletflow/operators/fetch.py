@@ -4,7 +4,12 @@ A user-supplied fetch function is called once per pending key inside
 ``mapInPandas``; each partition runs a small thread pool (the service is
 I/O bound), so the total request rate is about
 ``partitions x threads / request_delay``; cap ``max_partitions`` to respect
-the service's limit.
+the service's limit.  With ``calls_per_sec`` the rate holds for the whole run,
+whatever the number of tasks: every wave leases an equal part of the current rate
+to each of its tasks, which spaces its calls by it.  After a wave the share of 429
+among its landed attempts decides: over ``throttled_share`` the rate is multiplied
+by ``slow_down``, else by ``speed_up`` up to the limit.  The decisions are landed
+(``<landing>/_rates``), so a resumed run goes on at the rate it had reached.
 
 Rounds: every round lands its attempts (one row per pending key) in a
 shared landing folder, ``<landing>/round=<r>``, with the success flag
@@ -97,15 +102,36 @@ class FetchOptions:
     keys_per_partition: int = 2000
     as_of_ms: int | None = None             # portfolio as-of, one value per batch
     no_retry: frozenset = field(default_factory=frozenset)
+    calls_per_sec: float | None = None      # most calls a second of the whole run, instead of request_delay
+    slow_down: float = 0.5
+    speed_up: float = 1.1
+    throttled_share: float = 0.01
 
     @property
     def no_data_message(self) -> str:
         return LABEL_NO_DATA if self.kind == "labels" else PORTFOLIO_NO_DATA
 
 
-def classify_call(fetch: Callable[[FetchRequest], Any], req: FetchRequest, opts: FetchOptions) -> tuple:
+class Pacer:
+    """Calls of one task's threads, at least ``gap`` seconds apart."""
+
+    def __init__(self, gap: float):
+        import threading
+
+        self.gap, self.lock, self.free_at = gap, threading.Lock(), 0.0
+
+    def __call__(self) -> None:
+        with self.lock:
+            at = max(self.free_at, time.monotonic())
+            self.free_at = at + self.gap
+        time.sleep(max(0.0, at - time.monotonic()))
+
+
+def classify_call(fetch: Callable[[FetchRequest], Any], req: FetchRequest, opts: FetchOptions, wait=None) -> tuple:
     """One call -> (status, http_ok, body, detail, elapsed_ms). Never raises."""
-    if opts.request_delay:
+    if wait is not None:
+        wait()
+    elif opts.request_delay:
         time.sleep(opts.request_delay)
     t0 = time.monotonic()
     try:
@@ -126,14 +152,15 @@ def classify_call(fetch: Callable[[FetchRequest], Any], req: FetchRequest, opts:
     return (*out, int((time.monotonic() - t0) * 1000))
 
 
-def _fetch_partitions(fetch, attempt: int, opts: FetchOptions):
-    """mapInPandas body: a thread pool per partition, one row per key."""
+def _fetch_partitions(fetch, attempt: int, opts: FetchOptions, gap: float | None = None):
+    """mapInPandas body: a thread pool per partition, one row per key; calls ``gap`` seconds apart."""
 
     def run(batches):
         from concurrent.futures import ThreadPoolExecutor
 
         import pandas as pd
 
+        wait = None if gap is None else Pacer(gap)
         with ThreadPoolExecutor(max_workers=max(1, opts.threads)) as pool:
             for pdf in batches:
                 addrs = pdf["address"].tolist()
@@ -145,7 +172,7 @@ def _fetch_partitions(fetch, attempt: int, opts: FetchOptions):
                 step = 8 * max(1, opts.threads)  # bounds the bodies held by a worker
                 for at in range(0, len(reqs), step):
                     some = slice(at, at + step)
-                    results = list(pool.map(lambda r: classify_call(fetch, r, opts), reqs[some]))
+                    results = list(pool.map(lambda r: classify_call(fetch, r, opts, wait), reqs[some]))
                     yield pd.DataFrame({
                         "address": addrs[some],
                         "context": ctx[some],
@@ -161,15 +188,17 @@ def _fetch_partitions(fetch, attempt: int, opts: FetchOptions):
 
 
 def fetch_once(pending: DataFrame, fetch, attempt: int, opts: FetchOptions, partitions: int,
-               spread: bool = True) -> DataFrame:
+               spread: bool = True, rate: float | None = None) -> DataFrame:
     """K1/K2/K3: one concurrent round over ``pending`` (address, context).
 
     ``spread`` round-robins the keys over ``partitions`` tasks; later rounds
-    read landed failures that are already spread and only narrow them."""
+    read landed failures that are already spread and only narrow them.  ``rate``: calls a second of
+    all tasks together."""
     ship_package(pending.sparkSession)
     src = pending.select(F.col("address").cast("string"), F.col("context").cast("string"))
     src = src.repartition(partitions) if spread else src.coalesce(partitions)
-    return src.mapInPandas(_fetch_partitions(fetch, attempt, opts), ATTEMPT_SCHEMA)
+    gap = None if rate is None else partitions / rate
+    return src.mapInPandas(_fetch_partitions(fetch, attempt, opts, gap), ATTEMPT_SCHEMA)
 
 
 def with_success(attempts: DataFrame, opts: FetchOptions) -> DataFrame:
@@ -212,6 +241,12 @@ class FetchRun:
             return self.spark.createDataFrame([], LANDED_SCHEMA)
         return self.spark.read.parquet(self.landing)
 
+    def rates(self) -> DataFrame:
+        """The rate of every wave, what it met and the rate decided for the next one."""
+        if self.rounds == 0 or self.opts.calls_per_sec is None:
+            return self.spark.createDataFrame([], RATE_SCHEMA)
+        return self.spark.read.schema(RATE_SCHEMA).parquet(f"{self.landing}/_rates")
+
     def successes(self) -> DataFrame:
         """K7: bag union of the successes of every round (one per address)."""
         return self.attempts().filter("ok")
@@ -291,21 +326,43 @@ def _waves_of(spark: SparkSession, landing: str, r: int, computed: int) -> int:
 
 
 def _land_wave(spark: SparkSession, src: DataFrame, fetch, r: int, opts: FetchOptions, parts: int,
-               spread: bool, out: str) -> tuple[int, int]:
-    """Fetch one wave and land it; returns (attempted, failed).  A wave that
+               spread: bool, out: str, rate: float | None = None) -> tuple[int, int, int]:
+    """Fetch one wave and land it; returns (attempted, failed, throttled).  A wave that
     is already landed (``_SUCCESS``, e.g. before a driver restart) is not
     fetched again."""
     if path_exists(spark, f"{out}/_SUCCESS"):
         got = spark.read.parquet(out).agg(
-            F.count(F.lit(1)).alias("n"), F.count_if(~F.col("ok")).alias("failed")
+            F.count(F.lit(1)).alias("n"), F.count_if(~F.col("ok")).alias("failed"), F.count_if(F.col("status") == "429").alias("throttled")
         ).first()
-        return int(got["n"]), int(got["failed"] or 0)
-    attempts = with_success(fetch_once(src, fetch, r, opts, parts, spread=spread), opts)
+        return int(got["n"]), int(got["failed"] or 0), int(got["throttled"] or 0)
+    attempts = with_success(fetch_once(src, fetch, r, opts, parts, spread=spread, rate=rate), opts)
     obs = Observation(f"wave_{r}_{uuid.uuid4().hex[:6]}")
-    attempts = attempts.observe(obs, F.count(F.lit(1)).alias("n"), F.count_if(~F.col("ok")).alias("failed"))
+    attempts = attempts.observe(
+        obs, F.count(F.lit(1)).alias("n"), F.count_if(~F.col("ok")).alias("failed"), F.count_if(F.col("status") == "429").alias("throttled")
+    )
     attempts.write.mode("overwrite").parquet(out)
     stats = obs.get
-    return int(stats.get("n", 0) or 0), int(stats.get("failed", 0) or 0)
+    return tuple(int(stats.get(c, 0) or 0) for c in ("n", "failed", "throttled"))
+
+
+RATE_SCHEMA = "round int, wave int, rate double, attempted long, throttled long, next_rate double"
+
+
+def _next_rate(opts: FetchOptions, rate: float, attempted: int, throttled: int) -> float:
+    if throttled > opts.throttled_share * attempted:
+        return rate * opts.slow_down
+    return min(opts.calls_per_sec, rate * opts.speed_up)
+
+
+def _decided_rate(spark: SparkSession, landing: str, r: int, w: int, rate: float, counts: tuple, opts: FetchOptions) -> float:
+    """The rate after a wave; decided and landed once per wave."""
+    path = f"{landing}/_rates/round={r}/wave={w}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        attempted, _, throttled = counts
+        row = (rate, attempted, throttled, _next_rate(opts, rate, attempted, throttled))
+        spark.createDataFrame([row], "rate double, attempted long, throttled long, next_rate double").coalesce(1).write.mode("overwrite").parquet(path)
+        return row[-1]
+    return float(spark.read.parquet(path).first()["next_rate"])
 
 
 def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
@@ -345,6 +402,7 @@ def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
         n_pending = int(obs.get.get("n", 0) or 0)
         _manifest(spark.read.parquet(first), opts).write.mode("overwrite").parquet(f"{landing}/_pending/manifest")
     pending = spark.read.parquet(first) if n_pending else distinct
+    rate = opts.calls_per_sec
     for r in range(1, opts.max_rounds + 1):
         if n_pending is None:
             n_pending = pending.count()
@@ -368,9 +426,11 @@ def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
             ]
         attempted = failed = 0
         for w, src, spread in sources:
-            n, f = _land_wave(spark, src, fetch, r, opts, parts, spread, f"{landing}/round={r}/wave={w}")
-            attempted += n
-            failed += f
+            counts = _land_wave(spark, src, fetch, r, opts, parts, spread, f"{landing}/round={r}/wave={w}", rate)
+            if rate is not None:
+                rate = _decided_rate(spark, landing, r, w, rate, counts, opts)
+            attempted += counts[0]
+            failed += counts[1]
         run.rounds = r
         run.round_counts.append((r, attempted, failed))
         retry = ~F.col("ok")

@@ -452,3 +452,12 @@ UNION ALL SELECT 'no_export', true, false, 0, 0
 ORACLE["default_asof"] = """
 SELECT count(*) AS row_count, CAST(1 AS BIGINT) AS as_of_times, true AS not_before FROM customer WHERE c_acctbal >= 5000
 """
+
+# All failing calls of rounds 1 and 7 are answered with 429, which halves the rate; other rounds raise it by a tenth.
+ORACLE["paced_rounds"] = """
+SELECT r.round, count(*) FILTER (c_custkey % 12 >= r.round - 1) AS attempted,
+       CASE WHEN r.round % 6 = 1 THEN count(*) FILTER (c_custkey % 12 >= r.round) ELSE 0 END AS throttled,
+       CAST(round(1000000 * CASE WHEN r.round = 1 THEN 1 WHEN r.round < 8 THEN 0.5 * pow(1.1, r.round - 2)
+         ELSE 0.25 * pow(1.1, 5) * pow(1.1, r.round - 8) END) AS BIGINT) AS rate_ppm
+FROM customer, range(1, 11) AS r(round) GROUP BY r.round
+"""

@@ -689,6 +689,22 @@ def job_portfolio(spark, sf_dir):
     return _shown(spark.table(f"{ns}.portfolio"))
 
 
+@query("paced_rounds")
+def paced_rounds(spark, sf_dir):
+    """The rate of each round, halved after rounds that were throttled and raised slowly after others."""
+    from walletflow.operators.fetch import FetchOptions, fetch_rounds
+    from walletflow.plans.stub_service import CyclingStubService
+
+    docs = fx.landed(spark, sf_dir, "labels")
+    limit = 1_000_000.0
+    opts = FetchOptions(kind="labels", backoff_429=0.0, round_delay=0.0, calls_per_sec=limit, keys_per_partition=1_000_000)
+    run = fetch_rounds(docs.select("address", F.col("body").alias("doc")), CyclingStubService(), opts, context="doc")
+    return run.rates().select(
+        F.col("round").cast("bigint").alias("round"), "attempted", "throttled",
+        F.round(F.col("rate") / limit * 1_000_000).cast("bigint").alias("rate_ppm"),
+    )
+
+
 @query("empty_guards")
 def empty_guards(spark, sf_dir):
     """Without keys, or without a single success, no file is written and no row is loaded."""
