@@ -461,3 +461,9 @@ SELECT r.round, count(*) FILTER (c_custkey % 12 >= r.round - 1) AS attempted,
          ELSE 0.25 * pow(1.1, 5) * pow(1.1, r.round - 8) END) AS BIGINT) AS rate_ppm
 FROM customer, range(1, 11) AS r(round) GROUP BY r.round
 """
+
+ORACLE["run_sketches"] = """
+SELECT r.round, count(*) AS attempts, count(*) FILTER (c_custkey % 12 < r.round) AS succeeded, count(*) AS exact_keys,
+       true AS keys_near, true AS p50_near, true AS p90_near
+FROM customer, range(1, 4) AS r(round) WHERE c_custkey % 12 >= r.round - 1 GROUP BY r.round
+"""

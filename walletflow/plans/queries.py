@@ -705,6 +705,32 @@ def paced_rounds(spark, sf_dir):
     )
 
 
+@query("run_sketches")
+def run_sketches(spark, sf_dir):
+    """A1/A2 from sketches: per-wave rows merged to rounds and held against the exact figures."""
+    from walletflow.operators import stats as S
+    from walletflow.operators.fetch import FetchOptions, fetch_rounds
+    from walletflow.plans.stub_service import CyclingStubService
+
+    docs = fx.landed(spark, sf_dir, "labels")
+    opts = FetchOptions(kind="labels", request_delay=0.0, backoff_429=0.0, round_delay=0.0, max_partitions=4, keys_per_partition=200, max_rounds=3)
+    run = fetch_rounds(docs.select("address", F.col("body").alias("doc")), CyclingStubService(), opts, context="doc")
+    attempts = run.attempts().withColumn("size", F.coalesce(F.length("body"), F.length("address") + F.col("round")))
+    merged = S.merged_sketches(S.wave_sketches(attempts, measure="size"), ("round",))
+    figures = S.sketch_figures(merged)
+    exact = attempts.groupBy("round").agg(F.count_distinct("address").alias("exact_keys"))
+    ranks = attempts.join(figures.select("round", "p50", "p90"), "round").groupBy("round").agg(
+        *[F.avg((F.col("size") <= F.col(p)).cast("double")).alias(f"upto_{p}") for p in ("p50", "p90")],
+        *[F.avg((F.col("size") < F.col(p)).cast("double")).alias(f"below_{p}") for p in ("p50", "p90")],
+    )
+    near = lambda p, r: (F.col(f"below_{p}") <= r + 0.02) & (F.col(f"upto_{p}") >= r - 0.02)
+    return figures.join(exact, "round").join(ranks, "round").select(
+        F.col("round").cast("bigint").alias("round"), "attempts", "succeeded", "exact_keys",
+        (F.abs(F.col("distinct_keys") - F.col("exact_keys")) <= 0.03 * F.col("exact_keys")).alias("keys_near"),
+        near("p50", 0.5).alias("p50_near"), near("p90", 0.9).alias("p90_near"),
+    )
+
+
 @query("empty_guards")
 def empty_guards(spark, sf_dir):
     """Without keys, or without a single success, no file is written and no row is loaded."""
