@@ -80,21 +80,21 @@ def parse_portfolio(df: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
-def without_invalid_addresses(parsed: DataFrame, address: str = "address") -> DataFrame:
-    """Paged documents: an address is valid only if every one of its pages is.
-
-    Only the invalid addresses are gathered and shuffled (normally few, so AQE can
-    broadcast them); the parsed pages of valid addresses need not be grouped."""
-    invalid = parsed.filter(~F.col("portfolio_ok")).select(F.col(address).alias("_invalid")).distinct()
-    return parsed.join(invalid, F.col(address).eqNullSafe(F.col("_invalid")), "left_anti")
-
-
 def paged_portfolio_rows(pages: DataFrame, body: str = "body", address: str = "address",
                          page: str = "page", with_rank: bool = False) -> DataFrame:
-    """Flat token rows of paged documents: pages of one address are flattened
-    independently, after the address-level validity check."""
-    parsed = without_invalid_addresses(parse_portfolio(pages, body), address)
-    return flatten_portfolio(parsed, address, keep=[page], with_rank=with_rank)
+    """Flat token rows of paged documents, of the addresses whose pages are all valid.
+
+    Every page is parsed and flattened once; its rows, and one marked row per invalid page, are
+    written to the shared folder.  The invalid addresses are then read there and removed."""
+    from walletflow.session import scratch_path
+
+    spark = pages.sparkSession
+    path = scratch_path(spark, "paged-rows")
+    rows = flatten_portfolio(parse_portfolio(pages, body), address, keep=[page], with_rank=with_rank, mark_invalid=True)
+    rows.write.parquet(path)
+    landed = spark.read.schema(rows.schema).parquet(path)
+    invalid = landed.where("portfolio_bad").select(F.col("address").alias("_invalid")).distinct()
+    return landed.where(~F.col("portfolio_bad")).join(invalid, F.col("address").eqNullSafe(F.col("_invalid")), "left_anti").drop("portfolio_bad")
 
 
 def portfolio_summary(parsed: DataFrame, address: str = "address") -> DataFrame:
@@ -109,22 +109,29 @@ def portfolio_summary(parsed: DataFrame, address: str = "address") -> DataFrame:
     )
 
 
-def exported_networks(parsed: DataFrame, address: str = "address", keep: list[str] | None = None) -> DataFrame:
-    """(address, chain, chain_rank, tokens) for exported networks of valid documents."""
+def exported_networks(parsed: DataFrame, address: str = "address", keep: list[str] | None = None,
+                      mark_invalid: bool = False) -> DataFrame:
+    """(address, chain, chain_rank, tokens) for exported networks of valid documents; with
+    ``mark_invalid`` also one row per invalid document, ``portfolio_bad`` true and the rest NULL."""
     keep = keep or []
     order = F.array(*[F.lit(c) for c in EXPORT_CHAINS])
-    return (
-        parsed.filter(F.col("portfolio_ok"))
-        .select(*[F.col(k) for k in keep], F.col(address).alias("address"),
-                F.explode(ordered_entries(F.col("portfolio_doc"))).alias("net"))
-        .filter(F.col("net.key").isin(EXPORT_CHAINS))
-        .select(
-            *[F.col(k) for k in keep],
-            "address",
-            F.col("net.key").alias("chain"),
-            F.array_position(order, F.col("net.key")).cast("int").alias("chain_rank"),
-            F.col("net.value").alias("tokens"),
+    own, bad = [F.col(k) for k in keep], ~F.col("portfolio_ok")
+    exported = F.col("net.key").isin(EXPORT_CHAINS)
+    nets = ordered_entries(F.col("portfolio_doc"))
+    if mark_invalid:
+        own.append(bad.alias("portfolio_bad"))
+        found = parsed.select(*own, F.col(address).alias("address"), F.explode_outer(F.when(~bad, nets)).alias("net")).filter(
+            F.col("portfolio_bad") | F.coalesce(exported, F.lit(False))
         )
+        own = [F.col(k) for k in keep] + [F.col("portfolio_bad")]
+    else:
+        found = parsed.filter(F.col("portfolio_ok")).select(*own, F.col(address).alias("address"), F.explode(nets).alias("net")).filter(exported)
+    return found.select(
+        *own,
+        "address",
+        F.col("net.key").alias("chain"),
+        F.array_position(order, F.col("net.key")).cast("int").alias("chain_rank"),
+        F.col("net.value").alias("tokens"),
     )
 
 
@@ -136,14 +143,20 @@ def display_chain(chain: Column) -> Column:
 
 
 def flatten_portfolio(parsed: DataFrame, address: str = "address", keep: list[str] | None = None,
-                      with_rank: bool = False) -> DataFrame:
-    """Token rows: chain, address, symbol, balance, price, usd."""
+                      with_rank: bool = False, mark_invalid: bool = False) -> DataFrame:
+    """Token rows: chain, address, symbol, balance, price, usd (``mark_invalid``: see
+    ``exported_networks``)."""
     keep = keep or []
-    nets = exported_networks(parsed, address, keep)
+    nets = exported_networks(parsed, address, keep, mark_invalid)
+    if mark_invalid:
+        keep = [*keep, "portfolio_bad"]
+    one = F.posexplode_outer if mark_invalid else F.posexplode
     tok = nets.select(
         *[F.col(k) for k in keep], "address", "chain", "chain_rank",
-        F.posexplode(ordered_entries(F.col("tokens"))).alias("tpos", "t"),
+        one(ordered_entries(F.col("tokens"))).alias("tpos", "t"),
     )
+    if mark_invalid:
+        tok = tok.filter(F.col("portfolio_bad") | F.col("t").isNotNull())
     cols = [
         *[F.col(k) for k in keep],
         display_chain(F.col("chain")).alias("chain"),
