@@ -1,7 +1,9 @@
 """Gated recurrent language model in numpy with a class-factored softmax.
 
 Words are numbered by frequency: 0 the end of a text, 1 any word outside the
-vocabulary, then the words; number // ``size`` is the class.  A text starts from
+vocabulary, then the words.  A class is a run of numbers with about the same sum of
+square roots of counts: frequent words share small classes, so a token is expected
+to meet about as many words in its class as there are classes.  A text starts from
 a zero state after an end.  ``Model.score`` carries the state through all
 windows of a text; ``Model.learn`` backpropagates inside a window and carries
 the state into the next one (truncated backpropagation), with Adagrad steps
@@ -13,62 +15,85 @@ from __future__ import annotations
 import numpy as np
 
 HIDDEN = 16
-CLASSES = 256
-SIZE = 256  # words in a class
-WORDS = CLASSES * SIZE
+WORDS = 1 << 16
+CLASSES = 160
+BLOCKS = 256  # runs of numbers whose parameters travel together
+RUN = WORDS // BLOCKS
 NEVER = np.float32(-1e9)
 NAMES = ("emb", "rec", "bias", "cls", "cls_bias", "out", "out_bias")
 SHAPES = {
     "emb": (WORDS, 3 * HIDDEN), "rec": (HIDDEN, 3 * HIDDEN), "bias": (3 * HIDDEN,),
-    "cls": (HIDDEN, CLASSES), "cls_bias": (CLASSES,), "out": (CLASSES, HIDDEN, SIZE), "out_bias": (CLASSES, SIZE),
+    "cls": (HIDDEN, CLASSES), "cls_bias": (CLASSES,), "out": (WORDS, HIDDEN), "out_bias": (WORDS,),
 }
-OUTPUTS = 4096  # rows whose class probabilities are held together in scoring
+OUTPUTS = 1024  # rows whose probabilities are held together
 
 
-def initial(counts, seed: int = 42) -> dict:
+class Params(dict):
+    """Parameters by name; ``bounds``: the first number of each class, and ``WORDS``."""
+
+    bounds = np.linspace(0, WORDS, CLASSES + 1).astype(np.int64)
+
+    def copied(self) -> "Params":
+        out = Params({n: v.copy() for n, v in self.items()})
+        out.bounds = self.bounds
+        return out
+
+
+def class_bounds(weight: np.ndarray) -> np.ndarray:
+    """Bounds of the classes for these counts; the last class holds the numbers without a count."""
+    upto = np.cumsum(np.sqrt(weight))
+    inner = np.searchsorted(upto, upto[-1] * np.arange(1, CLASSES - 1) / (CLASSES - 1), side="left") + 1
+    return np.concatenate([[0], np.minimum(inner, len(weight)), [len(weight), WORDS]]).astype(np.int64)
+
+
+def initial(counts, seed: int = 42) -> Params:
     """Parameters whose output is the unigram distribution of ``counts`` (one per number)."""
     rng = np.random.default_rng(seed)
     weight = np.zeros(WORDS)
     weight[: len(counts)] = np.asarray(counts, dtype=np.float64) + 0.5
-    weight = weight.reshape(CLASSES, SIZE)
-    total = weight.sum(axis=1)
+    bounds = class_bounds(weight[: len(counts)])
+    upto = np.concatenate([[0.0], np.cumsum(weight)])
+    total = upto[bounds[1:]] - upto[bounds[:-1]]
     with np.errstate(divide="ignore", invalid="ignore"):
         cls = np.where(total > 0, np.log(total / total.sum()), NEVER)
-        inside = np.where(weight > 0, np.log(weight / total[:, None]), NEVER)
+        inside = np.where(weight > 0, np.log(weight / np.repeat(total, np.diff(bounds))), NEVER)
     small = lambda *shape: (rng.standard_normal(shape) * 0.1).astype(np.float32)
-    return {
+    out = Params({
         "emb": small(WORDS, 3 * HIDDEN), "rec": small(HIDDEN, 3 * HIDDEN), "bias": np.zeros(3 * HIDDEN, np.float32),
         "cls": np.zeros((HIDDEN, CLASSES), np.float32), "cls_bias": cls.astype(np.float32),
-        "out": np.zeros((CLASSES, HIDDEN, SIZE), np.float32), "out_bias": inside.astype(np.float32),
-    }
+        "out": np.zeros((WORDS, HIDDEN), np.float32), "out_bias": inside.astype(np.float32),
+    })
+    out.bounds = bounds
+    return out
 
 
-def pack(p: dict) -> np.ndarray:
-    return np.concatenate([p[n].ravel() for n in NAMES])
+def pack(p: Params) -> np.ndarray:
+    return np.concatenate([*[p[n].ravel() for n in NAMES], p.bounds.astype(np.float32)])
 
 
-def unpack(flat: np.ndarray) -> dict:
-    out, at = {}, 0
+def unpack(flat: np.ndarray) -> Params:
+    out, at = Params(), 0
     for n in NAMES:
         k = int(np.prod(SHAPES[n]))
         out[n] = flat[at:at + k].reshape(SHAPES[n]).astype(np.float32)
         at += k
+    out.bounds = flat[at:].astype(np.int64)
     return out
 
 
 def blocks(p: dict):
-    """(number, values) of parameter blocks: a class's words and outputs each, and last what all share."""
-    emb = p["emb"].reshape(CLASSES, SIZE * 3 * HIDDEN)
-    for c in range(CLASSES):
-        yield c, np.concatenate([emb[c], p["out"][c].ravel(), p["out_bias"][c]])
-    yield CLASSES, np.concatenate([p[n].ravel() for n in ("rec", "bias", "cls", "cls_bias")])
+    """(number, values) of parameter blocks: a run of words and their outputs each, and last what all share."""
+    for c in range(BLOCKS):
+        own = slice(c * RUN, (c + 1) * RUN)
+        yield c, np.concatenate([p[n][own].ravel() for n in ("emb", "out", "out_bias")])
+    yield BLOCKS, np.concatenate([p[n].ravel() for n in ("rec", "bias", "cls", "cls_bias")])
 
 
 def add_block(p: dict, number: int, values: np.ndarray) -> None:
     """Add to the parameters of one block, in place."""
-    if number < CLASSES:
-        own = slice(number * SIZE, (number + 1) * SIZE)
-        parts = [p["emb"][own], p["out"][number], p["out_bias"][number]]
+    if number < BLOCKS:
+        own = slice(number * RUN, (number + 1) * RUN)
+        parts = [p[n][own] for n in ("emb", "out", "out_bias")]
     else:
         parts = [p[n] for n in ("rec", "bias", "cls", "cls_bias")]
     at = 0
@@ -81,18 +106,35 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _softmax(x, target):
-    """Exponentials of every row (in place of x), their sums, and natural log probabilities of the targets."""
-    x -= x.max(axis=1, keepdims=True)
+def _softmax(x, target, shift: bool):
+    """Exponentials of every row (in place of x), their sums, and natural log probabilities of the targets;
+    ``shift``: take each row's highest value off first."""
+    if shift:
+        x -= x.max(axis=1, keepdims=True)
     logp = x[np.arange(len(x)), target].astype(np.float64)
     np.exp(x, out=x)
-    total = x.sum(axis=1)
+    total = x @ np.ones(x.shape[1], x.dtype)  # a product adds faster than a sum by rows
     return x, total, logp - np.log(total)
 
 
 class Model:
     def __init__(self, params: dict):
         self.p = params
+        self.bounds = getattr(params, "bounds", Params.bounds)
+        self.class_of = np.repeat(np.arange(CLASSES, dtype=np.int16), np.diff(self.bounds))
+        self.shift = True
+
+    def _bound(self) -> None:
+        """Rows need no shift where no state can bring an exponential near the ends of 32 bits: states lie
+        within -1 and 1, so an output is its bias give or take the sum of its weights."""
+        p = self.p
+        reach, wide = np.abs(p["out"]).sum(axis=1), np.abs(p["cls"]).sum(axis=0)
+        used = (np.diff(self.bounds) > 0) & (p["cls_bias"] > NEVER / 2)
+        first = np.minimum(self.bounds[:-1], WORDS - 1)
+        lowest = np.maximum.reduceat(p["out_bias"] - reach, first)[used]
+        high = max((p["out_bias"] + reach).max(), (p["cls_bias"] + wide).max())
+        low = min(lowest.min(initial=0), (p["cls_bias"] - wide).max())
+        self.shift = not (high < 60 and low > -60)
 
     def _step(self, h, x):
         u = h @ self.p["rec"]
@@ -102,30 +144,40 @@ class Model:
         return n + z * (h - n), (h, z, r, n, u[:, 2 * HIDDEN:])
 
     def _in_classes(self, h, cls, inside):
-        """(class, rows, exponentials, sums, log probabilities of the targets) of every class that occurs; h is in class order."""
+        """(class, rows, exponentials, sums, log probabilities of the targets) of every class that occurs, a
+        bounded number of rows at once; h is in class order."""
         p = self.p
-        bounds = np.searchsorted(cls, np.arange(CLASSES + 1))
-        for c in np.flatnonzero(np.diff(bounds)):
-            rows = slice(bounds[c], bounds[c + 1])
-            yield (c, rows, *_softmax(h[rows] @ p["out"][c] + p["out_bias"][c], inside[rows]))
+        cuts = np.searchsorted(cls, np.arange(CLASSES + 1))
+        for c in np.flatnonzero(np.diff(cuts)):
+            own = slice(self.bounds[c], self.bounds[c + 1])
+            for at in range(cuts[c], cuts[c + 1], 4 * OUTPUTS):
+                rows = slice(at, min(at + 4 * OUTPUTS, cuts[c + 1]))
+                yield (c, rows, *_softmax(h[rows] @ p["out"][own].T + p["out_bias"][own], inside[rows], self.shift))
+
+    def _in_order(self, target):
+        """(order, class, place in the class) of targets, by class."""
+        cls = self.class_of[target]
+        order = np.argsort(cls, kind="stable")
+        cls = cls[order].astype(np.int64)
+        return order, cls, target[order] - self.bounds[cls]
 
     def _logp(self, h, target):
         """Natural log probabilities of the targets."""
         p = self.p
-        order = np.argsort(target // SIZE, kind="stable")
-        h, cls, inside = h[order], target[order] // SIZE, target[order] % SIZE
-        logp = np.empty(len(h))
+        order, cls, inside = self._in_order(target)
+        h, logp = h[order], np.empty(len(h))
         for at in range(0, len(h), OUTPUTS):
             some = slice(at, at + OUTPUTS)
-            logp[some] = _softmax(h[some] @ p["cls"] + p["cls_bias"], cls[some])[2]
-            for _, rows, _, _, own in self._in_classes(h[some], cls[some], inside[some]):
-                logp[at + rows.start:at + rows.stop] += own
+            logp[some] = _softmax(h[some] @ p["cls"] + p["cls_bias"], cls[some], self.shift)[2]
+        for _, rows, _, _, own in self._in_classes(h, cls, inside):
+            logp[rows] += own
         out = np.empty(len(h))
         out[order] = logp
         return out
 
     def score(self, texts: list, window: int = 32, rows: int = 1 << 16) -> np.ndarray:
         """Natural log probability of each text: number arrays that end with 0."""
+        self._bound()
         order = np.argsort([-len(t) for t in texts], kind="stable")
         length = np.array([len(texts[i]) for i in order])
         out = np.zeros(len(texts))
@@ -158,6 +210,7 @@ class Model:
     def learn(self, token: np.ndarray, valid: np.ndarray, h: np.ndarray, last: np.ndarray, memory: dict, rate: float):
         """One window of a batch (time x texts): forward, backward, Adagrad; returns the new state."""
         p = self.p
+        self._bound()
         steps, states, kept = len(token), [], []
         before = np.concatenate([last[None], token[:-1]])
         x = p["emb"][before] + p["bias"]
@@ -168,29 +221,42 @@ class Model:
         flat = np.concatenate(states)
         on = np.flatnonzero(valid.ravel())
         target = token.ravel()[on]
-        order = np.argsort(target // SIZE, kind="stable")
-        on, target = on[order], target[order]  # in class order
-        hs, cls, inside = flat[on], target // SIZE, target % SIZE
+        order, cls, inside = self._in_order(target)
+        on = on[order]  # in class order
+        hs = flat[on]
         scale = np.asarray(1 / max(len(on), 1), dtype=flat.dtype)
 
         def take(name, g, at=...):
             memory[name][at] += g ** 2
             p[name][at] -= rate * g / np.sqrt(memory[name][at] + 1e-8)
 
-        d, total, logp = _softmax(hs @ p["cls"] + p["cls_bias"], cls)
-        loss = -float(logp.sum())
-        d *= (scale / total)[:, None]
-        d[np.arange(len(on)), cls] -= scale
-        dh_on = d @ p["cls"].T
-        take("cls", hs.T @ d)
-        take("cls_bias", d.sum(axis=0))
+        loss, dh_on = 0.0, np.empty_like(hs)
+        g_cls, g_bias = np.zeros_like(p["cls"]), np.zeros_like(p["cls_bias"])
+        for first in range(0, len(on), OUTPUTS):
+            some = slice(first, first + OUTPUTS)
+            d, total, logp = _softmax(hs[some] @ p["cls"] + p["cls_bias"], cls[some], self.shift)
+            loss -= float(logp.sum())
+            d *= (scale / total)[:, None]
+            d[np.arange(len(d)), cls[some]] -= scale
+            dh_on[some] = d @ p["cls"].T
+            g_cls += hs[some].T @ d
+            g_bias += np.ones(len(d), d.dtype) @ d
+        grown = None  # (class, gradients): summed over the class's rows
         for c, rows, e, total, logp in self._in_classes(hs, cls, inside):
             loss -= float(logp.sum())
             e *= (scale / total)[:, None]
             e[np.arange(len(e)), inside[rows]] -= scale
-            dh_on[rows] += e @ p["out"][c].T
-            take("out", hs[rows].T @ e, c)
-            take("out_bias", e.sum(axis=0), c)
+            own = slice(self.bounds[c], self.bounds[c + 1])
+            dh_on[rows] += e @ p["out"][own]
+            g_out, g_own = e.T @ hs[rows], np.ones(len(e), e.dtype) @ e
+            if grown and grown[0] == c:
+                g_out, g_own = g_out + grown[1], g_own + grown[2]
+            grown = c, g_out, g_own
+            if rows.stop == len(cls) or cls[rows.stop] != c:
+                take("out", g_out, own)
+                take("out_bias", g_own, own)
+        take("cls", g_cls)
+        take("cls_bias", g_bias)
         dh_all = np.zeros_like(flat)
         dh_all[on] = dh_on
         dh_all = dh_all.reshape(steps, -1, HIDDEN)
@@ -223,7 +289,7 @@ def train(params: dict, texts, batch: int = 128, window: int = 32, rate: float =
 def train_rows(params: dict, rows, batch: int = 128, window: int = 32, rate: float = 0.05) -> dict:
     """One pass over (step, text, more, numbers): a text's rows come in order, in different steps, and hold
     whole windows; ``more`` tells that another row follows, which starts from this one's last state."""
-    model = Model({n: v.copy() for n, v in params.items()})
+    model = Model(params.copied() if isinstance(params, Params) else {n: v.copy() for n, v in params.items()})
     memory = {n: np.full_like(v, 1e-3) for n, v in params.items()}
     zero = (np.zeros(HIDDEN, np.float32), 0)
     states, held, now = {}, [], None

@@ -12,7 +12,7 @@ lot's first rows, then its second rows and so on, each from the state after the
 row before, so no task holds more than ``BATCH`` rows.  ``ROUNDS`` parts of the
 documents are learned one after another, each by tasks that start from the same
 parameters and whose changes are averaged (weighted by tokens) block by block,
-a block being the parameters of one class, so the driver gets one parameter set
+a block being the parameters of a run of words, so the driver gets one parameter set
 whatever the number of tasks.  Rows are sorted inside a task, so a repeated task
 learns the same.
 
@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from walletflow.llm import gated_model
-from walletflow.llm.common import WORD, ascii_lower, ship, slices, stored
+from walletflow.llm.common import ship, slices, stored
 
 ship(__name__)
 ship("walletflow.llm.common")
@@ -41,40 +41,67 @@ ship("walletflow.llm.gated_model")
 
 FREQUENT = gated_model.WORDS - 2  # words in the table sent to every task: all that the model numbers
 ROW = 1024  # tokens of a training text in one row: whole windows
-BATCH = 256  # texts learned together
-TASK_TOKENS = 4_000_000  # tokens from which a round uses a further task
+BATCH = 1024  # texts learned together
+TASK_TOKENS = 2_000_000  # tokens from which a round uses a further task
 ROUNDS = 2
 TASKS = 1024  # most training tasks in a round
 TEXT_BYTES = 4 << 20  # text tokenised at once
 SCORE_TOKENS = 2_000_000  # tokens scored together
 END = ""  # no word is empty
+HELD = 500_000  # words whose counts a task holds
 
 
 def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 10 == 0
 
 
+def words_of(text: str | None) -> list[bytes]:
+    """The words in UTF-8: bytes.split parts at the same six characters as ``WORD``, and bytes.lower
+    changes A-Z only."""
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
-    """(token, c) over rows of ``text``; every row also counts one end."""
-    words = texts.select(F.explode(F.concat(
-        F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(f"({WORD})"), F.lit(1)), F.array(F.lit(END))
-    )).alias("token"))
-    return stored(words.groupBy("token").agg(F.count("*").alias("c")), "word-counts")
+    """(token, c) over rows of ``text``; every row also counts one end.  Counts are added up in the
+    tasks, ``HELD`` words at a time, before they are shuffled."""
 
+    def run(batches):
+        from collections import Counter
 
-def _tokens_of(table: dict):
-    """texts -> (numbers of all tokens, tokens per text, words outside the table per text)."""
-    import re
+        import pyarrow as pa
+
+        held: Counter = Counter()
+
+        def flush():
+            rows = list(held.items())
+            held.clear()
+            for at in range(0, len(rows), 50_000):
+                words, n = zip(*rows[at : at + 50_000])
+                yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n, pa.int64())], names=["token", "c"])
 
+        for piece in slices(batches, TEXT_BYTES, "text"):
+            for text in piece.column("text").to_pylist():
+                held.update(words_of(text))
+            held[b""] += piece.num_rows
+            if len(held) > HELD:
+                yield from flush()
+        if held:
+            yield from flush()
+
+    words = texts.select("text").mapInArrow(run, "token binary, c long")
+    return stored(words.groupBy(F.col("token").cast("string").alias("token")).agg(F.sum("c").alias("c")), "word-counts")
+
+
+def _tokens_of(table: dict):
+    """texts -> (numbers of all tokens, words outside the table).  ``table`` is by UTF-8."""
     import numpy as np
 
-    find = re.compile(r"[^\x20\x09-\x0D]+").findall  # fixed
-    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    number = table.get
 
     def tokens(text):
-        words = find((text or "").translate(lower))
-        ids = np.fromiter((table.get(w, -1) for w in words), dtype=np.int32, count=len(words))
-        return np.append(ids, 0), [words[i] for i in np.flatnonzero(ids < 0)]
+        words = words_of(text)
+        ids = np.fromiter((number(w, -1) for w in words), dtype=np.int32, count=len(words))
+        return np.append(ids, 0), [words[i].decode("utf-8", "replace") for i in np.flatnonzero(ids < 0)]
 
     return tokens
 
@@ -165,7 +192,7 @@ def _learn(lots: DataFrame, part: int, params, tasks: int):
     rows = rows.repartitionById(tasks, F.pmod("lot", F.lit(tasks)).cast("int")).sortWithinPartitions("lot", "k", "h", "at")
     schema = "block int, tokens long, sums binary"
     partitions = int(lots.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    changes = rows.mapInArrow(learn, schema).repartition(min(gated_model.CLASSES, partitions), "block")
+    changes = rows.mapInArrow(learn, schema).repartition(min(gated_model.BLOCKS, partitions), "block")
     for r in changes.sortWithinPartitions("block", "tokens", "sums").mapInArrow(add, schema).toLocalIterator():
         gated_model.add_block(params, r["block"], np.frombuffer(r["sums"], dtype="<f8") / r["tokens"])
     return params
@@ -236,12 +263,12 @@ def score_documents(docs: DataFrame, smoothing: float = 0.1) -> DataFrame:
     base = np.log10((size + smoothing) / (n + smoothing * (v + 1)))
     tail_sum = outside_n + smoothing * (outside_v + 1)
     tail = np.where(np.arange(len(size)) < words, 0.0, np.log10((size + smoothing) / tail_sum))
-    table = spark.sparkContext.broadcast(({r["token"]: i + 2 for i, r in enumerate(top)}, base, tail))
+    table = spark.sparkContext.broadcast(({r["token"].encode(): i + 2 for i, r in enumerate(top)}, base, tail))
 
     share = size[:words].copy()
     share[1] = outside_n
     params = gated_model.initial(share)
-    tasks = min(TASKS, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // (ROUNDS * TASK_TOKENS)) or 1)
+    tasks = min(TASKS, -(-n // (ROUNDS * TASK_TOKENS)) or 1)  # by the corpus alone: scores do not depend on the session
     lots = _lots(stored(_token_rows(train, table, words), "token-rows"))
     for part in range(ROUNDS):
         params = _learn(lots, part, params, tasks)
