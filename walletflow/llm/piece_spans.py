@@ -37,9 +37,9 @@ from walletflow.llm.common import ship, slices
 ship(__name__)
 ship("walletflow.llm.common")
 
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 2 << 20
 SHORT = 48  # characters up to which segments are merged together
-KEPT = 200_000  # segments whose ids are kept
+KEPT = 120_000  # segments whose ids are kept
 SPACE = "▁"  # fixed: the escaped space
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # fixed: kinds of pieces in the file
 
