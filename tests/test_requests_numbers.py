@@ -78,6 +78,13 @@ def test_numbers_come_back_as_written(spark):
     assert got == {"0": (long, "1.0", "1e400"), "1": ("0.10", "False", ""), "2": ("-0", '{"x":1.0}', "")}  # 7 is no label object
 
 
+def test_what_is_no_json_stays_invalid(spark):
+    bodies = ["{1:{}}", '{1 :{}}', '{"a":01}', '{"a":1.}', '{"a":+1}', '{"a":1 2}', '{"a":--1}', '{"a":1e}', '{"a":1,}', '{"a":1} 2', '{"a":.5}', '{"a":1x}', "[1]", "1"]
+    df = spark.createDataFrame([(b,) for b in bodies], "body string")
+    assert [r.label_ok for r in L.parse_labels(df).collect()] == [False] * len(bodies)
+    assert [r.portfolio_ok for r in P.parse_portfolio(df).collect()] == [False] * len(bodies)
+
+
 def test_marking_is_linear(spark):
     import time
 

@@ -17,9 +17,12 @@ from pyspark.sql import functions as F
 # Numbers keep their text: before a document is parsed, every number token outside strings
 # becomes a string that starts with this private-use character.
 NUMBER_MARK = "\ue0f1"
-# From the end of the last match: whole strings and other characters, then a number.  Every
-# repeat is possessive, so the pass is linear and needs no stack.
-_NUMBER = r'\G((?:[^"\-0-9]++|"(?:[^"\\]++|\\.)*+")*+)(-?[0-9][0-9.eE+\-]*+)'
+# From the end of the last match: whole strings and other characters, then a JSON number (what is none
+# stays and fails the parse).  Every repeat is possessive, so the pass is linear and needs no stack.
+_NUMBER = (
+    r'\G((?:[^"\-0-9]++|"(?:[^"\\]++|\\.)*+")*+)'
+    r"(-?+(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][+-]?+[0-9]++)?+)(?=[ \t\r\n]*+(?:[,\]}]|$))"
+)
 _MAYBE_NUMBER = r"(?:^|[:,\[])[ \t\r\n]*+-?[0-9]"
 
 
