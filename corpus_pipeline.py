@@ -7,6 +7,12 @@ All but the last return the columns of ``documents``.  ``run`` applies them to
 Every stage works on all rows it gets: documents that the quality rules reject
 go; one document of each near-duplicate group stays, the one with the smallest
 ``doc_id``; secrets are replaced in the text; the last stage packs the ids.
+
+Defined results: a document with a null, empty or very short text fails the base
+rules and goes; rows with a null ``doc_id`` are judged like others and stay behind
+those with ids in their group; of repeated rows and equal ids one row stays (told
+apart by a number given once); very long texts are read whole in every stage; extra
+columns of any name are carried to the last stage; an empty table gives no pieces.
 """
 
 from __future__ import annotations
