@@ -251,7 +251,7 @@ def number_documents(spark: SparkSession, sf_dir: str, labels: bool = False) ->
     """A document per lineitem whose fields are JSON numbers: 41 digits, trailing zeros, an exponent
     beyond a double, and strings that look like numbers in JSON."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    li = li.withColumn("long", F.rpad(F.col("l_orderkey").cast("string"), 41, "7")).withColumn("n", F.col("l_linenumber").cast("string"))
+    li = li.withColumn("long", F.rpad(F.concat(F.lit("1"), F.col("l_orderkey").cast("string")), 41, "7")).withColumn("n", F.col("l_linenumber").cast("string"))
     address = F.concat(F.lit("0x"), F.lpad(F.concat("l_orderkey", F.lit("f"), "l_linenumber"), 40, "0"))
     if labels:
         body = F.format_string(

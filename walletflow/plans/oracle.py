@@ -420,7 +420,7 @@ LEFT JOIN events AS e ON e.event_id = v.event_id
 NUMBER_DOCUMENTS = """
 li AS (
   SELECT '0x' || lpad(l_orderkey || 'f' || l_linenumber, 40, '0') AS address,
-         rpad(CAST(l_orderkey AS VARCHAR), 41, '7') AS long, CAST(l_linenumber AS VARCHAR) AS n, l_linenumber % 2 = 0 AS even
+         rpad('1' || CAST(l_orderkey AS VARCHAR), 41, '7') AS long, CAST(l_linenumber AS VARCHAR) AS n, l_linenumber % 2 = 0 AS even
   FROM lineitem)
 """
 
