@@ -4,7 +4,8 @@ A user-supplied fetch function is called once per pending key inside
 ``mapInPandas``; each partition runs a small thread pool (the service is
 I/O bound), so the total request rate is about
 ``partitions x threads / request_delay``; cap ``max_partitions`` to respect
-the service's limit.  With ``calls_per_sec`` the rate holds for the whole run,
+the service's limit.  A task has at most ``keys_per_partition`` keys; where that makes
+fewer tasks than the cluster can run, there are more of them (``_tasks``).  With ``calls_per_sec`` the rate holds for the whole run,
 whatever the number of tasks: every wave leases an equal part of the current rate
 to each of its tasks, which spaces its calls by it.  After a wave the share of 429
 among its landed attempts decides: over ``throttled_share`` the rate is multiplied
@@ -38,7 +39,7 @@ import uuid
 from dataclasses import dataclass, field
 from typing import Any, Callable, NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,6 +90,17 @@ LANDED_SCHEMA = T.StructType(
 )
 
 
+# Staged keys, read back without a job that infers the schema.
+KEY_SCHEMA = "address string, context string"
+LANDED_ROUND_SCHEMA = T.StructType([f for f in LANDED_SCHEMA.fields if f.name != "round"])
+LANDED_WAVE_SCHEMA = T.StructType([f for f in LANDED_ROUND_SCHEMA.fields if f.name != "wave"])
+
+BUSY_KEYS = 2000        # keys for which a further task is worth its start
+STAGED_KEYS = 16_384    # keys per file of a staged wave, so that no task reads a whole wave
+BATCH_ROWS = 2000       # a worker hands on its attempts when it holds so many
+BATCH_CHARS = 4 << 20   # or so many characters of bodies
+
+
 @dataclass
 class FetchOptions:
     kind: str = "labels"                    # 'labels' | 'portfolio'
@@ -124,7 +136,9 @@ class Pacer:
         with self.lock:
             at = max(self.free_at, time.monotonic())
             self.free_at = at + self.gap
-        time.sleep(max(0.0, at - time.monotonic()))
+        pause = at - time.monotonic()
+        if pause > 0:
+            time.sleep(pause)
 
 
 def classify_call(fetch: Callable[[FetchRequest], Any], req: FetchRequest, opts: FetchOptions, wait=None) -> tuple:
@@ -152,6 +166,30 @@ def classify_call(fetch: Callable[[FetchRequest], Any], req: FetchRequest, opts:
     return (*out, int((time.monotonic() - t0) * 1000))
 
 
+def _drawn_calls(pool, threads: int, reqs: list, call) -> list:
+    """Results of the first requests, in order: every thread draws the next one until all are done or
+    the bodies held exceed ``BATCH_CHARS``."""
+    import threading
+
+    lock, turn, results, held = threading.Lock(), iter(range(len(reqs))), {}, 0
+
+    def draw() -> None:
+        nonlocal held
+        while True:
+            with lock:
+                i = next(turn, None) if held < BATCH_CHARS else None
+            if i is None:
+                return
+            got = call(reqs[i])
+            with lock:
+                results[i] = got
+                held += len(got[2]) if isinstance(got[2], str) else 0
+
+    for drawn in [pool.submit(draw) for _ in range(min(threads, len(reqs)))]:
+        drawn.result()
+    return [results[i] for i in range(len(results))]
+
+
 def _fetch_partitions(fetch, attempt: int, opts: FetchOptions, gap: float | None = None):
     """mapInPandas body: a thread pool per partition, one row per key; calls ``gap`` seconds apart."""
 
@@ -160,8 +198,8 @@ def _fetch_partitions(fetch, attempt: int, opts: FetchOptions, gap: float | None
 
         import pandas as pd
 
-        wait = None if gap is None else Pacer(gap)
-        with ThreadPoolExecutor(max_workers=max(1, opts.threads)) as pool:
+        wait, threads = None if gap is None else Pacer(gap), max(1, opts.threads)
+        with ThreadPoolExecutor(max_workers=threads) as pool:
             for pdf in batches:
                 addrs = pdf["address"].tolist()
                 ctx = pdf["context"].tolist()
@@ -169,10 +207,11 @@ def _fetch_partitions(fetch, attempt: int, opts: FetchOptions, gap: float | None
                     FetchRequest(None if a is None else str(a), attempt, opts.as_of_ms, c, opts.timeout)
                     for a, c in zip(addrs, ctx)
                 ]
-                step = 8 * max(1, opts.threads)  # bounds the bodies held by a worker
-                for at in range(0, len(reqs), step):
-                    some = slice(at, at + step)
-                    results = list(pool.map(lambda r: classify_call(fetch, r, opts, wait), reqs[some]))
+                at = 0
+                while at < len(reqs):
+                    results = _drawn_calls(pool, threads, reqs[at : at + BATCH_ROWS], lambda r: classify_call(fetch, r, opts, wait))
+                    some = slice(at, at + len(results))
+                    at += len(results)
                     yield pd.DataFrame({
                         "address": addrs[some],
                         "context": ctx[some],
@@ -187,6 +226,14 @@ def _fetch_partitions(fetch, attempt: int, opts: FetchOptions, gap: float | None
     return run
 
 
+def _tasks(spark: SparkSession, n_keys: int, opts: FetchOptions) -> int:
+    """Tasks of a wave: at most ``keys_per_partition`` keys in each and, where that leaves cores idle, one
+    per ``BUSY_KEYS`` keys up to the cluster's cores; never more than ``max_partitions``."""
+    needed = math.ceil(n_keys / max(1, opts.keys_per_partition))
+    busy = min(spark.sparkContext.defaultParallelism, math.ceil(n_keys / BUSY_KEYS))
+    return max(1, min(opts.max_partitions, max(needed, busy)))
+
+
 def fetch_once(pending: DataFrame, fetch, attempt: int, opts: FetchOptions, partitions: int,
                spread: bool = True, rate: float | None = None) -> DataFrame:
     """K1/K2/K3: one concurrent round over ``pending`` (address, context).
@@ -201,15 +248,15 @@ def fetch_once(pending: DataFrame, fetch, attempt: int, opts: FetchOptions, part
     return src.mapInPandas(_fetch_partitions(fetch, attempt, opts, gap), ATTEMPT_SCHEMA)
 
 
-def with_success(attempts: DataFrame, opts: FetchOptions) -> DataFrame:
+def with_success(attempts: DataFrame, opts: FetchOptions, valid: Column | None = None) -> DataFrame:
     """success = HTTP 200 and a document the rules accept (decided
-    JVM-side, once per attempt)."""
+    JVM-side, once per attempt).  ``valid``: ``label_valid`` of the body, where a run has built it already."""
     from walletflow.functions.once import evaluate_once
     from walletflow.operators import labels as L
     from walletflow.operators import portfolio as P
 
     if opts.kind == "labels":
-        doc_ok = L.label_valid(F.col("body"))
+        doc_ok = L.label_valid(F.col("body")) if valid is None else valid
         staged = evaluate_once(attempts, "_doc_ok", doc_ok)
     else:
         staged = P.parse_portfolio(attempts, "body").drop("portfolio_doc").withColumnRenamed(
@@ -239,7 +286,7 @@ class FetchRun:
         """All landed attempts, one row per (address, round)."""
         if self.rounds == 0:  # nothing was pending: nothing was landed
             return self.spark.createDataFrame([], LANDED_SCHEMA)
-        return self.spark.read.parquet(self.landing)
+        return self.spark.read.schema(LANDED_SCHEMA).parquet(self.landing)
 
     def rates(self) -> DataFrame:
         """The rate of every wave, what it met and the rate decided for the next one."""
@@ -266,7 +313,7 @@ class FetchRun:
         if self.rounds == 0:
             open_keys = tried
         else:
-            staged = self.spark.read.parquet(_staged_keys(self.landing)).select(F.col("address").alias("key"))
+            staged = self.spark.read.schema(KEY_SCHEMA).parquet(_staged_keys(self.landing)).select(F.col("address").alias("key"))
             open_keys = staged.join(tried, F.col("key").eqNullSafe(F.col("address")), "left").select(
                 F.col("key").alias("address"), "done", "last"
             )
@@ -326,16 +373,17 @@ def _waves_of(spark: SparkSession, landing: str, r: int, computed: int) -> int:
 
 
 def _land_wave(spark: SparkSession, src: DataFrame, fetch, r: int, opts: FetchOptions, parts: int,
-               spread: bool, out: str, rate: float | None = None) -> tuple[int, int, int]:
+               spread: bool, out: str, rate: float | None = None, valid: Column | None = None) -> tuple[int, int, int]:
     """Fetch one wave and land it; returns (attempted, failed, throttled).  A wave that
     is already landed (``_SUCCESS``, e.g. before a driver restart) is not
     fetched again."""
     if path_exists(spark, f"{out}/_SUCCESS"):
-        got = spark.read.parquet(out).agg(
+        got = spark.read.schema(LANDED_WAVE_SCHEMA).parquet(out).agg(
             F.count(F.lit(1)).alias("n"), F.count_if(~F.col("ok")).alias("failed"), F.count_if(F.col("status") == "429").alias("throttled")
         ).first()
         return int(got["n"]), int(got["failed"] or 0), int(got["throttled"] or 0)
-    attempts = with_success(fetch_once(src, fetch, r, opts, parts, spread=spread, rate=rate), opts)
+    attempts = with_success(fetch_once(src, fetch, r, opts, parts, spread=spread, rate=rate), opts, valid)
+    attempts = attempts.withColumn("context", F.when(~F.col("ok"), F.col("context")))  # only a retry needs it
     obs = Observation(f"wave_{r}_{uuid.uuid4().hex[:6]}")
     attempts = attempts.observe(
         obs, F.count(F.lit(1)).alias("n"), F.count_if(~F.col("ok")).alias("failed"), F.count_if(F.col("status") == "429").alias("throttled")
@@ -395,38 +443,44 @@ def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
     first = _staged_keys(landing)
     if path_exists(spark, f"{first}/_SUCCESS"):
         _same_run(spark, landing, distinct, opts)
-        n_pending = spark.read.parquet(first).count()
+        n_pending = spark.read.schema(KEY_SCHEMA).parquet(first).count()
     else:
         obs = Observation(f"keys_{uuid.uuid4().hex[:6]}")
         distinct.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(first)
         n_pending = int(obs.get.get("n", 0) or 0)
         _manifest(spark.read.parquet(first), opts).write.mode("overwrite").parquet(f"{landing}/_pending/manifest")
-    pending = spark.read.parquet(first) if n_pending else distinct
+    pending = spark.read.schema(KEY_SCHEMA).parquet(first) if n_pending else distinct
     rate = opts.calls_per_sec
+    valid = None
+    if opts.kind == "labels":
+        from walletflow.operators.labels import label_valid
+
+        valid = label_valid(F.col("body"))
     for r in range(1, opts.max_rounds + 1):
         if n_pending is None:
             n_pending = pending.count()
         if n_pending == 0:
             break
         waves = _waves_of(spark, landing, r, max(1, math.ceil(n_pending / per_wave)))
-        parts = max(1, min(opts.max_partitions, math.ceil(n_pending / waves / max(1, opts.keys_per_partition))))
+        parts = _tasks(spark, math.ceil(n_pending / waves), opts)
         if waves == 1:
             sources = [(0, pending, r == 1)]
         else:
             staged = f"{landing}/_pending/round={r}/waves"
             if not path_exists(spark, f"{staged}/_SUCCESS"):
-                # one file per wave; a wave then lists and reads its own folder only
+                # files of at most about STAGED_KEYS keys; a wave then lists and reads its own folder only
+                files = math.ceil(n_pending / waves / STAGED_KEYS)
                 pending.withColumn("wave", F.pmod(F.xxhash64("address"), F.lit(waves))).repartition(
-                    waves, "wave"
+                    waves * files, "wave", F.pmod(F.hash("address"), F.lit(files))
                 ).write.mode("overwrite").partitionBy("wave").parquet(staged)
-            sources = [
-                (w, spark.read.parquet(f"{staged}/wave={w}"), True)
+            sources = (
+                (w, spark.read.schema(KEY_SCHEMA).parquet(f"{staged}/wave={w}"), True)
                 for w in range(waves)
                 if path_exists(spark, f"{staged}/wave={w}")  # no key may fall into a wave
-            ]
+            )
         attempted = failed = 0
         for w, src, spread in sources:
-            counts = _land_wave(spark, src, fetch, r, opts, parts, spread, f"{landing}/round={r}/wave={w}", rate)
+            counts = _land_wave(spark, src, fetch, r, opts, parts, spread, f"{landing}/round={r}/wave={w}", rate, valid)
             if rate is not None:
                 rate = _decided_rate(spark, landing, r, w, rate, counts, opts)
             attempted += counts[0]
@@ -436,7 +490,7 @@ def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
         retry = ~F.col("ok")
         if opts.no_retry:
             retry = retry & ~F.col("status").isin(list(opts.no_retry))
-        landed = spark.read.parquet(f"{landing}/round={r}")
+        landed = spark.read.schema(LANDED_ROUND_SCHEMA).parquet(f"{landing}/round={r}")
         pending = landed.filter(retry).select("address", "context")
         n_pending = failed if not opts.no_retry else None
         if n_pending == 0:
