@@ -47,3 +47,24 @@ def test_no_file_of_a_staged_wave_holds_the_whole_wave(spark, tmp_dir, monkeypat
     assert staged.select("address").distinct().count() == run.attempts().select("address").distinct().count() == 800
     # the document is kept for the keys that are tried again
     assert {(r.ok, r.held) for r in run.attempts().select("ok", F.col("context").isNotNull().alias("held")).distinct().collect()} == {(True, False), (False, True)}
+
+
+def test_documents_of_repeated_and_missing_keys(spark, tmp_dir):
+    import json
+
+    from walletflow.plans import fixtures as fx
+
+    spark.createDataFrame([(1, 10, "2-HIGH"), (2, 10, "2-HIGH"), (3, 11, "other"), (4, None, "5-LOW"), (4, 12, "5-LOW")],
+                          "o_orderkey long, o_custkey long, o_orderpriority string").write.parquet(f"{tmp_dir}/orders.parquet")
+    spark.createDataFrame([(1, 7, 1.0, 10.5), (2, 7, 2.0, 20.0), (1, 8, 1.0, 1.0), (3, 7, 1.0, 1.0), (4, 7, 3.0, 4.0), (None, 7, 1.0, 1.0), (1, 99, 1.0, 1.0)],
+                          "l_orderkey long, l_partkey long, l_quantity double, l_extendedprice double").write.parquet(f"{tmp_dir}/lineitem.parquet")
+    spark.createDataFrame([(7, 'a "b"', 5.0), (7, "a2", 6.0), (8, None, None)], "p_partkey long, p_name string, p_retailprice double").write.parquet(f"{tmp_dir}/part.parquet")
+    docs = fx.portfolio_documents(spark, tmp_dir)
+    got = {r.k: r for r in docs.collect()}
+    assert set(got) == {10, 11, 12, None} and got[10].address == "0x" + "0" * 39 + "a" and got[None].address is None
+    seven = '"7":{"id":"7","name":"%s","symbol":"%s","balance":"3.00","price":"%s","usd":"30.50"}'
+    assert got[10].body == '{"arbitrum_one":{' + seven % ('a \\"b\\"', 'a \\"b\\"', "5.00") + "," + seven % ("a2", "a2", "6.00") + ',"8":{"id":"8","balance":"1.00","usd":"1.00"}}}'
+    assert got[11].body == "{}" and json.loads(got[12].body)["polygon"]["7"]["balance"] == "3.00"
+    # orders and lineitem, part names, rows by part, rows by customer; the sums need no exchange of their own
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 5 and plan.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in plan

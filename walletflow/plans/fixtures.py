@@ -82,6 +82,45 @@ def portfolio_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def portfolio_holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``portfolio_tokens`` (k, network, token_id, tj), the rows of a customer side by side.
+
+    Narrow rows (keys, numbers, the part's name) pass three exchanges: by order, by part, by customer.
+    The sums and whatever is gathered per customer share the last one; JSON text is made behind it.  A
+    part key that comes more than once would repeat rows before they are summed, so its names and prices
+    travel as a list.  Orders and parts are the smaller sides: hashed, so that nothing is sorted.
+    """
+    money = "decimal(18,2)"
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", F.col("l_quantity").cast(money).alias("qty"), F.col("l_extendedprice").cast(money).alias("usd")
+    )
+    names = list(PRIORITY_NETWORK.values())
+    code = F.create_map(*[F.lit(x) for i, p in enumerate(PRIORITY_NETWORK) for x in (p, i)])[F.col("o_orderpriority")]
+    od = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("k"), code.cast("tinyint").alias("code"))
+    pt = table(spark, sf_dir, "part").groupBy("p_partkey").agg(
+        F.collect_list(F.struct(F.col("p_name").alias("name"), F.col("p_retailprice").cast(money).alias("price"))).alias("parts")
+    )
+    bought = li.join(od.hint("shuffle_hash"), li.l_orderkey == od.o_orderkey).select("k", "code", "l_partkey", "qty", "usd")
+    named = bought.join(pt.hint("shuffle_hash"), bought.l_partkey == pt.p_partkey).drop("p_partkey")
+    sums = named.repartition("k").groupBy("k", "code", "l_partkey").agg(
+        F.sum("qty").alias("qty"), F.sum("usd").alias("usd"), F.first("parts").alias("parts")
+    )
+    token_id = F.col("l_partkey").cast("string")
+    return sums.select("*", F.explode("parts").alias("part")).select(
+        "k",
+        F.get(F.array(*[F.lit(n) for n in names]), F.col("code").cast("int")).alias("network"),
+        token_id.alias("token_id"),
+        F.to_json(F.struct(
+            token_id.alias("id"),
+            F.col("part.name").alias("name"),
+            F.col("part.name").alias("symbol"),
+            F.col("qty").cast("string").alias("balance"),
+            F.col("part.price").cast("string").alias("price"),
+            F.col("usd").cast("string").alias("usd"),
+        )).alias("tj"),
+    )
+
+
 def portfolio_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(k, address, body) – one portfolio document per customer with orders.
 
@@ -89,10 +128,7 @@ def portfolio_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     (network, token id); the JSON text is assembled from ``to_json`` of each
     token, so names are escaped by Spark.
     """
-    tokens = portfolio_tokens(spark, sf_dir).select(
-        "k", "address", "network", "token_id", F.to_json("token").alias("tj")
-    )
-    docs = tokens.groupBy("k", "address").agg(
+    docs = portfolio_holdings(spark, sf_dir).groupBy("k").agg(
         F.sort_array(F.collect_list(F.struct("network", "token_id", "tj"))).alias("toks")
     )
     toks = F.col("toks")
@@ -104,7 +140,7 @@ def portfolio_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.concat(F.lit('"'), n, F.lit('":{'), inner, F.lit("}"))
 
     body = F.concat(F.lit("{"), F.array_join(F.transform(networks, network_json), ","), F.lit("}"))
-    return docs.select("k", "address", body.alias("body"))
+    return docs.select("k", address_from_key(F.col("k")).alias("address"), body.alias("body"))
 
 
 def portfolio_pages(spark: SparkSession, sf_dir: str, max_tokens: int = 1000) -> DataFrame:
