@@ -66,5 +66,5 @@ def test_documents_of_repeated_and_missing_keys(spark, tmp_dir):
     assert got[10].body == '{"arbitrum_one":{' + seven % ('a \\"b\\"', 'a \\"b\\"', "5.00") + "," + seven % ("a2", "a2", "6.00") + ',"8":{"id":"8","balance":"1.00","usd":"1.00"}}}'
     assert got[11].body == "{}" and json.loads(got[12].body)["polygon"]["7"]["balance"] == "3.00"
     # orders and lineitem, part names, rows by part, rows by customer; the sums need no exchange of their own
-    plan = docs._jdf.queryExecution().executedPlan().toString()
+    plan = fx.portfolio_documents(spark, tmp_dir)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(") == 5 and plan.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in plan
