@@ -68,3 +68,22 @@ def test_documents_of_repeated_and_missing_keys(spark, tmp_dir):
     # orders and lineitem, part names, rows by part, rows by customer; the sums need no exchange of their own
     plan = fx.portfolio_documents(spark, tmp_dir)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(") == 5 and plan.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in plan
+
+
+def test_documents_are_parsed_once(spark):
+    from walletflow.operators import labels as L
+    from walletflow.operators import portfolio as P
+
+    docs = spark.createDataFrame([("a", "{}")], "address string, body string")
+    # the strict parse of a portfolio gets no text where the typed one was enough
+    for rows, parses in ((P.portfolio_rows(docs), 2), (L.flatten_labels(L.parse_labels(docs)), 1)):
+        assert rows._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == parses
+
+
+def test_numbers_first_in_a_text_are_marked(spark):
+    from walletflow.functions.jsonmap import NUMBER_MARK, with_marked_numbers
+
+    texts = ["5", " \n-5", "[1", '{"a":1}', '{"a": "x", "b": [ 2,3]}', '{"a":"x: 1"}', "{}"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "b string").select(with_marked_numbers(F.col("b"))).collect()]
+    mark = lambda n: f'"{NUMBER_MARK}{n}"'
+    assert got == [mark(5), " \n" + mark(-5), "[" + mark(1), '{"a":%s}' % mark(1), '{"a": "x", "b": [ %s,%s]}' % (mark(2), mark(3)), '{"a":"x: 1"}', "{}"]

@@ -11,9 +11,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from walletflow.functions.once import evaluate_once
+
 # Numbers keep their text: before a document is parsed, every number token outside strings
 # becomes a string that starts with this private-use character.
 NUMBER_MARK = "\ue0f1"
@@ -23,14 +25,16 @@ _NUMBER = (
     r'\G((?:[^"\-0-9]++|"(?:[^"\\]++|\\.)*+")*+)'
     r"(-?+(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][+-]?+[0-9]++)?+)(?=[ \t\r\n]*+(?:[,\]}]|$))"
 )
-_MAYBE_NUMBER = r"(?:^|[:,\[])[ \t\r\n]*+-?[0-9]"
+_MAYBE_NUMBER = r"[:,\[][ \t\r\n]*+-?[0-9]"
+_NUMBER_FIRST = r"\A[ \t\r\n]*+-?[0-9]"
 
 
 def with_marked_numbers(body: Column) -> Column:
     """The document with its number tokens as marked strings.  Documents without numbers, and those
     that hold the mark already, stay as they are."""
     marked = F.regexp_replace(body, _NUMBER, f'$1"{NUMBER_MARK}$2"')
-    return F.when(body.rlike(_MAYBE_NUMBER) & ~F.contains(body, F.lit(NUMBER_MARK)), marked).otherwise(body)
+    maybe = body.rlike(_MAYBE_NUMBER) | body.rlike(_NUMBER_FIRST)
+    return F.when(maybe & ~F.contains(body, F.lit(NUMBER_MARK)), marked).otherwise(body)
 
 
 def as_written(text: Column) -> Column:
@@ -43,12 +47,31 @@ def parse_whole(body: Column, kind: str) -> Column:
     """``body`` parsed as one JSON object of the map type ``kind``; NULL unless the whole
     text is that object.  The JSON reader stops at the end of a value, so the text is read as
     the first of two members: anything after the object, or an early close, leaves other keys."""
-    wrapped = F.concat(F.lit('{"d":'), body, F.lit(',"e":{}}'))
-    both = F.from_json(wrapped, f"map<string,{kind}>", {"allowSingleQuotes": "false"})
+    return _first_of_two(_both(_wrapped(body), kind))
+
+
+def _wrapped(body: Column) -> Column:
+    return F.concat(F.lit('{"d":'), body, F.lit(',"e":{}}'))
+
+
+def _both(wrapped: Column, kind: str) -> Column:
+    return F.from_json(wrapped, f"map<string,{kind}>", {"allowSingleQuotes": "false"})
+
+
+def _first_of_two(both: Column) -> Column:
     whole = F.map_keys(both) == F.array(F.lit("d"), F.lit("e"))
     return F.when(whole, F.get(F.map_values(both), F.lit(0)))
 
 
+def parsed_once(df: DataFrame, name: str, body: Column, kind: str) -> DataFrame:
+    """``df`` with ``parse_whole(body, kind)`` as ``name``.  Both members are asked for twice, the text is
+    a search and a replacement: each is made once per row, behind a generator of its own."""
+    text, both = f"{name}_text", f"{name}_both"
+    staged = evaluate_once(df, text, _wrapped(body))
+    staged = evaluate_once(staged, both, _both(F.col(text), kind)).drop(text)
+    return evaluate_once(staged, name, _first_of_two(F.col(both))).drop(both)
+
+
 def ordered_entries(m: Column) -> Column:
     """array<struct<key,value>> of a map, duplicates collapsed dict-style.
 

@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from walletflow.functions.jsonmap import is_object, json_class, ordered_entries, text_or_default, parse_whole, with_marked_numbers
+from walletflow.functions.jsonmap import is_object, json_class, ordered_entries, parsed_once, text_or_default, parse_whole, with_marked_numbers
 from walletflow.functions.once import evaluate_once
 from walletflow.schemas import (
     ENTITY_FIELDS,
@@ -75,7 +75,7 @@ def _typed_chain(c: Column) -> Column:
 def parse_labels(df: DataFrame, body: str = "body") -> DataFrame:
     """Add ``label_ok`` (document accepted) and ``label_chains`` (typed,
     ordered chain objects) to ``df``.  The document is parsed once per row."""
-    staged = evaluate_once(df, "_lab_m", parse_whole(with_marked_numbers(F.col(body)), LOOSE_MAP_DDL))
+    staged = parsed_once(df, "_lab_m", with_marked_numbers(F.col(body)), LOOSE_MAP_DDL)
     m = F.col("_lab_m")
     raw = F.transform(F.filter(ordered_entries(m), lambda e: is_object(e["value"])), _chain_struct)
     chains = F.transform(raw, _typed_chain)
@@ -92,7 +92,11 @@ def parse_labels(df: DataFrame, body: str = "body") -> DataFrame:
 def label_valid(body: Column) -> Column:
     """Only the accept / fail decision of ``parse_labels`` (used per fetch
     round): parsed as an object and no truthy non-object entity or label."""
-    m = parse_whole(body, LOOSE_MAP_DDL)
+    return label_map_valid(parse_whole(body, LOOSE_MAP_DDL))
+
+
+def label_map_valid(m: Column) -> Column:
+    """``label_valid`` of a parsed document."""
     objs = F.filter(ordered_entries(m), lambda e: is_object(e["value"]))
 
     def bad(e: Column) -> Column:

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from walletflow.functions.jsonmap import as_written, is_object, key_present, ordered_entries, parse_whole, with_marked_numbers
+from walletflow.functions.jsonmap import as_written, is_object, key_present, ordered_entries, parsed_once, with_marked_numbers
 from walletflow.functions.once import evaluate_once
 from walletflow.schemas import CHAIN_RENAME, EXPORT_CHAINS, LOOSE_MAP_DDL, PORTFOLIO_DDL, TOKEN_FIELDS
 
@@ -45,9 +45,7 @@ def _fast_gate(p: Column) -> Column:
     return p.isNotNull() & _no_dup_keys(p) & F.forall(F.map_values(p), network_ok)
 
 
-def _strict_check(body: Column) -> Column:
-    v = parse_whole(body, LOOSE_MAP_DDL)
-
+def _strict_check(v: Column) -> Column:
     def token_ok(t: Column) -> Column:
         cond = is_object(t)
         for f in TOKEN_FIELDS:
@@ -65,17 +63,18 @@ def _strict_check(body: Column) -> Column:
 def parse_portfolio(df: DataFrame, body: str = "body") -> DataFrame:
     """Add ``portfolio_ok`` and the typed map ``portfolio_doc`` to ``df``.
 
-    The typed parse runs once per row; the strict path only for rows that
-    fail the gate (CASE keeps it lazy)."""
-    doc = parse_whole(with_marked_numbers(F.col(body)), PORTFOLIO_DDL)
-    staged = evaluate_once(df, "_pf", F.struct(doc.alias("doc")))
-    fast = F.coalesce(_fast_gate(F.col("_pf.doc")), F.lit(False))
+    The typed parse runs once per row; the strict parse gets the text only of
+    rows that fail the gate, and the check is lazy in its CASE."""
+    staged = parsed_once(df, "_pf", with_marked_numbers(F.col(body)), PORTFOLIO_DDL)
+    fast = F.coalesce(_fast_gate(F.col("_pf")), F.lit(False))
+    staged = evaluate_once(staged, "_pf_fast", fast)
+    staged = parsed_once(staged, "_pf_loose", F.when(~F.col("_pf_fast"), F.col(body)), LOOSE_MAP_DDL)
     staged = evaluate_once(
-        staged, "_pf_ok", F.when(fast, F.lit(True)).otherwise(_strict_check(F.col(body)))
+        staged, "_pf_ok", F.when(F.col("_pf_fast"), F.lit(True)).otherwise(_strict_check(F.col("_pf_loose")))
     )
     return staged.select(
         *[F.col(f"`{c}`") for c in df.columns],
-        F.col("_pf.doc").alias("portfolio_doc"),
+        F.col("_pf").alias("portfolio_doc"),
         F.col("_pf_ok").alias("portfolio_ok"),
     )
 
