@@ -87,3 +87,17 @@ def test_numbers_first_in_a_text_are_marked(spark):
     got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "b string").select(with_marked_numbers(F.col("b"))).collect()]
     mark = lambda n: f'"{NUMBER_MARK}{n}"'
     assert got == [mark(5), " \n" + mark(-5), "[" + mark(1), '{"a":%s}' % mark(1), '{"a": "x", "b": [ %s,%s]}' % (mark(2), mark(3)), '{"a":"x: 1"}', "{}"]
+
+
+def test_one_small_file_is_built_into_documents_by_many_tasks(spark, tmp_dir):
+    from walletflow.plans import fixtures as fx
+
+    spark.range(2000).select(
+        (F.col("id") + 1).alias("c_custkey"), F.lit("n").alias("c_name"), F.lit(0).alias("c_nationkey"), F.lit("S").alias("c_mktsegment")
+    ).coalesce(1).write.parquet(f"{tmp_dir}/customer.parquet")
+    spark.createDataFrame([(0, "N")], "n_nationkey int, n_name string").write.parquet(f"{tmp_dir}/nation.parquet")
+    docs = fx.label_documents(spark, tmp_dir)
+    docs.write.parquet(f"{tmp_dir}/docs")
+    files = [f for f in os.listdir(f"{tmp_dir}/docs") if f.startswith("part-")]
+    assert len(files) >= 2 * spark.sparkContext.defaultParallelism
+    assert spark.read.parquet(f"{tmp_dir}/docs").select("k").distinct().count() == 2000

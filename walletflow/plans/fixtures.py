@@ -47,6 +47,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt out evenly: a compressed table may be one small file, that is one task, while what is
+    built of its rows is long work.  As many parts as keep every core busy, or as shuffles have."""
+    spark = rows.sparkSession
+    parts = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartition(parts)
+
+
 def portfolio_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(k, address, network, token_id, token struct) per customer/network/part.
 
@@ -183,7 +191,7 @@ def damaged_portfolio_documents(spark: SparkSession, sf_dir: str, docs: DataFram
 
 def label_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(k, address, body) – one label document per customer (maybe ``{}``)."""
-    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    cust = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"))
     # nation has a fixed 25 rows, so broadcasting it is bounded.
     nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
     c = cust.join(nation, cust.c_nationkey == nation.n_nationkey)
