@@ -101,3 +101,20 @@ def test_one_small_file_is_built_into_documents_by_many_tasks(spark, tmp_dir):
     files = [f for f in os.listdir(f"{tmp_dir}/docs") if f.startswith("part-")]
     assert len(files) >= 2 * spark.sparkContext.defaultParallelism
     assert spark.read.parquet(f"{tmp_dir}/docs").select("k").distinct().count() == 2000
+
+
+def test_pages_are_built_on_the_exchange_that_counts_them(spark, tmp_dir):
+    from walletflow.plans import fixtures as fx
+
+    spark.createDataFrame([(1, 10, "2-HIGH"), (2, 10, "2-HIGH"), (3, 11, "other"), (4, None, "5-LOW"), (4, 12, "5-LOW")],
+                          "o_orderkey long, o_custkey long, o_orderpriority string").write.parquet(f"{tmp_dir}/orders.parquet")
+    spark.createDataFrame([(1, p, 1.0, 10.5) for p in range(1, 10)] + [(2, 7, 2.0, 20.0), (3, 7, 1.0, 1.0), (4, 7, 3.0, 4.0), (None, 7, 1.0, 1.0)],
+                          "l_orderkey long, l_partkey long, l_quantity double, l_extendedprice double").write.parquet(f"{tmp_dir}/lineitem.parquet")
+    spark.createDataFrame([(p, f"n{p}", 5.0) for p in range(1, 10)] + [(7, "a2", 6.0)], "p_partkey long, p_name string, p_retailprice double").write.parquet(f"{tmp_dir}/part.parquet")
+    pages = fx.portfolio_pages(spark, tmp_dir, 3)
+    got = pages.collect()
+    assert {(r.k, r.network) for r in got} == {(10, "arbitrum_one"), (12, "polygon")}  # neither null keys nor unknown networks
+    assert len([r for r in got if r.k == 10]) <= 4 and sum(r.body.count('"id"') for r in got) == 10 + 2
+    assert '"7":{"id":"7","name":"a2","symbol":"a2","balance":"3.00","price":"6.00","usd":"4.00"}' in next(r.body for r in got if r.k == 12)
+    plan = pages._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "address" not in plan.split("Exchange", 1)[1]

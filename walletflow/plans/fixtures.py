@@ -90,11 +90,11 @@ def portfolio_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def portfolio_holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of ``portfolio_tokens`` (k, network, token_id, tj), the rows of a customer side by side.
+def _holding_sums(spark: SparkSession, sf_dir: str, *together: str) -> DataFrame:
+    """(k, code, l_partkey, qty, usd, parts): what ``portfolio_tokens`` sums, rows of equal ``together`` side by side.
 
-    Narrow rows (keys, numbers, the part's name) pass three exchanges: by order, by part, by customer.
-    The sums and whatever is gathered per customer share the last one; JSON text is made behind it.  A
+    Narrow rows (keys, numbers, the part's name) pass three exchanges: by order, by part, by ``together``.
+    The sums and whatever is gathered by those columns share the last one.  A
     part key that comes more than once would repeat rows before they are summed, so its names and prices
     travel as a list.  Orders and parts are the smaller sides: hashed, so that nothing is sorted.
     """
@@ -102,7 +102,6 @@ def portfolio_holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", F.col("l_quantity").cast(money).alias("qty"), F.col("l_extendedprice").cast(money).alias("usd")
     )
-    names = list(PRIORITY_NETWORK.values())
     code = F.create_map(*[F.lit(x) for i, p in enumerate(PRIORITY_NETWORK) for x in (p, i)])[F.col("o_orderpriority")]
     od = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("k"), code.cast("tinyint").alias("code"))
     pt = table(spark, sf_dir, "part").groupBy("p_partkey").agg(
@@ -110,9 +109,14 @@ def portfolio_holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     bought = li.join(od.hint("shuffle_hash"), li.l_orderkey == od.o_orderkey).select("k", "code", "l_partkey", "qty", "usd")
     named = bought.join(pt.hint("shuffle_hash"), bought.l_partkey == pt.p_partkey).drop("p_partkey")
-    sums = named.repartition("k").groupBy("k", "code", "l_partkey").agg(
+    return named.repartition(*together).groupBy("k", "code", "l_partkey").agg(
         F.sum("qty").alias("qty"), F.sum("usd").alias("usd"), F.first("parts").alias("parts")
     )
+
+
+def _token_texts(sums: DataFrame, *keep: str) -> DataFrame:
+    """(k, network, token_id, tj) and ``keep``: a row with its JSON text per part of the sums."""
+    names = list(PRIORITY_NETWORK.values())
     token_id = F.col("l_partkey").cast("string")
     return sums.select("*", F.explode("parts").alias("part")).select(
         "k",
@@ -126,9 +130,15 @@ def portfolio_holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("part.price").cast("string").alias("price"),
             F.col("usd").cast("string").alias("usd"),
         )).alias("tj"),
+        *keep,
     )
 
 
+def portfolio_holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``portfolio_tokens`` (k, network, token_id, tj), the rows of a customer side by side."""
+    return _token_texts(_holding_sums(spark, sf_dir, "k"))
+
+
 def portfolio_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(k, address, body) – one portfolio document per customer with orders.
 
@@ -160,21 +170,17 @@ def portfolio_pages(spark: SparkSession, sf_dir: str, max_tokens: int = 1000) ->
     over the pages by ``pmod(xxhash64(token_id), pages)`` (no window over a
     customer).  Tokens inside a page are in token-id order.
     """
-    tokens = portfolio_tokens(spark, sf_dir).select(
-        "k", "address", "network", "token_id", F.to_json("token").alias("tj")
-    )
-    counts = tokens.groupBy("k", "network").agg(F.count(F.lit(1)).alias("n"))
-    paged = tokens.join(counts, ["k", "network"]).withColumn(
+    sums = _holding_sums(spark, sf_dir, "k", "code")
+    # counted where the rows lie: the exchange is shared, and nothing is sorted for the join
+    counts = sums.groupBy("k", "code").agg(F.sum(F.size("parts")).alias("n"))
+    paged = _token_texts(sums.join(counts.hint("shuffle_hash"), ["k", "code"]), "n", "code").withColumn(
         "page", F.pmod(F.xxhash64("token_id"), F.ceil(F.col("n") / F.lit(max_tokens))).cast("int")
+    ).withColumn("member", F.concat(F.lit('"'), F.col("token_id"), F.lit('":'), F.col("tj")))
+    pages = paged.groupBy("k", "code", "network", "page").agg(
+        F.array_join(F.sort_array(F.collect_list(F.struct("token_id", "member")))["member"], ",").alias("inner")
     )
-    pages = paged.groupBy("k", "address", "network", "page").agg(
-        F.sort_array(F.collect_list(F.struct("token_id", "tj"))).alias("toks")
-    )
-    inner = F.array_join(
-        F.transform("toks", lambda t: F.concat(F.lit('"'), t["token_id"], F.lit('":'), t["tj"])), ","
-    )
-    body = F.concat(F.lit('{"'), F.col("network"), F.lit('":{'), inner, F.lit("}}"))
-    return pages.select("k", "address", "network", "page", body.alias("body"))
+    body = F.concat(F.lit('{"'), F.col("network"), F.lit('":{'), F.col("inner"), F.lit("}}"))
+    return pages.select("k", address_from_key(F.col("k")).alias("address"), "network", "page", body.alias("body"))
 
 
 def damaged_portfolio_documents(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
