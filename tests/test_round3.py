@@ -118,3 +118,18 @@ def test_pages_are_built_on_the_exchange_that_counts_them(spark, tmp_dir):
     assert '"7":{"id":"7","name":"a2","symbol":"a2","balance":"3.00","price":"6.00","usd":"4.00"}' in next(r.body for r in got if r.k == 12)
     plan = pages._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "address" not in plan.split("Exchange", 1)[1]
+
+
+def test_audited_loads_read_rows_that_are_parsed_once(spark, monkeypatch):
+    from walletflow.plans.queries import QUERIES
+    from walletflow.sinks import tables
+
+    plans, load = [], tables.load_rows
+
+    def seen(spark, rows, *args, **kwargs):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return load(spark, rows, *args, **kwargs)
+
+    monkeypatch.setattr(tables, "load_rows", seen)
+    assert QUERIES["audited_refresh"](spark, "/root/testdata/sf0.001").count() == 5
+    assert len(plans) == 5 and not any("from_json" in p for p in plans)

@@ -564,14 +564,16 @@ def refresh_load(spark, sf_dir):
 @query("audited_refresh")
 def audited_refresh(spark, sf_dir):
     """T7 behind an audit: a refresh is published only if it passes, else the old rows stay."""
+    from walletflow.plans.jobs import landed_rows
     from walletflow.schemas import PORTFOLIO_TABLE_SCHEMA
     from walletflow.session import scratch_path
     from walletflow.sinks import tables
 
     ns, steps = _namespace(spark), []
     tables.create_table(spark, ns, "portfolio", "audited", PORTFOLIO_TABLE_SCHEMA, root=scratch_path(spark, "tbl"))
-    rows = P.portfolio_rows(fx.landed(spark, sf_dir, "portfolio"))
-    fewer = P.portfolio_rows(fx.landed(spark, sf_dir, "portfolio_damaged"))
+    # loaded three times and twice: the documents are parsed once
+    rows = landed_rows(P.portfolio_rows(fx.landed(spark, sf_dir, "portfolio")), "audited-rows")
+    fewer = landed_rows(P.portfolio_rows(fx.landed(spark, sf_dir, "portfolio_damaged")), "audited-fewer")
     broken = rows.withColumn("address", F.substring("address", 3, 100))  # without 0x: every row is a reject
     for step, what, audit in (
         ("first", rows, tables.Audit(checks={"has chain": "chain is not null"})),
