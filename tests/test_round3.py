@@ -133,3 +133,50 @@ def test_audited_loads_read_rows_that_are_parsed_once(spark, monkeypatch):
     monkeypatch.setattr(tables, "load_rows", seen)
     assert QUERIES["audited_refresh"](spark, "/root/testdata/sf0.001").count() == 5
     assert len(plans) == 5 and not any("from_json" in p for p in plans)
+
+
+def jobs_of(spark, group, work):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = work()
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_short_waves_share_jobs_and_land_one_by_one(spark, tmp_dir):
+    opts = FetchOptions(kind="labels", max_partitions=2, keys_per_partition=5, max_rounds=2, **FAST)
+    service = CyclingStubService()
+    run, jobs = jobs_of(spark, "waves", lambda: fetch_rounds(keys(spark, 400), service, opts, landing=f"{tmp_dir}/l", context="doc"))
+    assert run.round_counts == [(1, 400, 366), (2, 366, 332)]
+    assert jobs < 40  # 40 waves and 37 waves
+    landed = f"{tmp_dir}/l/round=1"
+    waves = [w for w in os.listdir(landed) if w.startswith("wave=")]
+    assert len(waves) == len(os.listdir(f"{tmp_dir}/l/_pending/round=1/waves")) - sum(n.startswith(("_", ".")) for n in os.listdir(f"{tmp_dir}/l/_pending/round=1/waves"))
+    assert all(os.path.exists(f"{landed}/{w}/_SUCCESS") for w in waves)
+    assert all(sum(f.startswith("part-") for f in os.listdir(f"{landed}/{w}")) <= 2 for w in waves)
+    # a wave whose job died is fetched again, the others are not
+    os.remove(f"{landed}/{waves[3]}/_SUCCESS")
+    os.remove(f"{landed}/{waves[7]}/_SUCCESS")
+    asked = f"{tmp_dir}/asked"
+
+    def logged(req):
+        with open(asked, "a") as f:
+            f.write(f"{req.address} {req.attempt}\n")
+        return service(req)
+
+    again = fetch_rounds(keys(spark, 400), logged, opts, landing=f"{tmp_dir}/l", context="doc")
+    assert again.round_counts == run.round_counts
+    attempts = again.attempts()
+    assert attempts.count() == attempts.select("address", "round").distinct().count() == 766
+    lost = attempts.where(F.concat(F.lit("wave="), F.col("wave").cast("string")).isin(waves[3], waves[7]) & (F.col("round") == 1))
+    assert sorted(open(asked).read().splitlines()) == sorted(f"{r.address} 1" for r in lost.collect())
+
+
+def test_waves_are_dealt_to_the_allowed_tasks(spark):
+    rows = keys(spark, 300).withColumn("wave", (F.conv(F.substring("address", 3, 40), 16, 10).cast("int") % 20) + 5)
+    for n, parts, tasks in ((20, 4, 4), (20, 64, 60), (20, 20, 20)):
+        dealt = FE._dealt(rows, 5, n, parts)
+        assert dealt.rdd.getNumPartitions() == tasks
+        assert dealt.count() == 300
+        assert dealt.select("wave", F.spark_partition_id().alias("t")).distinct().groupBy("wave").count().agg(F.max("count")).first()[0] <= max(1, parts // n)

@@ -51,9 +51,11 @@ from walletflow.schemas import (
     DEFAULT_THREADS,
     DEFAULT_TIMEOUT,
     LABEL_NO_DATA,
+    LOOSE_MAP_DDL,
     PORTFOLIO_NO_DATA,
 )
 from walletflow.session import scratch_path
+from walletflow.sinks import folders
 from walletflow.shipping import ship_package
 
 
@@ -97,6 +99,7 @@ LANDED_WAVE_SCHEMA = T.StructType([f for f in LANDED_ROUND_SCHEMA.fields if f.na
 
 BUSY_KEYS = 2000        # keys for which a further task is worth its start
 STAGED_KEYS = 16_384    # keys per file of a staged wave, so that no task reads a whole wave
+WAVE_SECONDS = 10.0     # waves are fetched several in one job as long as the job ends within about this time
 BATCH_ROWS = 2000       # a worker hands on its attempts when it holds so many
 BATCH_CHARS = 4 << 20   # or so many characters of bodies
 
@@ -190,8 +193,9 @@ def _drawn_calls(pool, threads: int, reqs: list, call) -> list:
     return [results[i] for i in range(len(results))]
 
 
-def _fetch_partitions(fetch, attempt: int, opts: FetchOptions, gap: float | None = None):
-    """mapInPandas body: a thread pool per partition, one row per key; calls ``gap`` seconds apart."""
+def _fetch_partitions(fetch, attempt: int, opts: FetchOptions, gap: float | None = None, keep: tuple = ()):
+    """mapInPandas body: a thread pool per partition, one row per key with the columns ``keep``; calls
+    ``gap`` seconds apart."""
 
     def run(batches):
         from concurrent.futures import ThreadPoolExecutor
@@ -221,6 +225,7 @@ def _fetch_partitions(fetch, attempt: int, opts: FetchOptions, gap: float | None
                         "body": [r[2] for r in results],
                         "detail": [r[3] for r in results],
                         "elapsed_ms": [r[4] for r in results],
+                        **{c: pdf[c].iloc[some].tolist() for c in keep},
                     })
 
     return run
@@ -248,20 +253,28 @@ def fetch_once(pending: DataFrame, fetch, attempt: int, opts: FetchOptions, part
     return src.mapInPandas(_fetch_partitions(fetch, attempt, opts, gap), ATTEMPT_SCHEMA)
 
 
+def _dealt(waves: DataFrame, first: int, n: int, parts: int) -> DataFrame:
+    """The keys of ``n`` waves from ``first`` on over at most ``parts`` tasks: a wave's keys go to one task, or to
+    as many as leave none idle, so a landed wave has few files."""
+    subs = max(1, parts // n)
+    slot = (F.col("wave") - F.lit(first)) * subs + F.pmod(F.hash("address"), F.lit(subs))
+    tasks = min(parts, n * subs)
+    return waves.repartitionById(tasks, F.pmod(slot, F.lit(tasks)).cast("int"))
+
+
 def with_success(attempts: DataFrame, opts: FetchOptions, valid: Column | None = None) -> DataFrame:
     """success = HTTP 200 and a document the rules accept (decided
-    JVM-side, once per attempt).  ``valid``: ``label_valid`` of the body, where a run has built it already."""
+    JVM-side, once per attempt).  ``valid``: ``label_map_valid`` of the column ``_map``, where a run has built it already."""
+    from walletflow.functions.jsonmap import parsed_once
     from walletflow.functions.once import evaluate_once
     from walletflow.operators import labels as L
     from walletflow.operators import portfolio as P
 
     if opts.kind == "labels":
-        doc_ok = L.label_valid(F.col("body")) if valid is None else valid
-        staged = evaluate_once(attempts, "_doc_ok", doc_ok)
+        doc_ok = L.label_map_valid(F.col("_map")) if valid is None else valid
+        staged = evaluate_once(parsed_once(attempts, "_map", F.col("body"), LOOSE_MAP_DDL), "_doc_ok", doc_ok).drop("_map")
     else:
-        staged = P.parse_portfolio(attempts, "body").drop("portfolio_doc").withColumnRenamed(
-            "portfolio_ok", "_doc_ok"
-        )
+        staged = P.parse_portfolio(attempts, "body").drop("portfolio_doc").withColumnRenamed("portfolio_ok", "_doc_ok")
     ok = F.coalesce(F.col("http_ok") & F.col("body").isNotNull() & F.col("_doc_ok"), F.lit(False))
     out = staged.withColumn("ok", ok).drop("_doc_ok")
     return out.withColumn(
@@ -393,6 +406,60 @@ def _land_wave(spark: SparkSession, src: DataFrame, fetch, r: int, opts: FetchOp
     return tuple(int(stats.get(c, 0) or 0) for c in ("n", "failed", "throttled"))
 
 
+def _land_waves(spark: SparkSession, src: DataFrame, fetch, r: int, opts: FetchOptions, waves: list[int],
+                landed: str, valid: Column | None = None) -> tuple[int, int, int]:
+    """``_land_wave`` for several waves in one job; ``src`` holds their keys in its tasks already.  Every wave lands
+    in its own folder, marked as landed (``_SUCCESS``) when the job is through; what a job that
+    died has left is replaced."""
+    ship_package(spark)
+    schema = T.StructType([*ATTEMPT_SCHEMA.fields, T.StructField("wave", T.IntegerType())])
+    fetched = src.select("address", "context", "wave").mapInPandas(_fetch_partitions(fetch, r, opts, keep=("wave",)), schema)
+    attempts = with_success(fetched, opts, valid).withColumn("context", F.when(~F.col("ok"), F.col("context")))
+    obs = Observation(f"waves_{r}_{uuid.uuid4().hex[:6]}")
+    attempts.select(*[c for c in attempts.columns if c != "wave"], "wave").observe(
+        obs, F.count(F.lit(1)).alias("n"), F.count_if(~F.col("ok")).alias("failed"), F.count_if(F.col("status") == "429").alias("throttled")
+    ).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("wave").parquet(landed)
+    stats = obs.get
+    for w in waves:
+        folders.touch(spark, f"{landed}/wave={w}/_SUCCESS")
+    return tuple(int(stats.get(c, 0) or 0) for c in ("n", "failed", "throttled"))
+
+
+def _landed_counts(spark: SparkSession, landed: str, waves: list[int]) -> tuple[int, int]:
+    """(attempted, failed) of waves that lie there already."""
+    got = spark.read.schema(LANDED_ROUND_SCHEMA).parquet(landed).where(F.col("wave").isin(waves)).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~F.col("ok")).alias("failed")
+    ).first()
+    return int(got["n"]), int(got["failed"] or 0)
+
+
+def _fetch_waves(spark: SparkSession, staged: str, landed: str, fetch, r: int, opts: FetchOptions, parts: int,
+                 together: int, valid: Column | None) -> tuple[int, int, int]:
+    """The waves of a round that are not landed yet, ``together`` of them in the next job: twice as many after a
+    job that took less than half of ``WAVE_SECONDS``, half after one that took longer than that.
+    Returns (attempted, failed, together)."""
+    all_keys = spark.read.schema(f"{KEY_SCHEMA}, wave int").parquet(staged)  # the folder is listed once
+    held = sorted(int(n[5:]) for n, _ in folders.subfolders(spark, staged) if n.startswith("wave="))
+    done = [w for w in held if path_exists(spark, f"{landed}/wave={w}/_SUCCESS")]
+    attempted, failed = _landed_counts(spark, landed, done) if done else (0, 0)
+    todo = sorted(set(held) - set(done))
+    while todo:
+        waves, todo = todo[:together], todo[together:]
+        began = time.monotonic()
+        chosen = F.col("wave").between(waves[0], waves[-1])
+        if waves[-1] - waves[0] >= len(waves):  # some of them are landed, or hold no key
+            chosen = chosen & F.col("wave").isin(waves)
+        keys = _dealt(all_keys.where(chosen), waves[0], len(waves), parts)
+        counts = _land_waves(spark, keys, fetch, r, opts, waves, landed, valid)
+        attempted, failed = attempted + counts[0], failed + counts[1]
+        took = time.monotonic() - began
+        if took < WAVE_SECONDS / 2 and len(waves) == together:
+            together *= 2
+        elif took > WAVE_SECONDS:
+            together = max(1, together // 2)
+    return attempted, failed, together
+
+
 RATE_SCHEMA = "round int, wave int, rate double, attempted long, throttled long, next_rate double"
 
 
@@ -423,9 +490,11 @@ def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
 
     A round larger than ``max_partitions x keys_per_partition`` keys runs in
     waves: the pending keys are written partitioned by
-    ``pmod(xxhash64(address), waves)`` and each wave is one job of at most
-    ``max_partitions`` tasks.  A lost task re-fetches at most
-    ``keys_per_partition`` keys, and a rerun with the same ``landing``
+    ``pmod(xxhash64(address), waves)`` and each job has at most
+    ``max_partitions`` tasks.  A job is one wave; where calls are so quick that it
+    would end in less than half of ``WAVE_SECONDS``, the next takes twice as many waves.  A
+    lost task re-fetches at most ``keys_per_partition`` keys, or what a task
+    fetches in about that time, and a rerun with the same ``landing``
     resumes: landed waves are not fetched again.
     """
     opts = opts or FetchOptions()
@@ -453,9 +522,10 @@ def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
     rate = opts.calls_per_sec
     valid = None
     if opts.kind == "labels":
-        from walletflow.operators.labels import label_valid
+        from walletflow.operators.labels import label_map_valid
 
-        valid = label_valid(F.col("body"))
+        valid = label_map_valid(F.col("_map"))
+    together = 1
     for r in range(1, opts.max_rounds + 1):
         if n_pending is None:
             n_pending = pending.count()
@@ -479,6 +549,9 @@ def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
                 if path_exists(spark, f"{staged}/wave={w}")  # no key may fall into a wave
             )
         attempted = failed = 0
+        if waves > 1 and rate is None:  # a paced run decides after every wave
+            attempted, failed, together = _fetch_waves(spark, staged, f"{landing}/round={r}", fetch, r, opts, parts, together, valid)
+            sources = ()
         for w, src, spread in sources:
             counts = _land_wave(spark, src, fetch, r, opts, parts, spread, f"{landing}/round={r}/wave={w}", rate, valid)
             if rate is not None:

@@ -20,6 +20,12 @@ def make(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Write an empty file."""
+    fs, p = _fs(spark, path)
+    fs.create(p, True).close()
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.delete(p, True))
