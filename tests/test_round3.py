@@ -49,6 +49,27 @@ def test_no_file_of_a_staged_wave_holds_the_whole_wave(spark, tmp_dir, monkeypat
     assert {(r.ok, r.held) for r in run.attempts().select("ok", F.col("context").isNotNull().alias("held")).distinct().collect()} == {(True, False), (False, True)}
 
 
+def test_every_file_of_a_staged_wave_has_a_task_of_its_own(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(FE, "STAGED_KEYS", 50)
+    opts = FetchOptions(kind="labels", max_rounds=1, max_partitions=1, keys_per_partition=400, **FAST)
+    fetch_rounds(keys(spark, 1200), CyclingStubService(), opts, landing=f"{tmp_dir}/l")
+    staged = spark.read.parquet(f"{tmp_dir}/l/_pending/round=1/waves")
+    files = staged.groupBy("wave", F.input_file_name().alias("file")).agg(F.count("*").alias("n")).collect()
+    assert len({r["wave"] for r in files}) == 3 and sum(r["n"] for r in files) == 1200
+    assert max(r["n"] for r in files) < 90  # hashed file numbers met in one task, two or three files' keys in each
+
+
+def test_large_contexts_make_more_files_of_a_staged_wave(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(FE, "STAGED_BYTES", 64 << 10, raising=False)
+    docs = keys(spark, 300).withColumn("doc", F.expr("array_join(transform(sequence(1, 40), i -> sha2(concat(address, i), 256)), '')"))
+    opts = FetchOptions(kind="labels", max_rounds=1, max_partitions=1, keys_per_partition=100, **FAST)
+    fetch_rounds(docs, CyclingStubService(), opts, landing=f"{tmp_dir}/l", context="doc")
+    staged = spark.read.parquet(f"{tmp_dir}/l/_pending/round=1/waves")
+    files = staged.groupBy(F.input_file_name().alias("file")).agg(F.sum(F.length("context")).alias("chars")).collect()
+    assert sum(r["chars"] for r in files) == 300 * 40 * 64
+    assert max(r["chars"] for r in files) < 4 * (64 << 10)  # a wave of 256,000 was one file
+
+
 def test_documents_of_repeated_and_missing_keys(spark, tmp_dir):
     import json
 

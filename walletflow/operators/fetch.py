@@ -56,6 +56,7 @@ from walletflow.schemas import (
 )
 from walletflow.session import scratch_path
 from walletflow.sinks import folders
+from walletflow.sinks.csv import path_size
 from walletflow.shipping import ship_package
 
 
@@ -99,6 +100,7 @@ LANDED_WAVE_SCHEMA = T.StructType([f for f in LANDED_ROUND_SCHEMA.fields if f.na
 
 BUSY_KEYS = 2000        # keys for which a further task is worth its start
 STAGED_KEYS = 16_384    # keys per file of a staged wave, so that no task reads a whole wave
+STAGED_BYTES = 16 << 20  # and bytes, as large contexts make few keys long work
 WAVE_SECONDS = 10.0     # waves are fetched several in one job as long as the job ends within about this time
 BATCH_ROWS = 2000       # a worker hands on its attempts when it holds so many
 BATCH_CHARS = 4 << 20   # or so many characters of bodies
@@ -385,6 +387,20 @@ def _waves_of(spark: SparkSession, landing: str, r: int, computed: int) -> int:
     return 1 if path_exists(spark, f"{landing}/round={r}/wave=0") else computed
 
 
+def _staged_files(n_keys: int, bytes_per_key: float, waves: int) -> int:
+    """Files per wave, each of at most about ``STAGED_KEYS`` keys and ``STAGED_BYTES`` bytes."""
+    per_wave = n_keys / waves
+    return max(1, math.ceil(per_wave / STAGED_KEYS), math.ceil(per_wave * bytes_per_key / STAGED_BYTES))
+
+
+def _in_waves(pending: DataFrame, waves: int, files: int) -> DataFrame:
+    """The keys with their ``wave``, a task per file.  The file's number is the task's: hashed numbers
+    meet in one task, and the more files there are, the more of them."""
+    part = F.pmod(F.hash("address"), F.lit(files))
+    staged = pending.withColumn("wave", F.pmod(F.xxhash64("address"), F.lit(waves)))
+    return staged.repartitionById(waves * files, (F.col("wave") * files + part).cast("int"))
+
+
 def _land_wave(spark: SparkSession, src: DataFrame, fetch, r: int, opts: FetchOptions, parts: int,
                spread: bool, out: str, rate: float | None = None, valid: Column | None = None) -> tuple[int, int, int]:
     """Fetch one wave and land it; returns (attempted, failed, throttled).  A wave that
@@ -519,6 +535,7 @@ def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
         n_pending = int(obs.get.get("n", 0) or 0)
         _manifest(spark.read.parquet(first), opts).write.mode("overwrite").parquet(f"{landing}/_pending/manifest")
     pending = spark.read.schema(KEY_SCHEMA).parquet(first) if n_pending else distinct
+    n_keys = n_pending
     rate = opts.calls_per_sec
     valid = None
     if opts.kind == "labels":
@@ -538,11 +555,9 @@ def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
         else:
             staged = f"{landing}/_pending/round={r}/waves"
             if not path_exists(spark, f"{staged}/_SUCCESS"):
-                # files of at most about STAGED_KEYS keys; a wave then lists and reads its own folder only
-                files = math.ceil(n_pending / waves / STAGED_KEYS)
-                pending.withColumn("wave", F.pmod(F.xxhash64("address"), F.lit(waves))).repartition(
-                    waves * files, "wave", F.pmod(F.hash("address"), F.lit(files))
-                ).write.mode("overwrite").partitionBy("wave").parquet(staged)
+                # a wave then lists and reads its own folder only
+                files = _staged_files(n_pending, path_size(spark, first) / n_keys, waves)
+                _in_waves(pending, waves, files).write.mode("overwrite").partitionBy("wave").parquet(staged)
             sources = (
                 (w, spark.read.schema(KEY_SCHEMA).parquet(f"{staged}/wave={w}"), True)
                 for w in range(waves)
