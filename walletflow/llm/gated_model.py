@@ -25,7 +25,8 @@ SHAPES = {
     "emb": (WORDS, 3 * HIDDEN), "rec": (HIDDEN, 3 * HIDDEN), "bias": (3 * HIDDEN,),
     "cls": (HIDDEN, CLASSES), "cls_bias": (CLASSES,), "out": (WORDS, HIDDEN), "out_bias": (WORDS,),
 }
-OUTPUTS = 1024  # rows whose probabilities are held together
+CELLS = 1 << 16  # exponentials held together, so that they stay in a core's cache
+RECHECK = 16  # windows learned between two looks at the outputs' range
 
 
 class Params(dict):
@@ -103,7 +104,30 @@ def add_block(p: dict, number: int, values: np.ndarray) -> None:
 
 
 def _sigmoid(x):
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    """In place of x; a hyperbolic tangent needs no clipping."""
+    x *= 0.5
+    np.tanh(x, out=x)
+    x *= 0.5
+    x += 0.5
+    return x
+
+
+def _sums_by_number(numbers, values):
+    """(numbers that occur, sum of the rows of ``values`` of each).  Most occur a few times: their
+    second rows are added together, then their third ones; long runs are added by a product."""
+    order = np.argsort(numbers.astype(np.uint16), kind="stable")
+    numbers, values = numbers[order], np.take(values, order, axis=0)
+    first = np.flatnonzero(np.concatenate([[True], numbers[1:] != numbers[:-1]]))
+    times = np.diff(np.append(first, len(numbers)))
+    sums = np.take(values, first, axis=0)
+    few = np.flatnonzero((times > 1) & (times <= 8))
+    for k in range(1, 8):
+        few = few[times[few] > k]
+        sums[few] += np.take(values, first[few] + k, axis=0)
+    for i in np.flatnonzero(times > 8):
+        own = values[first[i]:first[i] + times[i]]
+        sums[i] = np.ones(len(own), own.dtype) @ own
+    return numbers[first], sums
 
 
 def _softmax(x, target, shift: bool):
@@ -122,11 +146,11 @@ class Model:
         self.p = params
         self.bounds = getattr(params, "bounds", Params.bounds)
         self.class_of = np.repeat(np.arange(CLASSES, dtype=np.int16), np.diff(self.bounds))
-        self.shift = True
+        self.shift, self.checked = True, 0
 
-    def _bound(self) -> None:
+    def _bound(self, slack: float = 0.0) -> None:
         """Rows need no shift where no state can bring an exponential near the ends of 32 bits: states lie
-        within -1 and 1, so an output is its bias give or take the sum of its weights."""
+        within -1 and 1, so an output is its bias give or take the sum of its weights, and ``slack``."""
         p = self.p
         reach, wide = np.abs(p["out"]).sum(axis=1), np.abs(p["cls"]).sum(axis=0)
         used = (np.diff(self.bounds) > 0) & (p["cls_bias"] > NEVER / 2)
@@ -134,7 +158,7 @@ class Model:
         lowest = np.maximum.reduceat(p["out_bias"] - reach, first)[used]
         high = max((p["out_bias"] + reach).max(), (p["cls_bias"] + wide).max())
         low = min(lowest.min(initial=0), (p["cls_bias"] - wide).max())
-        self.shift = not (high < 60 and low > -60)
+        self.shift = not (high < 60 - slack and low > slack - 60)
 
     def _step(self, h, x):
         u = h @ self.p["rec"]
@@ -145,14 +169,30 @@ class Model:
 
     def _in_classes(self, h, cls, inside):
         """(class, rows, exponentials, sums, log probabilities of the targets) of every class that occurs, a
-        bounded number of rows at once; h is in class order."""
+        bounded number of rows at once; h is in class order and ends with a column of ones, for the biases."""
         p = self.p
         cuts = np.searchsorted(cls, np.arange(CLASSES + 1))
         for c in np.flatnonzero(np.diff(cuts)):
             own = slice(self.bounds[c], self.bounds[c + 1])
-            for at in range(cuts[c], cuts[c + 1], 4 * OUTPUTS):
-                rows = slice(at, min(at + 4 * OUTPUTS, cuts[c + 1]))
-                yield (c, rows, *_softmax(h[rows] @ p["out"][own].T + p["out_bias"][own], inside[rows], self.shift))
+            weights = np.concatenate([p["out"][own].T, p["out_bias"][None, own]])
+            step = max(1, CELLS // weights.shape[1])
+            for at in range(cuts[c], cuts[c + 1], step):
+                rows = slice(at, min(at + step, cuts[c + 1]))
+                yield (c, rows, *_softmax(h[rows] @ weights, inside[rows], self.shift))
+
+    def _with_ones(self, h, order):
+        """The rows of h in this order and a column of ones."""
+        out = np.ones((len(order), HIDDEN + 1), h.dtype)
+        out[:, :HIDDEN] = np.take(h, order, axis=0)
+        return out
+
+    def _classes(self, h, cls):
+        """(rows, exponentials, sums, log probabilities of the classes ``cls``), a bounded number of rows at
+        once; h ends with a column of ones."""
+        weights, step = np.concatenate([self.p["cls"], self.p["cls_bias"][None]]), CELLS // CLASSES
+        for at in range(0, len(h), step):
+            rows = slice(at, at + step)
+            yield (rows, *_softmax(h[rows] @ weights, cls[rows], self.shift))
 
     def _in_order(self, target):
         """(order, class, place in the class) of targets, by class."""
@@ -163,59 +203,72 @@ class Model:
 
     def _logp(self, h, target):
         """Natural log probabilities of the targets."""
-        p = self.p
         order, cls, inside = self._in_order(target)
-        h, logp = h[order], np.empty(len(h))
-        for at in range(0, len(h), OUTPUTS):
-            some = slice(at, at + OUTPUTS)
-            logp[some] = _softmax(h[some] @ p["cls"] + p["cls_bias"], cls[some], self.shift)[2]
+        h, logp = self._with_ones(h, order), np.empty(len(h))
+        for rows, _, _, own in self._classes(h, cls):
+            logp[rows] = own
         for _, rows, _, _, own in self._in_classes(h, cls, inside):
             logp[rows] += own
         out = np.empty(len(h))
         out[order] = logp
         return out
 
-    def score(self, texts: list, window: int = 32, rows: int = 1 << 16) -> np.ndarray:
-        """Natural log probability of each text: number arrays that end with 0."""
+    def score(self, texts: list, window: int = 32, rows: int = 1 << 18) -> np.ndarray:
+        """Natural log probability of each text: number arrays that end with 0.  At most ``rows`` tokens of a
+        window are run together; the outputs of several narrow windows are taken together."""
         self._bound()
         order = np.argsort([-len(t) for t in texts], kind="stable")
         length = np.array([len(texts[i]) for i in order])
         out = np.zeros(len(texts))
+        states, who, what, held = [], [], [], 0
+
+        def add():
+            out[:] += np.bincount(np.concatenate(who), weights=self._logp(np.concatenate(states), np.concatenate(what)), minlength=len(out))
+            states.clear(), who.clear(), what.clear()
+
         for first in range(0, len(order), max(1, rows // window)):
             some = order[first:first + max(1, rows // window)]
             size = length[first:first + len(some)]
             h = np.zeros((len(some), HIDDEN), np.float32)
             last = np.zeros(len(some), dtype=np.int64)
-            for at in range(0, int(size[0]) if len(size) else 0, window):
+            for at in range(0, int(size[0]), window):
                 live = int(np.searchsorted(-size, -at))  # longer texts come first
                 h, last = h[:live], last[:live]
-                token = np.zeros((window, live), dtype=np.int64)
+                steps = min(window, int(size[0]) - at)
+                token = np.zeros((steps, live), dtype=np.int64)
                 for j in range(live):
-                    t = texts[some[j]][at:at + window]
+                    t = texts[some[j]][at:at + steps]
                     token[: len(t), j] = t
-                steps = min(window, int(size[0]) - at)
-                states, who, what = [], [], []
                 for k in range(steps):
                     on = int(np.searchsorted(-size[:live], -(at + k)))
-                    new, _ = self._step(h[:on], self.p["emb"][last[:on]] + self.p["bias"])
+                    x = np.take(self.p["emb"], last[:on], axis=0)
+                    x += self.p["bias"]
+                    new, _ = self._step(h[:on], x)
                     h[:on] = new
                     states.append(new)
-                    who.append(np.arange(on))
+                    who.append(some[:on])
                     what.append(token[k, :on])
                     last[:on] = token[k, :on]
-                logp = self._logp(np.concatenate(states), np.concatenate(what))
-                out[some[:live]] += np.bincount(np.concatenate(who), weights=logp, minlength=live)
+                    held += on
+                if held >= rows // 4:
+                    add()
+                    held = 0
+        if states:
+            add()
         return out
 
     def learn(self, token: np.ndarray, valid: np.ndarray, h: np.ndarray, last: np.ndarray, memory: dict, rate: float):
         """One window of a batch (time x texts): forward, backward, Adagrad; returns the new state."""
         p = self.p
-        self._bound()
+        if not self.checked:  # a step moves no parameter by more than the rate
+            self._bound(RECHECK * rate * (HIDDEN + 1))
+            self.checked = RECHECK
+        self.checked -= 1
         steps, states, kept = len(token), [], []
         before = np.concatenate([last[None], token[:-1]])
-        x = p["emb"][before] + p["bias"]
+        x = np.take(p["emb"], before, axis=0)
         for k in range(steps):
-            h, keep = self._step(h, x[k])
+            h, keep = self._step(h, x[k] + p["bias"])
             states.append(h)
             kept.append(keep)
         flat = np.concatenate(states)
@@ -223,61 +276,74 @@ class Model:
         target = token.ravel()[on]
         order, cls, inside = self._in_order(target)
         on = on[order]  # in class order
-        hs = flat[on]
+        hs = self._with_ones(flat, on)
         scale = np.asarray(1 / max(len(on), 1), dtype=flat.dtype)
 
         def take(name, g, at=...):
-            memory[name][at] += g ** 2
-            p[name][at] -= rate * g / np.sqrt(memory[name][at] + 1e-8)
-
-        loss, dh_on = 0.0, np.empty_like(hs)
-        g_cls, g_bias = np.zeros_like(p["cls"]), np.zeros_like(p["cls_bias"])
-        for first in range(0, len(on), OUTPUTS):
-            some = slice(first, first + OUTPUTS)
-            d, total, logp = _softmax(hs[some] @ p["cls"] + p["cls_bias"], cls[some], self.shift)
+            m = memory[name][at]
+            m += g * g
+            if isinstance(at, np.ndarray):  # m is a copy then
+                memory[name][at] = m
+            m = m + 1e-8
+            np.sqrt(m, out=m)
+            g *= rate
+            g /= m
+            p[name][at] -= g
+
+        # The gradient of a row's outputs is scale / total times (exponentials, less the total at the target):
+        # the factor goes to the narrow sides of the products.
+        loss, dh_on = 0.0, np.empty((len(hs), HIDDEN), hs.dtype)
+        g_cls = np.zeros((HIDDEN + 1, CLASSES), hs.dtype)
+        for rows, e, total, logp in self._classes(hs, cls):
             loss -= float(logp.sum())
-            d *= (scale / total)[:, None]
-            d[np.arange(len(d)), cls[some]] -= scale
-            dh_on[some] = d @ p["cls"].T
-            g_cls += hs[some].T @ d
-            g_bias += np.ones(len(d), d.dtype) @ d
+            e[np.arange(len(e)), cls[rows]] -= total
+            part = scale / total
+            np.multiply(e @ p["cls"].T, part[:, None], out=dh_on[rows])
+            g_cls += (hs[rows] * part[:, None]).T @ e
         grown = None  # (class, gradients): summed over the class's rows
         for c, rows, e, total, logp in self._in_classes(hs, cls, inside):
             loss -= float(logp.sum())
-            e *= (scale / total)[:, None]
-            e[np.arange(len(e)), inside[rows]] -= scale
+            e[np.arange(len(e)), inside[rows]] -= total
+            part = scale / total
             own = slice(self.bounds[c], self.bounds[c + 1])
-            dh_on[rows] += e @ p["out"][own]
-            g_out, g_own = e.T @ hs[rows], np.ones(len(e), e.dtype) @ e
+            dh = e @ p["out"][own]
+            dh *= part[:, None]
+            dh_on[rows] += dh
+            g_out, g_own = e.T @ (hs[rows, :HIDDEN] * part[:, None]), part @ e
             if grown and grown[0] == c:
                 g_out, g_own = g_out + grown[1], g_own + grown[2]
             grown = c, g_out, g_own
             if rows.stop == len(cls) or cls[rows.stop] != c:
                 take("out", g_out, own)
                 take("out_bias", g_own, own)
-        take("cls", g_cls)
-        take("cls_bias", g_bias)
+        take("cls", g_cls[:HIDDEN])
+        take("cls_bias", g_cls[HIDDEN])
         dh_all = np.zeros_like(flat)
         dh_all[on] = dh_on
         dh_all = dh_all.reshape(steps, -1, HIDDEN)
         back = np.zeros_like(h)
-        dx, du = np.empty_like(x), np.empty_like(x)
+        dx, du = np.empty_like(x), np.empty_like(x[0])
+        rec, g_rec = np.ascontiguousarray(p["rec"].T), np.zeros_like(p["rec"])
         for k in range(steps - 1, -1, -1):
             prev, z, r, n, un = kept[k]
-            dh = dh_all[k] + back
-            dn = dh * (1 - z) * (1 - n * n)
+            dh = dh_all[k]
+            dh += back
+            dn = dh * (1 - z)
+            dn *= 1 - n * n
+            dr = dn * r
             dx[k, :, :HIDDEN] = dh * (prev - n) * z * (1 - z)
-            dx[k, :, HIDDEN:2 * HIDDEN] = dn * un * r * (1 - r)
+            dx[k, :, HIDDEN:2 * HIDDEN] = dr * un * (1 - r)
             dx[k, :, 2 * HIDDEN:] = dn
-            du[k, :, : 2 * HIDDEN] = dx[k, :, : 2 * HIDDEN]
-            du[k, :, 2 * HIDDEN:] = dn * r
-            back = dh * z + du[k] @ p["rec"].T
-        dx, du = dx.reshape(-1, 3 * HIDDEN), du.reshape(-1, 3 * HIDDEN)
-        take("rec", np.concatenate([k[0] for k in kept]).T @ du)
-        take("bias", dx.sum(axis=0))
-        by_word = np.argsort(before.ravel(), kind="stable")
-        word, first = np.unique(before.ravel()[by_word], return_index=True)
-        take("emb", np.add.reduceat(dx[by_word], first, axis=0), word)
+            du[:, : 2 * HIDDEN] = dx[k, :, : 2 * HIDDEN]
+            du[:, 2 * HIDDEN:] = dr
+            g_rec += prev.T @ du
+            back = dh * z
+            back += du @ rec
+        dx = dx.reshape(-1, 3 * HIDDEN)
+        take("rec", g_rec)
+        take("bias", np.ones(len(dx), dx.dtype) @ dx)
+        word, sums = _sums_by_number(before.ravel(), dx)
+        take("emb", sums, word)
         return states[-1], token[-1], loss
 
 

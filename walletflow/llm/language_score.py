@@ -94,13 +94,15 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 def _tokens_of(table: dict):
     """texts -> (numbers of all tokens, words outside the table).  ``table`` is by UTF-8."""
+    from itertools import repeat
+
     import numpy as np
 
     number = table.get
 
     def tokens(text):
         words = words_of(text)
-        ids = np.fromiter((number(w, -1) for w in words), dtype=np.int32, count=len(words))
+        ids = np.fromiter(map(number, words, repeat(-1)), dtype=np.int32, count=len(words))
         return np.append(ids, 0), [words[i].decode("utf-8", "replace") for i in np.flatnonzero(ids < 0)]
 
     return tokens
@@ -199,12 +201,15 @@ def _learn(lots: DataFrame, part: int, params, tasks: int):
 
 
 def _scored(docs: DataFrame, table, words: int, params) -> DataFrame:
-    """(doc_id, n_tokens, base, score, rare): sums over the frequent tokens, and the other words."""
+    """(doc_id, n_tokens, base, score, rare): sums over the frequent tokens, and the other words, each once
+    with its number of times."""
     import numpy as np
 
     start = docs.sparkSession.sparkContext.broadcast(gated_model.pack(params).astype(np.float32))
 
     def run(batches):
+        from collections import Counter
+
         import numpy as np
         import pyarrow as pa
 
@@ -222,7 +227,7 @@ def _scored(docs: DataFrame, table, words: int, params) -> DataFrame:
             numbers = [np.where((t < 0) | (t >= words), 1, t) for t in texts]
             score = model.score(numbers) / np.log(10) + tail
             return pa.RecordBatch.from_arrays(
-                [pa.concat_arrays(doc_ids), pa.array(length, pa.int64()), pa.array(base), pa.array(score), pa.array(rare, pa.list_(pa.string()))],
+                [pa.concat_arrays(doc_ids), pa.array(length, pa.int64()), pa.array(base), pa.array(score), pa.array(rare, pa.map_(pa.string(), pa.int64()))],
                 names=["doc_id", "n_tokens", "base", "score", "rare"],
             )
 
@@ -232,7 +237,7 @@ def _scored(docs: DataFrame, table, words: int, params) -> DataFrame:
             for text in piece.column("text").to_pylist():
                 t, r = tokens(text)
                 texts.append(t)
-                rare.append(r)
+                rare.append(list(Counter(r).items()))
                 held += len(t)
             if held >= SCORE_TOKENS:
                 yield flush(ids, texts, rare)
@@ -241,7 +246,7 @@ def _scored(docs: DataFrame, table, words: int, params) -> DataFrame:
             yield flush(ids, texts, rare)
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, base double, score double, rare array<string>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, base double, score double, rare map<string,bigint>")
 
 
 def score_documents(docs: DataFrame, smoothing: float = 0.1) -> DataFrame:
@@ -275,7 +280,7 @@ def score_documents(docs: DataFrame, smoothing: float = 0.1) -> DataFrame:
 
     at = F.monotonically_increasing_id()
     scored = stored(_scored(texts, table, words, params).withColumn("at", at), "scored-texts")
-    rare = scored.select("at", F.explode("rare").alias("token")).groupBy("at", "token").agg(F.count("*").alias("times"))
+    rare = scored.select("at", F.explode("rare").alias("token", "times"))
     joined = rare.join(counts, "token", "left").select("at", "times", F.coalesce("c", F.lit(0)).alias("c"))
     own = F.col("c") + F.lit(smoothing)
     late = joined.groupBy("at").agg(
