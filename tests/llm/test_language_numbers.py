@@ -1,0 +1,27 @@
+"""Texts of the language model are numbered once, by whole columns."""
+
+import pyarrow as pa
+
+from tests.llm import brute
+from tests.llm.conftest import edge_texts
+from walletflow.llm import language_score
+
+
+def test_words_of_a_column_are_those_of_its_texts():
+    texts = [t for _, t in edge_texts()] + ["A\x0bb\x0c\x1cC d\u0085 É \x1f\r\nß", "  A  ", "\t"]
+    rows, words = language_score._split(pa.array(texts, pa.string()))
+    got = [[] for _ in texts]
+    for row, word in zip(rows.tolist(), words.to_pylist()):
+        got[row].append(word)
+    assert got == [[w.decode() for w in language_score.words_of(t)] for t in texts]
+    assert got == [brute.WORD.findall(brute.lower(t)) for t in texts]
+
+
+def test_texts_are_numbered_once(spark, monkeypatch):
+    """Learning and scoring read the same stored numbers; each had split all texts again."""
+    calls = []
+    real = language_score._numbered
+    monkeypatch.setattr(language_score, "_numbered", lambda *a: calls.append(1) or real(*a))
+    docs = spark.createDataFrame([(1, "a b a"), (2, None), (3, "a c")], "doc_id long, text string")
+    assert [r.n_tokens for r in language_score.score_documents(docs).orderBy("doc_id").collect()] == [4, 1, 3]
+    assert len(calls) == 1

@@ -26,6 +26,7 @@ SHAPES = {
     "cls": (HIDDEN, CLASSES), "cls_bias": (CLASSES,), "out": (WORDS, HIDDEN), "out_bias": (WORDS,),
 }
 CELLS = 1 << 16  # exponentials held together, so that they stay in a core's cache
+TEXTS = 1024  # texts scored step by step together, for the same reason
 RECHECK = 16  # windows learned between two looks at the outputs' range
 
 
@@ -104,12 +105,11 @@ def add_block(p: dict, number: int, values: np.ndarray) -> None:
 
 
 def _sigmoid(x):
-    """In place of x; a hyperbolic tangent needs no clipping."""
-    x *= 0.5
-    np.tanh(x, out=x)
-    x *= 0.5
-    x += 0.5
-    return x
+    """In place of x; an exponential beyond the range is infinite and gives 0."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def _sums_by_number(numbers, values):
@@ -131,14 +131,16 @@ def _sums_by_number(numbers, values):
 
 
 def _softmax(x, target, shift: bool):
-    """Exponentials of every row (in place of x), their sums, and natural log probabilities of the targets;
-    ``shift``: take each row's highest value off first."""
+    """Exponentials of every row (in place of x), the targets' places in them, their sums, and natural log
+    probabilities of the targets; ``shift``: take each row's highest value off first."""
     if shift:
         x -= x.max(axis=1, keepdims=True)
-    logp = x[np.arange(len(x)), target].astype(np.float64)
+    at = np.arange(0, x.size, x.shape[1])
+    at += target
+    logp = x.reshape(-1)[at].astype(np.float64)
     np.exp(x, out=x)
     total = x @ np.ones(x.shape[1], x.dtype)  # a product adds faster than a sum by rows
-    return x, total, logp - np.log(total)
+    return x, at, total, logp - np.log(total)
 
 
 class Model:
@@ -161,14 +163,21 @@ class Model:
         self.shift = not (high < 60 - slack and low > slack - 60)
 
     def _step(self, h, x):
-        u = h @ self.p["rec"]
-        gate = _sigmoid(x[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
-        z, r = gate[:, :HIDDEN], gate[:, HIDDEN:]
-        n = np.tanh(x[:, 2 * HIDDEN:] + r * u[:, 2 * HIDDEN:])
-        return n + z * (h - n), (h, z, r, n, u[:, 2 * HIDDEN:])
+        """One token of every text; a text is a column, so that gates are whole runs of memory."""
+        u = self.p["rec"].T @ h
+        gate = u[: 2 * HIDDEN]
+        gate += x[: 2 * HIDDEN]
+        z, r = _sigmoid(gate).reshape(2, HIDDEN, -1)
+        n = r * u[2 * HIDDEN:]
+        n += x[2 * HIDDEN:]
+        np.tanh(n, out=n)
+        new = h - n
+        new *= z
+        new += n
+        return new, (h, z, r, n, u[2 * HIDDEN:])
 
     def _in_classes(self, h, cls, inside):
-        """(class, rows, exponentials, sums, log probabilities of the targets) of every class that occurs, a
+        """(class, rows, exponentials, targets' places, sums, their log probabilities) of every class that occurs, a
         bounded number of rows at once; h is in class order and ends with a column of ones, for the biases."""
         p = self.p
         cuts = np.searchsorted(cls, np.arange(CLASSES + 1))
@@ -187,7 +196,7 @@ class Model:
         return out
 
     def _classes(self, h, cls):
-        """(rows, exponentials, sums, log probabilities of the classes ``cls``), a bounded number of rows at
+        """(rows, exponentials, places of the classes ``cls``, sums, their log probabilities), a bounded number of rows at
         once; h ends with a column of ones."""
         weights, step = np.concatenate([self.p["cls"], self.p["cls_bias"][None]]), CELLS // CLASSES
         for at in range(0, len(h), step):
@@ -205,9 +214,9 @@ class Model:
         """Natural log probabilities of the targets."""
         order, cls, inside = self._in_order(target)
         h, logp = self._with_ones(h, order), np.empty(len(h))
-        for rows, _, _, own in self._classes(h, cls):
+        for rows, *_, own in self._classes(h, cls):
             logp[rows] = own
-        for _, rows, _, _, own in self._in_classes(h, cls, inside):
+        for _, rows, *_, own in self._in_classes(h, cls, inside):
             logp[rows] += own
         out = np.empty(len(h))
         out[order] = logp
@@ -226,30 +235,30 @@ class Model:
             out[:] += np.bincount(np.concatenate(who), weights=self._logp(np.concatenate(states), np.concatenate(what)), minlength=len(out))
             states.clear(), who.clear(), what.clear()
 
-        for first in range(0, len(order), max(1, rows // window)):
-            some = order[first:first + max(1, rows // window)]
+        most, emb = max(1, min(rows // window, TEXTS)), self.p["emb"] + self.p["bias"]
+        for first in range(0, len(order), most):
+            some = order[first:first + most]
             size = length[first:first + len(some)]
-            h = np.zeros((len(some), HIDDEN), np.float32)
+            h = np.zeros((HIDDEN, len(some)), np.float32)
             last = np.zeros(len(some), dtype=np.int64)
             for at in range(0, int(size[0]), window):
-                live = int(np.searchsorted(-size, -at))  # longer texts come first
-                h, last = h[:live], last[:live]
                 steps = min(window, int(size[0]) - at)
+                on = np.searchsorted(-size, -np.arange(at, at + steps)).tolist()  # longer texts come first
+                live = on[0]
                 token = np.zeros((steps, live), dtype=np.int64)
                 for j in range(live):
                     t = texts[some[j]][at:at + steps]
                     token[: len(t), j] = t
-                for k in range(steps):
-                    on = int(np.searchsorted(-size[:live], -(at + k)))
-                    x = np.take(self.p["emb"], last[:on], axis=0)
-                    x += self.p["bias"]
-                    new, _ = self._step(h[:on], x)
-                    h[:on] = new
-                    states.append(new)
-                    who.append(some[:on])
-                    what.append(token[k, :on])
-                    last[:on] = token[k, :on]
-                    held += on
+                x = np.take(emb, np.concatenate([last[None, :live], token[:-1]]), axis=0)
+                h, last = h[:, :live], token[-1]
+                with np.errstate(over="ignore"):
+                    for k in range(steps):
+                        h, _ = self._step(h[:, :on[k]], np.ascontiguousarray(x[k, :on[k]].T))
+                        states.append(np.ascontiguousarray(h.T))
+                real = np.arange(at, at + steps)[:, None] < size[:live]
+                who.append(np.broadcast_to(some[:live], real.shape)[real])
+                what.append(token[real])
+                held += sum(on)
                 if held >= rows // 4:
                     add()
                     held = 0
@@ -267,10 +276,13 @@ class Model:
         steps, states, kept = len(token), [], []
         before = np.concatenate([last[None], token[:-1]])
         x = np.take(p["emb"], before, axis=0)
-        for k in range(steps):
-            h, keep = self._step(h, x[k] + p["bias"])
-            states.append(h)
-            kept.append(keep)
+        x += p["bias"]
+        h = np.ascontiguousarray(h.T)
+        with np.errstate(over="ignore"):
+            for k in range(steps):
+                h, keep = self._step(h, np.ascontiguousarray(x[k].T))
+                states.append(np.ascontiguousarray(h.T))
+                kept.append(keep)
         flat = np.concatenate(states)
         on = np.flatnonzero(valid.ravel())
         target = token.ravel()[on]
@@ -294,16 +306,16 @@ class Model:
         # the factor goes to the narrow sides of the products.
         loss, dh_on = 0.0, np.empty((len(hs), HIDDEN), hs.dtype)
         g_cls = np.zeros((HIDDEN + 1, CLASSES), hs.dtype)
-        for rows, e, total, logp in self._classes(hs, cls):
+        for rows, e, at, total, logp in self._classes(hs, cls):
             loss -= float(logp.sum())
-            e[np.arange(len(e)), cls[rows]] -= total
+            e.reshape(-1)[at] -= total
             part = scale / total
             np.multiply(e @ p["cls"].T, part[:, None], out=dh_on[rows])
-            g_cls += (hs[rows] * part[:, None]).T @ e
+            g_cls += (e.T @ (hs[rows] * part[:, None])).T
         grown = None  # (class, gradients): summed over the class's rows
-        for c, rows, e, total, logp in self._in_classes(hs, cls, inside):
+        for c, rows, e, at, total, logp in self._in_classes(hs, cls, inside):
             loss -= float(logp.sum())
-            e[np.arange(len(e)), inside[rows]] -= total
+            e.reshape(-1)[at] -= total
             part = scale / total
             own = slice(self.bounds[c], self.bounds[c + 1])
             dh = e @ p["out"][own]
@@ -321,30 +333,34 @@ class Model:
         dh_all = np.zeros_like(flat)
         dh_all[on] = dh_on
         dh_all = dh_all.reshape(steps, -1, HIDDEN)
-        back = np.zeros_like(h)
-        dx, du = np.empty_like(x), np.empty_like(x[0])
-        rec, g_rec = np.ascontiguousarray(p["rec"].T), np.zeros_like(p["rec"])
+        back, rec, g_rec = np.zeros_like(h), p["rec"], np.zeros_like(p["rec"])
+        dx, width = np.empty_like(x), h.shape[1]
+        own, du = np.empty((2, 3 * HIDDEN, width + 16), x.dtype)[:, :, :width]  # strides off powers of two transpose faster
         for k in range(steps - 1, -1, -1):
             prev, z, r, n, un = kept[k]
-            dh = dh_all[k]
-            dh += back
-            dn = dh * (1 - z)
-            dn *= 1 - n * n
+            back += dh_all[k].T
+            dn = 1 - n * n
+            dn *= back
+            dz = 1 - z
+            dn *= dz
             dr = dn * r
-            dx[k, :, :HIDDEN] = dh * (prev - n) * z * (1 - z)
-            dx[k, :, HIDDEN:2 * HIDDEN] = dr * un * (1 - r)
-            dx[k, :, 2 * HIDDEN:] = dn
-            du[:, : 2 * HIDDEN] = dx[k, :, : 2 * HIDDEN]
-            du[:, 2 * HIDDEN:] = dr
-            g_rec += prev.T @ du
-            back = dh * z
-            back += du @ rec
+            dz *= z
+            dz *= prev - n
+            np.multiply(dz, back, out=own[:HIDDEN])
+            np.multiply(dr, un, out=own[HIDDEN:2 * HIDDEN])
+            own[HIDDEN:2 * HIDDEN] *= 1 - r
+            own[2 * HIDDEN:] = dn
+            dx[k] = own.T
+            du[: 2 * HIDDEN], du[2 * HIDDEN:] = own[: 2 * HIDDEN], dr
+            g_rec += prev @ du.T
+            back *= z
+            back += rec @ du
         dx = dx.reshape(-1, 3 * HIDDEN)
         take("rec", g_rec)
         take("bias", np.ones(len(dx), dx.dtype) @ dx)
         word, sums = _sums_by_number(before.ravel(), dx)
         take("emb", sums, word)
-        return states[-1], token[-1], loss
+        return h.T, token[-1], loss
 
 
 def train(params: dict, texts, batch: int = 128, window: int = 32, rate: float = 0.05) -> dict:

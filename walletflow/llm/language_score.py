@@ -45,7 +45,8 @@ BATCH = 1024  # texts learned together
 TASK_TOKENS = 4_000_000  # tokens from which a round uses a further task
 ROUNDS = 2
 TASKS = 1024  # most training tasks in a round
-TEXT_BYTES = 4 << 20  # text tokenised at once
+TEXT_BYTES = 4 << 20  # text numbered at once
+COUNT_BYTES = 16 << 20  # text whose words are counted at once
 SCORE_TOKENS = 2_000_000  # tokens scored together
 END = ""  # no word is empty
 HELD = 500_000  # words whose counts a task holds
@@ -61,75 +62,108 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def _split(texts):
+    """(rows, words): the words of an Arrow array of texts as ``words_of`` finds them, and the row of each."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    rows, words = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy()), lists.flatten()
+    real = pc.greater(pc.binary_length(words), 0)  # white space at an end or in a row leaves empty pieces
+    return rows[real.to_numpy(zero_copy_only=False)], words.filter(real)
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """(token, c) over rows of ``text``; every row also counts one end.  Counts are added up in the
-    tasks, ``HELD`` words at a time, before they are shuffled."""
+    tasks, about ``HELD`` words at a time, before they are shuffled."""
 
     def run(batches):
-        from collections import Counter
-
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        held: Counter = Counter()
+        held, ends = [], 0
 
-        def flush():
-            rows = list(held.items())
-            held.clear()
-            for at in range(0, len(rows), 50_000):
-                words, n = zip(*rows[at : at + 50_000])
-                yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n, pa.int64())], names=["token", "c"])
+        def added():
+            return pa.concat_tables(held).group_by("token", use_threads=False).aggregate([("c", "sum")]).rename_columns(["token", "c"])
 
-        for piece in slices(batches, TEXT_BYTES, "text"):
-            for text in piece.column("text").to_pylist():
-                held.update(words_of(text))
-            held[b""] += piece.num_rows
-            if len(held) > HELD:
-                yield from flush()
+        for piece in slices(batches, COUNT_BYTES, "text"):
+            ends += piece.num_rows
+            found = pc.value_counts(_split(piece.column("text"))[1])
+            held.append(pa.table({"token": found.field(0).cast(pa.binary()), "c": found.field(1)}))
+            if sum(t.num_rows for t in held) > HELD:
+                held = [added()] if len(held) > 1 else held
+                if held[0].num_rows > HELD // 2:
+                    yield from held.pop().to_batches(50_000)
         if held:
-            yield from flush()
+            yield from added().to_batches(50_000)
+        if ends:
+            yield pa.RecordBatch.from_arrays([pa.array([END.encode()]), pa.array([ends], pa.int64())], names=["token", "c"])
 
     words = texts.select("text").mapInArrow(run, "token binary, c long")
     return stored(words.groupBy(F.col("token").cast("string").alias("token")).agg(F.sum("c").alias("c")), "word-counts")
 
 
-def _tokens_of(table: dict):
-    """texts -> (numbers of all tokens, words outside the table).  ``table`` is by UTF-8."""
-    from itertools import repeat
-
-    import numpy as np
+def _numbered(docs: DataFrame, table, words: int) -> DataFrame:
+    """Every document's text in numbers, tokenised once: (doc_id, h, at, n_tokens, base, tail, ids, rare).  ``ids``
+    are the model's numbers of all tokens, two bytes each; ``base`` and ``tail`` are sums over the words of the table;
+    ``rare`` holds the other words, each once with its number of times.  ``h`` and ``at`` tell texts apart."""
 
-    number = table.get
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
-    def tokens(text):
-        words = words_of(text)
-        ids = np.fromiter(map(number, words, repeat(-1)), dtype=np.int32, count=len(words))
-        return np.append(ids, 0), [words[i].decode("utf-8", "replace") for i in np.flatnonzero(ids < 0)]
+        number, base_of, tail_of = table.value
+        known = pa.array(list(number), pa.binary()).view(pa.string())
+        number_of = np.append(np.fromiter(number.values(), np.int64, len(number)), -1)  # last: not in the table
+        none = np.zeros(max(number_of.max() + 1, 1))
+        base_of, tail_of = (none if x is None else x for x in (base_of, tail_of))
 
-    return tokens
+        for piece in slices(batches, TEXT_BYTES, "text"):
+            n = piece.num_rows
+            row, word = _split(piece.column("text"))
+            at = pc.fill_null(pc.index_in(word, value_set=known), len(known)).to_numpy()
+            length = np.bincount(row, minlength=n) + 1
+            stop = np.cumsum(length)
+            ids = np.zeros(stop[-1], np.int64)  # 0, the end, stays behind each text
+            ids[np.arange(len(row)) + row] = number_of[at]
+            owner = np.repeat(np.arange(n), length)
+            inside = np.flatnonzero(ids >= 0)
+            sums = [np.bincount(owner[inside], weights=x[ids[inside]], minlength=n) for x in (base_of, tail_of)]
+            ids = np.where((ids < 0) | (ids >= words), 1, ids).astype("<u2")
+            ids = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(np.append(0, 2 * stop)), pa.py_buffer(ids)])
+            out = np.flatnonzero(at == len(known))
+            rare = pa.table({"row": row[out], "word": word.take(pa.array(out))}).group_by(["row", "word"], use_threads=False).aggregate([([], "count_all")])
+            rare = rare.sort_by("row").combine_chunks()
+            cuts = np.searchsorted(rare.column("row").to_numpy(), np.arange(n + 1))
+            rare = pa.MapArray.from_arrays(pa.array(cuts, pa.int32()), *[rare.column(c).combine_chunks() for c in ("word", "count_all")])
+            yield pa.RecordBatch.from_arrays(
+                [*[piece.column(c) for c in ("doc_id", "h", "at")], pa.array(length, pa.int64()), *map(pa.array, sums), ids.cast(pa.binary()), rare],
+                names=["doc_id", "h", "at", "n_tokens", "base", "tail", "ids", "rare"],
+            )
 
+    kind = dict(docs.dtypes)["doc_id"]
+    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("h"), F.monotonically_increasing_id().alias("at"))
+    return keyed.mapInArrow(run, f"doc_id {kind}, h long, at long, n_tokens long, base double, tail double, ids binary, rare map<string,bigint>")
 
-def _token_rows(docs: DataFrame, table, words: int) -> DataFrame:
-    """(part, kind, h, at, k, more, ids): all model numbers of every document in rows of ``ROW``.
-    ``kind`` is the text's length class, ``k`` counts its rows; ``h`` and ``at`` tell texts apart."""
 
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
+def _cut(numbered: DataFrame) -> DataFrame:
+    """(part, kind, h, at, k, more, ids): the model's numbers of every document in rows of ``ROW``.
+    ``kind`` is the text's length class, ``k`` counts its rows."""
+    n = F.col("n_tokens")
+    cut = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / ROW)),
+        lambda k: F.struct(k.alias("k"), ((k + 1) * ROW < n).alias("more"), F.col("ids").substr((k * (2 * ROW) + 1).cast("int"), F.lit(2 * ROW)).alias("ids")),
+    )
+    return numbered.select(
+        F.pmod(F.shiftright("h", 8), F.lit(ROUNDS)).cast("int").alias("part"),
+        F.length(F.bin(n)).alias("kind"),
+        "h", "at", F.inline(cut),
+    )
 
-        tokens = _tokens_of(table.value[0])
-        for piece in slices(batches, TEXT_BYTES, "text"):
-            out = []
-            for text, h, at in zip(*[piece.column(c).to_pylist() for c in ("text", "h", "at")]):
-                ids, _ = tokens(text)
-                ids = np.where((ids < 0) | (ids >= words), 1, ids).astype("<u2")
-                for k in range(0, len(ids), ROW):
-                    out.append((len(ids).bit_length(), h, at, k // ROW, k + ROW < len(ids), ids[k:k + ROW].tobytes()))
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["kind", "h", "at", "k", "more", "ids"])
 
-    keyed = docs.select("text", F.xxhash64("doc_id", "text").alias("h"), F.monotonically_increasing_id().alias("at"))
-    rows = keyed.mapInArrow(run, "kind int, h long, at long, k long, more boolean, ids binary")
-    return rows.withColumn("part", F.pmod(F.shiftright("h", 8), F.lit(ROUNDS)).cast("int"))
+def _token_rows(docs: DataFrame, table, words: int) -> DataFrame:
+    return _cut(_numbered(docs, table, words))
 
 
 def _lots(rows: DataFrame) -> DataFrame:
@@ -200,53 +234,44 @@ def _learn(lots: DataFrame, part: int, params, tasks: int):
     return params
 
 
-def _scored(docs: DataFrame, table, words: int, params) -> DataFrame:
-    """(doc_id, n_tokens, base, score, rare): sums over the frequent tokens, and the other words, each once
-    with its number of times."""
+def _model_scores(numbered: DataFrame, params) -> DataFrame:
+    """(doc_id, at, n_tokens, base, score): sums over the frequent tokens."""
     import numpy as np
 
-    start = docs.sparkSession.sparkContext.broadcast(gated_model.pack(params).astype(np.float32))
+    start = numbered.sparkSession.sparkContext.broadcast(gated_model.pack(params).astype(np.float32))
 
     def run(batches):
-        from collections import Counter
-
         import numpy as np
         import pyarrow as pa
 
-        table_of, base_of, outside_of = table.value
-        tokens = _tokens_of(table_of)
         model = gated_model.Model(gated_model.unpack(start.value))
 
-        def flush(doc_ids, texts, rare):
-            length = np.array([len(t) for t in texts])
-            owner = np.repeat(np.arange(len(texts)), length)
-            flat = np.concatenate(texts)
-            known, who = flat[flat >= 0], owner[flat >= 0]
-            base = np.bincount(who, weights=base_of[known], minlength=len(texts))
-            tail = np.bincount(who, weights=outside_of[known], minlength=len(texts))
-            numbers = [np.where((t < 0) | (t >= words), 1, t) for t in texts]
-            score = model.score(numbers) / np.log(10) + tail
-            return pa.RecordBatch.from_arrays(
-                [pa.concat_arrays(doc_ids), pa.array(length, pa.int64()), pa.array(base), pa.array(score), pa.array(rare, pa.map_(pa.string(), pa.int64()))],
-                names=["doc_id", "n_tokens", "base", "score", "rare"],
-            )
+        def flush(pieces):
+            rows = pa.Table.from_batches(pieces)
+            texts = [np.frombuffer(ids.as_buffer(), dtype="<u2").astype(np.int32) for piece in pieces for ids in piece.column("ids")]
+            score = model.score(texts) / np.log(10) + rows.column("tail").to_numpy()
+            yield from rows.drop_columns(["tail", "ids"]).append_column("score", pa.array(score)).to_batches()
 
-        ids, texts, rare, held = [], [], [], 0
-        for piece in slices(batches, TEXT_BYTES, "text"):
-            ids.append(piece.column("doc_id"))
-            for text in piece.column("text").to_pylist():
-                t, r = tokens(text)
-                texts.append(t)
-                rare.append(list(Counter(r).items()))
-                held += len(t)
-            if held >= SCORE_TOKENS:
-                yield flush(ids, texts, rare)
-                ids, texts, rare, held = [], [], [], 0
-        if texts:
-            yield flush(ids, texts, rare)
+        pieces, held = [], 0
+        for piece in slices(batches, 2 * SCORE_TOKENS, "ids"):
+            size = piece.column("n_tokens").to_numpy().sum()
+            if pieces and held + size > SCORE_TOKENS:
+                yield from flush(pieces)
+                pieces, held = [], 0
+            pieces.append(piece)
+            held += size
+        if pieces:
+            yield from flush(pieces)
 
-    kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, base double, score double, rare map<string,bigint>")
+    kind = dict(numbered.dtypes)["doc_id"]
+    texts = numbered.select("doc_id", "at", "n_tokens", "base", "tail", "ids")
+    return texts.mapInArrow(run, f"doc_id {kind}, at long, n_tokens long, base double, score double")
+
+
+def _scored(docs: DataFrame, table, words: int, params) -> DataFrame:
+    """(doc_id, at, n_tokens, base, score, rare): sums over the frequent tokens, and the other words."""
+    numbered = stored(_numbered(docs, table, words), "numbered-texts")
+    return _model_scores(numbered, params).join(numbered.select("at", "rare"), "at")
 
 
 def score_documents(docs: DataFrame, smoothing: float = 0.1) -> DataFrame:
@@ -274,13 +299,13 @@ def score_documents(docs: DataFrame, smoothing: float = 0.1) -> DataFrame:
     share[1] = outside_n
     params = gated_model.initial(share)
     tasks = min(TASKS, -(-n // (ROUNDS * TASK_TOKENS)) or 1)  # by the corpus alone: scores do not depend on the session
-    lots = _lots(stored(_token_rows(train, table, words), "token-rows"))
+    numbered = stored(_numbered(texts, table, words), "numbered-texts")  # read by the learning and the scoring
+    lots = _lots(_cut(numbered.where(~held_out(F.col("doc_id")))))
     for part in range(ROUNDS):
         params = _learn(lots, part, params, tasks)
 
-    at = F.monotonically_increasing_id()
-    scored = stored(_scored(texts, table, words, params).withColumn("at", at), "scored-texts")
-    rare = scored.select("at", F.explode("rare").alias("token", "times"))
+    scored = stored(_model_scores(numbered, params), "scored-texts")
+    rare = numbered.select("at", F.explode("rare").alias("token", "times"))
     joined = rare.join(counts, "token", "left").select("at", "times", F.coalesce("c", F.lit(0)).alias("c"))
     own = F.col("c") + F.lit(smoothing)
     late = joined.groupBy("at").agg(
@@ -290,7 +315,7 @@ def score_documents(docs: DataFrame, smoothing: float = 0.1) -> DataFrame:
     )
     zero = F.lit(0)
     ends_known = F.lit(0 if ends else 1)  # without training documents the end is unknown too
-    return scored.drop("rare").join(late, "at", "left").select(
+    return scored.join(late, "at", "left").select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
         "n_tokens",
