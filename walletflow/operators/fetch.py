@@ -24,6 +24,12 @@ read back from the landed failures, so
   commit protocol discards (at-least-once calls, exactly-once landed rows);
 * there is no anti-join shuffle between rounds.
 
+Contexts of ``IN_PLACE_BYTES`` and more a key (documents) do not travel with the failures: they would be
+written and shuffled once more in every round.  They are staged once, in files of at most a task's keys
+(``_pending/round=1/waves``, marked by ``_pending/_in_place``).  Every round reads those files where they lie, a
+task per file, and keeps the keys that failed in the round before (a broadcast of at most ``IN_PLACE_KEYS``
+addresses a job).  All rounds then have the waves of the first one.
+
 Fetch function contract: ``fetch(req: FetchRequest) -> (status, body)``;
 it may raise ``TimeoutError`` / ``ConnectionError`` / any exception, which
 become failed attempts with status ``timeout`` / ``connection_error`` /
@@ -37,6 +43,7 @@ import math
 import time
 import uuid
 from dataclasses import dataclass, field
+from functools import partial
 from typing import Any, Callable, NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -54,7 +61,7 @@ from walletflow.schemas import (
     LOOSE_MAP_DDL,
     PORTFOLIO_NO_DATA,
 )
-from walletflow.session import scratch_path
+from walletflow.session import COMPACT, one_file_a_task, scratch_path
 from walletflow.sinks import folders
 from walletflow.sinks.csv import path_size
 from walletflow.shipping import ship_package
@@ -100,7 +107,9 @@ LANDED_WAVE_SCHEMA = T.StructType([f for f in LANDED_ROUND_SCHEMA.fields if f.na
 
 BUSY_KEYS = 2000        # keys for which a further task is worth its start
 STAGED_KEYS = 16_384    # keys per file of a staged wave, so that no task reads a whole wave
-STAGED_BYTES = 16 << 20  # and bytes, as large contexts make few keys long work
+STAGED_BYTES = 8 << 20  # and bytes, as large contexts make few keys long work
+IN_PLACE_BYTES = 256    # contexts of so many bytes a key, as staged, stay where they are staged
+IN_PLACE_KEYS = 1 << 18  # failed keys that a job over such contexts holds in memory at most
 WAVE_SECONDS = 10.0     # waves are fetched several in one job as long as the job ends within about this time
 BATCH_ROWS = 2000       # a worker hands on its attempts when it holds so many
 BATCH_CHARS = 4 << 20   # or so many characters of bodies
@@ -195,9 +204,9 @@ def _drawn_calls(pool, threads: int, reqs: list, call) -> list:
     return [results[i] for i in range(len(results))]
 
 
-def _fetch_partitions(fetch, attempt: int, opts: FetchOptions, gap: float | None = None, keep: tuple = ()):
-    """mapInPandas body: a thread pool per partition, one row per key with the columns ``keep``; calls
-    ``gap`` seconds apart."""
+def _fetch_partitions(fetch, attempt: int, opts: FetchOptions, gap: float | None = None, keep: tuple = (), echo: bool = True):
+    """mapInPandas body: a thread pool per partition, one row per key with the columns ``keep``, and its
+    context if ``echo``; calls ``gap`` seconds apart."""
 
     def run(batches):
         from concurrent.futures import ThreadPoolExecutor
@@ -220,7 +229,7 @@ def _fetch_partitions(fetch, attempt: int, opts: FetchOptions, gap: float | None
                     at += len(results)
                     yield pd.DataFrame({
                         "address": addrs[some],
-                        "context": ctx[some],
+                        "context": ctx[some] if echo else [None] * len(results),
                         "attempt": [attempt] * len(results),
                         "status": [r[0] for r in results],
                         "http_ok": [r[1] for r in results],
@@ -242,17 +251,17 @@ def _tasks(spark: SparkSession, n_keys: int, opts: FetchOptions) -> int:
 
 
 def fetch_once(pending: DataFrame, fetch, attempt: int, opts: FetchOptions, partitions: int,
-               spread: bool = True, rate: float | None = None) -> DataFrame:
+               spread: bool = True, rate: float | None = None, echo: bool = True) -> DataFrame:
     """K1/K2/K3: one concurrent round over ``pending`` (address, context).
 
     ``spread`` round-robins the keys over ``partitions`` tasks; later rounds
     read landed failures that are already spread and only narrow them.  ``rate``: calls a second of
-    all tasks together."""
+    all tasks together.  Without ``echo`` the attempts hold no context."""
     ship_package(pending.sparkSession)
     src = pending.select(F.col("address").cast("string"), F.col("context").cast("string"))
     src = src.repartition(partitions) if spread else src.coalesce(partitions)
     gap = None if rate is None else partitions / rate
-    return src.mapInPandas(_fetch_partitions(fetch, attempt, opts, gap), ATTEMPT_SCHEMA)
+    return src.mapInPandas(_fetch_partitions(fetch, attempt, opts, gap, echo=echo), ATTEMPT_SCHEMA)
 
 
 def _dealt(waves: DataFrame, first: int, n: int, parts: int) -> DataFrame:
@@ -298,7 +307,8 @@ class FetchRun:
     elapsed_sec: float = 0.0                            # wall time of all rounds (A2)
 
     def attempts(self) -> DataFrame:
-        """All landed attempts, one row per (address, round)."""
+        """All landed attempts, one row per (address, round).  Failed ones hold the context that the
+        next round needs, unless contexts are kept where they are staged (``IN_PLACE_BYTES``)."""
         if self.rounds == 0:  # nothing was pending: nothing was landed
             return self.spark.createDataFrame([], LANDED_SCHEMA)
         return self.spark.read.schema(LANDED_SCHEMA).parquet(self.landing)
@@ -351,6 +361,10 @@ def _staged_keys(landing: str) -> str:
     return f"{landing}/_pending/round=1/all"
 
 
+def _in_place_mark(landing: str) -> str:
+    return f"{landing}/_pending/_in_place"
+
+
 def _manifest(distinct: DataFrame, opts: FetchOptions) -> DataFrame:
     """What a landing was started with: the key set's size and order-free fingerprint, the kind
     and the as-of."""
@@ -402,7 +416,8 @@ def _in_waves(pending: DataFrame, waves: int, files: int) -> DataFrame:
 
 
 def _land_wave(spark: SparkSession, src: DataFrame, fetch, r: int, opts: FetchOptions, parts: int,
-               spread: bool, out: str, rate: float | None = None, valid: Column | None = None) -> tuple[int, int, int]:
+               spread: bool, out: str, rate: float | None = None, valid: Column | None = None,
+               echo: bool = True) -> tuple[int, int, int]:
     """Fetch one wave and land it; returns (attempted, failed, throttled).  A wave that
     is already landed (``_SUCCESS``, e.g. before a driver restart) is not
     fetched again."""
@@ -411,30 +426,30 @@ def _land_wave(spark: SparkSession, src: DataFrame, fetch, r: int, opts: FetchOp
             F.count(F.lit(1)).alias("n"), F.count_if(~F.col("ok")).alias("failed"), F.count_if(F.col("status") == "429").alias("throttled")
         ).first()
         return int(got["n"]), int(got["failed"] or 0), int(got["throttled"] or 0)
-    attempts = with_success(fetch_once(src, fetch, r, opts, parts, spread=spread, rate=rate), opts, valid)
+    attempts = with_success(fetch_once(src, fetch, r, opts, parts, spread=spread, rate=rate, echo=echo), opts, valid)
     attempts = attempts.withColumn("context", F.when(~F.col("ok"), F.col("context")))  # only a retry needs it
     obs = Observation(f"wave_{r}_{uuid.uuid4().hex[:6]}")
     attempts = attempts.observe(
         obs, F.count(F.lit(1)).alias("n"), F.count_if(~F.col("ok")).alias("failed"), F.count_if(F.col("status") == "429").alias("throttled")
     )
-    attempts.write.mode("overwrite").parquet(out)
+    attempts.write.options(**COMPACT).mode("overwrite").parquet(out)
     stats = obs.get
     return tuple(int(stats.get(c, 0) or 0) for c in ("n", "failed", "throttled"))
 
 
 def _land_waves(spark: SparkSession, src: DataFrame, fetch, r: int, opts: FetchOptions, waves: list[int],
-                landed: str, valid: Column | None = None) -> tuple[int, int, int]:
+                landed: str, valid: Column | None = None, echo: bool = True) -> tuple[int, int, int]:
     """``_land_wave`` for several waves in one job; ``src`` holds their keys in its tasks already.  Every wave lands
     in its own folder, marked as landed (``_SUCCESS``) when the job is through; what a job that
     died has left is replaced."""
     ship_package(spark)
     schema = T.StructType([*ATTEMPT_SCHEMA.fields, T.StructField("wave", T.IntegerType())])
-    fetched = src.select("address", "context", "wave").mapInPandas(_fetch_partitions(fetch, r, opts, keep=("wave",)), schema)
+    fetched = src.select("address", "context", "wave").mapInPandas(_fetch_partitions(fetch, r, opts, keep=("wave",), echo=echo), schema)
     attempts = with_success(fetched, opts, valid).withColumn("context", F.when(~F.col("ok"), F.col("context")))
     obs = Observation(f"waves_{r}_{uuid.uuid4().hex[:6]}")
     attempts.select(*[c for c in attempts.columns if c != "wave"], "wave").observe(
         obs, F.count(F.lit(1)).alias("n"), F.count_if(~F.col("ok")).alias("failed"), F.count_if(F.col("status") == "429").alias("throttled")
-    ).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("wave").parquet(landed)
+    ).write.options(**COMPACT).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("wave").parquet(landed)
     stats = obs.get
     for w in waves:
         folders.touch(spark, f"{landed}/wave={w}/_SUCCESS")
@@ -449,24 +464,36 @@ def _landed_counts(spark: SparkSession, landed: str, waves: list[int]) -> tuple[
     return int(got["n"]), int(got["failed"] or 0)
 
 
+def _still_open(staged: DataFrame, failed: DataFrame | None, chosen: Column) -> DataFrame:
+    """The keys of the chosen waves, read where they are staged (address, context, wave): all of them, or
+    those of ``failed`` (address, wave)."""
+    keys = staged.where(chosen)
+    if failed is None:
+        return keys
+    again = failed.where(chosen).select(F.col("address").alias("_failed"))
+    return keys.join(F.broadcast(again), F.col("address").eqNullSafe(F.col("_failed")), "left_semi")
+
+
 def _fetch_waves(spark: SparkSession, staged: str, landed: str, fetch, r: int, opts: FetchOptions, parts: int,
-                 together: int, valid: Column | None) -> tuple[int, int, int]:
+                 together: int, valid: Column | None, in_place=None, most: int | None = None) -> tuple[int, int, int]:
     """The waves of a round that are not landed yet, ``together`` of them in the next job: twice as many after a
-    job that took less than half of ``WAVE_SECONDS``, half after one that took longer than that.
+    job that took less than half of ``WAVE_SECONDS``, half after one that took longer than that, ``most`` at most.
+    ``in_place``: the keys of the waves that a condition chooses, read where they are staged.
     Returns (attempted, failed, together)."""
-    all_keys = spark.read.schema(f"{KEY_SCHEMA}, wave int").parquet(staged)  # the folder is listed once
+    all_keys = None if in_place else spark.read.schema(f"{KEY_SCHEMA}, wave int").parquet(staged)  # the folder is listed once
     held = sorted(int(n[5:]) for n, _ in folders.subfolders(spark, staged) if n.startswith("wave="))
     done = [w for w in held if path_exists(spark, f"{landed}/wave={w}/_SUCCESS")]
     attempted, failed = _landed_counts(spark, landed, done) if done else (0, 0)
     todo = sorted(set(held) - set(done))
     while todo:
+        together = min(together, most or together)
         waves, todo = todo[:together], todo[together:]
         began = time.monotonic()
         chosen = F.col("wave").between(waves[0], waves[-1])
         if waves[-1] - waves[0] >= len(waves):  # some of them are landed, or hold no key
             chosen = chosen & F.col("wave").isin(waves)
-        keys = _dealt(all_keys.where(chosen), waves[0], len(waves), parts)
-        counts = _land_waves(spark, keys, fetch, r, opts, waves, landed, valid)
+        keys = in_place(chosen).coalesce(parts) if in_place else _dealt(all_keys.where(chosen), waves[0], len(waves), parts)
+        counts = _land_waves(spark, keys, fetch, r, opts, waves, landed, valid, echo=in_place is None)
         attempted, failed = attempted + counts[0], failed + counts[1]
         took = time.monotonic() - began
         if took < WAVE_SECONDS / 2 and len(waves) == together:
@@ -497,12 +524,12 @@ def _decided_rate(spark: SparkSession, landing: str, r: int, w: int, rate: float
 
 
 def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
-                 landing: str | None = None, context: str | None = None) -> FetchRun:
+                 landing: str | None = None, context: str | None = None, unique: bool = False) -> FetchRun:
     """K5/K6: retry rounds until nothing fails or ``max_rounds`` is reached.
 
     ``keys`` holds ``address`` (duplicates allowed: each distinct key is
     fetched once, D6) and optionally a ``context`` column handed to the
-    fetch function.
+    fetch function.  ``unique``: no address comes twice.
 
     A round larger than ``max_partitions x keys_per_partition`` keys runs in
     waves: the pending keys are written partitioned by
@@ -511,14 +538,17 @@ def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
     would end in less than half of ``WAVE_SECONDS``, the next takes twice as many waves.  A
     lost task re-fetches at most ``keys_per_partition`` keys, or what a task
     fetches in about that time, and a rerun with the same ``landing``
-    resumes: landed waves are not fetched again.
+    resumes: landed waves are not fetched again.  Large contexts stay in the waves of
+    the first round (``IN_PLACE_BYTES``).
     """
     opts = opts or FetchOptions()
     spark = keys.sparkSession
     landing = (landing or scratch_path(spark, f"landing-{opts.kind}")).rstrip("/")
     ctx = F.col(context) if context else F.lit(None).cast("string")
     distinct = keys.select(F.col("address").cast("string").alias("address"), ctx.alias("context"))
-    distinct = distinct.dropDuplicates(["address"])
+    # texts of other types may be equal
+    if not (unique and isinstance(keys.schema["address"].dataType, T.StringType)):
+        distinct = distinct.dropDuplicates(["address"])
     per_wave = max(1, opts.max_partitions * max(1, opts.keys_per_partition))
     run = FetchRun(spark, landing, 0, opts)
     started = time.monotonic()
@@ -531,11 +561,17 @@ def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
         n_pending = spark.read.schema(KEY_SCHEMA).parquet(first).count()
     else:
         obs = Observation(f"keys_{uuid.uuid4().hex[:6]}")
-        distinct.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(first)
+        distinct.observe(obs, F.count(F.lit(1)).alias("n")).write.options(**COMPACT).mode("overwrite").parquet(first)
         n_pending = int(obs.get.get("n", 0) or 0)
         _manifest(spark.read.parquet(first), opts).write.mode("overwrite").parquet(f"{landing}/_pending/manifest")
+        large = context is not None and n_pending and path_size(spark, first) >= IN_PLACE_BYTES * n_pending
+        if large and per_wave <= IN_PLACE_KEYS:  # a landing stays as it was started, whatever the options are now
+            folders.touch(spark, _in_place_mark(landing))
     pending = spark.read.schema(KEY_SCHEMA).parquet(first) if n_pending else distinct
     n_keys = n_pending
+    in_place = n_pending > 0 and path_exists(spark, _in_place_mark(landing))
+    own = one_file_a_task(spark) if in_place else spark
+    in_waves = failures = read = most = None  # where contexts stay in place: the staged keys, those that failed in the round before
     rate = opts.calls_per_sec
     valid = None
     if opts.kind == "labels":
@@ -548,27 +584,40 @@ def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
             n_pending = pending.count()
         if n_pending == 0:
             break
-        waves = _waves_of(spark, landing, r, max(1, math.ceil(n_pending / per_wave)))
+        if in_waves is None:
+            waves = _waves_of(spark, landing, r, max(1, math.ceil(n_pending / per_wave)))
         parts = _tasks(spark, math.ceil(n_pending / waves), opts)
-        if waves == 1:
+        if in_place:
+            staged = f"{landing}/_pending/round=1/waves"
+            if not path_exists(spark, f"{staged}/_SUCCESS"):
+                files = max(parts, _staged_files(n_keys, path_size(spark, first) / n_keys, waves))
+                _in_waves(pending, waves, files).write.options(**COMPACT).mode("overwrite").partitionBy("wave").parquet(staged)
+            if in_waves is None:
+                in_waves = own.read.schema(f"{KEY_SCHEMA}, wave int").parquet(staged)
+            read = partial(_still_open, in_waves, failures)
+            most = max(1, IN_PLACE_KEYS * waves // n_pending) if failures is not None else None
+            sources = ((w, read(F.col("wave") == w), False) for w in range(waves) if path_exists(spark, f"{staged}/wave={w}"))
+        elif waves == 1:
             sources = [(0, pending, r == 1)]
         else:
             staged = f"{landing}/_pending/round={r}/waves"
             if not path_exists(spark, f"{staged}/_SUCCESS"):
                 # a wave then lists and reads its own folder only
                 files = _staged_files(n_pending, path_size(spark, first) / n_keys, waves)
-                _in_waves(pending, waves, files).write.mode("overwrite").partitionBy("wave").parquet(staged)
+                _in_waves(pending, waves, files).write.options(**COMPACT).mode("overwrite").partitionBy("wave").parquet(staged)
             sources = (
                 (w, spark.read.schema(KEY_SCHEMA).parquet(f"{staged}/wave={w}"), True)
                 for w in range(waves)
                 if path_exists(spark, f"{staged}/wave={w}")  # no key may fall into a wave
             )
         attempted = failed = 0
-        if waves > 1 and rate is None:  # a paced run decides after every wave
-            attempted, failed, together = _fetch_waves(spark, staged, f"{landing}/round={r}", fetch, r, opts, parts, together, valid)
+        if (in_place or waves > 1) and rate is None:  # a paced run decides after every wave
+            attempted, failed, together = _fetch_waves(
+                spark, staged, f"{landing}/round={r}", fetch, r, opts, parts, together, valid, read, most
+            )
             sources = ()
         for w, src, spread in sources:
-            counts = _land_wave(spark, src, fetch, r, opts, parts, spread, f"{landing}/round={r}/wave={w}", rate, valid)
+            counts = _land_wave(spark, src, fetch, r, opts, parts, spread, f"{landing}/round={r}/wave={w}", rate, valid, not in_place)
             if rate is not None:
                 rate = _decided_rate(spark, landing, r, w, rate, counts, opts)
             attempted += counts[0]
@@ -578,8 +627,10 @@ def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
         retry = ~F.col("ok")
         if opts.no_retry:
             retry = retry & ~F.col("status").isin(list(opts.no_retry))
-        landed = spark.read.schema(LANDED_ROUND_SCHEMA).parquet(f"{landing}/round={r}")
-        pending = landed.filter(retry).select("address", "context")
+        landed = own.read.schema(LANDED_ROUND_SCHEMA).parquet(f"{landing}/round={r}").filter(retry)
+        if in_place:
+            failures = landed.select("address", "wave")
+        pending = landed.select("address", "context")
         n_pending = failed if not opts.no_retry else None
         if n_pending == 0:
             break

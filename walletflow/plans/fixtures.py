@@ -323,7 +323,7 @@ def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     scratch area (the stand-in for a landed responses table), then read."""
     import os
 
-    from walletflow.session import scratch_path
+    from walletflow.session import COMPACT, scratch_path
 
     builders = {
         "portfolio": portfolio_documents,
@@ -337,7 +337,7 @@ def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     local = path[5:] if path and path.startswith("file:") else path
     if path is None or ("://" not in local and not os.path.exists(local)):
         path = scratch_path(spark, f"docs-{name}")
-        writer = builders[name](spark, sf_dir).write
+        writer = builders[name](spark, sf_dir).write.options(**COMPACT)
         if name == "saved_results":
             writer = writer.partitionBy("run_ts")  # latest run found by partition pruning
         writer.parquet(path)

@@ -34,11 +34,15 @@ from walletflow.schemas import (
     PORTFOLIO_FILE_PREFIX,
     PORTFOLIO_TABLE_SCHEMA,
 )
-from walletflow.session import prepare, scratch_path
+from walletflow.session import COMPACT, prepare, scratch_path
 from walletflow.sinks import tables
 from walletflow.sinks.csv import path_size, write_csv
 
 
+COPIES = "_walletflow_copies"  # of pinned keys: the rows of an address
+AT_ONCE = 1000  # of them, made at a time
+
+
 class JobStopped(RuntimeError):
     pass
 
@@ -72,18 +76,31 @@ def landed_rows(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def pinned(keys: DataFrame) -> DataFrame:
+def pinned(keys: DataFrame, context: str | None = None) -> DataFrame:
     """The keys, written once to the shared folder: the fetch, the join back and the emptiness check
-    see the same rows, whatever becomes of their source meanwhile."""
+    see the same rows, whatever becomes of their source meanwhile.  One row per address, with one of its
+    contexts (D6) and the number of its rows (``COPIES``), so that contexts are gathered by address only here."""
     path = scratch_path(keys.sparkSession, "job-keys")
-    keys.write.parquet(path)
-    return keys.sparkSession.read.schema(keys.schema).parquet(path)
+    held = [F.first(context).alias(context)] if context else []
+    once = keys.groupBy("address").agg(*held, F.count(F.lit(1)).alias(COPIES))
+    once.write.options(**COMPACT).parquet(path)
+    return keys.sparkSession.read.schema(once.schema).parquet(path)
+
+
+def _every_row(keys: DataFrame) -> DataFrame:
+    """(address) of every row of the keys.  Copies that ``pinned`` has counted are made in two steps, so that no
+    array grows with their number."""
+    if COPIES not in keys.columns:
+        return keys.select("address")
+    rows = keys.select("address", COPIES, F.explode(F.sequence(F.lit(0), F.floor((F.col(COPIES) - 1) / AT_ONCE))).alias("_at"))
+    some = F.least(F.lit(AT_ONCE), F.col(COPIES) - F.col("_at") * AT_ONCE)
+    return rows.select("address", F.explode(F.sequence(F.lit(1), some)).alias("_copy")).select("address")
 
 
 def label_rows_for_table(successes: DataFrame, keys: DataFrame, run_date: str) -> DataFrame:
     """Flatten fetched label documents and lay them out as the 11 table columns."""
     flat = L.flatten_labels(L.parse_labels(successes.select("address", "round", "body")), keep=["round"])
-    rows = attach_keys(keys.select("address", F.monotonically_increasing_id().alias("_pos")), flat)
+    rows = attach_keys(_every_row(keys).select("address", F.monotonically_increasing_id().alias("_pos")), flat)
     numbered = dense_number(rows, ["round", "address", "_pos"], "no")
     return numbered.select(
         F.col("no").cast("int").alias("no"),
@@ -99,7 +116,7 @@ def enrich_labels(keys: DataFrame, fetch, opts: FetchOptions | None = None, *, c
     """J3 as a DataFrame call: keys -> fetch rounds -> the 11-column label rows."""
     prepare(keys.sparkSession)
     opts = replace(opts or FetchOptions(), kind="labels")
-    run = fetch_rounds(keys, fetch, opts, context=context, landing=landing)
+    run = fetch_rounds(keys, fetch, opts, context=context, landing=landing, unique=COPIES in keys.columns)
     rows = label_rows_for_table(run.successes(), keys, run_date or dt.date.today().isoformat())
     return rows, run
 
@@ -112,14 +129,14 @@ def enrich_portfolios(keys: DataFrame, fetch, as_of_ms: int | None = None, opts:
     if opts.as_of_ms is None:
         before = landed_as_of(keys.sparkSession, landing) if landing else None
         opts.as_of_ms = as_of_ms or before or int(dt.datetime.now().timestamp() * 1000)
-    run = fetch_rounds(keys, fetch, opts, context=context, landing=landing)
+    run = fetch_rounds(keys, fetch, opts, context=context, landing=landing, unique=COPIES in keys.columns)
     return portfolio_rows_for_table(run.successes(), keys), run
 
 
 def export_labels(keys: DataFrame, fetch, opts: FetchOptions | None = None, *, context: str | None = None,
                   csv_dir: str | None = None, filename: str | None = None) -> str | None:
     """CSV path of the label export, or None when there is nothing to write."""
-    keys = pinned(keys)
+    keys = pinned(keys, context)
     if keys.isEmpty():
         return None
     rows, _ = enrich_labels(keys, fetch, opts, context=context)
@@ -131,7 +148,7 @@ def export_portfolios(keys: DataFrame, fetch, as_of_ms: int | None = None, opts:
                       context: str | None = None, csv_dir: str | None = None,
                       filename: str | None = None) -> str | None:
     """CSV path of the portfolio export, or None when there is nothing to write."""
-    keys = pinned(keys)
+    keys = pinned(keys, context)
     if keys.isEmpty():
         return None
     rows, _ = enrich_portfolios(keys, fetch, as_of_ms, opts, context=context)
@@ -152,7 +169,7 @@ def label_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str, na
     if not tables.create_table(spark, namespace, name, description, LABEL_TABLE_SCHEMA, root=table_root,
                                partition_by=["update_date"] if history else None):
         raise JobStopped(f"could not create {full}")
-    keys = pinned(keys)
+    keys = pinned(keys, context)
     if keys.isEmpty():
         return None
     rows, run = enrich_labels(keys, fetch, opts, context=context, run_date=run_date, landing=landing)
@@ -173,7 +190,7 @@ def label_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str, na
 def portfolio_rows_for_table(successes: DataFrame, keys: DataFrame) -> DataFrame:
     parsed = P.parse_portfolio(successes.select("address", "body"))
     flat = P.flatten_portfolio(parsed)
-    rows = attach_keys(keys.select("address"), flat)
+    rows = attach_keys(_every_row(keys), flat)
     return rows.select(*PORTFOLIO_COLUMNS)
 
 
@@ -189,7 +206,7 @@ def portfolio_job(spark: SparkSession, keys: DataFrame, fetch, *, namespace: str
     full = f"{namespace}.{name}"
     if not tables.create_table(spark, namespace, name, description, PORTFOLIO_TABLE_SCHEMA, root=table_root):
         raise JobStopped(f"could not create {full}")
-    keys = pinned(keys)
+    keys = pinned(keys, context)
     if keys.isEmpty():
         return None
     # One as-of for the whole batch, taken once on the driver.
