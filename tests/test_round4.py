@@ -129,3 +129,21 @@ def test_repeated_keys_come_back_in_the_export(spark, tmp_dir):
                                   context="doc", csv_dir=tmp_dir, filename="x")
     got = read_csv(spark, path, PORTFOLIO_COLUMNS).collect()
     assert sorted(r["address"] for r in got) == sorted(keys[:6])
+
+
+def test_a_portfolio_job_writes_its_documents_a_few_times_only(spark, tmp_dir):
+    token = """concat('{"id":"t","name":"', note, '","symbol":"S","balance":"1","price":"2","usd":"3"}')"""
+    docs = large_documents(spark, 120).withColumn("note", F.expr(FILLER))
+    docs = docs.select("address", F.expr(f"""concat('{{"ethereum":{{"t":', {token}, '}}}}')""").alias("doc"))
+    twice = docs.unionByName(docs.limit(60))
+    ns, landing = "round4_job", f"{tmp_dir}/l"
+    opts = FetchOptions(kind="portfolio", max_partitions=2, keys_per_partition=20, max_rounds=10, **FAST)
+    try:
+        job = jobs.portfolio_job(spark, twice, CyclingStubService(), namespace=ns, name="p", as_of_ms=0, opts=opts, context="doc",
+                                 table_root=f"{tmp_dir}/t", csv_dir=f"{tmp_dir}/csv", landing=landing)
+        assert job.fetch.round_counts == due(120, 10)
+        assert job.rows_written == job.load.rows_written == spark.table(f"{ns}.p").count() == 150  # 50 of the 60 that come twice
+        # staged, once more in waves, those that were answered, and many small files
+        assert size_of(landing) < 5 * size_of(f"{landing}/_pending/round=1/all")
+    finally:
+        spark.sql(f"DROP SCHEMA IF EXISTS {ns} CASCADE")

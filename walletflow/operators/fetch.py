@@ -61,7 +61,7 @@ from walletflow.schemas import (
     LOOSE_MAP_DDL,
     PORTFOLIO_NO_DATA,
 )
-from walletflow.session import COMPACT, one_file_a_task, scratch_path
+from walletflow.session import COMPACT, one_file_a_task, release_shuffles, scratch_path
 from walletflow.sinks import folders
 from walletflow.sinks.csv import path_size
 from walletflow.shipping import ship_package
@@ -592,6 +592,7 @@ def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
             if not path_exists(spark, f"{staged}/_SUCCESS"):
                 files = max(parts, _staged_files(n_keys, path_size(spark, first) / n_keys, waves))
                 _in_waves(pending, waves, files).write.options(**COMPACT).mode("overwrite").partitionBy("wave").parquet(staged)
+                release_shuffles(spark)
             if in_waves is None:
                 in_waves = own.read.schema(f"{KEY_SCHEMA}, wave int").parquet(staged)
             read = partial(_still_open, in_waves, failures)

@@ -323,7 +323,7 @@ def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     scratch area (the stand-in for a landed responses table), then read."""
     import os
 
-    from walletflow.session import COMPACT, scratch_path
+    from walletflow.session import COMPACT, release_shuffles, scratch_path
 
     builders = {
         "portfolio": portfolio_documents,
@@ -341,5 +341,7 @@ def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         if name == "saved_results":
             writer = writer.partitionBy("run_ts")  # latest run found by partition pruning
         writer.parquet(path)
+        del writer
+        release_shuffles(spark)
         _LANDED[key] = path
     return spark.read.parquet(path)

@@ -34,7 +34,7 @@ from walletflow.schemas import (
     PORTFOLIO_FILE_PREFIX,
     PORTFOLIO_TABLE_SCHEMA,
 )
-from walletflow.session import COMPACT, prepare, scratch_path
+from walletflow.session import COMPACT, prepare, release_shuffles, scratch_path
 from walletflow.sinks import tables
 from walletflow.sinks.csv import path_size, write_csv
 
@@ -72,7 +72,7 @@ class JobResult:
 def landed_rows(rows: DataFrame, name: str) -> DataFrame:
     """The job's flat rows, evaluated once: the CSV and the load read them from the shared folder."""
     path = scratch_path(rows.sparkSession, name)
-    rows.write.parquet(path)
+    rows.write.options(**COMPACT).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
@@ -84,7 +84,10 @@ def pinned(keys: DataFrame, context: str | None = None) -> DataFrame:
     held = [F.first(context).alias(context)] if context else []
     once = keys.groupBy("address").agg(*held, F.count(F.lit(1)).alias(COPIES))
     once.write.options(**COMPACT).parquet(path)
-    return keys.sparkSession.read.schema(once.schema).parquet(path)
+    schema = once.schema
+    del once
+    release_shuffles(keys.sparkSession)
+    return keys.sparkSession.read.schema(schema).parquet(path)
 
 
 def _every_row(keys: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -58,6 +59,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/walletflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Have the files of finished shuffles removed.  Spark removes what nothing refers to any more after the
+    driver's garbage collection, which a driver with memory to spare starts every 30 minutes only."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def one_file_a_task(spark: SparkSession) -> SparkSession:
     """A session with the caller's settings whose scans give every file a task of its own."""
     own = spark.newSession()
