@@ -147,3 +147,26 @@ def test_a_portfolio_job_writes_its_documents_a_few_times_only(spark, tmp_dir):
         assert size_of(landing) < 5 * size_of(f"{landing}/_pending/round=1/all")
     finally:
         spark.sql(f"DROP SCHEMA IF EXISTS {ns} CASCADE")
+
+
+def test_finished_shuffles_are_removed_after_a_large_step(spark, tmp_dir, monkeypatch):
+    import time
+
+    from walletflow import session
+
+    def held():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        names = [blocks.apply(i).name() for i in range(blocks.size())]
+        return {n.split("_")[1] for n in names if n.startswith("shuffle_")}
+
+    before = held()
+    spark.range(1000).repartition(3, "id").write.parquet(f"{tmp_dir}/p")
+    made = held() - before
+    assert made
+    session.release_shuffles(spark, f"{tmp_dir}/p")  # little was written: nothing is waited for
+    monkeypatch.setattr(session, "RELEASE_BYTES", 1)
+    session.release_shuffles(spark, f"{tmp_dir}/p")
+    until = time.monotonic() + 10
+    while made & held() and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not made & held()

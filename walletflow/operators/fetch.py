@@ -108,7 +108,7 @@ LANDED_WAVE_SCHEMA = T.StructType([f for f in LANDED_ROUND_SCHEMA.fields if f.na
 BUSY_KEYS = 2000        # keys for which a further task is worth its start
 STAGED_KEYS = 16_384    # keys per file of a staged wave, so that no task reads a whole wave
 STAGED_BYTES = 8 << 20  # and bytes, as large contexts make few keys long work
-IN_PLACE_BYTES = 256    # contexts of so many bytes a key, as staged, stay where they are staged
+IN_PLACE_BYTES = 1024   # contexts of so many bytes a key, on average, stay where they are staged
 IN_PLACE_KEYS = 1 << 18  # failed keys that a job over such contexts holds in memory at most
 WAVE_SECONDS = 10.0     # waves are fetched several in one job as long as the job ends within about this time
 BATCH_ROWS = 2000       # a worker hands on its attempts when it holds so many
@@ -561,10 +561,11 @@ def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
         n_pending = spark.read.schema(KEY_SCHEMA).parquet(first).count()
     else:
         obs = Observation(f"keys_{uuid.uuid4().hex[:6]}")
-        distinct.observe(obs, F.count(F.lit(1)).alias("n")).write.options(**COMPACT).mode("overwrite").parquet(first)
-        n_pending = int(obs.get.get("n", 0) or 0)
+        figures = F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("context")).alias("bytes")
+        distinct.observe(obs, *figures).write.options(**COMPACT).mode("overwrite").parquet(first)
+        n_pending, held = (int(obs.get.get(c, 0) or 0) for c in ("n", "bytes"))
         _manifest(spark.read.parquet(first), opts).write.mode("overwrite").parquet(f"{landing}/_pending/manifest")
-        large = context is not None and n_pending and path_size(spark, first) >= IN_PLACE_BYTES * n_pending
+        large = held and held >= IN_PLACE_BYTES * n_pending
         if large and per_wave <= IN_PLACE_KEYS:  # a landing stays as it was started, whatever the options are now
             folders.touch(spark, _in_place_mark(landing))
     pending = spark.read.schema(KEY_SCHEMA).parquet(first) if n_pending else distinct
@@ -592,7 +593,7 @@ def fetch_rounds(keys: DataFrame, fetch, opts: FetchOptions | None = None, *,
             if not path_exists(spark, f"{staged}/_SUCCESS"):
                 files = max(parts, _staged_files(n_keys, path_size(spark, first) / n_keys, waves))
                 _in_waves(pending, waves, files).write.options(**COMPACT).mode("overwrite").partitionBy("wave").parquet(staged)
-                release_shuffles(spark)
+                release_shuffles(spark, staged)
             if in_waves is None:
                 in_waves = own.read.schema(f"{KEY_SCHEMA}, wave int").parquet(staged)
             read = partial(_still_open, in_waves, failures)

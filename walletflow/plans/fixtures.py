@@ -342,6 +342,6 @@ def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             writer = writer.partitionBy("run_ts")  # latest run found by partition pruning
         writer.parquet(path)
         del writer
-        release_shuffles(spark)
+        release_shuffles(spark, path)
         _LANDED[key] = path
     return spark.read.parquet(path)

@@ -86,7 +86,7 @@ def pinned(keys: DataFrame, context: str | None = None) -> DataFrame:
     once.write.options(**COMPACT).parquet(path)
     schema = once.schema
     del once
-    release_shuffles(keys.sparkSession)
+    release_shuffles(keys.sparkSession, path)
     return keys.sparkSession.read.schema(schema).parquet(path)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -20,6 +21,9 @@ REQUIRED_CONF = {
 # step to step take about half the room that they take in Parquet's default.
 COMPACT = {"compression": "zstd"}
 
+# Steps that write so much wait until the files of their shuffles are let go.
+RELEASE_BYTES = 64 << 20
+
 # Larger than any file: a scan that counts this much for opening a file puts one file into each task.
 _ONE_FILE = str(1 << 40)
 
@@ -59,11 +63,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/walletflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Have the files of finished shuffles removed.  Spark removes what nothing refers to any more after the
-    driver's garbage collection, which a driver with memory to spare starts every 30 minutes only."""
+def release_shuffles(spark: SparkSession, written: str) -> None:
+    """Have the files of finished shuffles removed after a step that has ``written`` much.  Spark removes what
+    nothing refers to any more after the driver's garbage collection, which a driver with memory to
+    spare starts every 30 minutes only.  Python's references reach the driver's JVM about a second late."""
+    from walletflow.sinks.csv import path_size
+
+    if path_size(spark, written) < RELEASE_BYTES:
+        return
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(3):
+        time.sleep(1.0)
+        spark.sparkContext._jvm.System.gc()
 
 
 def one_file_a_task(spark: SparkSession) -> SparkSession:
